@@ -12,10 +12,16 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def drop_consecutive_duplicates(arr: str | Column) -> Column:
-    """Keep an element only if it differs from the one before it (NULL-safe)."""
-    a = _col(arr)
-    return F.filter(a, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(a, i - 1)))
+def drop_consecutive_duplicates(arr: str) -> Column:
+    """Keep an element only if it differs from the one before it (NULL-safe).
+
+    Takes a column *name*: the lambda looks up the previous element by index, and
+    with a column reference that is O(1).  Passing an expression here would
+    re-evaluate it for every element, so callers materialise the array first.
+    """
+    if not isinstance(arr, str):
+        raise TypeError("drop_consecutive_duplicates takes a column name; select the array first")
+    return F.filter(F.col(arr), lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(F.col(arr), i - 1)))
 
 
 def field_of(arr: str | Column, name: str) -> Column:

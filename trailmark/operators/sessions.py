@@ -11,9 +11,10 @@ Two plans give the same rows:
   the stateful merging-sessions operator) but in batch it sorts all events of one
   user in one task, so a user holding a third of the data is one task.
 * ``"chunked"`` (batch default) -- a skew-safe composition.  Rows are first
-  combined to distinct (user, second, page) counts, then session breaks are found
-  per (user, gap-sized time chunk), which bounds every window partition by
-  ``gap`` seconds of distinct times regardless of data volume.  A chunk-level pass
+  combined map-side to distinct (user, second, page) counts, then session breaks
+  are found per (user, gap-sized time chunk), which bounds every window partition
+  by ``gap`` seconds of distinct times (times distinct pages) regardless of data
+  volume.  A chunk-level pass
   (one row per (user, chunk)) stitches sessions across chunk borders: since a chunk
   is as long as the gap, a session can only continue from the chunk right before.
   Only the final (user, session) aggregate holds a whole path, which is the
@@ -85,17 +86,20 @@ def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
     )
     user = ["uk", "un"]
 
-    # 1. Combine duplicates map-side: one row per (user, second, page) ...
-    cells = ev.groupBy(*user, "s", "pageUrl").agg(F.count(F.lit(1)).alias("n"))
-    # ... then one row per (user, second); the page list is bounded by distinct pages.
-    secs = cells.groupBy(*user, "s").agg(
-        F.sort_array(F.collect_list(F.struct("pageUrl", "n"))).alias("cells")
-    ).withColumn("chunk", F.floor(F.col("s") / F.lit(gap_s)))
+    # 1. Combine duplicates map-side: one row per (user, second, page).  Every
+    #    later step works on these rows, so a burst of identical events costs one row.
+    cells = (
+        ev.groupBy(*user, "s", "pageUrl")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("chunk", F.floor(F.col("s") / F.lit(gap_s)))
+    )
 
-    # 2. Breaks inside each (user, chunk): at most gap_s distinct seconds per partition.
+    # 2. Breaks inside each (user, chunk): a partition holds at most gap_s distinct
+    #    seconds (times the distinct pages per second).  Rows of the same second
+    #    follow each other with delta 0, so only the first can be a break.
     w_chunk = Window.partitionBy(*user, "chunk").orderBy("s")
     prev = F.lag("s").over(w_chunk)
-    secs = secs.withColumn("brk", prev.isNull() | (F.col("s") - prev > F.lit(gap_s)))
+    secs = cells.withColumn("brk", prev.isNull() | (F.col("s") - prev > F.lit(gap_s)))
     secs = secs.withColumn(
         "ls", F.max(F.when(F.col("brk"), F.col("s"))).over(w_chunk.rowsBetween(*_RUNNING))
     )
@@ -128,10 +132,12 @@ def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
     sess = secs.join(chunks, on=[*user, "chunk"], how="inner").select(
         *user,
         "s",
-        "cells",
+        "pageUrl",
+        "n",
         F.when(F.col("ls") == F.col("first_s"), F.col("first_start")).otherwise(F.col("ls")).alias("start_s"),
     )
-    by_second = F.sort_array(F.collect_list(F.struct("s", "cells")))
+    # (second, page) is unique per user, so the sort is by time, then page (NULL first).
+    by_second = F.sort_array(F.collect_list(F.struct("s", "pageUrl", "n")))
     return (
         sess.groupBy(*user, "start_s")
         .agg(F.max("s").alias("last_s"), by_second.alias("secs"))
@@ -139,6 +145,6 @@ def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
             F.when(~F.col("un"), F.col("uk")).alias("userId"),
             F.timestamp_seconds("start_s").alias("sessionStart"),
             F.timestamp_seconds(F.col("last_s") + F.lit(gap_s)).alias("sessionEnd"),
-            F.flatten(F.transform("secs", lambda x: expand_counts(x["cells"]))).alias("path"),
+            expand_counts("secs").alias("path"),
         )
     )

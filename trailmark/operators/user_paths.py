@@ -42,17 +42,18 @@ def assemble_user_paths(fragments: DataFrame) -> DataFrame:
     """Step 2: ``userId, path array<string>`` from the fragments of step 1."""
     # Inside a fragment timestamps are all NULL or all set (chunk is NULL iff the
     # timestamp is), so a plain struct sort gives (timestamp, page) order.
-    ordered = F.sort_array("cells")
+    sorted_pages = fragments.select("userId", "chunk", field_of(F.sort_array("cells"), "pageUrl").alias("pages"))
     frag = F.struct(
         F.col("chunk").isNull().alias("no_time"),  # events without time go last
         F.col("chunk"),
-        drop_consecutive_duplicates(field_of(ordered, "pageUrl")).alias("pages"),
+        drop_consecutive_duplicates("pages").alias("pages"),
     )
     return (
-        fragments.select("userId", frag.alias("frag"))
+        sorted_pages.select("userId", frag.alias("frag"))
         .groupBy("userId")
         .agg(F.sort_array(F.collect_list("frag")).alias("frags"))
-        .select("userId", drop_consecutive_duplicates(F.flatten(field_of("frags", "pages"))).alias("path"))
+        .select("userId", F.flatten(field_of("frags", "pages")).alias("pages"))
+        .select("userId", drop_consecutive_duplicates("pages").alias("path"))
     )
 
 

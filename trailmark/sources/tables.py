@@ -32,8 +32,23 @@ MAP_Y_MULTIPLIER = 37
 MAP_SCREENS = [(1280, 800), (1440, 900), (1920, 1080)]
 
 
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A Parquet row group cannot be split, so a small table written as one row group
+    is one task, and the per-row mapping (JSON parsing of ``props``) would run on
+    one core.  A large input already has more splits than cores and is returned
+    unchanged (no shuffle).  ``repartition(n)`` sorts rows locally before
+    distributing them, so a retried task gets the same rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def web_events_from_table(raw: DataFrame) -> DataFrame:
