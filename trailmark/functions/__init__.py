@@ -3,7 +3,7 @@
 from .arrays import drop_consecutive_duplicates, expand_counts, field_of, render_path
 from .buckets import bucket
 from .defaults import DEFAULTS, or_default
-from .time import event_time, truncating_div
+from .time import event_time
 
 __all__ = [
     "DEFAULTS",
@@ -14,5 +14,4 @@ __all__ = [
     "field_of",
     "or_default",
     "render_path",
-    "truncating_div",
 ]

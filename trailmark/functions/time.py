@@ -10,18 +10,8 @@ MIN_EVENT_MILLIS = -62135596800000
 MAX_EVENT_MILLIS = 253402300799999
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def truncating_div(c: str | Column, n: int) -> Column:
-    """Integer division rounding toward zero, like SQL ``div`` (exact, no float)."""
-    c = _col(c)
-    return ((c - c % F.lit(n)) / F.lit(n)).cast("long")
-
-
-def event_time(millis: str | Column = "timestamp", max_event_time: str | None = None) -> Column:
-    """``eventTime`` of an event.
+def event_time(millis: str = "timestamp", max_event_time: str | None = None) -> Column:
+    """``eventTime`` of an event, from the name of its epoch-ms column.
 
     Milliseconds are cut toward zero to whole seconds (-1500 ms -> -1 s), as the
     reference's ``from_unixtime(timestamp / 1000)`` does under UTC, but without the
@@ -30,9 +20,9 @@ def event_time(millis: str | Column = "timestamp", max_event_time: str | None =
     the query; ``max_event_time`` (e.g. ``"2100-01-01"``) optionally nulls anything
     later, so one absurd value cannot push a watermark past all real data.
     """
-    ms = _col(millis)
-    ts = F.timestamp_seconds(truncating_div(ms, 1000))
-    ok = ms.between(F.lit(MIN_EVENT_MILLIS), F.lit(MAX_EVENT_MILLIS))
+    ms = f"`{millis}`"
+    ok = f"{ms} BETWEEN {MIN_EVENT_MILLIS} AND {MAX_EVENT_MILLIS}"
+    ts = f"timestamp_seconds({ms} div 1000)"
     if max_event_time is not None:
-        ok = ok & (ts <= F.lit(max_event_time).cast("timestamp"))
-    return F.when(ok, ts)
+        ok += f" AND {ts} <= timestamp '{max_event_time}'"
+    return F.expr(f"CASE WHEN {ok} THEN {ts} END")

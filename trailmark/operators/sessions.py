@@ -11,27 +11,22 @@ Two plans give the same rows:
   the stateful merging-sessions operator) but in batch it sorts all events of one
   user in one task, so a user holding a third of the data is one task.
 * ``"chunked"`` (batch default) -- a skew-safe composition.  Rows are first
-  combined map-side to distinct (user, second, page) counts, then session breaks
-  are found per (user, gap-sized time chunk), which bounds every window partition
-  by ``gap`` seconds of distinct times (times distinct pages) regardless of data
-  volume.  A chunk-level pass
-  (one row per (user, chunk)) stitches sessions across chunk borders: since a chunk
-  is as long as the gap, a session can only continue from the chunk right before.
-  Only the final (user, session) aggregate holds a whole path, which is the
-  result row itself.
+  combined map-side to distinct (user, second, page) counts.  Time is cut into
+  chunks one gap long; a chunk never contains a session break, so sessions are
+  found on one summary row per (user, chunk) -- a window whose size per user is
+  bounded by time span / gap, never by event count -- and joined back.  No step
+  sorts a user's events in one task; only the final (user, session) aggregate
+  holds a whole path, which is the result row itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import expand_counts, field_of
+from ..functions.arrays import field_of
 from ..schema import DEFAULT_SESSION_GAP_MINUTES, EVENT_TIME
 
-_RUNNING = (Window.unboundedPreceding, Window.currentRow)
-
-
 def _gap_seconds(gap_minutes: float) -> int:
     if gap_minutes is None or gap_minutes <= 0:
         # The reference silently produces no session at all for a gap <= 0.
@@ -75,76 +70,48 @@ def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
     )
 
 
-def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
-    # NULL userId is a session key of its own; carry it as a non-NULL pair
-    # (uk, un) so plain equi-joins and hash partitioning line up.
-    ev = events.filter(F.col(EVENT_TIME).isNotNull()).select(
-        F.coalesce(F.col("userId"), F.lit("")).alias("uk"),
-        F.col("userId").isNull().alias("un"),
-        F.unix_seconds(EVENT_TIME).alias("s"),
-        "pageUrl",
-    )
-    user = ["uk", "un"]
-
-    # 1. Combine duplicates map-side: one row per (user, second, page).  Every
-    #    later step works on these rows, so a burst of identical events costs one row.
-    cells = (
-        ev.groupBy(*user, "s", "pageUrl")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("chunk", F.floor(F.col("s") / F.lit(gap_s)))
-    )
-
-    # 2. Breaks inside each (user, chunk): a partition holds at most gap_s distinct
-    #    seconds (times the distinct pages per second).  Rows of the same second
-    #    follow each other with delta 0, so only the first can be a break.
-    w_chunk = Window.partitionBy(*user, "chunk").orderBy("s")
-    prev = F.lag("s").over(w_chunk)
-    secs = cells.withColumn("brk", prev.isNull() | (F.col("s") - prev > F.lit(gap_s)))
-    secs = secs.withColumn(
-        "ls", F.max(F.when(F.col("brk"), F.col("s"))).over(w_chunk.rowsBetween(*_RUNNING))
-    )
+# Step by step:
+# 1. cells:  combine duplicates map-side, one row per (user, second, page).  A
+#    burst of identical events costs one row from here on.  NULL userId is a key
+#    of its own, carried as the non-NULL pair (uk, un) so joins and hash
+#    partitioning line up; chunk is coalesced so no NULL filter is inferred.
+# 2. chunks: one row per (user, chunk).  Two seconds of one chunk are less than a
+#    gap apart, so a chunk never holds a session break; a chunk continues the
+#    session before it iff the previous chunk is the adjacent one and its last
+#    second is <= gap away.  (Catalyst folds the two aggregates of this branch
+#    into one and prunes the page: this side scans only user and time columns.)
+# 3. starts: session start of a chunk = first second of the latest chunk (up to
+#    this one) that does not continue its predecessor.  Rows per user in this
+#    window are bounded by the user's time span / gap, not by its event count.
+# 4. every (second, page) row gets its session start; one row per session, with
+#    the path in (second, page NULL first) order and counts expanded again.
+_CHUNKED_SQL = """
+WITH ev AS (
+  SELECT coalesce(userId, '') AS uk, userId IS NULL AS un, unix_seconds(eventTime) AS s, pageUrl
+  FROM {events} WHERE eventTime IS NOT NULL),
+cells AS (
+  SELECT uk, un, s, pageUrl, count(1) AS n, coalesce(floor(s / {gap}), 0) AS chunk
+  FROM ev GROUP BY uk, un, s, pageUrl),
+chunks AS (
+  SELECT uk, un, chunk, min(s) AS first_s, max(s) AS last_s FROM cells GROUP BY uk, un, chunk),
+linked AS (
+  SELECT uk, un, chunk, first_s,
+    coalesce(lag(chunk) OVER w = chunk - 1 AND first_s - lag(last_s) OVER w <= {gap}, false) AS continues
+  FROM chunks WINDOW w AS (PARTITION BY uk, un ORDER BY chunk)),
+starts AS (
+  SELECT uk, un, chunk, last(CASE WHEN NOT continues THEN first_s END, true) OVER (
+    PARTITION BY uk, un ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS start_s
+  FROM linked)
+SELECT CASE WHEN NOT un THEN uk END AS userId,
+  timestamp_seconds(start_s) AS sessionStart,
+  timestamp_seconds(max(s) + {gap}) AS sessionEnd,
+  flatten(transform(sort_array(collect_list(struct(s, pageUrl, n))),
+                    x -> array_repeat(x.pageUrl, cast(x.n AS int)))) AS path
+FROM cells JOIN starts USING (uk, un, chunk)
+GROUP BY uk, un, start_s
+"""
 
-    # 3. Stitch across chunks, one row per (user, chunk).
-    chunks = secs.groupBy(*user, "chunk").agg(
-        F.min("s").alias("first_s"), F.max("s").alias("last_s"), F.max("ls").alias("last_ls")
-    )
-    w_user = Window.partitionBy(*user).orderBy("chunk")
-    links_prev = F.coalesce(
-        (F.lag("chunk").over(w_user) == F.col("chunk") - 1)
-        & (F.col("first_s") - F.lag("last_s").over(w_user) <= F.lit(gap_s)),
-        F.lit(False),
-    )
-    chunks = chunks.withColumn("links_prev", links_prev)
-    # Start of the session holding the chunk's last second: the last local start of
-    # the latest chunk that does not fully continue the session before it.
-    anchor = (F.col("last_ls") != F.col("first_s")) | ~F.col("links_prev")
-    chunks = chunks.withColumn(
-        "rs_last", F.last(F.when(anchor, F.col("last_ls")), ignorenulls=True).over(w_user.rowsBetween(*_RUNNING))
-    )
-    chunks = chunks.select(
-        *user,
-        "chunk",
-        "first_s",
-        F.when(F.col("links_prev"), F.lag("rs_last").over(w_user)).otherwise(F.col("first_s")).alias("first_start"),
-    )
 
-    # 4. Every second gets its session start; then one row per session.
-    sess = secs.join(chunks, on=[*user, "chunk"], how="inner").select(
-        *user,
-        "s",
-        "pageUrl",
-        "n",
-        F.when(F.col("ls") == F.col("first_s"), F.col("first_start")).otherwise(F.col("ls")).alias("start_s"),
-    )
-    # (second, page) is unique per user, so the sort is by time, then page (NULL first).
-    by_second = F.sort_array(F.collect_list(F.struct("s", "pageUrl", "n")))
-    return (
-        sess.groupBy(*user, "start_s")
-        .agg(F.max("s").alias("last_s"), by_second.alias("secs"))
-        .select(
-            F.when(~F.col("un"), F.col("uk")).alias("userId"),
-            F.timestamp_seconds("start_s").alias("sessionStart"),
-            F.timestamp_seconds(F.col("last_s") + F.lit(gap_s)).alias("sessionEnd"),
-            expand_counts("secs").alias("path"),
-        )
-    )
+def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
+    spark = events.sparkSession
+    return spark.sql(_CHUNKED_SQL, events=events.select("userId", EVENT_TIME, "pageUrl"), gap=int(gap_s))

@@ -10,10 +10,7 @@ columns a query does not use and pushes filters into the Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions.time import truncating_div
-from ..schema import EVENT_COLUMNS, EVENT_SCHEMA
+from ..schema import EVENT_COLUMNS
 from ..session import ensure_utc
 
 # Fixed values of the test mapping: time origin (2024-01-01T00:00:00Z, ms) and
@@ -51,35 +48,32 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
+def _screen(i: int) -> str:
+    whens = " ".join(f"WHEN {n} THEN {dims[i]}" for n, dims in enumerate(MAP_SCREENS))
+    return f"CASE user_id % {len(MAP_SCREENS)} {whens} END"
+
+
+# One SQL expression per event field (a single ``selectExpr``: one analysis pass).
+_MAPPING = [
+    "concat('u', cast(user_id AS string)) AS userId",
+    f"{MAP_EPOCH_MS} + (unix_millis(cast(ts AS timestamp)) - {MAP_EPOCH_MS}) div {MAP_TIME_COMPRESSION} AS timestamp",
+    "event_type AS eventType",
+    f"CASE WHEN k = {MAP_NO_PAGE_K} THEN NULL ELSE concat('{MAP_PAGE_STEM}', cast(k % {MAP_PAGES} AS string)) END"
+    " AS pageUrl",
+    "'' AS referrer",
+    f"concat('{MAP_ELEMENT_STEM}', cast(event_id % {MAP_ELEMENTS} AS string)) AS element",
+    f"CASE WHEN event_type = 'click' THEN cast(floor(value) AS int) % {MAP_X_RANGE} END AS x",
+    f"CASE WHEN event_type = 'click' THEN cast((event_id * {MAP_Y_MULTIPLIER}) % {MAP_Y_RANGE} AS int) END AS y",
+    f"{_screen(0)} AS screenWidth",
+    f"{_screen(1)} AS screenHeight",
+    "props AS meta",
+]
+
+
 def web_events_from_table(raw: DataFrame) -> DataFrame:
     """``event_id, ts, user_id, event_type, value, props`` -> the 11 event fields."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    is_click = F.col("event_type") == F.lit("click")
-    screen = F.col("user_id") % F.lit(len(MAP_SCREENS))
-
-    def by_screen(i: int) -> F.Column:
-        expr = None
-        for n, dims in enumerate(MAP_SCREENS):
-            expr = (F.when(screen == n, F.lit(dims[i])) if expr is None else expr.when(screen == n, F.lit(dims[i])))
-        return expr
-
-    out = raw.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("userId"),
-        (F.lit(MAP_EPOCH_MS) + truncating_div(ms - F.lit(MAP_EPOCH_MS), MAP_TIME_COMPRESSION)).alias("timestamp"),
-        F.col("event_type").alias("eventType"),
-        F.when(k == F.lit(MAP_NO_PAGE_K), F.lit(None))
-        .otherwise(F.concat(F.lit(MAP_PAGE_STEM), (k % F.lit(MAP_PAGES)).cast("string")))
-        .alias("pageUrl"),
-        F.lit("").alias("referrer"),
-        F.concat(F.lit(MAP_ELEMENT_STEM), (F.col("event_id") % F.lit(MAP_ELEMENTS)).cast("string")).alias("element"),
-        F.when(is_click, F.floor("value").cast("int") % F.lit(MAP_X_RANGE)).alias("x"),
-        F.when(is_click, ((F.col("event_id") * F.lit(MAP_Y_MULTIPLIER)) % F.lit(MAP_Y_RANGE)).cast("int")).alias("y"),
-        by_screen(0).alias("screenWidth"),
-        by_screen(1).alias("screenHeight"),
-        F.col("props").alias("meta"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields])
+    with_k = raw.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
+    return with_k.selectExpr(*_MAPPING)
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
