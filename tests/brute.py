@@ -1,0 +1,55 @@
+"""Plain-Python versions of the path results, for small fixtures."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+
+
+def secs_of(ms: int) -> int:
+    """Milliseconds to whole seconds, toward zero."""
+    return -((-ms) // 1000) if ms < 0 else ms // 1000
+
+
+def _page_key(p):
+    return (p is not None, p or "")
+
+
+def sessions(rows, gap_s: int):
+    """rows: (user, ms, page) -> {(user, start_s, end_s, tuple(path))}."""
+    by_user = defaultdict(list)
+    for u, ms, p in rows:
+        if ms is None:
+            continue
+        by_user[u].append((secs_of(ms), p))
+    out = set()
+    for u, lst in by_user.items():
+        lst.sort(key=lambda t: (t[0], _page_key(t[1])))
+        cur = [lst[0]]
+        for item in lst[1:]:
+            if item[0] - cur[-1][0] <= gap_s:
+                cur.append(item)
+            else:
+                out.add((u, cur[0][0], cur[-1][0] + gap_s, tuple(p for _, p in cur)))
+                cur = [item]
+        out.add((u, cur[0][0], cur[-1][0] + gap_s, tuple(p for _, p in cur)))
+    return out
+
+
+def user_paths(rows):
+    """rows: (user, ms, page) -> {user: tuple(path)} with the all-time defaults."""
+    by_user = defaultdict(list)
+    for u, ms, p in rows:
+        u = u if u not in (None, "") else "?"
+        p = p if p is not None else ""
+        if p == "":
+            continue
+        by_user[u].append((ms, p))
+    out = {}
+    for u, lst in by_user.items():
+        lst.sort(key=lambda t: (t[0] is None, t[0] if t[0] is not None else 0, t[1]))
+        path = []
+        for _, p in lst:
+            if not path or path[-1] != p:
+                path.append(p)
+        out[u] = tuple(path)
+    return out

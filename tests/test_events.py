@@ -1,0 +1,69 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import T0, ev, events_df
+from trailmark.operators import fill_event_defaults, prepare_events, with_event_time
+from trailmark.schema import EVENT_COLUMNS
+
+
+def _times(spark, millis, **kw):
+    df = events_df(spark, [ev(timestamp=m) for m in millis])
+    return [r.eventTime for r in with_event_time(df, **kw).select("eventTime").collect()]
+
+
+def test_millis_truncate_toward_zero(spark):
+    # -1500 ms -> -1 s; 1999 ms -> 1 s; exact seconds unchanged
+    got = _times(spark, [-1500, 1999, 0, T0 + 999])
+    assert got == [
+        dt.datetime(1969, 12, 31, 23, 59, 59),
+        dt.datetime(1970, 1, 1, 0, 0, 1),
+        dt.datetime(1970, 1, 1, 0, 0, 0),
+        dt.datetime(2024, 1, 1, 0, 0, 0),
+    ]
+
+
+def test_event_time_is_an_instant_in_any_session_zone(spark):
+    # R2: the DST fold in Europe/Paris would collapse two instants an hour apart
+    # through a local-time string; ours keeps them apart.
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        df = with_event_time(events_df(spark, [ev(timestamp=1729989000000), ev(timestamp=1729992600000)]))
+        secs = sorted(r.s for r in df.select(F.unix_seconds("eventTime").alias("s")).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert secs == [1729989000, 1729992600]
+
+
+def test_out_of_range_and_null_time_give_null_not_failure(spark):
+    # A bare timestamp_seconds would overflow on Long.MaxValue
+    got = _times(spark, [2**63 - 1, -(2**63), None, 253402300799999, 253402300800000])
+    assert got[:3] == [None, None, None]
+    assert got[3] == dt.datetime(9999, 12, 31, 23, 59, 59)
+    assert got[4] is None
+
+
+def test_optional_max_event_time(spark):
+    year_3000 = 32503680000000
+    micro_as_millis = 1732000000000 * 1000  # a microsecond value: year 56854
+    assert _times(spark, [T0, year_3000, micro_as_millis]) == [
+        dt.datetime(2024, 1, 1), dt.datetime(3000, 1, 1), None]
+    got = _times(spark, [T0, year_3000], max_event_time="2100-01-01 00:00:00")
+    assert got == [dt.datetime(2024, 1, 1), None]
+
+
+def test_fixed_projection(spark):
+    df = events_df(spark, [ev()]).withColumn("extra", F.lit(1))
+    out = prepare_events(df)
+    assert out.columns == EVENT_COLUMNS + ["eventTime"]
+
+
+def test_defaults_for_missing_fields(spark):
+    rows = [
+        ev(userId=None, eventType=None, pageUrl=None, element=None, x=None, y=None),
+        ev(userId="", eventType="", pageUrl="", element="", x=7, y=-3),
+        ev(userId="u", eventType="click", pageUrl="p", element="#b", x=1, y=2),
+    ]
+    got = [tuple(r) for r in fill_event_defaults(events_df(spark, rows))
+           .select("userId", "eventType", "pageUrl", "element", "x", "y").collect()]
+    assert got == [("?", "", "", "body", 0, 0), ("?", "", "", "body", 7, -3), ("u", "click", "p", "#b", 1, 2)]

@@ -1,0 +1,72 @@
+import datetime as dt
+
+from conftest import MIN, T0, ev, events_df
+from trailmark.functions import bucket
+from trailmark.operators import (
+    click_heatmap,
+    click_heatmap_total,
+    error_counts,
+    error_totals,
+    errors_by_count,
+    prepare_events,
+    top_heatmap,
+)
+
+
+def test_bucket_truncates_toward_zero(spark):
+    # R3
+    df = spark.createDataFrame([(-51,), (-49,), (-1,), (0,), (49,), (50,), (99,), (None,)], "x int")
+    got = [r.b for r in df.select(bucket("x").alias("b")).collect()]
+    assert got == [-50, 0, 0, 0, 0, 50, 50, None]
+
+
+def test_heatmap_window_edges_keys_and_nulls(spark):
+    rows = [
+        ev(timestamp=T0 + 9 * MIN + 59_000, eventType="click", x=10, y=10),  # [00:00, 00:10)
+        ev(timestamp=T0 + 10 * MIN, eventType="click", x=10, y=10),  # [00:10, 00:20)  R5
+        ev(timestamp=T0 + 10 * MIN + 1, eventType="click", x=49, y=-49),  # same cell (0, 0)
+        ev(timestamp=T0, eventType="click", pageUrl=None, element=None, x=None, y=None),  # R4: own NULL group
+        ev(timestamp=None, eventType="click", x=1, y=1),  # R6: no time -> dropped
+        ev(timestamp=T0, eventType="Click", x=1, y=1),  # case-sensitive filter
+        ev(timestamp=T0, eventType=None, x=1, y=1),
+        ev(timestamp=T0, eventType="view", x=1, y=1),
+    ]
+    heat = click_heatmap(prepare_events(events_df(spark, rows)))
+    got = sorted(
+        [(r.window.start, r.window.end, r.pageUrl, r.element, r.xBucket, r.yBucket, r["count"]) for r in heat.collect()],
+        key=str,
+    )
+    d0, d10, d20 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 10), dt.datetime(2024, 1, 1, 0, 20)
+    assert sorted([
+        (d0, d10, "p1", "#e", 0, 0, 1),
+        (d10, d20, "p1", "#e", 0, 0, 2),
+        (d0, d10, None, None, None, None, 1),
+    ], key=str) == got
+    assert heat.columns == ["window", "pageUrl", "element", "xBucket", "yBucket", "count"]
+
+
+def test_heatmap_total_and_top(spark):
+    rows = [ev(eventType="click", pageUrl=p, element=e, x=x, y=0)
+            for p, e, x, n in [("a", "#1", 10, 3), ("b", "", None, 2), ("c", None, 60, 2), ("d", "#2", -60, 1)]
+            for _ in range(n)]
+    total = click_heatmap_total(prepare_events(events_df(spark, rows)))
+    got = {(r.pageUrl, r.element, r.xBucket, r.yBucket): r["count"] for r in total.collect()}
+    assert got == {("a", "#1", 0, 0): 3, ("b", "body", 0, 0): 2, ("c", "body", 50, 0): 2, ("d", "#2", -50, 0): 1}
+    top = [(r.pageUrl, r["count"]) for r in top_heatmap(total, 3).collect()]
+    assert top == [("a", 3), ("b", 2), ("c", 2)]  # tie broken on the key
+
+
+def test_error_counts_and_totals(spark):
+    rows = [
+        ev(timestamp=T0 + 4 * MIN + 59_999, eventType="error", pageUrl="p"),
+        ev(timestamp=T0 + 5 * MIN, eventType="error", pageUrl="p"),
+        ev(timestamp=T0 + 5 * MIN, eventType="error", pageUrl=None),
+        ev(timestamp=T0 + 5 * MIN, eventType="error", pageUrl="q"),
+        ev(timestamp=T0 + 6 * MIN, eventType="error", pageUrl="q"),
+        ev(timestamp=T0, eventType="click", pageUrl="p"),
+    ]
+    events = prepare_events(events_df(spark, rows))
+    win = sorted((r.window.start.minute, r.pageUrl or "", r["count"]) for r in error_counts(events).collect())
+    assert win == [(0, "p", 1), (5, "", 1), (5, "p", 1), (5, "q", 2)]
+    tot = [(r.pageUrl, r["count"]) for r in errors_by_count(error_totals(events)).collect()]
+    assert tot == [("p", 2), ("q", 2), ("", 1)]
