@@ -3,7 +3,14 @@
 from .dispatch import SOURCES, read_events
 from .files import read_events_files, write_events_json
 from .generate import generate_events
-from .kafka import decode_events, encode_events, read_events_kafka, read_events_kafka_raw, write_events_kafka
+from .kafka import (
+    decode_events,
+    encode_events,
+    read_events_kafka,
+    read_events_kafka_raw,
+    start_events_kafka_sink,
+    write_events_kafka,
+)
 from .tables import web_events, web_events_from_table
 
 __all__ = [
@@ -15,6 +22,7 @@ __all__ = [
     "read_events_files",
     "read_events_kafka",
     "read_events_kafka_raw",
+    "start_events_kafka_sink",
     "web_events",
     "web_events_from_table",
     "write_events_json",

@@ -68,6 +68,27 @@ def encode_events(events: DataFrame, key_col: str | None = "userId") -> DataFram
     return events.select(key.alias("key"), value.alias("value"))
 
 
+def start_events_kafka_sink(
+    events: DataFrame,
+    brokers: str,
+    topic: str,
+    checkpoint: str,
+    key_col: str | None = "userId",
+    trigger: dict | None = None,
+):
+    """K8 (streaming): publish a stream of events to ``topic``."""
+    w = (
+        encode_events(events, key_col)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", brokers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def write_events_kafka(events: DataFrame, brokers: str, topic: str, key_col: str | None = "userId") -> None:
     """K8 (batch): publish events to ``topic``."""
     (

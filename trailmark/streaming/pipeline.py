@@ -20,9 +20,20 @@ from ..schema import DEFAULT_SESSION_GAP_MINUTES
 from ..sources.dispatch import read_events
 from .sinks import start_sink
 
-# Default sink and output mode of each query, as in the reference job.
+# Default sink of each query and its output mode per sink, as in the
+# reference job (Parquet takes append only; the console heatmap shows updates).
 DEFAULT_SINKS = {"heatmap": "parquet", "paths": "parquet", "errors": "console"}
-OUTPUT_MODES = {"heatmap": "append", "paths": "append", "errors": "update"}
+OUTPUT_MODES = {
+    ("heatmap", "parquet"): "append",
+    ("heatmap", "console"): "update",
+    ("heatmap", "parquet_updates"): "update",
+    ("paths", "parquet"): "append",
+    ("paths", "console"): "append",
+    ("paths", "parquet_updates"): "append",  # session windows take append only
+    ("errors", "console"): "update",
+    ("errors", "parquet_updates"): "update",
+    ("errors", "parquet"): "append",
+}
 
 
 def build_queries(events: DataFrame, session_timeout_minutes: int = DEFAULT_SESSION_GAP_MINUTES) -> dict[str, DataFrame]:
@@ -64,7 +75,7 @@ def run_pipeline(
             started[name] = start_sink(
                 df,
                 chosen[name],
-                OUTPUT_MODES[name],
+                OUTPUT_MODES[(name, chosen[name])],
                 f"{output_path}/{name}",
                 f"{checkpoint_path}/{name}",
                 trigger,
