@@ -1,4 +1,4 @@
-"""Array helpers for page paths (all JVM-side higher-order functions)."""
+"""Array helpers for page paths (JVM-side higher-order functions)."""
 
 from __future__ import annotations
 
@@ -12,28 +12,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def drop_consecutive_duplicates(arr: str) -> Column:
-    """Keep an element only if it differs from the one before it (NULL-safe).
-
-    Takes a column *name*: the lambda looks up the previous element by index, and
-    with a column reference that is O(1).  Passing an expression here would
-    re-evaluate it for every element, so callers materialise the array first.
-    """
-    if not isinstance(arr, str):
-        raise TypeError("drop_consecutive_duplicates takes a column name; select the array first")
-    return F.filter(F.col(arr), lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(F.col(arr), i - 1)))
-
-
 def field_of(arr: str | Column, name: str) -> Column:
     """Project one field out of an array of structs: ``transform(a, s -> s.name)``."""
     return F.transform(_col(arr), lambda s: s[name])
 
 
-def expand_counts(arr: str | Column, value: str = "pageUrl", count: str = "n") -> Column:
-    """``[(a,2),(b,1)] -> [a,a,b]``: undo a (value, count) pre-aggregation."""
-    return F.flatten(F.transform(_col(arr), lambda s: F.array_repeat(s[value], s[count].cast("int"))))
-
-
 def render_path(arr: str | Column, sep: str = PATH_SEPARATOR, null_text: str | None = None) -> Column:
     """``a -> b -> c``; NULL elements are skipped unless ``null_text`` is given."""
     if null_text is None:

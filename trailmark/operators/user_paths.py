@@ -24,37 +24,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import drop_consecutive_duplicates, field_of, render_path
-from ..schema import MISSING_PAGE, PREVIEW_USERS
-from .events import fill_event_defaults
+from ..functions.arrays import render_path
+from ..schema import PREVIEW_USERS
 
 DEFAULT_CHUNK_MS = 60_000
 
 
+# Step 1: distinct (timestamp, page) pairs per (user, chunk), after the defaults
+# (user '?', page '') and without empty pages.
+_FRAGMENTS_SQL = """
+SELECT userId, floor(timestamp / {chunk_ms}) AS chunk, collect_set(struct(timestamp, pageUrl)) AS cells
+FROM (SELECT coalesce(nullif(userId, ''), '?') AS userId, timestamp, pageUrl FROM {events}
+      WHERE coalesce(pageUrl, '') <> '')
+GROUP BY 1, 2
+"""
+
+# Step 2: inside a fragment timestamps are all NULL or all set (chunk is NULL iff
+# the timestamp is), so a plain struct sort gives (timestamp, page) order; events
+# without time go last.  Repeats are collapsed in each fragment, then once more
+# across fragment borders.  `get` returns NULL for index -1.
+_ASSEMBLE_SQL = """
+WITH sorted AS (
+  SELECT userId, chunk, transform(sort_array(cells), c -> c.pageUrl) AS pages FROM {fragments}),
+frags AS (
+  SELECT userId,
+    struct(chunk IS NULL AS no_time, chunk,
+           filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS pages) AS frag
+  FROM sorted),
+joined AS (
+  SELECT userId, flatten(transform(sort_array(collect_list(frag)), f -> f.pages)) AS pages
+  FROM frags GROUP BY userId)
+SELECT userId, filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS path FROM joined
+"""
+
+
 def user_path_fragments(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
     """Step 1: ``userId, chunk, cells array<struct<timestamp,pageUrl>>`` (unsorted set)."""
-    ev = fill_event_defaults(events).filter(F.col("pageUrl") != F.lit(MISSING_PAGE))  # P9
-    chunk = F.floor(F.col("timestamp") / F.lit(chunk_ms)).alias("chunk")
-    return ev.groupBy("userId", chunk).agg(F.collect_set(F.struct("timestamp", "pageUrl")).alias("cells"))
+    cols = events.select("userId", "timestamp", "pageUrl")
+    return events.sparkSession.sql(_FRAGMENTS_SQL, events=cols, chunk_ms=int(chunk_ms))
 
 
 def assemble_user_paths(fragments: DataFrame) -> DataFrame:
     """Step 2: ``userId, path array<string>`` from the fragments of step 1."""
-    # Inside a fragment timestamps are all NULL or all set (chunk is NULL iff the
-    # timestamp is), so a plain struct sort gives (timestamp, page) order.
-    sorted_pages = fragments.select("userId", "chunk", field_of(F.sort_array("cells"), "pageUrl").alias("pages"))
-    frag = F.struct(
-        F.col("chunk").isNull().alias("no_time"),  # events without time go last
-        F.col("chunk"),
-        drop_consecutive_duplicates("pages").alias("pages"),
-    )
-    return (
-        sorted_pages.select("userId", frag.alias("frag"))
-        .groupBy("userId")
-        .agg(F.sort_array(F.collect_list("frag")).alias("frags"))
-        .select("userId", F.flatten(field_of("frags", "pages")).alias("pages"))
-        .select("userId", drop_consecutive_duplicates("pages").alias("path"))
-    )
+    return fragments.sparkSession.sql(_ASSEMBLE_SQL, fragments=fragments)
 
 
 def user_paths(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
