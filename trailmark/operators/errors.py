@@ -15,8 +15,12 @@ def error_counts(events: DataFrame, window: str = ERROR_WINDOW) -> DataFrame:
 
 
 def error_totals(events: DataFrame) -> DataFrame:
-    """A5: all-time errors per page, after the missing-field defaults."""
-    return only_errors(fill_event_defaults(events)).groupBy("pageUrl").count()
+    """A5: all-time errors per page, after the missing-field defaults.
+
+    Filtered before the defaults (the default type '' is never 'error'), so the
+    filter is pushed into the scan.
+    """
+    return fill_event_defaults(only_errors(events)).groupBy("pageUrl").count()
 
 
 def errors_by_count(totals: DataFrame) -> DataFrame:
