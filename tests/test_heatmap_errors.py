@@ -70,3 +70,19 @@ def test_error_counts_and_totals(spark):
     assert win == [(0, "p", 1), (5, "", 1), (5, "p", 1), (5, "q", 2)]
     tot = [(r.pageUrl, r["count"]) for r in errors_by_count(error_totals(events)).collect()]
     assert tot == [("p", 2), ("q", 2), ("", 1)]
+
+
+def test_heatmap_counts_sum_to_clicks_with_time(spark):
+    # SURVEY §5.8: every click with an event time is counted exactly once
+    import random
+
+    rnd = random.Random(8)
+    rows = [ev(timestamp=None if rnd.random() < 0.05 else T0 + rnd.randint(-10**7, 10**8),
+               eventType=rnd.choice(["click", "view", "error", "Click"]), pageUrl=rnd.choice(["a", None]),
+               element=rnd.choice(["#x", None]), x=rnd.choice([None, rnd.randint(-500, 500)]),
+               y=rnd.randint(-500, 500)) for _ in range(2000)]
+    heat = click_heatmap(prepare_events(events_df(spark, rows)))
+    expected = sum(1 for r in rows if r[2] == "click" and r[1] is not None)
+    assert heat.groupBy().sum("count").first()[0] == expected
+    total = click_heatmap_total(prepare_events(events_df(spark, rows)))
+    assert total.groupBy().sum("count").first()[0] == sum(1 for r in rows if r[2] == "click")

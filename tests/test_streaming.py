@@ -154,3 +154,31 @@ def test_pipeline_runs_three_queries(spark, tmp_dir):
     assert spark.read.schema(HEATMAP_SINK_SCHEMA).parquet(f"{tmp_dir}/out/heatmap").count() == 1
     assert spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/out/paths").count() == 1
     assert spark.read.schema(ERRORS_SINK_SCHEMA).parquet(f"{tmp_dir}/out/errors").count() == 2
+
+
+def test_stream_equals_batch_when_delay_covers_the_data(spark, tmp_dir):
+    # SURVEY §5.5: with one far-future click every earlier window closes
+    import random
+
+    rnd = random.Random(5)
+    rows = [_minute(rnd.uniform(0, 300), eventType=rnd.choice(["click", "view", "error"]),
+                    pageUrl=rnd.choice(["a", "b", None]), x=rnd.randint(-99, 400), y=rnd.randint(0, 300))
+            for _ in range(300)]
+    future = _minute(24 * 60, eventType="click", x=0, y=0)
+    _write_files(spark, f"{tmp_dir}/in", [rows + [future]])
+    heat = click_heatmap(with_event_watermark(_stream(spark, f"{tmp_dir}/in"), 30))
+    _run(start_parquet_sink(heat, f"{tmp_dir}/out", f"{tmp_dir}/chk", trigger=NOW))
+    streamed = sorted(map(tuple, spark.read.schema(HEATMAP_SINK_SCHEMA).parquet(f"{tmp_dir}/out").collect()), key=str)
+    batch = sorted(map(tuple, click_heatmap(prepare_events(events_df(spark, rows))).collect()), key=str)
+    assert streamed == batch
+
+
+def test_console_variant_runs(spark, tmp_dir):
+    rows = [_minute(1, eventType="click", x=5, y=5), _minute(2, eventType="error"), _minute(90, eventType="view")]
+    _write_files(spark, f"{tmp_dir}/in", [rows])
+    qs = run_pipeline(spark, "files", f"{tmp_dir}/out", f"{tmp_dir}/chk", session_timeout_minutes=2, trigger=NOW,
+                      sinks={"heatmap": "console", "paths": "console", "errors": "console"},
+                      input_path=f"{tmp_dir}/in")
+    for q in qs.values():
+        _run(q)
+    assert not os.path.exists(f"{tmp_dir}/out/heatmap")

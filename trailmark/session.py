@@ -60,12 +60,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
     # Unset (tests, single machine): set our own, once per session.
     local = tempfile.mkdtemp(prefix="trailmark-chk-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")
 

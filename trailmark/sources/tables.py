@@ -38,10 +38,12 @@ def spread_narrow_scan(df: DataFrame) -> DataFrame:
     unchanged (no shuffle).  ``repartition(n)`` sorts rows locally before
     distributing them, so a retried task gets the same rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
