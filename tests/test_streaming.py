@@ -182,3 +182,15 @@ def test_console_variant_runs(spark, tmp_dir):
     for q in qs.values():
         _run(q)
     assert not os.path.exists(f"{tmp_dir}/out/heatmap")
+
+
+def test_command_line_job_finite_run(spark, tmp_dir):
+    from trailmark.cli import main
+
+    rows = [_minute(1, eventType="click", x=5, y=5), _minute(2, eventType="error"), _minute(90, eventType="click", x=5, y=5)]
+    _write_files(spark, f"{tmp_dir}/in", [rows])
+    main([f"--inputPath={tmp_dir}/in", f"--outputPath={tmp_dir}/out", f"--checkpointPath={tmp_dir}/chk",
+          "--sessionTimeoutMinutes=2", "--trigger=availableNow", "--maxFilesPerTrigger=1", "ignored"])
+    assert spark.read.schema(HEATMAP_SINK_SCHEMA).parquet(f"{tmp_dir}/out/heatmap").count() == 1
+    assert spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/out/paths").count() == 1
+    assert sorted(os.listdir(f"{tmp_dir}/chk")) == ["errors", "heatmap", "paths"]

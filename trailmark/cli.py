@@ -19,6 +19,18 @@ DEFAULT_OPTIONS = {
     "kafkaTopic": "webevents",
     "kafkaStartingOffsets": "earliest",
 }
+# The reference reads exactly one new file per trigger; here it is an option
+# (unset = every new file in the next trigger), e.g. --maxFilesPerTrigger=1.
+# --trigger=availableNow processes what is there and stops; --trigger="5 seconds"
+# sets a processing-time trigger; unset = Spark's default (as the reference).
+
+
+def trigger_of(value: str | None) -> dict | None:
+    if not value:
+        return None
+    if value == "availableNow":
+        return {"availableNow": True}
+    return {"processingTime": value}
 
 
 def parse_args(argv: list[str]) -> dict[str, str]:
@@ -44,7 +56,7 @@ def options(argv: list[str]) -> dict[str, str]:
 def main(argv: list[str] | None = None) -> None:
     from pyspark.sql import SparkSession
 
-    from .streaming.pipeline import await_any, run_pipeline
+    from .streaming.pipeline import await_all, await_any, run_pipeline
 
     opts = options(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("trailmark").getOrCreate()
@@ -58,8 +70,13 @@ def main(argv: list[str] | None = None) -> None:
         brokers=opts["kafkaBrokers"],
         topic=opts["kafkaTopic"],
         starting_offsets=opts["kafkaStartingOffsets"],
+        max_files_per_trigger=int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None,
+        trigger=trigger_of(opts.get("trigger")),
     )
-    await_any(spark, queries)
+    if opts.get("trigger") == "availableNow":
+        await_all(queries)
+    else:
+        await_any(spark, queries)
 
 
 if __name__ == "__main__":

@@ -1,10 +1,11 @@
 """Structured Streaming: sinks, snapshots and the three-query job."""
 
-from .pipeline import await_any, build_queries, run_pipeline
+from .pipeline import await_all, await_any, build_queries, run_pipeline
 from .sinks import start_console_sink, start_parquet_sink, start_sink, start_update_parquet_sink
 from .snapshots import read_latest_snapshot, start_heatmap_snapshots, start_path_snapshots
 
 __all__ = [
+    "await_all",
     "await_any",
     "build_queries",
     "read_latest_snapshot",

@@ -90,8 +90,21 @@ def run_pipeline(
 
 def await_any(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
     """Block until one query ends, then stop all (the reference's shutdown rule)."""
+    spark.streams.resetTerminated()  # forget queries that ended before this job
     try:
         spark.streams.awaitAnyTermination()
     finally:
         for q in queries.values():
             q.stop()
+
+
+def await_all(queries: dict[str, StreamingQuery]) -> None:
+    """Finite runs (``availableNow``): wait for every query; raise the first failure."""
+    failed = None
+    for q in queries.values():
+        try:
+            q.awaitTermination()
+        except Exception as exc:  # keep waiting for the others, report afterwards
+            failed = failed or exc
+    if failed is not None:
+        raise failed
