@@ -30,7 +30,7 @@ def test_json_lines_round_trip(spark, tmp_dir):
     for f in glob.glob(f"{path}/*.json"):
         for line in open(f, encoding="utf-8"):
             json.loads(line)  # valid JSON, unlike the reference's sample writer
-    back = read_events_files(spark, path)
+    back = read_events_files(spark, path, streaming=False)
     assert back.columns == EVENT_COLUMNS
     assert sorted(map(tuple, back.collect()), key=str) == sorted(ROWS, key=str)
 
@@ -51,7 +51,7 @@ def test_malformed_and_odd_lines(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in")
     with open(f"{tmp_dir}/in/a.json", "w") as fh:
         fh.write("\n".join(lines) + "\n")
-    rows = read_events_files(spark, f"{tmp_dir}/in").collect()
+    rows = read_events_files(spark, f"{tmp_dir}/in", streaming=False).collect()
     by_user = {r.userId: r for r in rows}
     assert sum(1 for r in rows if all(v is None for v in r)) == 2  # defect line, "not json"; blank skipped
     assert by_user["u"].timestamp is None and by_user["u"].eventType is None
@@ -61,7 +61,7 @@ def test_malformed_and_odd_lines(spark, tmp_dir):
     assert json.loads(by_user["e"].meta) == {"a": 1} and by_user["e"].timestamp == 2
     assert by_user["f"].timestamp == 3 and by_user["g"].timestamp == 4  # array line: one row each
     # Malformed rows have no event time and vanish from every aggregate
-    events = prepare_events(read_events_files(spark, f"{tmp_dir}/in"))
+    events = prepare_events(read_events_files(spark, f"{tmp_dir}/in", streaming=False))
     assert session_paths(events, 30).filter(F.col("userId").isNull()).count() == 0
 
 

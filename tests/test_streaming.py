@@ -194,3 +194,8 @@ def test_command_line_job_finite_run(spark, tmp_dir):
     assert spark.read.schema(HEATMAP_SINK_SCHEMA).parquet(f"{tmp_dir}/out/heatmap").count() == 1
     assert spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/out/paths").count() == 1
     assert sorted(os.listdir(f"{tmp_dir}/chk")) == ["errors", "heatmap", "paths"]
+
+
+def test_latest_snapshot_of_nothing_is_empty(spark, tmp_dir):
+    df = read_latest_snapshot(spark, f"{tmp_dir}/none", PATH_SNAPSHOT_SCHEMA)
+    assert df.count() == 0 and df.columns == ["userId", "path"]

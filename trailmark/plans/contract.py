@@ -118,7 +118,7 @@ def q_jsonl_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 write then S1 (batch) read of the whole mapped table."""
     path = scratch_dir(spark, "jsonl")
     write_events_json(web_events(spark, sf_dir), path)
-    return read_events_files(spark, path)
+    return read_events_files(spark, path, streaming=False)
 
 
 def q_kafka_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ reference labels them "last 5s" but accumulates from the start).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,8 +59,16 @@ def start_heatmap_snapshots(events: DataFrame, out: str, checkpoint: str, trigge
 
 
 def read_latest_snapshot(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """The newest snapshot under ``out`` (empty result if none was written)."""
-    full = T.StructType(schema.fields + [T.StructField("snapshot_id", T.LongType())])
-    snaps = spark.read.schema(full).json(out)
-    latest = snaps.agg(F.max("snapshot_id")).first()[0]
-    return snaps.filter(F.col("snapshot_id") == F.lit(latest)).drop("snapshot_id")
+    """The newest snapshot under ``out`` (empty result if none was written).
+
+    The newest id comes from the file listing (``inputFiles``, metadata only), so
+    older snapshots are never read.
+    """
+    try:
+        files = spark.read.schema(schema).json(out).inputFiles()
+    except AnalysisException:  # nothing written yet
+        files = []
+    ids = [int(m.group(1)) for f in files if (m := re.search(r"/snapshot_id=(\d+)/", f))]
+    if not ids:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{out}/snapshot_id={max(ids)}")
