@@ -67,3 +67,27 @@ def test_defaults_for_missing_fields(spark):
     got = [tuple(r) for r in fill_event_defaults(events_df(spark, rows))
            .select("userId", "eventType", "pageUrl", "element", "x", "y").collect()]
     assert got == [("?", "", "", "body", 0, 0), ("?", "", "", "body", 7, -3), ("u", "click", "p", "#b", 1, 2)]
+
+
+def test_bulk_random_against_python(spark):
+    import random
+
+    from trailmark.functions import bucket, event_time
+
+    rnd = random.Random(3)
+    ints = [rnd.randint(-2**31, 2**31 - 1) for _ in range(3000)] + [rnd.randint(-200, 200) for _ in range(3000)]
+    ints += [-(2**31), 2**31 - 1, 0, -50, 50, -49, 49]
+    millis = [rnd.randint(-10**14, 10**14) for _ in range(3000)] + [-1, -999, -1000, -1001, 999, 1000, 1001]
+    df = spark.createDataFrame([(i, m) for i, m in zip(ints, millis * 3)], "x int, ms long")
+    got = df.select("x", "ms", bucket("x").alias("b"), F.unix_seconds(event_time("ms")).alias("s")).collect()
+
+    def trunc_div(a, b):
+        q = abs(a) // b
+        return q if a >= 0 else -q
+
+    from trailmark.functions.time import MAX_EVENT_MILLIS, MIN_EVENT_MILLIS
+
+    for r in got:
+        assert r.b == trunc_div(r.x, 50) * 50, r
+        in_range = MIN_EVENT_MILLIS <= r.ms <= MAX_EVENT_MILLIS
+        assert r.s == (trunc_div(r.ms, 1000) if in_range else None), r

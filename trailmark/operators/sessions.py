@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import field_of
 from ..schema import DEFAULT_SESSION_GAP_MINUTES, EVENT_TIME
 
+
 def _gap_seconds(gap_minutes: float) -> int:
     if gap_minutes is None or gap_minutes <= 0:
         # The reference silently produces no session at all for a gap <= 0.
