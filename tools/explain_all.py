@@ -62,8 +62,9 @@ def main() -> None:
            "lists only the columns a query needs; aggregates are partial + final around one hash exchange;",
            "the session plan's second scan reads only `ts, user_id` (session boundaries need no page);",
            "`RoundRobinPartitioning(8)` is the narrow-scan spread of the single-row-group test table",
-           "(absent when the input has more splits than cores); the broadcast in the session plan is",
-           "Spark's own size-checked choice (auto-broadcast threshold) for the per-(user, chunk) summary.", ""]
+           "(absent when the input has more splits than cores); the session plan joins its per-(user, chunk)",
+           "summary with a shuffled hash join (it grows with the data, so it is never broadcast) and",
+           "re-partitions by (user, session start) before building paths, so no task holds a whole user.", ""]
     for name, q in entry.queries().items():
         if name.startswith(STREAMING):
             continue

@@ -84,8 +84,13 @@ def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
 # 3. starts: session start of a chunk = first second of the latest chunk (up to
 #    this one) that does not continue its predecessor.  Rows per user in this
 #    window are bounded by the user's time span / gap, not by its event count.
-# 4. every (second, page) row gets its session start; one row per session, with
-#    the path in (second, page NULL first) order and counts expanded again.
+# 4. every (second, page) row gets its session start through a shuffled hash join
+#    on (user, chunk): `starts` grows with the data, so it is never broadcast, and
+#    a broadcast would also let the join inherit the per-user partitioning of the
+#    window and skip the exchange below, putting a hot user's sessions in one task.
+#    Then one row per session (exchange on user and session start), with
+#    the path in (second, page NULL first) order and counts expanded again (only
+#    sessions that had duplicates pay for the expansion).
 _CHUNKED_SQL = """
 WITH ev AS (
   SELECT coalesce(userId, '') AS uk, userId IS NULL AS un, unix_seconds(eventTime) AS s, pageUrl
@@ -105,11 +110,14 @@ starts AS (
   FROM linked)
 SELECT CASE WHEN NOT un THEN uk END AS userId,
   timestamp_seconds(start_s) AS sessionStart,
-  timestamp_seconds(max(s) + {gap}) AS sessionEnd,
-  flatten(transform(sort_array(collect_list(struct(s, pageUrl, n))),
-                    x -> array_repeat(x.pageUrl, cast(x.n AS int)))) AS path
-FROM cells JOIN starts USING (uk, un, chunk)
-GROUP BY uk, un, start_s
+  timestamp_seconds(last_s + {gap}) AS sessionEnd,
+  CASE WHEN max_n = 1 THEN transform(cells, x -> x.pageUrl)
+       ELSE flatten(transform(cells, x -> array_repeat(x.pageUrl, cast(x.n AS int)))) END AS path
+FROM (
+  SELECT /*+ SHUFFLE_HASH(starts) */ uk, un, start_s, max(s) AS last_s, max(n) AS max_n,
+    sort_array(collect_list(struct(s, pageUrl, n))) AS cells
+  FROM cells JOIN starts USING (uk, un, chunk)
+  GROUP BY uk, un, start_s)
 """
 
 
