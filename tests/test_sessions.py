@@ -62,7 +62,7 @@ def test_session_spanning_many_chunks(spark):
 
 def test_gap_must_be_positive(spark):
     events = prepare_events(events_df(spark, [ev()]))
-    for bad in (0, -5):
+    for bad in (0, -5, 0.001):
         with pytest.raises(ValueError):
             session_paths(events, bad)
     with pytest.raises(ValueError):

@@ -32,7 +32,10 @@ def _gap_seconds(gap_minutes: float) -> int:
     if gap_minutes is None or gap_minutes <= 0:
         # The reference silently produces no session at all for a gap <= 0.
         raise ValueError(f"session gap must be positive, got {gap_minutes!r} minutes")
-    return int(round(gap_minutes * 60))
+    gap_s = int(round(gap_minutes * 60))
+    if gap_s < 1:  # event times are whole seconds
+        raise ValueError(f"session gap must be at least one second, got {gap_minutes!r} minutes")
+    return gap_s
 
 
 def _gap_text(gap_minutes: float) -> str:
