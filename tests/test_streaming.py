@@ -199,3 +199,18 @@ def test_command_line_job_finite_run(spark, tmp_dir):
 def test_latest_snapshot_of_nothing_is_empty(spark, tmp_dir):
     df = read_latest_snapshot(spark, f"{tmp_dir}/none", PATH_SNAPSHOT_SCHEMA)
     assert df.count() == 0 and df.columns == ["userId", "path"]
+
+
+def test_bounded_state_path_fragments_equal_batch_paths(spark, tmp_dir):
+    from trailmark.streaming import read_fragment_paths, start_path_fragments
+
+    b1 = [_minute(1, pageUrl="a"), _minute(1.5, pageUrl="a"), _minute(2, pageUrl="b"),
+          _minute(2, userId=None, pageUrl="x"), _minute(3, pageUrl="")]
+    b2 = [_minute(4, pageUrl="b"), _minute(5, pageUrl="a"), _minute(5.1, userId="u2", pageUrl="z")]
+    far = [_minute(600, userId="closer", pageUrl="q")]  # moves the watermark past everything above
+    _write_files(spark, f"{tmp_dir}/in", [b1, b2, far])
+    _run(start_path_fragments(_stream(spark, f"{tmp_dir}/in", max_files=1), f"{tmp_dir}/frag", f"{tmp_dir}/chk",
+                              session_timeout_minutes=2, trigger=NOW))
+    got = {r.userId: list(r.path) for r in read_fragment_paths(spark, f"{tmp_dir}/frag").collect()}
+    batch = {r.userId: list(r.path) for r in user_paths(prepare_events(events_df(spark, b1 + b2))).collect()}
+    assert got == batch == {"u1": ["a", "b", "a"], "?": ["x"], "u2": ["z"]}

@@ -34,8 +34,10 @@ from ..streaming.sinks import start_parquet_sink, start_update_parquet_sink
 from ..streaming.snapshots import (
     HEATMAP_SNAPSHOT_SCHEMA,
     PATH_SNAPSHOT_SCHEMA,
+    read_fragment_paths,
     read_latest_snapshot,
     start_heatmap_snapshots,
+    start_path_fragments,
     start_path_snapshots,
 )
 
@@ -210,6 +212,13 @@ def q_snapshot_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{base}/out", HEATMAP_SNAPSHOT_SCHEMA)
 
 
+def q_stream_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 with bounded state: minute fragments closed by the watermark, then paths."""
+    events, base = _stream_input(spark, sf_dir)
+    _run(start_path_fragments(events, f"{base}/out", f"{base}/chk", STREAM_TIMEOUT_MINUTES, trigger=AVAILABLE_NOW))
+    return read_fragment_paths(spark, f"{base}/out").select("userId", path_text().alias("path_text"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "event_time": q_event_time,
@@ -229,6 +238,7 @@ def queries() -> dict[str, QueryFn]:
         "stream_errors_update": q_stream_errors_update,
         "snapshot_paths": q_snapshot_paths,
         "snapshot_heatmap": q_snapshot_heatmap,
+        "stream_user_paths": q_stream_user_paths,
     }
 
 

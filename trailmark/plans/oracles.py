@@ -117,4 +117,13 @@ def oracles() -> dict[str, str]:
         "stream_errors_update": _errors_5m(),
         "snapshot_paths": WEB + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
         "snapshot_heatmap": WEB + _HEATMAP_TOTAL,
+        # Bounded-state paths: only minutes closed by the watermark, which moves with
+        # the rows that keep a page (the page filter sits below the watermark).
+        "stream_user_paths": WEB + """,
+o AS (SELECT *, lag(pageUrl) OVER (PARTITION BY userId ORDER BY "timestamp", pageUrl) AS pv
+      FROM fx WHERE pageUrl <> '' AND time_bucket(INTERVAL 1 MINUTE, eventTime, TIMESTAMP '1970-01-01')
+        + INTERVAL 1 MINUTE <= (SELECT max(eventTime) FROM fx WHERE pageUrl <> '') - INTERVAL 30 MINUTE),
+p AS (SELECT userId, list(pageUrl ORDER BY "timestamp", pageUrl) AS path
+      FROM o WHERE pv IS NULL OR pv <> pageUrl GROUP BY userId)
+""" + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
     }

@@ -2,17 +2,25 @@
 
 from .pipeline import await_all, await_any, build_queries, run_pipeline
 from .sinks import start_console_sink, start_parquet_sink, start_sink, start_update_parquet_sink
-from .snapshots import read_latest_snapshot, start_heatmap_snapshots, start_path_snapshots
+from .snapshots import (
+    read_fragment_paths,
+    read_latest_snapshot,
+    start_heatmap_snapshots,
+    start_path_fragments,
+    start_path_snapshots,
+)
 
 __all__ = [
     "await_all",
     "await_any",
     "build_queries",
+    "read_fragment_paths",
     "read_latest_snapshot",
     "run_pipeline",
     "start_console_sink",
     "start_heatmap_snapshots",
     "start_parquet_sink",
+    "start_path_fragments",
     "start_path_snapshots",
     "start_sink",
     "start_update_parquet_sink",
