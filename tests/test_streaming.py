@@ -214,3 +214,28 @@ def test_bounded_state_path_fragments_equal_batch_paths(spark, tmp_dir):
     got = {r.userId: list(r.path) for r in read_fragment_paths(spark, f"{tmp_dir}/frag").collect()}
     batch = {r.userId: list(r.path) for r in user_paths(prepare_events(events_df(spark, b1 + b2))).collect()}
     assert got == batch == {"u1": ["a", "b", "a"], "?": ["x"], "u2": ["z"]}
+
+
+def test_spread_state_sessions_equal_batch_sessions(spark, tmp_dir):
+    import random
+
+    from trailmark.streaming.sessions import query_watermark, read_stream_sessions, start_session_cells
+
+    rnd = random.Random(21)
+    rows, t = [], 0.0
+    for _ in range(400):
+        t += rnd.choice([0, 0.01, 0.5, 1.5, 2.0, 3.0])  # minutes: exact-gap and longer pauses included
+        rows.append(_minute(t, userId=rnd.choice(["hot", "hot", "u1", None]), pageUrl=rnd.choice(["a", "b", None])))
+    batches = [rows[:150], rows[150:300], rows[300:]]
+    _write_files(spark, f"{tmp_dir}/in", batches)
+    q = start_session_cells(_stream(spark, f"{tmp_dir}/in", max_files=1), f"{tmp_dir}/cells", f"{tmp_dir}/chk",
+                            gap_minutes=2, trigger=NOW)
+    _run(q)
+    until = query_watermark(q)
+    got = sorted(((r.userId, r.sessionStart, r.sessionEnd, tuple(r.path))
+                 for r in read_stream_sessions(spark, f"{tmp_dir}/cells", until, 2).collect()), key=str)
+    limit = dt.datetime.fromisoformat(until.replace("Z", ""))
+    batch = sorted(((r.userId, r.sessionStart, r.sessionEnd, tuple(r.path))
+                   for r in session_paths(prepare_events(events_df(spark, rows)), 2).collect()
+                   if r.sessionEnd <= limit), key=str)
+    assert got == batch and len(got) > 5

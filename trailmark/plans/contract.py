@@ -30,6 +30,7 @@ from ..session import scratch_dir
 from ..sources.files import read_events_files, write_events_json
 from ..sources.kafka import decode_events, encode_events
 from ..sources.tables import web_events
+from ..streaming.sessions import query_watermark, read_stream_sessions, start_session_cells
 from ..streaming.sinks import start_parquet_sink, start_update_parquet_sink
 from ..streaming.snapshots import (
     HEATMAP_SNAPSHOT_SCHEMA,
@@ -212,6 +213,15 @@ def q_snapshot_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_snapshot(spark, f"{base}/out", HEATMAP_SNAPSHOT_SCHEMA)
 
 
+def q_stream_session_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 in streaming with spread state: (user, second, page) counts, then stitched."""
+    events, base = _stream_input(spark, sf_dir)
+    query = start_session_cells(events, f"{base}/out", f"{base}/chk", STREAM_TIMEOUT_MINUTES, trigger=AVAILABLE_NOW)
+    _run(query)
+    sessions = read_stream_sessions(spark, f"{base}/out", query_watermark(query), STREAM_TIMEOUT_MINUTES)
+    return _session_shape(sessions)
+
+
 def q_stream_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 with bounded state: minute fragments closed by the watermark, then paths."""
     events, base = _stream_input(spark, sf_dir)
@@ -239,6 +249,7 @@ def queries() -> dict[str, QueryFn]:
         "snapshot_paths": q_snapshot_paths,
         "snapshot_heatmap": q_snapshot_heatmap,
         "stream_user_paths": q_stream_user_paths,
+        "stream_session_cells": q_stream_session_cells,
     }
 
 

@@ -1,6 +1,7 @@
 """Structured Streaming: sinks, snapshots and the three-query job."""
 
 from .pipeline import await_all, await_any, build_queries, run_pipeline
+from .sessions import query_watermark, read_stream_sessions, start_session_cells
 from .sinks import start_console_sink, start_parquet_sink, start_sink, start_update_parquet_sink
 from .snapshots import (
     read_fragment_paths,
@@ -14,14 +15,17 @@ __all__ = [
     "await_all",
     "await_any",
     "build_queries",
+    "query_watermark",
     "read_fragment_paths",
     "read_latest_snapshot",
+    "read_stream_sessions",
     "run_pipeline",
     "start_console_sink",
     "start_heatmap_snapshots",
     "start_parquet_sink",
     "start_path_fragments",
     "start_path_snapshots",
+    "start_session_cells",
     "start_sink",
     "start_update_parquet_sink",
 ]
