@@ -23,6 +23,8 @@ DEFAULT_OPTIONS = {
 # (unset = every new file in the next trigger), e.g. --maxFilesPerTrigger=1.
 # --trigger=availableNow processes what is there and stops; --trigger="5 seconds"
 # sets a processing-time trigger; unset = Spark's default (as the reference).
+# --sessionState=spread keeps session-path state per (user, second, page) instead
+# of per user (see trailmark.streaming.sessions).
 
 
 def trigger_of(value: str | None) -> dict | None:
@@ -72,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         starting_offsets=opts["kafkaStartingOffsets"],
         max_files_per_trigger=int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None,
         trigger=trigger_of(opts.get("trigger")),
+        session_state=opts.get("sessionState", "per_user"),
     )
     if opts.get("trigger") == "availableNow":
         await_all(queries)

@@ -18,6 +18,7 @@ from ..operators.heatmap import click_heatmap
 from ..operators.sessions import session_paths
 from ..schema import DEFAULT_SESSION_GAP_MINUTES
 from ..sources.dispatch import read_events
+from .sessions import start_session_cells
 from .sinks import start_sink
 
 # Default sink of each query and its output mode per sink, as in the
@@ -55,6 +56,7 @@ def run_pipeline(
     trigger: dict | None = None,
     sinks: dict[str, str] | None = None,
     max_event_time: str | None = None,
+    session_state: str = "per_user",
     **source_opts,
 ) -> dict[str, StreamingQuery]:
     """Read -> events -> start heatmap, paths and errors; returns the queries.
@@ -63,7 +65,14 @@ def run_pipeline(
     ``console``); outputs go to ``<output_path>/<name>`` with checkpoints in
     ``<checkpoint_path>/<name>``.  Callers wait with ``await_any`` or
     ``q.awaitTermination()``.
+
+    ``session_state="spread"`` replaces the per-user ``session_window`` state of
+    the paths query by (user, second, page) counts written to
+    ``<output_path>/paths`` (see ``streaming.sessions``); read the sessions with
+    ``read_stream_sessions(spark, path, query_watermark(q), timeout)``.
     """
+    if session_state not in ("per_user", "spread"):
+        raise ValueError(f"session_state must be per_user or spread, got {session_state!r}")
     if session_timeout_minutes is None or session_timeout_minutes <= 0:
         raise ValueError(f"sessionTimeoutMinutes must be positive, got {session_timeout_minutes!r}")
     chosen = {**DEFAULT_SINKS, **(sinks or {})}
@@ -71,7 +80,13 @@ def run_pipeline(
     events = prepare_events(raw, max_event_time)
     started: dict[str, StreamingQuery] = {}
     try:
+        if session_state == "spread":
+            started["paths"] = start_session_cells(
+                events, f"{output_path}/paths", f"{checkpoint_path}/paths", session_timeout_minutes, trigger
+            )
         for name, df in build_queries(events, session_timeout_minutes).items():
+            if name in started:
+                continue
             started[name] = start_sink(
                 df,
                 chosen[name],
