@@ -45,7 +45,9 @@ def start_session_cells(
     """Append (user, second, page) counts to Parquet once the watermark passes the second."""
     gap_s = _gap_seconds(gap_minutes)
     wm = with_event_watermark(events, gap_minutes)
-    counts = wm.groupBy("userId", EVENT_TIME, "pageUrl").agg(F.count(F.lit(1)).alias("n"))
+    # NULL event time would be a key the watermark never evicts; such rows form no session anyway.
+    timed = wm.filter(F.col(EVENT_TIME).isNotNull())
+    counts = timed.groupBy("userId", EVENT_TIME, "pageUrl").agg(F.count(F.lit(1)).alias("n"))
     cells = counts.select(
         F.coalesce(F.col("userId"), F.lit("")).alias("uk"),
         F.col("userId").isNull().alias("un"),
