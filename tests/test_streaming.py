@@ -226,6 +226,7 @@ def test_spread_state_sessions_equal_batch_sessions(spark, tmp_dir):
     for _ in range(400):
         t += rnd.choice([0, 0.01, 0.5, 1.5, 2.0, 3.0])  # minutes: exact-gap and longer pauses included
         rows.append(_minute(t, userId=rnd.choice(["hot", "hot", "u1", None]), pageUrl=rnd.choice(["a", "b", None])))
+    rows.insert(200, ev(timestamp=None, userId="hot", pageUrl="no-time"))  # dropped, and never a state key
     batches = [rows[:150], rows[150:300], rows[300:]]
     _write_files(spark, f"{tmp_dir}/in", batches)
     q = start_session_cells(_stream(spark, f"{tmp_dir}/in", max_files=1), f"{tmp_dir}/cells", f"{tmp_dir}/chk",

@@ -16,7 +16,9 @@ Plan (batch and streaming share step 1):
    of each user is ever held in one task.
 
 In streaming, step 1 is the stateful aggregate (``complete`` mode) and step 2 runs
-per micro-batch in ``foreachBatch`` (see ``streaming.snapshots``).
+per micro-batch in ``foreachBatch`` (see ``streaming.snapshots``); the
+bounded-state variant keys step 1 by event-time minute, appends fragments once the
+watermark closes them, and runs step 2 on that table.
 """
 
 from __future__ import annotations
