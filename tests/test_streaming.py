@@ -254,3 +254,36 @@ def test_pipeline_with_spread_session_state(spark, tmp_dir):
     got = [(r.sessionStart.minute, list(r.path)) for r in
            read_stream_sessions(spark, f"{tmp_dir}/out/paths", query_watermark(qs["paths"]), 2).orderBy("sessionStart").collect()]
     assert got == [(1, ["a", "b"]), (10, ["c"])]
+
+
+def test_fixture_in_four_time_ordered_files(spark, tmp_dir):
+    # SURVEY §5.2: the same rows as one batch, fed as 4 time-ordered files
+    from trailmark.sources import web_events
+
+    smoke = "/root/testdata/sf0.001"
+    if not os.path.exists(f"{smoke}/events.parquet"):
+        return
+    web = web_events(spark, smoke)
+    cuts = web.approxQuantile("timestamp", [0.25, 0.5, 0.75], 0.0)
+    bounds = [None, *cuts, None]
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(4):
+        part = web
+        if bounds[i] is not None:
+            part = part.filter(F.col("timestamp") > bounds[i])
+        if bounds[i + 1] is not None:
+            part = part.filter(F.col("timestamp") <= bounds[i + 1])
+        tmp = f"{tmp_dir}/part{i}"
+        write_events_json(part.coalesce(1), tmp)
+        name = [f for f in os.listdir(tmp) if f.endswith(".json")][0]
+        os.rename(f"{tmp}/{name}", f"{tmp_dir}/in/batch{i}.json")
+        os.utime(f"{tmp_dir}/in/batch{i}.json", (time.time() - 100 + i, time.time() - 100 + i))
+    stream = session_paths(with_event_watermark(_stream(spark, f"{tmp_dir}/in", max_files=1), 30), 30)
+    _run(start_parquet_sink(stream, f"{tmp_dir}/out", f"{tmp_dir}/chk", trigger=NOW))
+    got = sorted(map(tuple, spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/out")
+                     .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()))
+    events = prepare_events(web)
+    limit = events.agg(F.max("eventTime")).first()[0] - dt.timedelta(minutes=30)
+    batch = sorted(map(tuple, session_paths(events, 30).filter(F.col("sessionEnd") <= F.lit(limit))
+                       .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()))
+    assert got == batch and len(got) > 50
