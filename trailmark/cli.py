@@ -25,6 +25,8 @@ DEFAULT_OPTIONS = {
 # sets a processing-time trigger; unset = Spark's default (as the reference).
 # --sessionState=spread keeps session-path state per (user, second, page) instead
 # of per user (see trailmark.streaming.sessions).
+# --maxEventTime="2100-01-01" nulls event times after that instant, so one absurd
+# timestamp cannot push the watermarks past all real data.
 
 
 def trigger_of(value: str | None) -> dict | None:
@@ -75,6 +77,7 @@ def main(argv: list[str] | None = None) -> None:
         max_files_per_trigger=int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None,
         trigger=trigger_of(opts.get("trigger")),
         session_state=opts.get("sessionState", "per_user"),
+        max_event_time=opts.get("maxEventTime"),
     )
     if opts.get("trigger") == "availableNow":
         await_all(queries)
