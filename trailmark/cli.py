@@ -1,6 +1,6 @@
 """Command line of the streaming job (J2, J3), for ``spark-submit``.
 
-    spark-submit -m trailmark.cli --source=files --inputPath=./data/events \
+    spark-submit --py-files trailmark.zip run_job.py --source=files --inputPath=./data/events \
         --outputPath=./out --checkpointPath=./chk --sessionTimeoutMinutes=30
 """
 
