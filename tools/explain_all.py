@@ -50,6 +50,38 @@ def summarise(name: str, text: str) -> list[str]:
     return lines
 
 
+def streaming_plans(spark) -> list[str]:
+    """Physical plans of the streaming queries (explained, not started)."""
+    from pyspark.sql import functions as F
+
+    from trailmark.operators import prepare_events
+    from trailmark.operators.events import fill_event_defaults, with_event_watermark
+    from trailmark.session import scratch_dir
+    from trailmark.sources import read_events_files
+    from trailmark.streaming.pipeline import build_queries
+
+    src = scratch_dir(spark, "explain-input")
+    spark.range(0).write.mode("overwrite").json(src)  # an existing, empty input folder
+    events = prepare_events(read_events_files(spark, src, streaming=True))
+    plans = dict(build_queries(events, 30))
+    wm = with_event_watermark(events, 30)
+    plans["paths (spread state)"] = wm.filter(F.col("eventTime").isNotNull()).groupBy(
+        "userId", "eventTime", "pageUrl").count()
+    plans["user paths (bounded state)"] = fill_event_defaults(wm).filter(F.col("pageUrl") != "").groupBy(
+        "userId", F.window("eventTime", "1 minute")).agg(F.collect_set(F.struct("timestamp", "pageUrl")))
+    out = ["## Streaming plans", "",
+           "The state operators (`StateStoreRestore/Save`, `SessionWindowStateStore*`) sit after a partial",
+           "aggregate and one hash exchange; the click/error filters sit below `EventTimeWatermark`.", ""]
+    for name, df in plans.items():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        tree = [re.sub(r"#[0-9]+L?|-T[0-9]+ms", "", ln)[:160] for ln in buf.getvalue().splitlines()
+                if ln.strip() and not ln.startswith("==")]
+        out += [f"### `{name}`", "", "```", *tree, "```", ""]
+    return out
+
+
 def main() -> None:
     from trailmark.session import build_session
     import __spark_entry__ as entry
@@ -69,6 +101,7 @@ def main() -> None:
         if name.startswith(STREAMING):
             continue
         out += summarise(name, explain(q(spark, sf)))
+    out += streaming_plans(spark)
     print("\n".join(out))
     spark.stop()
 
