@@ -77,5 +77,12 @@ def user_paths(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame
 
 
 def preview_user_paths(paths: DataFrame, n: int = PREVIEW_USERS) -> DataFrame:
-    """O4 + O5: the first ``n`` users by id with the path rendered ``a -> b -> c``."""
-    return paths.orderBy(F.asc_nulls_first("userId")).limit(n).select("userId", render_path("path").alias("path_text"))
+    """O4 + O5: the first ``n`` users by id with the path rendered ``a -> b -> c``.
+
+    The top-``n`` runs on the ids alone, so only ``n`` ids per partition reach the
+    final merge (not ``n`` whole paths per partition); the ``n`` chosen ids -- a
+    size bounded by ``n`` -- are broadcast back to pick their paths.
+    """
+    first = paths.select("userId").orderBy(F.asc_nulls_first("userId")).limit(n)
+    chosen = paths.join(F.broadcast(first), on="userId", how="left_semi")
+    return chosen.select("userId", render_path("path").alias("path_text")).orderBy(F.asc_nulls_first("userId"))
