@@ -25,7 +25,6 @@ from ..operators.events import prepare_events, with_event_watermark
 from ..operators.heatmap import click_heatmap, click_heatmap_total, top_heatmap
 from ..operators.sessions import session_paths
 from ..operators.user_paths import preview_user_paths, user_paths
-from ..schema import EVENT_SCHEMA
 from ..session import scratch_dir
 from ..sources.files import read_events_files, write_events_json
 from ..sources.kafka import decode_events, encode_events
@@ -253,4 +252,4 @@ def queries() -> dict[str, QueryFn]:
     }
 
 
-__all__ = ["EVENT_SCHEMA", "queries"]
+__all__ = ["queries"]
