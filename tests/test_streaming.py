@@ -240,6 +240,11 @@ def test_spread_state_sessions_equal_batch_sessions(spark, tmp_dir):
                    for r in session_paths(prepare_events(events_df(spark, rows)), 2).collect()
                    if r.sessionEnd <= limit), key=str)
     assert got == batch and len(got) > 5
+    # a windowed read returns exactly the final sessions that start at or after `since`
+    since = sorted(b[1] for b in batch)[len(batch) // 2] - dt.timedelta(seconds=30)
+    part = sorted(((r.userId, r.sessionStart, r.sessionEnd, tuple(r.path)) for r in read_stream_sessions(
+        spark, f"{tmp_dir}/cells", until, 2, since=since.isoformat()).collect()), key=str)
+    assert part == [b for b in batch if b[1] >= since] and 0 < len(part) < len(batch)
 
 
 def test_pipeline_with_spread_session_state(spark, tmp_dir):

@@ -31,6 +31,7 @@ CELL_SCHEMA = T.StructType(
         T.StructField("pageUrl", T.StringType()),
         T.StructField("n", T.LongType()),
         T.StructField("chunk", T.LongType()),
+        T.StructField("day", T.DateType()),  # partition column of the cell table
     ]
 )
 
@@ -55,8 +56,10 @@ def start_session_cells(
         "pageUrl",
         "n",
         F.floor(F.unix_seconds(EVENT_TIME) / F.lit(gap_s)).alias("chunk"),
+        F.to_date(EVENT_TIME).alias("day"),
     )
-    w = cells.writeStream.outputMode("append").format("parquet").option("path", out)
+    # partitioned by day, so a reader of recent sessions prunes old cells
+    w = cells.writeStream.outputMode("append").format("parquet").option("path", out).partitionBy("day")
     w = w.option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
@@ -70,8 +73,25 @@ def query_watermark(query: StreamingQuery) -> str | None:
 
 
 def read_stream_sessions(
-    spark: SparkSession, out: str, until: str, gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES
+    spark: SparkSession,
+    out: str,
+    until: str,
+    gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES,
+    since: str | None = None,
 ) -> DataFrame:
-    """Final sessions from the cell table: ``sessionEnd <= until`` (the query's watermark)."""
-    sessions = sessions_from_cells(spark.read.schema(CELL_SCHEMA).parquet(out), gap_minutes)
-    return sessions.filter(F.col("sessionEnd") <= F.to_timestamp(F.lit(until)))
+    """Final sessions from the cell table: ``sessionEnd <= until`` (the query's watermark).
+
+    With ``since``, only sessions starting at or after it, reading only cells from
+    ``since - 2 gaps`` on (day partitions before that are pruned): the chunk before
+    a session's first chunk lies inside that range, so a session that really
+    started earlier is recognised and left out, and every returned row is exact.
+    """
+    gap_s = _gap_seconds(gap_minutes)
+    cells = spark.read.schema(CELL_SCHEMA).parquet(out)
+    if since is not None:
+        lower = F.to_timestamp(F.lit(since)) - F.expr(f"INTERVAL {2 * gap_s} SECONDS")
+        cells = cells.filter((F.col("day") >= F.to_date(lower)) & (F.col("s") >= F.unix_seconds(lower)))
+    sessions = sessions_from_cells(cells, gap_minutes).filter(F.col("sessionEnd") <= F.to_timestamp(F.lit(until)))
+    if since is not None:
+        sessions = sessions.filter(F.col("sessionStart") >= F.to_timestamp(F.lit(since)))
+    return sessions
