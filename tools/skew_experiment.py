@@ -1,6 +1,6 @@
 """Session paths with one user holding a third of the rows: built-in vs chunked plan.
 
-    python tools/skew_experiment.py [sf_dir] [copies] [gap_minutes] [stretch]
+    python tools/skew_experiment.py [sf_dir] [copies] [gap_minutes] [stretch] [--stream]
 
 The input is derived by Spark from the given ``events`` table: the mapped events
 are replicated ``copies`` times (``explode(sequence(...))``), each copy shifted by
@@ -56,21 +56,51 @@ def task_times(log_dir: str) -> dict[str, int]:
                     stage_job[sid] = e["Job ID"]
             elif e.get("Event") == "SparkListenerTaskEnd":
                 ti = e["Task Info"]
-                desc = job_desc.get(stage_job.get(e["Stage ID"]), "")
+                desc = job_desc.get(stage_job.get(e["Stage ID"]), "").split("\n")[0]  # streaming: query name first
                 worst[desc] = max(worst.get(desc, 0), ti["Finish Time"] - ti["Launch Time"])
     return worst
 
 
+def run_streams(spark, events, gap: int) -> dict[str, float]:
+    """Streaming: per-user ``session_window`` state vs the spread (user, second, page) state."""
+    from trailmark.operators import session_paths, with_event_watermark
+    from trailmark.session import scratch_dir
+    from trailmark.sources import read_events_files, write_events_json
+    from trailmark.streaming.sessions import start_session_cells
+    from trailmark.streaming.sinks import start_parquet_sink
+    from trailmark.operators import prepare_events
+
+    base = scratch_dir(spark, "skew-stream")
+    write_events_json(events.drop("eventTime"), f"{base}/in")
+    wall = {}
+    for name in ("stream_session_window", "stream_spread_state"):
+        spark.sparkContext.setJobDescription(name)
+        src = prepare_events(read_events_files(spark, f"{base}/in", streaming=True))
+        t0 = time.perf_counter()
+        if name == "stream_session_window":
+            q = start_parquet_sink(session_paths(with_event_watermark(src, gap), gap, strategy="session_window"),
+                                   f"{base}/{name}", f"{base}/{name}_chk", trigger={"availableNow": True},
+                                   query_name=name)
+        else:
+            q = start_session_cells(src, f"{base}/{name}", f"{base}/{name}_chk", gap, trigger={"availableNow": True},
+                                    query_name=name)
+        q.awaitTermination()
+        wall[name] = round(time.perf_counter() - t0, 2)
+    return wall
+
+
 def main() -> None:
     from pyspark.sql import functions as F
 
     from trailmark.operators import session_paths
     from trailmark.session import build_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
-    gap = int(sys.argv[3]) if len(sys.argv) > 3 else 30
-    stretch = int(sys.argv[4]) if len(sys.argv) > 4 else 1
+    stream = "--stream" in sys.argv
+    args = [a for a in sys.argv[1:] if a != "--stream"]
+    sf = args[0] if len(args) > 0 else "/root/testdata/sf0.1"
+    copies = int(args[1]) if len(args) > 1 else 10
+    gap = int(args[2]) if len(args) > 2 else 30
+    stretch = int(args[3]) if len(args) > 3 else 1
     log_dir = tempfile.mkdtemp(prefix="skew-eventlog-")
     spark = build_session("local[8]", shuffle_partitions=32, extra={
         "spark.ui.showConsoleProgress": "false", "spark.eventLog.enabled": "true",
@@ -78,7 +108,7 @@ def main() -> None:
     events = skewed_events(spark, sf, copies, stretch)
     rows = events.count()
     hot_rows = events.filter(F.col("userId") == "hot-user").count()
-    wall = {}
+    wall = run_streams(spark, events, gap) if stream else {}
     for strategy in ("session_window", "chunked"):
         spark.sparkContext.setJobDescription(strategy)
         t0 = time.perf_counter()

@@ -42,6 +42,7 @@ def start_session_cells(
     checkpoint: str,
     gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES,
     trigger: dict | None = None,
+    query_name: str | None = None,
 ) -> StreamingQuery:
     """Append (user, second, page) counts to Parquet once the watermark passes the second."""
     gap_s = _gap_seconds(gap_minutes)
@@ -63,6 +64,8 @@ def start_session_cells(
     w = w.option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
+    if query_name:
+        w = w.queryName(query_name)
     return w.start()
 
 
