@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .chat_format import OP7_SQL, op7_chat_formatting
 from .exact_dedup import OP6_SQL, op6_exact_dedup
+from .html_extract import op9_html_extraction
 from .language_id import op3_language_id
 from .mixing import op1_mixing
 from .packing import op10_packing
+from .rlbwt_dedup import op8_rlbwt_dedup
 from .sharding import op2_sharding
 from .simhash import op5_simhash
 from .topk import OP4_SQL, op4_topk
@@ -31,6 +33,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_chat_formatting": op7_chat_formatting,
+        "op8_rlbwt_dedup": op8_rlbwt_dedup,
+        "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
         "pipeline": pipeline,
     }
