@@ -34,10 +34,10 @@ from pyspark.sql.window import Window
 from .common import stored, table
 
 #: Vectors of an index block and queries of a chunk (means), and results per query.
-BLOCK_VECTORS, CHUNK_QUERIES, TOP_K = 4_096, 4_096, 5
+BLOCK_VECTORS, CHUNK_QUERIES, TOP_K = 16_384, 512, 5
 SCALE, QUERY_EVERY = 256, 50
 #: Rounds end at these shares of the largest contribution; stop when at most this share is left.
-ROUNDS = (0.55, 0.4, 0.3, 0.22, 0.15, 0.08, 0.0)
+ROUNDS = (0.25, 0.12, 0.05, 0.0)
 STOP_SHARE = 1 / 16
 _PROBES = 32
 _EXACT = 1 << 52
@@ -63,7 +63,9 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     at = np.argsort(ids, kind="stable")
     dim = int(pdf["dim"].iloc[0])
     q = np.array([pdf["q"].iloc[i] for i in at], np.int64).reshape(len(ids), dim)
-    order = np.argsort(q, axis=0, kind="stable").T.astype(np.int32)
+    order = np.argsort(q, axis=0, kind="stable").T.astype(np.uint16 if len(ids) <= 1 << 16 else np.int32)
+    if not q.size or np.abs(q).max() < 1 << 31:
+        q = q.astype(np.int32)
     return pd.DataFrame({"dim": [dim], "block": [int(pdf["block"].iloc[0])], "ids": [ids[at].tobytes()],
                          "q": [q.tobytes()], "impact_order": [np.ascontiguousarray(order).tobytes()]})
 
@@ -71,6 +73,15 @@ def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
 INDEX_SCHEMA = "dim int, block int, ids binary, q binary, impact_order binary"
 
 
+def _unpack(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids, vectors and impact order of an index row; the widths follow from the lengths."""
+    ids, dim = np.frombuffer(row["ids"], np.int64), int(row["dim"])
+    cells = max(1, len(ids) * dim)
+    q = np.frombuffer(row["q"], f"i{len(row['q']) // cells or 8}").astype(np.int64).reshape(len(ids), dim)
+    wide = len(row["impact_order"]) // cells == 4
+    return ids, q, np.frombuffer(row["impact_order"], np.int32 if wide else np.uint16).reshape(dim, len(ids))
+
+
 class BlockIndex:
     """The impact-ordered postings of one block."""
 
@@ -160,11 +171,8 @@ class BlockIndex:
 def _search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     found_q, found_v, found_s = [], [], []
     if len(index) and len(queries):
-        row = index.iloc[0]
-        ids = np.frombuffer(row["ids"], np.int64)
-        dim = int(row["dim"])
-        block = BlockIndex(ids, np.frombuffer(row["q"], np.int64).reshape(len(ids), dim),
-                           np.frombuffer(row["impact_order"], np.int32).reshape(dim, len(ids))) if dim else None
+        ids, vectors, order = _unpack(index.iloc[0])
+        block = BlockIndex(ids, vectors, order) if vectors.shape[1] else None
         for qid, q in zip(queries["vec_id"], queries["q"], strict=True):
             if block is None:  # vectors without components: every score is 0
                 at = np.flatnonzero(ids != qid)[:TOP_K]
