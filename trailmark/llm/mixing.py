@@ -1,9 +1,9 @@
 """Mixing sources to target weights by soft membership (DataFrame expressions only).
 
 1. The domains are the classes of a labelled table.  A naive Bayes classifier over the presence of
-   hashed words is fitted on a bounded sample of labelled rows (``TRAIN_ROWS``, drawn by a hash of
-   the id).  Buckets whose presence does not differ between the domains (chi-squared under
-   ``MIN_CHI2``) weigh nothing; the rest are literals of the plan, ``BUCKETS`` per domain.
+   words is fitted on a bounded sample of labelled rows (``TRAIN_ROWS``, drawn by a hash of the id).
+   The ``VOCABULARY`` words whose presence differs most between the domains (chi-squared) carry
+   weights, as literals of the plan; one part of the sample calibrates scale and bias.
 2. Every whole text gets posteriors: a document belongs to all domains by share.
 3. Projected gradient least squares finds a rate for every document, not below zero, so
    that the expected tokens of each domain (tokens x posterior x rate, summed) match the target
@@ -33,25 +33,28 @@ from .common import stored, table
 
 #: Target shares of expected tokens: domain -> weight.
 TARGETS = {"high": 0.80, "low": 0.12, "toxic": 0.08}
-#: Labelled rows the classifier is fitted on at most, hashed word buckets, the least chi-squared of
-#: a bucket that counts, the share of its evidence that counts (words are not independent), steps,
-#: steps between stored rates, and misfit to stop at.
+#: Labelled rows the classifier is fitted on at most, words that carry weights at most, their least
+#: chi-squared, and slots of the table that finds them.
 TRAIN_ROWS = 20_000
-BUCKETS = 16_384
-MIN_CHI2 = 25.0
-EVIDENCE = 0.4
+VOCABULARY = 1_024
+MIN_CHI2 = 16.0
+SLOTS = 16_384
+#: Steps of the calibration and of the fit, steps between stored rates, and misfit to stop at.
+CALIBRATION_STEPS = 2_000
 MAX_STEPS, STORE_EVERY, TOLERANCE = 48, 8, 1e-5
-_SMOOTH, _FIXED_POINT = 0.5, 1_000
+_SMOOTH = 0.5
 _GRID = 1 << 40
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+def _hashed_words(text: Column) -> Column:
+    """The hash of every word of a text, repeats included."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _buckets(words: Column) -> Column:
-    """The distinct hashed words, from 1."""
-    return F.array_distinct(F.transform(words, lambda w: (F.pmod(F.xxhash64(w), F.lit(BUCKETS)) + 1).cast("int")))
+def _literal(values: list, kind: str) -> Column:
+    """A constant array, written as text and folded once."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
 def domain_of_labels(labels: DataFrame) -> DataFrame:
@@ -61,66 +64,99 @@ def domain_of_labels(labels: DataFrame) -> DataFrame:
 
 
 class Classifier:
-    """Log prior and fixed-point log-likelihood of every bucket, per domain."""
+    """Word weights per domain, and the calibrated scale and biases of their sums."""
 
-    def __init__(self, domains: list[str], priors: dict[str, float], weights: dict[str, list[int]]):
-        self.domains, self.priors, self.weights = domains, priors, weights
+    def __init__(self, domains: list[str], words: list[int], weights: list[list[float]]):
+        self.domains, self.scale, self.bias = domains, 1.0, [0.0] * len(domains)
+        # place 1 stands for "no such word"; a slot leads to one word, the strongest first
+        self.words, self.weights, self.slots = [0], [[0.0] * len(domains)], [1] * SLOTS
+        for h, w in zip(words, weights, strict=True):
+            if self.slots[h % SLOTS] == 1:
+                self.words.append(h)
+                self.weights.append(w)
+                self.slots[h % SLOTS] = len(self.words)
 
-    def scores(self, buckets: Column) -> list[Column]:
-        """Log posterior of every domain, up to a constant."""
+    def places(self, hashed: Column) -> Column:
+        """The distinct places of a text's known words."""
+        slots, words = _literal(self.slots, "int"), _literal(self.words, "bigint")
+
+        def place(h: Column) -> Column:
+            return F.element_at(slots, (F.pmod(h, F.lit(SLOTS)) + 1).cast("int"))
+
+        return F.array_distinct(F.transform(F.filter(hashed, lambda h: F.element_at(words, place(h)) == h), place))
+
+    def sums(self, places: Column) -> list[Column]:
+        """Per domain the weights of the words present, over the root of their number."""
         out = []
-        for d in self.domains:
-            score = F.lit(self.priors[d])
-            if self.weights:
-                held = F.split(F.lit(",".join(map(str, self.weights[d]))), ",").cast("array<int>")
-                total = F.aggregate(buckets, F.lit(0).cast("long"), lambda acc, b: acc + F.element_at(held, b))  # noqa: B023
-                score = score + total * F.lit(EVIDENCE / _FIXED_POINT)
-            out.append(score)
+        for k in range(len(self.domains)):
+            held = _literal([round(w[k], 5) for w in self.weights], "double")
+            total = F.aggregate(places, F.lit(0.0), lambda acc, i: acc + F.element_at(held, i))  # noqa: B023
+            out.append(total / F.sqrt(F.size(places) + F.lit(1.0)))
         return out
 
-
-def presence_weights(present: list[list[int]], sizes: list[int]) -> list[list[int]]:
-    """Per domain the fixed-point weight of every bucket; ``present`` counts documents that have it."""
-    everything = sum(sizes)
-    weights = [[0] * len(present[0]) for _ in sizes]
-    for i in range(len(present[0])):
-        total = sum(row[i] for row in present)
-        if not 0 < total < everything:
-            continue
-        chi2 = sum((row[i] - n * total / everything) ** 2 / (n * total * (everything - total) / everything**2)
-                   for row, n in zip(present, sizes, strict=True) if n)
-        if chi2 >= MIN_CHI2:
-            logs = [math.log((row[i] + _SMOOTH) / (n + 2 * _SMOOTH)) for row, n in zip(present, sizes, strict=True)]
-            mean = sum(logs) / len(logs)
-            for k, x in enumerate(logs):
-                weights[k][i] = round(_FIXED_POINT * (x - mean))
-    return weights
+    def calibrate(self, sums: np.ndarray, domain: np.ndarray) -> None:
+        """Scale and biases by gradient descent on the log loss."""
+        n = len(self.domains)
+        truth = np.eye(n)[domain]
+        scale, bias = 0.5, np.log((truth.sum(axis=0) + 1) / (len(truth) + n))
+        size = max(float((sums**2).mean()), 1e-9) if len(sums) else 1.0
+        for _ in range(CALIBRATION_STEPS if len(sums) else 0):
+            z = sums * scale + bias
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            wrong = p / p.sum(axis=1, keepdims=True) - truth
+            scale = max(0.0, scale - float((wrong * sums).sum()) / len(sums) / size)
+            bias = bias - wrong.mean(axis=0)
+        self.scale, self.bias = float(scale), [float(b) for b in bias]
+
+
+def _chi_squared(present: list[Column], sizes: list[int]) -> Column:
+    """Of a word's presence against the domains (2 rows, a column per domain)."""
+    everything, total = sum(sizes), sum(present[1:], present[0])
+    out = F.lit(0.0)
+    for n_k, n in zip(present, sizes, strict=True):
+        if n:
+            there, absent = total * n / everything, (everything - total) * n / everything
+            out = out + (n_k - there) ** 2 / there + F.when(absent > 0, (n_k - there) ** 2 / absent).otherwise(0.0)
+    return out
 
 
 def fit_classifier(docs: DataFrame, labelled: DataFrame, domains: list[str], train_rows: int = TRAIN_ROWS) -> Classifier:
-    """Naive Bayes over hashed words; ``labelled`` is ``doc_id, domain``."""
-    picked = labelled.filter(F.col("domain").isin(domains)).dropDuplicates(["doc_id"]).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(train_rows)
+    """Naive Bayes over word presence; ``labelled`` is ``doc_id, domain``."""
+    draw = F.xxhash64("doc_id")
+    picked = labelled.filter(F.col("domain").isin(domains)).dropDuplicates(["doc_id"]).orderBy(draw, "doc_id").limit(train_rows)
     # at most TRAIN_ROWS rows of two short columns
-    train = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    words = train.select("domain", F.explode(_buckets(_words(F.col("text")))).alias("b"))
-    counts = words.groupBy("domain", "b").agg(F.count(F.lit(1)).alias("n")).collect()  # at most BUCKETS x domains
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
+        "domain", (F.pmod(draw, F.lit(3)) == 0).alias("held"), _hashed_words(F.col("text")).alias("words"))
+    train = sample.filter("NOT held")
     there = {r["domain"]: r["n"] for r in train.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = [there.get(d, 0) for d in domains]
-    priors = {d: math.log((n + 1) / (sum(sizes) + len(domains))) for d, n in zip(domains, sizes, strict=True)}
-    present = [[0] * BUCKETS for _ in domains]
-    for r in counts:
-        present[domains.index(r["domain"])][r["b"] - 1] = r["n"]
-    weights = presence_weights(present, sizes)
-    return Classifier(domains, priors, dict(zip(domains, weights, strict=True)) if any(map(any, weights)) else {})
+    if not sum(sizes):
+        return Classifier(domains, [], [])
+    present = [F.sum(F.when(F.col("domain") == d, 1).otherwise(0)) for d in domains]
+    counted = train.select("domain", F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(
+        *[p.alias(f"n{k}") for k, p in enumerate(present)])
+    chosen = counted.withColumn("chi2", _chi_squared([F.col(f"n{k}") for k in range(len(domains))], sizes)).filter(
+        F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "word").limit(VOCABULARY).collect()
+    weights = []
+    for r in chosen:
+        logs = [math.log((r[f"n{k}"] + _SMOOTH) / (n + 2 * _SMOOTH)) for k, n in enumerate(sizes)]
+        weights.append([x - sum(logs) / len(logs) for x in logs])
+    out = Classifier(domains, [r["word"] for r in chosen], weights)
+    held = sample.filter("held").select("domain", out.places(F.col("words")).alias("places")).select(
+        "domain", *[c.alias(f"s{k}") for k, c in enumerate(out.sums(F.col("places")))]).collect()  # a third of TRAIN_ROWS
+    out.calibrate(np.array([[r[f"s{k}"] for k in range(len(domains))] for r in held]).reshape(len(held), len(domains)),
+                  np.array([domains.index(r["domain"]) for r in held], int))
+    return out
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """Adds ``__mix_tokens`` and ``__mix_p`` (posteriors in the order of the domains)."""
-    split = docs.withColumn("__mix_w", _words(F.col("text")))
-    bucketed = split.withColumn("__mix_b", _buckets(F.col("__mix_w"))).withColumn(
+    hashed = docs.withColumn("__mix_w", _hashed_words(F.col("text")))
+    placed = hashed.withColumn("__mix_places", classifier.places(F.col("__mix_w"))).withColumn(
         "__mix_tokens", F.size("__mix_w").cast("long")).drop("__mix_w")
-    scored = bucketed.withColumn("__mix_s", F.array(*classifier.scores(F.col("__mix_b")))).drop("__mix_b")
+    sums = classifier.sums(F.col("__mix_places"))
+    scored = placed.withColumn("__mix_s", F.array(*[
+        s * F.lit(classifier.scale) + F.lit(b) for s, b in zip(sums, classifier.bias, strict=True)])).drop("__mix_places")
     top = F.array_max("__mix_s")
     raised = scored.withColumn("__mix_e", F.transform("__mix_s", lambda s: F.exp(s - top))).drop("__mix_s")
     total = F.aggregate("__mix_e", F.lit(0.0), lambda acc, e: acc + e)
