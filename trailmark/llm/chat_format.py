@@ -59,6 +59,10 @@ def fingerprint(record: Column, kind: T.StructType) -> Column:
     return F.xxhash64(F.concat_ws("\n", *present_paths(record, kind)))
 
 
+def _pairs(a: str, b: str) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(a, T.StringType()), T.StructField(b, T.StringType())]))
+
+
 class Mapping(NamedTuple):
     """Declarative: the field paths of a layout and where its turns come from.
 
@@ -85,9 +89,10 @@ MAPPINGS = (
             fixed=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
 )
 #: All layouts in one type: a record fills the fields of its own layout, the rest are null.
-RECORD_TYPE = T._parse_datatype_string(
-    "completion string, conversations array<struct<from:string,value:string>>, input string, instruction string, "
-    "messages array<struct<role:string,content:string>>, output string, prompt string, system string")
+RECORD_TYPE = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("completion", T.StringType()), ("conversations", _pairs("from", "value")), ("input", T.StringType()),
+    ("instruction", T.StringType()), ("messages", _pairs("role", "content")), ("output", T.StringType()),
+    ("prompt", T.StringType()), ("system", T.StringType()))])
 
 
 def _turns_of(record: Column, m: Mapping) -> Column:

@@ -6,8 +6,9 @@ pieces of up to ``PIECE_CHARS`` characters of rows drawn by a hash of doc_id, un
 of languages).  Every whole text is lower-cased and encoded in blocks of
 ``BLOCK_BYTES`` against each dictionary; the language with the smallest sum wins.
 Blocks are encoded apart, so a long text keeps leaning on the dictionary instead of on
-itself.  A short text, whose size in bytes says little, is also encoded by windows
-of three words.
+itself.  A short block is followed by ``PAD``, which every dictionary encodes alike: without
+it the encoder stores short input as it is, and all sizes are equal.  A short text, whose
+size in bytes says little, is also encoded by windows of three words.
 
 The score is the margin ``(second - best) / second``.  A document is rejected when it has no
 letter or its margin is below ``MIN_MARGIN``.
@@ -33,12 +34,13 @@ from .common import table
 
 #: Bytes of a language's dictionary, characters of one training piece, and rows drawn
 #: beyond need (the draw is by hash, so the yield varies a little).
-DICT_BYTES = 65_536
-PIECE_CHARS = 2_000
+DICT_BYTES = 110_000
+PIECE_CHARS = 200
 OVERSAMPLE = 2.0
 LEVEL = 6
-BLOCK_BYTES = 1_024
+BLOCK_BYTES = 512
 SHORT_BYTES = 256
+PAD = bytes(256)
 MIN_MARGIN = 0.001
 UND = "und"
 _GRID = 1 << 30
@@ -85,6 +87,7 @@ class _Encoder:
         if len(raw) < SHORT_BYTES:
             words = raw.split()
             parts += [b" ".join(words[max(0, i - 1):i + 2]) for i in range(len(words))]
+        parts = [p + PAD if len(p) < SHORT_BYTES else p for p in parts]
         return [sum(len(c.compress(p)) for p in parts) for c in self.by]
 
     def predict(self, text: str | None) -> tuple[str, float]:
