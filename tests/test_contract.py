@@ -24,6 +24,6 @@ def test_entry_smoke(spark):
 
 
 def test_queries_match_oracles(spark):
-    res = compare(spark, SMOKE)
+    res = compare(spark, SMOKE, list(entry.oracle_sql()))
     bad = {k: v for k, v in res.items() if not v.get("match")}
     assert not bad, bad

@@ -1,5 +1,6 @@
+import pytest
+
 from trailmark.session import checkpoint_root, scratch_dir
-from trailmark.sources.tables import spread_narrow_scan
 
 
 def test_scratch_goes_below_the_configured_checkpoint_dir(spark):
@@ -9,9 +10,24 @@ def test_scratch_goes_below_the_configured_checkpoint_dir(spark):
     assert a.startswith(f"{root.rstrip('/')}/trailmark/x-") and a != b
 
 
-def test_narrow_scan_is_spread_and_wide_scan_left_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert spread_narrow_scan(narrow).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores + 3)
-    assert spread_narrow_scan(wide) is wide
+def test_a_cluster_must_name_its_shared_folder():
+    class Context:
+        master = "yarn"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)

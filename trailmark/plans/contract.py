@@ -6,9 +6,9 @@ with the DuckDB oracles: windows become ``window_start``/``window_end``,
 timestamps are naive UTC (``timestamp_ntz``), and paths are text
 (``|`` between pages, ``<null>`` for a NULL page).
 
-Streaming queries write the mapped events as JSON files below the cluster's
-checkpoint folder, run the real streaming plan with ``availableNow`` and read the
-sink back with an explicit schema.
+Streaming queries read the events table itself as a stream of Parquet files, run the real
+streaming plan with ``availableNow`` and read the sink (below the cluster's
+checkpoint folder) back with an explicit schema.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from ..operators.errors import error_counts, error_totals, errors_by_count
 from ..operators.events import prepare_events, with_event_watermark
 from ..operators.heatmap import click_heatmap, click_heatmap_total, top_heatmap
 from ..operators.sessions import session_paths
-from ..operators.user_paths import preview_user_paths, user_paths
+from ..operators.user_paths import preview_user_paths_of, user_paths
 from ..session import scratch_dir
 from ..sources.files import read_events_files, write_events_json
 from ..sources.kafka import decode_events, encode_events
-from ..sources.tables import web_events
+from ..sources.tables import stream_web_events, web_events
 from ..streaming.sessions import query_watermark, read_stream_sessions, start_session_cells
 from ..streaming.sinks import start_parquet_sink, start_update_parquet_sink
 from ..streaming.snapshots import (
@@ -113,7 +113,7 @@ def q_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_user_paths_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview_user_paths(user_paths(_events(spark, sf_dir)), 5)
+    return preview_user_paths_of(_events(spark, sf_dir), 5)
 
 
 def q_jsonl_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,10 +130,7 @@ def q_kafka_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- streaming
 def _stream_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    base = scratch_dir(spark, "stream")
-    write_events_json(web_events(spark, sf_dir), f"{base}/input")
-    raw = read_events_files(spark, f"{base}/input", streaming=True)
-    return prepare_events(raw), base
+    return prepare_events(stream_web_events(spark, sf_dir)), scratch_dir(spark, "stream")
 
 
 def _run(query) -> None:
@@ -217,7 +214,7 @@ def q_stream_session_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, base = _stream_input(spark, sf_dir)
     query = start_session_cells(events, f"{base}/out", f"{base}/chk", STREAM_TIMEOUT_MINUTES, trigger=AVAILABLE_NOW)
     _run(query)
-    sessions = read_stream_sessions(spark, f"{base}/out", query_watermark(query), STREAM_TIMEOUT_MINUTES)
+    sessions = read_stream_sessions(spark, f"{base}/out", query_watermark(query))
     return _session_shape(sessions)
 
 

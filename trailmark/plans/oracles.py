@@ -114,9 +114,9 @@ def oracles() -> dict[str, str]:
         "(SELECT max(make_timestamp(((1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 30) // 1000)"
         " * 1000000)) FROM events WHERE event_type = 'click') - INTERVAL 30 MINUTE",
         "stream_paths_append": _session_paths(30, "WHERE sessionEnd <= (SELECT max(eventTime) FROM ev) - INTERVAL 30 MINUTE"),
-        # Same rows and the same finality rule, from the spread-state plan.
+        # The spread-state plan: its watermark is one gap behind the job's.
         "stream_session_cells": _session_paths(
-            30, "WHERE sessionEnd <= (SELECT max(eventTime) FROM ev) - INTERVAL 30 MINUTE"),
+            30, "WHERE sessionEnd <= (SELECT max(eventTime) FROM ev) - INTERVAL 60 MINUTE"),
         "stream_errors_update": _errors_5m(),
         "snapshot_paths": WEB + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
         "snapshot_heatmap": WEB + _HEATMAP_TOTAL,

@@ -2,8 +2,8 @@
 
 Jobs never pick a machine-local folder on their own: intermediate files (the JSON
 input of a streaming run, checkpoints, snapshots) go below the shared folder the
-cluster names in ``spark.checkpoint.dir``.  Only when that is unset (local tests,
-a laptop) do we create one.
+cluster names in ``spark.checkpoint.dir``.  A local master may leave it unset and
+gets a temporary folder; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "trailmark",
@@ -38,8 +41,7 @@ def build_session(
         # small shuffles keep some parallelism instead of collapsing into one task
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
         .config("spark.driver.memory", os.environ.get("TRAILMARK_DRIVER_MEMORY", "8g"))
     )
     for k, v in (extra or {}).items():
@@ -56,7 +58,7 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; created only where unset."""
+    """The shared checkpoint folder of the cluster; a local master may leave it unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -67,7 +69,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
-    # Unset (tests, single machine): set our own, once per session.
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # one machine (tests, a laptop): a folder of our own, once per session
     local = tempfile.mkdtemp(prefix="trailmark-chk-")
     if sc is None:
         spark.conf.set("spark.checkpoint.dir", local)

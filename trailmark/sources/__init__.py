@@ -11,7 +11,7 @@ from .kafka import (
     start_events_kafka_sink,
     write_events_kafka,
 )
-from .tables import web_events, web_events_from_table
+from .tables import stream_web_events, web_events, web_events_from_table
 
 __all__ = [
     "SOURCES",
@@ -23,6 +23,7 @@ __all__ = [
     "read_events_kafka",
     "read_events_kafka_raw",
     "start_events_kafka_sink",
+    "stream_web_events",
     "web_events",
     "web_events_from_table",
     "write_events_json",

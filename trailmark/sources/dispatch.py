@@ -8,21 +8,26 @@ from .files import read_events_files
 from .kafka import read_events_kafka
 
 SOURCES = ("files", "kafka")
+_READERS = {"files": read_events_files, "kafka": read_events_kafka}
+# Where the reference job reads when an option is not given.
+_DEFAULTS = {
+    "files": {"path": "./data/events"},
+    "kafka": {"brokers": "localhost:9092", "topic": "webevents"},
+}
+_OPTIONS = {
+    "files": {"input_path": "path", "max_files_per_trigger": "max_files_per_trigger"},
+    "kafka": {"brokers": "brokers", "topic": "topic", "starting_offsets": "starting_offsets", "options": "options"},
+}
 
 
 def read_events(spark: SparkSession, source: str = "files", streaming: bool = True, **opts) -> DataFrame:
-    """``files`` (``input_path``, ``max_files_per_trigger``) or ``kafka``
-    (``brokers``, ``topic``, ``starting_offsets``); anything else is an error."""
-    if source == "files":
-        return read_events_files(
-            spark, opts.get("input_path", "./data/events"), streaming, opts.get("max_files_per_trigger")
-        )
-    if source == "kafka":
-        return read_events_kafka(
-            spark,
-            opts.get("brokers", "localhost:9092"),
-            opts.get("topic", "webevents"),
-            opts.get("starting_offsets", "earliest"),
-            streaming,
-        )
-    raise ValueError(f"unknown source {source!r} (expected one of: {', '.join(SOURCES)})")
+    """``files`` (``input_path``, ``max_files_per_trigger``) or ``kafka`` (``brokers``, ``topic``,
+    ``starting_offsets``, ``options`` of the connector); another source or an option of neither is an
+    error.  Options of the other source are ignored, so a job can pass both sets."""
+    if source not in SOURCES:
+        raise ValueError(f"unknown source {source!r} (expected one of: {', '.join(SOURCES)})")
+    unknown = set(opts) - {o for names in _OPTIONS.values() for o in names}
+    if unknown:
+        raise ValueError(f"unknown source options: {', '.join(sorted(unknown))}")
+    given = {arg: opts[o] for o, arg in _OPTIONS[source].items() if opts.get(o) is not None}
+    return _READERS[source](spark, streaming=streaming, **{**_DEFAULTS[source], **given})

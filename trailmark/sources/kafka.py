@@ -21,7 +21,11 @@ def read_events_kafka_raw(
     streaming: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Kafka rows (``key, value, topic, partition, offset, timestamp, ...``)."""
+    """Kafka rows (``key, value, topic, partition, offset, timestamp, ...``).
+
+    ``failOnDataLoss`` is off as in the reference, so offsets that the broker has dropped are
+    skipped in silence; ``options={"failOnDataLoss": "true"}`` fails instead.
+    """
     reader = spark.readStream if streaming else spark.read
     reader = (
         reader.format("kafka")

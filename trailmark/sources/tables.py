@@ -29,25 +29,21 @@ MAP_Y_MULTIPLIER = 37
 MAP_SCREENS = [(1280, 800), (1440, 900), (1920, 1080)]
 
 
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A Parquet row group cannot be split, so a small table written as one row group
-    is one task, and the per-row mapping (JSON parsing of ``props``) would run on
-    one core.  A large input already has more splits than cores and is returned
-    unchanged (no shuffle).  ``repartition(n)`` sorts rows locally before
-    distributing them, so a retried task gets the same rows.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+def stream_events_table(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same table as a stream of its Parquet files (one file, or a folder of files)."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    raw = spark.read.parquet(path)
+    first = raw.select("_metadata.file_path").first()
+    reader = spark.readStream.schema(raw.schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if first is None or not first[0].endswith("/events.parquet"):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def _screen(i: int) -> str:
@@ -82,3 +78,9 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events of ``<sf_dir>/events.parquet`` (session time zone forced to UTC)."""
     ensure_utc(spark)
     return web_events_from_table(events_table(spark, sf_dir)).select(*EVENT_COLUMNS)
+
+
+def stream_web_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming counterpart of ``web_events``."""
+    ensure_utc(spark)
+    return web_events_from_table(stream_events_table(spark, sf_dir, max_files_per_trigger)).select(*EVENT_COLUMNS)
