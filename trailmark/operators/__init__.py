@@ -13,7 +13,14 @@ from .events import (
 )
 from .heatmap import click_heatmap, click_heatmap_total, top_heatmap
 from .sessions import session_paths
-from .user_paths import assemble_user_paths, preview_user_paths, user_path_fragments, user_paths
+from .user_paths import (
+    assemble_user_paths,
+    preview_user_paths,
+    preview_user_paths_of,
+    user_path_chunks,
+    user_path_fragments,
+    user_paths,
+)
 
 __all__ = [
     "assemble_user_paths",
@@ -27,10 +34,12 @@ __all__ = [
     "only_errors",
     "prepare_events",
     "preview_user_paths",
+    "preview_user_paths_of",
     "project_events",
     "session_paths",
     "top_heatmap",
     "user_path_fragments",
+    "user_path_chunks",
     "user_paths",
     "watermark_delay",
     "with_event_time",

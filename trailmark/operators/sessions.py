@@ -95,14 +95,14 @@ def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
 #    the path in (second, page NULL first) order and counts expanded again (only
 #    sessions that had duplicates pay for the expansion).
 _CELLS_SQL = """
-SELECT uk, un, s, pageUrl, count(1) AS n, coalesce(floor(s / {gap}), 0) AS chunk
+SELECT uk, un, s, pageUrl, count(1) AS n
 FROM (SELECT coalesce(userId, '') AS uk, userId IS NULL AS un, unix_seconds(eventTime) AS s, pageUrl
       FROM {events} WHERE eventTime IS NOT NULL)
 GROUP BY uk, un, s, pageUrl
 """
 
 _SESSIONS_SQL = """
-WITH cells AS (SELECT uk, un, s, pageUrl, n, chunk FROM {cells}),
+WITH cells AS (SELECT uk, un, s, pageUrl, n, coalesce(floor(s / {gap}), 0) AS chunk FROM {cells}),
 chunks AS (
   SELECT uk, un, chunk, min(s) AS first_s, max(s) AS last_s FROM cells GROUP BY uk, un, chunk),
 linked AS (
@@ -126,21 +126,22 @@ FROM (
 """
 
 
-def session_cells(events: DataFrame, gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES) -> DataFrame:
-    """Step 1 (batch): ``uk, un, s, pageUrl, n, chunk`` -- distinct (user, second, page) counts."""
+def session_cells(events: DataFrame) -> DataFrame:
+    """Step 1 (batch): ``uk, un, s, pageUrl, n`` -- distinct (user, second, page) counts."""
     cols = events.select("userId", EVENT_TIME, "pageUrl")
-    return events.sparkSession.sql(_CELLS_SQL, events=cols, gap=_gap_seconds(gap_minutes))
+    return events.sparkSession.sql(_CELLS_SQL, events=cols)
 
 
 def sessions_from_cells(cells: DataFrame, gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES) -> DataFrame:
     """Steps 2-4 on (user, second, page) counts: ``userId, sessionStart, sessionEnd, path``.
 
     ``cells`` may come from ``session_cells`` or from the streaming cell table
-    (``streaming.sessions``); it needs ``uk, un, s, pageUrl, n, chunk``.
+    (``streaming.sessions``); it needs ``uk, un, s, pageUrl, n``; the
+    chunks follow from the gap given here, not from the one a writer used.
     """
     return cells.sparkSession.sql(_SESSIONS_SQL, cells=cells, gap=_gap_seconds(gap_minutes))
 
 
 def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
     gap_minutes = gap_s / 60
-    return sessions_from_cells(session_cells(events, gap_minutes), gap_minutes)
+    return sessions_from_cells(session_cells(events), gap_minutes)

@@ -9,11 +9,11 @@ Plan (batch and streaming share step 1):
 1. ``user_path_fragments`` -- one row per (user, time chunk) holding the distinct
    (timestamp, page) pairs of that chunk (``collect_set``: duplicates are combined
    map-side).  A user that holds a third of all rows is spread over its chunks.
-2. ``assemble_user_paths`` -- sort and de-duplicate inside each fragment, then
-   concatenate the fragments of a user in chunk order and collapse repeats once
-   more at the chunk borders.  Collapsing consecutive repeats composes, so this is
-   equal to a global ordered scan, but only the (already collapsed) result array
-   of each user is ever held in one task.
+2. ``user_path_chunks`` -- sort and de-duplicate inside each fragment, and once more at
+   the borders, against the last page of the user's fragment before it.  Collapsing
+   consecutive repeats composes, so this equals a global ordered scan.
+3. ``assemble_user_paths`` -- the pieces of a user as one array (a wrapper: only the
+   collapsed result of each user is held in one task).
 
 In streaming, step 1 is the stateful aggregate (``complete`` mode) and step 2 runs
 per micro-batch in ``foreachBatch`` (see ``streaming.snapshots``); the
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import render_path
-from ..schema import PREVIEW_USERS
+from ..schema import MISSING_USER, PREVIEW_USERS
 
 DEFAULT_CHUNK_MS = 60_000
 
@@ -43,20 +43,24 @@ GROUP BY 1, 2
 
 # Step 2: inside a fragment timestamps are all NULL or all set (chunk is NULL iff
 # the timestamp is), so a plain struct sort gives (timestamp, page) order; events
-# without time go last.  Repeats are collapsed in each fragment, then once more
-# across fragment borders.  `get` returns NULL for index -1.
-_ASSEMBLE_SQL = """
+# without time go last.  Repeats are collapsed in each fragment, and a fragment loses its
+# first page where the fragment before it ended on the same.  `get` returns NULL for index -1.
+_CHUNKS_SQL = """
 WITH sorted AS (
   SELECT userId, chunk, transform(sort_array(cells), c -> c.pageUrl) AS pages FROM {fragments}),
 frags AS (
-  SELECT userId,
-    struct(chunk IS NULL AS no_time, chunk,
-           filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS pages) AS frag
+  SELECT userId, chunk IS NULL AS no_time, chunk,
+    filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS pages
   FROM sorted),
-joined AS (
-  SELECT userId, flatten(transform(sort_array(collect_list(frag)), f -> f.pages)) AS pages
-  FROM frags GROUP BY userId)
-SELECT userId, filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS path FROM joined
+bordered AS (
+  SELECT *, lag(element_at(pages, -1)) OVER (PARTITION BY userId ORDER BY no_time, chunk) AS before FROM frags)
+SELECT userId, no_time, chunk, CASE WHEN pages[0] = before THEN slice(pages, 2, size(pages)) ELSE pages END AS pages
+FROM bordered
+"""
+
+_ASSEMBLE_SQL = """
+SELECT userId, flatten(transform(sort_array(collect_list(struct(no_time, chunk, pages))), f -> f.pages)) AS path
+FROM {chunks} GROUP BY userId
 """
 
 
@@ -66,9 +70,22 @@ def user_path_fragments(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) ->
     return events.sparkSession.sql(_FRAGMENTS_SQL, events=cols, chunk_ms=int(chunk_ms))
 
 
+def user_path_chunks(fragments: DataFrame) -> DataFrame:
+    """Step 2: ``userId, no_time, chunk, pages`` -- a path in pieces, one row per (user, chunk).
+
+    The pieces of a user in order (timed chunks first) are its path.  The window that
+    compares a piece with the last page before it holds one row per chunk of a user,
+    never its events.
+    """
+    return fragments.sparkSession.sql(_CHUNKS_SQL, fragments=fragments)
+
+
 def assemble_user_paths(fragments: DataFrame) -> DataFrame:
-    """Step 2: ``userId, path array<string>`` from the fragments of step 1."""
-    return fragments.sparkSession.sql(_ASSEMBLE_SQL, fragments=fragments)
+    """Step 3: ``userId, path array<string>``: one row, and so one task, per user.
+
+    For users whose whole path fits a row; ``user_path_chunks`` has no such limit.
+    """
+    return fragments.sparkSession.sql(_ASSEMBLE_SQL, chunks=user_path_chunks(fragments))
 
 
 def user_paths(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
@@ -76,6 +93,20 @@ def user_paths(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame
     return assemble_user_paths(user_path_fragments(events, chunk_ms))
 
 
+def preview_user_paths_of(events: DataFrame, n: int = PREVIEW_USERS, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+    """O4 + O5 from events: the first ``n`` users by id that have a page; only their paths are built.
+
+    The ids come first (a distinct and a top-``n``); the ``n`` chosen ids -- a size bounded by ``n`` --
+    are broadcast back to filter the events below the path aggregates.
+    """
+    user = F.coalesce(F.nullif(F.col("userId"), F.lit("")), F.lit(MISSING_USER))
+    visits = events.filter(F.coalesce(F.col("pageUrl"), F.lit("")) != "")
+    first = visits.select(user.alias("chosen")).distinct().orderBy("chosen").limit(n)
+    chosen = visits.join(F.broadcast(first), user == F.col("chosen"), "left_semi")
+    paths = user_paths(chosen, chunk_ms)
+    return paths.select("userId", render_path("path").alias("path_text")).orderBy("userId")
+
+
 def preview_user_paths(paths: DataFrame, n: int = PREVIEW_USERS) -> DataFrame:
     """O4 + O5: the first ``n`` users by id with the path rendered ``a -> b -> c``.
 
