@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import MIN, T0, ev, events_df
@@ -243,7 +244,7 @@ def test_spread_state_sessions_equal_batch_sessions(spark, tmp_dir):
     # a windowed read returns exactly the final sessions that start at or after `since`
     since = sorted(b[1] for b in batch)[len(batch) // 2] - dt.timedelta(seconds=30)
     part = sorted(((r.userId, r.sessionStart, r.sessionEnd, tuple(r.path)) for r in read_stream_sessions(
-        spark, f"{tmp_dir}/cells", until, 2, since=since.isoformat()).collect()), key=str)
+        spark, f"{tmp_dir}/cells", until, since=since.isoformat() + "Z").collect()), key=str)
     assert part == [b for b in batch if b[1] >= since] and 0 < len(part) < len(batch)
 
 
@@ -267,7 +268,7 @@ def test_fixture_in_four_time_ordered_files(spark, tmp_dir):
 
     smoke = "/root/testdata/sf0.001"
     if not os.path.exists(f"{smoke}/events.parquet"):
-        return
+        pytest.skip("no test data")
     web = web_events(spark, smoke)
     cuts = web.approxQuantile("timestamp", [0.25, 0.5, 0.75], 0.0)
     bounds = [None, *cuts, None]
@@ -292,3 +293,153 @@ def test_fixture_in_four_time_ordered_files(spark, tmp_dir):
     batch = sorted(map(tuple, session_paths(events, 30).filter(F.col("sessionEnd") <= F.lit(limit))
                        .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()))
     assert got == batch and len(got) > 50
+
+
+# --------------------------------------------------------------------------- spread-state sessions
+def _rows(df):
+    return sorted(((r.userId, r.sessionStart, r.sessionEnd, tuple(r.path)) for r in df.collect()), key=str)
+
+
+LATE = [
+    [_minute(40, userId="other", pageUrl="o")],  # watermark 00:30 with gap and delay 10
+    [_minute(41, userId="other", pageUrl="o")],
+    [_minute(25, userId="inside", pageUrl="late")],  # 00:25 + gap is after the watermark: kept
+    [_minute(15, userId="outside", pageUrl="late")],  # 00:15 + gap is before it: dropped
+    [_minute(300, userId="closer", pageUrl="z")],
+]
+
+
+def _cells(spark, tmp_dir, name="cells", gap=10):
+    from trailmark.streaming import start_session_cells
+
+    q = start_session_cells(_stream(spark, f"{tmp_dir}/in", max_files=1), f"{tmp_dir}/{name}", f"{tmp_dir}/chk_{name}", gap, trigger=NOW)
+    _run(q)
+    return q
+
+
+def test_spread_state_keeps_the_late_rows_that_session_window_keeps(spark, tmp_dir):
+    from trailmark.streaming import query_watermark, read_stream_sessions
+
+    _write_files(spark, f"{tmp_dir}/in", LATE)
+    sess = session_paths(with_event_watermark(_stream(spark, f"{tmp_dir}/in", max_files=1), 10), 10)
+    _run(start_parquet_sink(sess, f"{tmp_dir}/sess", f"{tmp_dir}/chk", trigger=NOW))
+    per_user = _rows(spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/sess"))
+    q = _cells(spark, tmp_dir)
+    assert _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", query_watermark(q))) == per_user
+    assert [r[0] for r in per_user] == ["inside", "other"]
+
+
+def test_a_late_row_extends_an_emitted_session_only_in_the_spread_plan(spark, tmp_dir):
+    # the difference that remains: session_window has emitted [00:10, 00:20) and starts a second session
+    from trailmark.streaming import query_watermark, read_stream_sessions
+
+    batches = [[_minute(10, pageUrl="a")], [_minute(35, userId="other", pageUrl="o")], [_minute(36, userId="other", pageUrl="o")],
+               [_minute(18, pageUrl="b")], [_minute(300, userId="closer", pageUrl="z")]]
+    _write_files(spark, f"{tmp_dir}/in", batches)
+    sess = session_paths(with_event_watermark(_stream(spark, f"{tmp_dir}/in", max_files=1), 10), 10)
+    _run(start_parquet_sink(sess, f"{tmp_dir}/sess", f"{tmp_dir}/chk", trigger=NOW))
+    per_user = [r for r in _rows(spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/sess")) if r[0] == "u1"]
+    spread = [r for r in _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", query_watermark(_cells(spark, tmp_dir)))) if r[0] == "u1"]
+    assert [r[3] for r in per_user] == [("a",), ("b",)] and [r[3] for r in spread] == [("a", "b")]
+
+
+def test_cells_know_their_gap(spark, tmp_dir):
+    from trailmark.streaming import query_watermark, read_stream_sessions, start_session_cells
+
+    _write_files(spark, f"{tmp_dir}/in", LATE)
+    until = query_watermark(_cells(spark, tmp_dir))
+    with pytest.raises(ValueError, match="gap of 600 s"):
+        read_stream_sessions(spark, f"{tmp_dir}/cells", until, 2)
+    with pytest.raises(ValueError, match="gap of 600 s"):
+        start_session_cells(_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/cells", f"{tmp_dir}/chk2", 2)
+    with pytest.raises(ValueError, match="no stored gap"):
+        read_stream_sessions(spark, f"{tmp_dir}/nothing", until)
+
+
+def test_cells_do_not_depend_on_the_session_zone(spark, tmp_dir):
+    from trailmark.streaming import query_watermark, read_stream_sessions
+
+    _write_files(spark, f"{tmp_dir}/in", LATE)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        until = query_watermark(_cells(spark, tmp_dir))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    whole = _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", until))
+    assert len(whole) == 2
+    assert _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", until, since="2024-01-01T00:20:00+00:00")) == whole
+    assert _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", until, since="2023-12-31T16:20:00-08:00")) == whole
+    with pytest.raises(ValueError, match="zone"):
+        read_stream_sessions(spark, f"{tmp_dir}/cells", until, since="2024-01-01T00:20:00")
+
+
+def test_watermark_after_a_restart(spark, tmp_dir):
+    from trailmark.streaming import checkpoint_watermark, query_watermark, read_stream_sessions, write_stream_sessions
+
+    _write_files(spark, f"{tmp_dir}/in", LATE)
+    until = query_watermark(_cells(spark, tmp_dir))
+    again = _cells(spark, tmp_dir)  # nothing new
+    with pytest.raises(ValueError, match="checkpoint_watermark"):
+        query_watermark(again)
+    with pytest.raises(ValueError, match="until"):
+        read_stream_sessions(spark, f"{tmp_dir}/cells", None)
+    stored = checkpoint_watermark(spark, f"{tmp_dir}/chk_cells")
+    assert dt.datetime.fromisoformat(stored) == dt.datetime.fromisoformat(until)
+    write_stream_sessions(spark, f"{tmp_dir}/cells", stored, f"{tmp_dir}/final")
+    assert _rows(spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/final")) == _rows(read_stream_sessions(spark, f"{tmp_dir}/cells", until))
+
+
+# --------------------------------------------------------------------------- job
+def test_unknown_or_useless_sinks_are_errors(spark, tmp_dir):
+    with pytest.raises(ValueError, match="unknown sink 'json'"):
+        run_pipeline(spark, sinks={"errors": "json"}, input_path=f"{tmp_dir}/in")
+    with pytest.raises(ValueError, match="leave its sink out"):
+        run_pipeline(spark, sinks={"paths": "parquet"}, session_state="spread", input_path=f"{tmp_dir}/in")
+
+
+def test_job_keeps_errors_and_writes_all_time_snapshots(spark, tmp_dir):
+    from trailmark.cli import main
+
+    rows = [_minute(1, eventType="click", x=5, y=5), _minute(2, eventType="error"), ev(timestamp=10**18), _minute(90, pageUrl="b")]
+    _write_files(spark, f"{tmp_dir}/in", [rows])
+    main([f"--inputPath={tmp_dir}/in", f"--outputPath={tmp_dir}/out", f"--checkpointPath={tmp_dir}/chk", "--trigger=availableNow", "--allTime"])
+    assert spark.read.schema(ERRORS_SINK_SCHEMA).parquet(f"{tmp_dir}/out/errors").count() == 1
+    assert read_latest_snapshot(spark, f"{tmp_dir}/out/all_heatmap", HEATMAP_SNAPSHOT_SCHEMA).count() == 1
+    assert [list(r.path) for r in read_latest_snapshot(spark, f"{tmp_dir}/out/all_paths", PATH_SNAPSHOT_SCHEMA).collect()] == [["p1", "b", "p1"]]
+
+
+def test_rejected_event_times_are_counted(spark, tmp_dir):
+    _write_files(spark, f"{tmp_dir}/in", [[_minute(1), ev(timestamp=10**18), ev(timestamp=None), ev(timestamp=-10**17)]])
+    qs = run_pipeline(spark, "files", f"{tmp_dir}/out", f"{tmp_dir}/chk", trigger=NOW, input_path=f"{tmp_dir}/in")
+    for q in qs.values():
+        _run(q)
+    assert sum(p["observedMetrics"]["event_time"]["rejected"] for p in qs["paths"].recentProgress if p["observedMetrics"]) == 2
+
+
+def test_a_failure_before_the_wait_is_raised(spark, tmp_dir):
+    from trailmark.streaming import await_any
+
+    def fail(batch, batch_id):
+        raise RuntimeError("broken sink")
+
+    _write_files(spark, f"{tmp_dir}/in", [[_minute(1)]])
+    bad = _stream(spark, f"{tmp_dir}/in").writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_dir}/c1").start()
+    good = _stream(spark, f"{tmp_dir}/in").writeStream.format("noop").option("checkpointLocation", f"{tmp_dir}/c2").start()
+    while bad.isActive:
+        time.sleep(0.1)
+    with pytest.raises(Exception, match="broken sink"):
+        await_any({"bad": bad, "good": good}, 0.1)
+    assert not good.isActive
+
+
+def test_a_half_written_snapshot_is_passed_over(spark, tmp_dir):
+    from trailmark.streaming import latest_snapshot_id
+
+    _write_files(spark, f"{tmp_dir}/in", [[_minute(1, pageUrl="a")]])
+    _run(start_path_snapshots(_stream(spark, f"{tmp_dir}/in"), f"{tmp_dir}/snap", f"{tmp_dir}/chk", trigger=NOW))
+    os.makedirs(f"{tmp_dir}/snap/snapshot_id=7")
+    with open(f"{tmp_dir}/snap/snapshot_id=7/part-0.json", "w") as f:
+        f.write('{"userId": "half", "path": []}')
+    assert latest_snapshot_id(spark, f"{tmp_dir}/snap") == 0
+    assert [r.userId for r in read_latest_snapshot(spark, f"{tmp_dir}/snap", PATH_SNAPSHOT_SCHEMA).collect()] == ["u1"]

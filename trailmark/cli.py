@@ -1,13 +1,15 @@
 """Command line of the streaming job (J2, J3), for ``spark-submit``.
 
-    spark-submit --py-files trailmark.zip run_job.py --source=files --inputPath=./data/events \
-        --outputPath=./out --checkpointPath=./chk --sessionTimeoutMinutes=30
+    spark-submit --py-files trailmark.zip run_job.py --inputPath=/data/clicks --outputPath=/data/results \
+        --checkpointPath=/data/state --trigger="1 minute" --errorsSink=parquet_updates --allTime
 """
 
 from __future__ import annotations
 
 import sys
 
+from .session import STATE_STORE
+
 # Option names and defaults of the reference job.
 DEFAULT_OPTIONS = {
     "source": "files",
@@ -25,10 +27,18 @@ DEFAULT_OPTIONS = {
 # sets a processing-time trigger; unset = Spark's default (as the reference).
 # --sessionState=spread keeps session-path state per (user, second, page) instead
 # of per user (see trailmark.streaming.sessions).
+# --heatmapSink, --pathsSink, --errorsSink choose parquet, parquet_updates or console.
+# --allTime also writes the all-time snapshots of paths and heatmap.
+# --kafkaOption.NAME=VALUE goes to the Kafka source (maxOffsetsPerTrigger, minPartitions, failOnDataLoss).
 # --maxEventTime="2100-01-01" nulls event times after that instant, so one absurd
 # timestamp cannot push the watermarks past all real data.
 
 
+EXTRA_OPTIONS = {"maxFilesPerTrigger", "trigger", "sessionState", "maxEventTime", "heatmapSink", "pathsSink", "errorsSink",
+                 "allTime"}
+KAFKA_PREFIX = "kafkaOption."
+
+
 def trigger_of(value: str | None) -> dict | None:
     if not value:
         return None
@@ -57,15 +67,31 @@ def options(argv: list[str]) -> dict[str, str]:
     return {**DEFAULT_OPTIONS, **parse_args(argv)}
 
 
-def main(argv: list[str] | None = None) -> None:
+def check_options(opts: dict[str, str]) -> None:
+    unknown = sorted(k for k in opts if k not in DEFAULT_OPTIONS and k not in EXTRA_OPTIONS and not k.startswith(KAFKA_PREFIX))
+    if unknown:
+        raise ValueError(f"unknown options: {', '.join('--' + k for k in unknown)}")
+
+
+def job_session():
+    """The session the job needs: UTC, and a state store that does not live on the heap."""
     from pyspark.sql import SparkSession
 
+    return (
+        SparkSession.builder.appName("trailmark")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+        .getOrCreate()
+    )
+
+
+def main(argv: list[str] | None = None) -> None:
     from .streaming.pipeline import await_all, await_any, run_pipeline
 
     opts = options(sys.argv[1:] if argv is None else argv)
-    spark = SparkSession.builder.appName("trailmark").getOrCreate()
+    check_options(opts)
     queries = run_pipeline(
-        spark,
+        job_session(),
         source=opts["source"],
         output_path=opts["outputPath"],
         checkpoint_path=opts["checkpointPath"],
@@ -74,15 +100,18 @@ def main(argv: list[str] | None = None) -> None:
         brokers=opts["kafkaBrokers"],
         topic=opts["kafkaTopic"],
         starting_offsets=opts["kafkaStartingOffsets"],
+        options={k.removeprefix(KAFKA_PREFIX): v for k, v in opts.items() if k.startswith(KAFKA_PREFIX)},
         max_files_per_trigger=int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None,
         trigger=trigger_of(opts.get("trigger")),
+        sinks={q: opts[f"{q}Sink"] for q in ("heatmap", "paths", "errors") if f"{q}Sink" in opts},
         session_state=opts.get("sessionState", "per_user"),
         max_event_time=opts.get("maxEventTime"),
+        all_time=opts.get("allTime") == "true",
     )
     if opts.get("trigger") == "availableNow":
         await_all(queries)
     else:
-        await_any(spark, queries)
+        await_any(queries)
 
 
 if __name__ == "__main__":

@@ -1,9 +1,16 @@
 """Structured Streaming: sinks, snapshots and the three-query job."""
 
 from .pipeline import await_all, await_any, build_queries, run_pipeline
-from .sessions import query_watermark, read_stream_sessions, start_session_cells
+from .sessions import (
+    checkpoint_watermark,
+    query_watermark,
+    read_stream_sessions,
+    start_session_cells,
+    write_stream_sessions,
+)
 from .sinks import start_console_sink, start_parquet_sink, start_sink, start_update_parquet_sink
 from .snapshots import (
+    latest_snapshot_id,
     read_fragment_paths,
     read_latest_snapshot,
     start_heatmap_snapshots,
@@ -15,6 +22,8 @@ __all__ = [
     "await_all",
     "await_any",
     "build_queries",
+    "checkpoint_watermark",
+    "latest_snapshot_id",
     "query_watermark",
     "read_fragment_paths",
     "read_latest_snapshot",
@@ -28,4 +37,5 @@ __all__ = [
     "start_session_cells",
     "start_sink",
     "start_update_parquet_sink",
+    "write_stream_sessions",
 ]

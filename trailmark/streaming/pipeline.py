@@ -9,9 +9,12 @@ closes.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.time import rejected_event_times
 from ..operators.errors import error_counts
 from ..operators.events import prepare_events, with_event_watermark
 from ..operators.heatmap import click_heatmap
@@ -20,10 +23,12 @@ from ..schema import DEFAULT_SESSION_GAP_MINUTES
 from ..sources.dispatch import read_events
 from .sessions import start_session_cells
 from .sinks import start_sink
+from .snapshots import start_heatmap_snapshots, start_path_snapshots
 
-# Default sink of each query and its output mode per sink, as in the
-# reference job (Parquet takes append only; the console heatmap shows updates).
-DEFAULT_SINKS = {"heatmap": "parquet", "paths": "parquet", "errors": "console"}
+# Default sink of each query and its output mode per sink (Parquet takes append only; the
+# console heatmap shows updates).  The reference prints the errors; here they are kept, since the
+# console shows a few rows of a batch and stores none.
+DEFAULT_SINKS = {"heatmap": "parquet", "paths": "parquet", "errors": "parquet_updates"}
 OUTPUT_MODES = {
     ("heatmap", "parquet"): "append",
     ("heatmap", "console"): "update",
@@ -57,10 +62,14 @@ def run_pipeline(
     sinks: dict[str, str] | None = None,
     max_event_time: str | None = None,
     session_state: str = "per_user",
+    all_time: bool = False,
     **source_opts,
 ) -> dict[str, StreamingQuery]:
     """Read -> events -> start heatmap, paths and errors; returns the queries.
 
+    ``all_time`` also starts the all-time snapshots ``all_paths`` and ``all_heatmap`` (K5, K6).  The
+    paths query counts the rows whose time gave no event time (metric ``event_time``).
+
     ``sinks`` overrides the per-query sink (``parquet``, ``parquet_updates``,
     ``console``); outputs go to ``<output_path>/<name>`` with checkpoints in
     ``<checkpoint_path>/<name>``.  Callers wait with ``await_any`` or
@@ -69,22 +78,31 @@ def run_pipeline(
     ``session_state="spread"`` replaces the per-user ``session_window`` state of
     the paths query by (user, second, page) counts written to
     ``<output_path>/paths`` (see ``streaming.sessions``); read the sessions with
-    ``read_stream_sessions(spark, path, query_watermark(q), timeout)``.
+    ``read_stream_sessions(spark, path, query_watermark(q))`` or store them with
+    ``write_stream_sessions``.
     """
     if session_state not in ("per_user", "spread"):
         raise ValueError(f"session_state must be per_user or spread, got {session_state!r}")
     if session_timeout_minutes is None or session_timeout_minutes <= 0:
         raise ValueError(f"sessionTimeoutMinutes must be positive, got {session_timeout_minutes!r}")
     chosen = {**DEFAULT_SINKS, **(sinks or {})}
+    for name, sink in chosen.items():
+        if (name, sink) not in OUTPUT_MODES:
+            raise ValueError(f"unknown sink {sink!r} of {name!r}")
+    if session_state == "spread" and "paths" in (sinks or {}):
+        raise ValueError("with session_state='spread' the paths query writes its cells; leave its sink out")
     raw = read_events(spark, source, streaming=True, **source_opts)
     events = prepare_events(raw, max_event_time)
+    counted = events.observe("event_time", rejected_event_times())
     started: dict[str, StreamingQuery] = {}
     try:
         if session_state == "spread":
             started["paths"] = start_session_cells(
-                events, f"{output_path}/paths", f"{checkpoint_path}/paths", session_timeout_minutes, trigger
+                counted, f"{output_path}/paths", f"{checkpoint_path}/paths", session_timeout_minutes, trigger
             )
-        for name, df in build_queries(events, session_timeout_minutes).items():
+        results = build_queries(events, session_timeout_minutes) | {
+            "paths": build_queries(counted, session_timeout_minutes)["paths"]}
+        for name, df in results.items():
             if name in started:
                 continue
             started[name] = start_sink(
@@ -96,6 +114,9 @@ def run_pipeline(
                 trigger,
                 query_name=None,
             )
+        if all_time:
+            for name, start in (("all_paths", start_path_snapshots), ("all_heatmap", start_heatmap_snapshots)):
+                started[name] = start(events, f"{output_path}/{name}", f"{checkpoint_path}/{name}", trigger)
     except Exception:
         for q in started.values():
             q.stop()
@@ -103,14 +124,22 @@ def run_pipeline(
     return started
 
 
-def await_any(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
-    """Block until one query ends, then stop all (the reference's shutdown rule)."""
-    spark.streams.resetTerminated()  # forget queries that ended before this job
+def await_any(queries: dict[str, StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Block until one of these queries ends, stop all, raise its failure if it failed.
+
+    Looks at the given queries only: one that failed before the wait counts, and
+    other queries of the session do not.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries.values()):
+            time.sleep(poll_seconds)
     finally:
+        ended = [q for q in queries.values() if not q.isActive]
         for q in queries.values():
             q.stop()
+    for q in ended:
+        if q.exception() is not None:
+            raise q.exception()
 
 
 def await_all(queries: dict[str, StreamingQuery]) -> None:

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,17 +112,28 @@ def read_fragment_paths(spark: SparkSession, out: str) -> DataFrame:
     return assemble_user_paths(spark.read.schema(FRAGMENT_SCHEMA).parquet(out))
 
 
+def latest_snapshot_id(spark: SparkSession, out: str) -> int | None:
+    """The newest snapshot whose writer has committed (its folder holds ``_SUCCESS``).
+
+    Lists the snapshot folders only, not their files, and looks into the newest ones
+    until one is complete.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(out)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return None
+    names = (s.getPath().getName() for s in fs.listStatus(top) if s.isDirectory())
+    ids = sorted((int(m.group(1)) for n in names if (m := re.fullmatch(r"snapshot_id=(\d+)", n))), reverse=True)
+    return next((i for i in ids if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{out}/snapshot_id={i}/_SUCCESS"))), None)
+
+
 def read_latest_snapshot(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """The newest snapshot under ``out`` (empty result if none was written).
+    """The newest complete snapshot under ``out`` (empty result if none was written).
 
-    The newest id comes from the file listing (``inputFiles``, metadata only), so
-    older snapshots are never read.
+    A snapshot that is being written, or whose writer failed, is passed over.
     """
-    try:
-        files = spark.read.schema(schema).json(out).inputFiles()
-    except AnalysisException:  # nothing written yet
-        files = []
-    ids = [int(m.group(1)) for f in files if (m := re.search(r"/snapshot_id=(\d+)/", f))]
-    if not ids:
+    newest = latest_snapshot_id(spark, out)
+    if newest is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(f"{out}/snapshot_id={max(ids)}")
+    return spark.read.schema(schema).json(f"{out}/snapshot_id={newest}")
