@@ -13,7 +13,7 @@ Two plans give the same rows:
 * ``"chunked"`` (batch default) -- a skew-safe composition.  Rows are first
   combined map-side to distinct (user, second, page) counts.  Time is cut into
   chunks one gap long; a chunk never contains a session break, so sessions are
-  found on one summary row per (user, chunk) -- a window whose size per user is
+  found on one row per (user, chunk) -- a window whose size per user is
   bounded by time span / gap, never by event count -- and joined back.  No step
   sorts a user's events in one task; only the final (user, session) aggregate
   holds a whole path, which is the result row itself.
@@ -79,17 +79,19 @@ def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
 #    burst of identical events costs one row from here on.  NULL userId is a key
 #    of its own, carried as the non-NULL pair (uk, un) so joins and hash
 #    partitioning line up; chunk is coalesced so no NULL filter is inferred.
-# 2. chunks: one row per (user, chunk).  Two seconds of one chunk are less than a
+# 2. chunked: one row per (user, chunk) with its cells; a chunk is one gap long, so its list
+#    is bounded by the gap, not by the user.  Two seconds of one chunk are less than a
 #    gap apart, so a chunk never holds a session break; a chunk continues the
 #    session before it iff the previous chunk is the adjacent one and its last
-#    second is <= gap away.  (Catalyst folds the two aggregates of this branch
-#    into one and prunes the page: this side scans only user and time columns.)
+#    second is <= gap away.  Both branches below read this very aggregate (first and last
+#    second are taken from the list), so its scan and its shuffle run once and are
+#    reused (ReusedExchange).
 # 3. starts: session start of a chunk = first second of the latest chunk (up to
 #    this one) that does not continue its predecessor.  Rows per user in this
 #    window are bounded by the user's time span / gap, not by its event count.
-# 4. every (second, page) row gets its session start through a shuffled hash join
-#    on (user, chunk): `starts` grows with the data, so it is never broadcast, and
-#    a broadcast would also let the join inherit the per-user partitioning of the
+# 4. every chunk gets its session start through a shuffled hash join on (user, chunk),
+#    the partitioning that step 2 left: `starts` grows with the data, so it is never
+#    broadcast, and a broadcast would also let the join inherit the per-user partitioning of the
 #    window and skip the exchange below, putting a hot user's sessions in one task.
 #    Then one row per session (exchange on user and session start), with
 #    the path in (second, page NULL first) order and counts expanded again (only
@@ -103,25 +105,26 @@ GROUP BY uk, un, s, pageUrl
 
 _SESSIONS_SQL = """
 WITH cells AS (SELECT uk, un, s, pageUrl, n, coalesce(floor(s / {gap}), 0) AS chunk FROM {cells}),
-chunks AS (
-  SELECT uk, un, chunk, min(s) AS first_s, max(s) AS last_s FROM cells GROUP BY uk, un, chunk),
+chunked AS (
+  SELECT uk, un, chunk, sort_array(collect_list(struct(s, pageUrl, n))) AS cells FROM cells GROUP BY uk, un, chunk),
 linked AS (
   SELECT uk, un, chunk, first_s,
     coalesce(lag(chunk) OVER w = chunk - 1 AND first_s - lag(last_s) OVER w <= {gap}, false) AS continues
-  FROM chunks WINDOW w AS (PARTITION BY uk, un ORDER BY chunk)),
+  FROM (SELECT uk, un, chunk, cells[0].s AS first_s, element_at(cells, -1).s AS last_s FROM chunked)
+  WINDOW w AS (PARTITION BY uk, un ORDER BY chunk)),
 starts AS (
   SELECT uk, un, chunk, last(CASE WHEN NOT continues THEN first_s END, true) OVER (
     PARTITION BY uk, un ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS start_s
   FROM linked)
 SELECT CASE WHEN NOT un THEN uk END AS userId,
   timestamp_seconds(start_s) AS sessionStart,
-  timestamp_seconds(last_s + {gap}) AS sessionEnd,
-  CASE WHEN max_n = 1 THEN transform(cells, x -> x.pageUrl)
+  timestamp_seconds(element_at(cells, -1).s + {gap}) AS sessionEnd,
+  CASE WHEN NOT exists(cells, x -> x.n > 1) THEN transform(cells, x -> x.pageUrl)
        ELSE flatten(transform(cells, x -> array_repeat(x.pageUrl, cast(x.n AS int)))) END AS path
 FROM (
-  SELECT /*+ SHUFFLE_HASH(starts) */ uk, un, start_s, max(s) AS last_s, max(n) AS max_n,
-    sort_array(collect_list(struct(s, pageUrl, n))) AS cells
-  FROM cells JOIN starts USING (uk, un, chunk)
+  SELECT /*+ SHUFFLE_HASH(starts) */ uk, un, start_s, flatten(transform(
+    sort_array(collect_list(struct(chunk, cells))), x -> x.cells)) AS cells
+  FROM chunked JOIN starts USING (uk, un, chunk)
   GROUP BY uk, un, start_s)
 """
 
