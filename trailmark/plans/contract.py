@@ -25,11 +25,11 @@ from ..operators.events import prepare_events, with_event_watermark
 from ..operators.heatmap import click_heatmap, click_heatmap_total, top_heatmap
 from ..operators.sessions import session_paths
 from ..operators.user_paths import preview_user_paths_of, user_paths
-from ..session import scratch_dir
+from ..session import ensure_utc, scratch_dir
 from ..sources.files import read_events_files, write_events_json
 from ..sources.kafka import decode_events, encode_events
-from ..sources.tables import stream_web_events, web_events
-from ..streaming.sessions import query_watermark, read_stream_sessions, start_session_cells
+from ..sources.tables import ARRIVAL_BATCHES, arrivals, events_table, stream_web_events, web_events, web_events_from_table
+from ..streaming.sessions import checkpoint_watermark, query_watermark, read_stream_sessions, start_session_cells
 from ..streaming.sinks import start_parquet_sink, start_update_parquet_sink
 from ..streaming.snapshots import (
     HEATMAP_SNAPSHOT_SCHEMA,
@@ -225,6 +225,34 @@ def q_stream_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fragment_paths(spark, f"{base}/out").select("userId", path_text().alias("path_text"))
 
 
+def _run_batches(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str], object]) -> str:
+    """Late and repeated arrivals: the query is restarted on its checkpoint for each batch of new files.
+
+    ``start`` gets the stream and the base folder and returns the started query.
+    """
+    ensure_utc(spark)
+    base = scratch_dir(spark, "stream")
+    raw = events_table(spark, sf_dir)
+    for batch in range(ARRIVAL_BATCHES):
+        write_events_json(web_events_from_table(arrivals(raw, batch)), f"{base}/input", mode="append")
+        _run(start(prepare_events(read_events_files(spark, f"{base}/input", streaming=True)), base))
+    return base
+
+
+def q_stream_session_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spread-state sessions over four batches with late rows, restarted between them."""
+    base = _run_batches(spark, sf_dir, lambda events, base: start_session_cells(
+        events, f"{base}/out", f"{base}/chk", STREAM_TIMEOUT_MINUTES, trigger=AVAILABLE_NOW))
+    return _session_shape(read_stream_sessions(spark, f"{base}/out", checkpoint_watermark(spark, f"{base}/chk")))
+
+
+def q_stream_errors_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every update row over four batches: a window that several batches touch repeats with growing counts."""
+    base = _run_batches(spark, sf_dir, lambda events, base: start_update_parquet_sink(
+        error_counts(with_event_watermark(events, STREAM_TIMEOUT_MINUTES)), f"{base}/out", f"{base}/chk", trigger=AVAILABLE_NOW))
+    return _flat_window(spark.read.schema(ERRORS_SINK_SCHEMA).parquet(f"{base}/out").drop("batch_id"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "event_time": q_event_time,
@@ -246,6 +274,8 @@ def queries() -> dict[str, QueryFn]:
         "snapshot_heatmap": q_snapshot_heatmap,
         "stream_user_paths": q_stream_user_paths,
         "stream_session_cells": q_stream_session_cells,
+        "stream_session_late": q_stream_session_late,
+        "stream_errors_late": q_stream_errors_late,
     }
 
 

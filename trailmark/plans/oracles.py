@@ -9,14 +9,14 @@ from __future__ import annotations
 
 WEB = """
 WITH raw AS (SELECT *, cast(json_extract_string(props, '$.k') AS int) k FROM events),
-web AS (SELECT 'u' || user_id AS userId,
-  1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 30 AS "timestamp",
+web AS (SELECT CASE WHEN k IS NULL OR k <> 98 THEN 'u' || user_id END AS userId,
+  CASE WHEN event_id % 101 <> 7 THEN 1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 30 END AS "timestamp",
   event_type AS eventType,
   CASE WHEN k = 99 THEN NULL ELSE 'https://site.example/p' || (k % 5) END AS pageUrl,
   '' AS referrer,
-  '#e' || (event_id % 2) AS element,
-  CASE WHEN event_type = 'click' THEN cast(floor(value) AS int) % 200 END AS x,
-  CASE WHEN event_type = 'click' THEN cast((event_id * 37) % 150 AS int) END AS y,
+  CASE event_id % 23 WHEN 5 THEN NULL WHEN 6 THEN '' ELSE '#e' || (event_id % 2) END AS element,
+  CASE WHEN event_type = 'click' AND event_id % 29 <> 3 THEN cast(floor(value) AS int) % 200 - 60 END AS x,
+  CASE WHEN event_type = 'click' THEN cast((event_id * 37) % 150 AS int) - 40 END AS y,
   CASE user_id % 3 WHEN 0 THEN 1280 WHEN 1 THEN 1440 ELSE 1920 END AS screenWidth,
   CASE user_id % 3 WHEN 0 THEN 800 WHEN 1 THEN 900 ELSE 1080 END AS screenHeight,
   props AS meta
@@ -91,6 +91,44 @@ p AS (SELECT userId, list(pageUrl ORDER BY "timestamp", pageUrl) AS path
 """
 
 
+# Late arrivals: batch of a row (event time plus its own delay, six hours a batch), and for each
+# batch the latest event time of the batches before it, over the rows that move the watermark.
+def _arrived(where: str) -> str:
+    web = WEB.replace("props AS meta\n  FROM raw)", "props AS meta, greatest(0, least(3, ((epoch_us(ts) // 1000 - 1704067200000) // 30"
+                      " + event_id % 97 * 60000) // 21600000)) AS batch\n  FROM raw)")
+    return web + f""",
+av AS (SELECT * FROM ev WHERE eventTime IS NOT NULL AND {where}),
+tops AS (SELECT batch, max(eventTime) AS top FROM av GROUP BY batch),
+seen AS (SELECT b.batch, (SELECT max(top) FROM tops t WHERE t.batch < b.batch) AS before FROM tops b)"""
+
+
+def _session_late() -> str:
+    # a row is late once its time is at or before the cells' watermark (30 minutes delay and one gap)
+    return _arrived("true") + f""",
+kept AS (SELECT av.* FROM av JOIN seen USING (batch) WHERE before IS NULL OR eventTime > before - INTERVAL 60 MINUTE),
+b AS (SELECT *, CASE WHEN eventTime - lag(eventTime) OVER (PARTITION BY userId ORDER BY eventTime)
+                     <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS nb FROM kept),
+sx AS (SELECT *, sum(nb) OVER (PARTITION BY userId ORDER BY eventTime ROWS UNBOUNDED PRECEDING) AS sid FROM b),
+s AS (SELECT userId, min(eventTime) AS sessionStart, max(eventTime) + INTERVAL 30 MINUTE AS sessionEnd,
+        list(pageUrl ORDER BY eventTime, pageUrl NULLS FIRST) AS path FROM sx GROUP BY userId, sid)
+SELECT userId, sessionStart, sessionEnd, {_path_text('path')} AS path_text FROM s
+WHERE sessionEnd <= (SELECT max(top) FROM tops) - INTERVAL 60 MINUTE
+"""
+
+
+def _errors_late() -> str:
+    # a row is late once its window ends at or before the watermark; only errors move it
+    return _arrived("eventType = 'error'") + """,
+w AS (SELECT av.*, time_bucket(INTERVAL 5 MINUTE, eventTime, TIMESTAMP '1970-01-01') AS window_start, before
+      FROM av JOIN seen USING (batch)),
+kept AS (SELECT * FROM w WHERE before IS NULL OR window_start + INTERVAL 5 MINUTE > before - INTERVAL 30 MINUTE),
+per AS (SELECT batch, window_start, pageUrl, count(*) AS n FROM kept GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, pageUrl,
+  cast(sum(n) OVER (PARTITION BY window_start, pageUrl ORDER BY batch) AS BIGINT) AS "count"
+FROM per
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "event_time": _event_time(),
@@ -112,12 +150,14 @@ def oracles() -> dict[str, str]:
         # only for the heatmap: the filter sits below the watermark).
         "stream_heatmap_append": "SELECT * FROM (" + _heatmap_10m() + ") h WHERE window_end <= "
         "(SELECT max(make_timestamp(((1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 30) // 1000)"
-        " * 1000000)) FROM events WHERE event_type = 'click') - INTERVAL 30 MINUTE",
+        " * 1000000)) FROM events WHERE event_type = 'click' AND event_id % 101 <> 7) - INTERVAL 30 MINUTE",
         "stream_paths_append": _session_paths(30, "WHERE sessionEnd <= (SELECT max(eventTime) FROM ev) - INTERVAL 30 MINUTE"),
         # The spread-state plan: its watermark is one gap behind the job's.
         "stream_session_cells": _session_paths(
             30, "WHERE sessionEnd <= (SELECT max(eventTime) FROM ev) - INTERVAL 60 MINUTE"),
         "stream_errors_update": _errors_5m(),
+        "stream_session_late": _session_late(),
+        "stream_errors_late": _errors_late(),
         "snapshot_paths": WEB + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
         "snapshot_heatmap": WEB + _HEATMAP_TOTAL,
         # Bounded-state paths: only minutes closed by the watermark, which moves with

@@ -3,7 +3,8 @@
 The table has no page, element or coordinates and spreads 30 days of events so
 thin that 30-minute sessions are single events.  This mapping derives the missing
 fields from existing columns and compresses time 30:1, so every analysis has
-real work to do.  It is a projection only (no shuffle); Catalyst prunes the
+real work to do; some rows lack a user, time, page, element or coordinate, and some
+coordinates are negative.  It is a projection only (no shuffle); Catalyst prunes the
 columns a query does not use and pushes filters into the Parquet scan.
 """
 
@@ -21,6 +22,15 @@ MAP_TIME_COMPRESSION = 30
 MAP_PAGE_STEM = "https://site.example/p"
 MAP_PAGES = 5
 MAP_NO_PAGE_K = 99
+MAP_NO_USER_K = 98
+# event_id modulus and remainder of rows without a time, without and with an empty element, without x
+MAP_NO_TIME = (101, 7)
+MAP_NO_ELEMENT = (23, 5)
+MAP_EMPTY_ELEMENT = (23, 6)
+MAP_NO_X = (29, 3)
+# coordinates start below zero
+MAP_X_FROM = -60
+MAP_Y_FROM = -40
 MAP_ELEMENT_STEM = "#e"
 MAP_ELEMENTS = 2
 MAP_X_RANGE = 200
@@ -46,22 +56,41 @@ def stream_events_table(spark: SparkSession, sf_dir: str, max_files_per_trigger:
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
 
 
+# Arrivals in four batches of six compressed hours, up to 96 minutes late.
+ARRIVAL_BATCHES = 4
+ARRIVAL_BATCH_MS = 6 * 3_600_000
+ARRIVAL_DELAYS_MINUTES = 97
+
+
+def arrivals(raw: DataFrame, batch: int) -> DataFrame:
+    """The rows of ``events`` that arrive in a batch: event time plus a delay of the row's own."""
+    at = (f"(unix_millis(cast(ts AS timestamp)) - {MAP_EPOCH_MS}) div {MAP_TIME_COMPRESSION}"
+          f" + event_id % {ARRIVAL_DELAYS_MINUTES} * 60000")
+    return raw.filter(f"greatest(0, least({ARRIVAL_BATCHES - 1}, ({at}) div {ARRIVAL_BATCH_MS})) = {batch}")
+
+
 def _screen(i: int) -> str:
     whens = " ".join(f"WHEN {n} THEN {dims[i]}" for n, dims in enumerate(MAP_SCREENS))
     return f"CASE user_id % {len(MAP_SCREENS)} {whens} END"
 
 
+def _is(rule: tuple[int, int]) -> str:
+    return f"event_id % {rule[0]} = {rule[1]}"
+
+
 # One SQL expression per event field (a single ``selectExpr``: one analysis pass).
 _MAPPING = [
-    "concat('u', cast(user_id AS string)) AS userId",
-    f"{MAP_EPOCH_MS} + (unix_millis(cast(ts AS timestamp)) - {MAP_EPOCH_MS}) div {MAP_TIME_COMPRESSION} AS timestamp",
+    f"CASE WHEN k IS NULL OR k <> {MAP_NO_USER_K} THEN concat('u', cast(user_id AS string)) END AS userId",
+    f"CASE WHEN NOT {_is(MAP_NO_TIME)} THEN "
+    f"{MAP_EPOCH_MS} + (unix_millis(cast(ts AS timestamp)) - {MAP_EPOCH_MS}) div {MAP_TIME_COMPRESSION} END AS timestamp",
     "event_type AS eventType",
     f"CASE WHEN k = {MAP_NO_PAGE_K} THEN NULL ELSE concat('{MAP_PAGE_STEM}', cast(k % {MAP_PAGES} AS string)) END"
     " AS pageUrl",
     "'' AS referrer",
-    f"concat('{MAP_ELEMENT_STEM}', cast(event_id % {MAP_ELEMENTS} AS string)) AS element",
-    f"CASE WHEN event_type = 'click' THEN cast(floor(value) AS int) % {MAP_X_RANGE} END AS x",
-    f"CASE WHEN event_type = 'click' THEN cast((event_id * {MAP_Y_MULTIPLIER}) % {MAP_Y_RANGE} AS int) END AS y",
+    f"CASE WHEN {_is(MAP_NO_ELEMENT)} THEN NULL WHEN {_is(MAP_EMPTY_ELEMENT)} THEN '' "
+    f"ELSE concat('{MAP_ELEMENT_STEM}', cast(event_id % {MAP_ELEMENTS} AS string)) END AS element",
+    f"CASE WHEN event_type = 'click' AND NOT {_is(MAP_NO_X)} THEN cast(floor(value) AS int) % {MAP_X_RANGE} + {MAP_X_FROM} END AS x",
+    f"CASE WHEN event_type = 'click' THEN cast((event_id * {MAP_Y_MULTIPLIER}) % {MAP_Y_RANGE} AS int) + {MAP_Y_FROM} END AS y",
     f"{_screen(0)} AS screenWidth",
     f"{_screen(1)} AS screenHeight",
     "props AS meta",
