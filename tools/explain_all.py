@@ -17,6 +17,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from trailmark.plans.contract import queries  # noqa: E402
+
 STREAMING = ("stream_", "snapshot_", "jsonl_source")
 
 
@@ -82,9 +84,18 @@ def streaming_plans(spark) -> list[str]:
     return out
 
 
+def reused_exchange(spark, sf: str) -> list[str]:
+    """The exchanges and scans that the session plan ran (AQE's final plan)."""
+    df = queries()["session_paths_30m"](spark, sf)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [re.sub(r"#[0-9]+L?|, \[plan_id=\d+\]", "", line.strip(" :+-"))[:150] for line in final.splitlines()
+             if re.search("Exchange|Scan parquet|Join", line)]
+    return ["### `session_paths_30m`, as run", "", "```", *lines, "```", ""]
+
+
 def main() -> None:
     from trailmark.session import build_session
-    import __spark_entry__ as entry
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16, extra={"spark.ui.showConsoleProgress": "false"})
@@ -92,15 +103,15 @@ def main() -> None:
            f"Generated by `python tools/explain_all.py {sf}` (Spark {spark.version}, plans before AQE).", "",
            "What to check: click/error filters appear as `PushedFilters` on the Parquet scan; `ReadSchema`",
            "lists only the columns a query needs; aggregates are partial + final around one hash exchange;",
-           "the session plan's second scan reads only `ts, user_id` (session boundaries need no page);",
-           "`RoundRobinPartitioning(8)` is the narrow-scan spread of the single-row-group test table",
-           "(absent when the input has more splits than cores); the session plan joins its per-(user, chunk)",
-           "summary with a shuffled hash join (it grows with the data, so it is never broadcast) and",
-           "re-partitions by (user, session start) before building paths, so no task holds a whole user.", ""]
-    for name, q in entry.queries().items():
+           "the session plan joins its per-(user, chunk) rows with a shuffled hash join (they grow with the",
+           "data, so they are never broadcast) and re-partitions by (user, session start) before building",
+           "paths, so no task holds a whole user.  Both branches of that join are the same subtree here; at",
+           "run time the second one is a `ReusedExchange` of the first (shown at the end).", ""]
+    for name, q in queries().items():
         if name.startswith(STREAMING):
             continue
         out += summarise(name, explain(q(spark, sf)))
+    out += reused_exchange(spark, sf)
     out += streaming_plans(spark)
     print("\n".join(out))
     spark.stop()
