@@ -287,11 +287,11 @@ def test_fixture_in_four_time_ordered_files(spark, tmp_dir):
     stream = session_paths(with_event_watermark(_stream(spark, f"{tmp_dir}/in", max_files=1), 30), 30)
     _run(start_parquet_sink(stream, f"{tmp_dir}/out", f"{tmp_dir}/chk", trigger=NOW))
     got = sorted(map(tuple, spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{tmp_dir}/out")
-                     .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()))
+                     .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()), key=str)
     events = prepare_events(web)
     limit = events.agg(F.max("eventTime")).first()[0] - dt.timedelta(minutes=30)
     batch = sorted(map(tuple, session_paths(events, 30).filter(F.col("sessionEnd") <= F.lit(limit))
-                       .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()))
+                       .selectExpr("userId", "sessionStart", "sessionEnd", "array_join(path, '|', '<null>')").collect()), key=str)
     assert got == batch and len(got) > 50
 
 
