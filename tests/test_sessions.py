@@ -91,3 +91,14 @@ def test_negative_times(spark):
     rows = [ev(timestamp=-1500, pageUrl="a"), ev(timestamp=-500, pageUrl="b"), ev(timestamp=200_000, pageUrl="c")]
     a, b = _both(spark, rows, 2)
     assert a == b == brute.sessions([("u1", -1500, "a"), ("u1", -500, "b"), ("u1", 200_000, "c")], 120)
+
+
+@pytest.mark.parametrize("strategy", ["chunked", "session_window"])
+def test_path_order_by_milliseconds(spark, strategy):
+    rows = [ev(timestamp=T0 + ms, pageUrl=p) for ms, p in [(900, "a"), (100, "c"), (100, "b"), (100, None), (100, "b"), (1500, "a"), (1200, "z")]]
+    events = prepare_events(events_df(spark, rows))
+    by = {o: [list(r.path) for r in session_paths(events, 1, strategy=strategy, order=o).collect()] for o in ("seconds", "millis")}
+    assert by["millis"] == [[None, "b", "b", "c", "a", "z", "a"]]
+    assert by["seconds"] == [[None, "a", "b", "b", "c", "a", "z"]]
+    with pytest.raises(ValueError, match="order"):
+        session_paths(events, 1, order="page")

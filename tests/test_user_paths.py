@@ -4,7 +4,14 @@ import pytest
 
 import brute
 from conftest import T0, ev, events_df
-from trailmark.operators import prepare_events, preview_user_paths, user_paths
+from trailmark.operators import (
+    prepare_events,
+    preview_user_paths,
+    preview_user_paths_of,
+    user_path_chunks,
+    user_path_fragments,
+    user_paths,
+)
 
 
 def _paths(df):
@@ -55,3 +62,16 @@ def test_preview(spark):
     rows = [ev(userId=f"u{i}", timestamp=T0 + j, pageUrl=f"p{j}") for i in range(8) for j in range(3)]
     got = [(r.userId, r.path_text) for r in preview_user_paths(user_paths(prepare_events(events_df(spark, rows)))).collect()]
     assert got == [(f"u{i}", "p0 -> p1 -> p2") for i in range(5)]
+
+
+def test_pieces_of_a_path_make_the_path_and_previews_agree(spark):
+    rnd = random.Random(3)
+    rows = [ev(userId=rnd.choice(["u1", "u2", None, "", "z"]), timestamp=rnd.choice([None, T0 + rnd.randint(0, 600_000)]),
+               pageUrl=rnd.choice(["a", "b", "", None])) for _ in range(500)]
+    events = prepare_events(events_df(spark, rows))
+    whole = _paths(user_paths(events))
+    pieces = {}
+    for r in sorted(user_path_chunks(user_path_fragments(events)).collect(), key=lambda r: (r.no_time, r.chunk or 0)):
+        pieces.setdefault(r.userId, []).extend(r.pages)
+    assert {u: tuple(p) for u, p in pieces.items()} == whole
+    assert [tuple(r) for r in preview_user_paths_of(events, 3).collect()] == [tuple(r) for r in preview_user_paths(user_paths(events), 3).collect()]

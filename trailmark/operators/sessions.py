@@ -46,22 +46,30 @@ def session_paths(
     events: DataFrame,
     gap_minutes: float = DEFAULT_SESSION_GAP_MINUTES,
     strategy: str = "auto",
+    order: str = "seconds",
 ) -> DataFrame:
-    """A2 + O1 + P6 + P7: ``userId, sessionStart, sessionEnd, path array<string>``."""
+    """A2 + O1 + P6 + P7: ``userId, sessionStart, sessionEnd, path array<string>``.
+
+    ``order="millis"`` orders a path by the event's milliseconds, then page, instead of by its
+    whole second, then page.
+    """
     gap_s = _gap_seconds(gap_minutes)
+    if order not in ("seconds", "millis"):
+        raise ValueError(f"unknown path order {order!r} (expected seconds|millis)")
     if strategy == "auto":
         strategy = "session_window" if events.isStreaming else "chunked"
     if strategy == "session_window":
-        return _with_session_window(events, gap_minutes)
+        return _with_session_window(events, gap_minutes, order)
     if strategy == "chunked":
         if events.isStreaming:
             raise ValueError("the chunked plan is batch-only; streaming uses session_window")
-        return _chunked(events, gap_s)
+        return _chunked(events, gap_s, order)
     raise ValueError(f"unknown session strategy {strategy!r} (expected auto|chunked|session_window)")
 
 
-def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
-    pages = F.sort_array(F.collect_list(F.struct(F.col(EVENT_TIME), F.col("pageUrl"))))
+def _with_session_window(events: DataFrame, gap_minutes: float, order: str) -> DataFrame:
+    at = EVENT_TIME if order == "seconds" else "timestamp"
+    pages = F.sort_array(F.collect_list(F.struct(F.col(at), F.col("pageUrl"))))
     return (
         events.groupBy("userId", F.session_window(EVENT_TIME, _gap_text(gap_minutes)).alias("session_window"))
         .agg(pages.alias("pages"))
@@ -97,16 +105,16 @@ def _with_session_window(events: DataFrame, gap_minutes: float) -> DataFrame:
 #    the path in (second, page NULL first) order and counts expanded again (only
 #    sessions that had duplicates pay for the expansion).
 _CELLS_SQL = """
-SELECT uk, un, s, pageUrl, count(1) AS n
-FROM (SELECT coalesce(userId, '') AS uk, userId IS NULL AS un, unix_seconds(eventTime) AS s, pageUrl
+SELECT uk, un, s, o, pageUrl, count(1) AS n
+FROM (SELECT coalesce(userId, '') AS uk, userId IS NULL AS un, unix_seconds(eventTime) AS s, o, pageUrl
       FROM {events} WHERE eventTime IS NOT NULL)
-GROUP BY uk, un, s, pageUrl
+GROUP BY uk, un, s, o, pageUrl
 """
 
 _SESSIONS_SQL = """
-WITH cells AS (SELECT uk, un, s, pageUrl, n, coalesce(floor(s / {gap}), 0) AS chunk FROM {cells}),
+WITH cells AS (SELECT uk, un, s, o, pageUrl, n, coalesce(floor(s / {gap}), 0) AS chunk FROM {cells}),
 chunked AS (
-  SELECT uk, un, chunk, sort_array(collect_list(struct(s, pageUrl, n))) AS cells FROM cells GROUP BY uk, un, chunk),
+  SELECT uk, un, chunk, sort_array(collect_list(struct(s, o, pageUrl, n))) AS cells FROM cells GROUP BY uk, un, chunk),
 linked AS (
   SELECT uk, un, chunk, first_s,
     coalesce(lag(chunk) OVER w = chunk - 1 AND first_s - lag(last_s) OVER w <= {gap}, false) AS continues
@@ -129,9 +137,13 @@ FROM (
 """
 
 
-def session_cells(events: DataFrame) -> DataFrame:
-    """Step 1 (batch): ``uk, un, s, pageUrl, n`` -- distinct (user, second, page) counts."""
-    cols = events.select("userId", EVENT_TIME, "pageUrl")
+def session_cells(events: DataFrame, order: str = "seconds") -> DataFrame:
+    """Step 1 (batch): ``uk, un, s, o, pageUrl, n`` -- distinct (user, second, page) counts.
+
+    ``o`` orders pages inside a second: 0, or the event's milliseconds.
+    """
+    inside = F.lit(0).cast("long") if order == "seconds" else F.col("timestamp")
+    cols = events.select("userId", EVENT_TIME, "pageUrl", inside.alias("o"))
     return events.sparkSession.sql(_CELLS_SQL, events=cols)
 
 
@@ -142,9 +154,11 @@ def sessions_from_cells(cells: DataFrame, gap_minutes: float = DEFAULT_SESSION_G
     (``streaming.sessions``); it needs ``uk, un, s, pageUrl, n``; the
     chunks follow from the gap given here, not from the one a writer used.
     """
+    if "o" not in cells.columns:
+        cells = cells.withColumn("o", F.lit(0).cast("long"))
     return cells.sparkSession.sql(_SESSIONS_SQL, cells=cells, gap=_gap_seconds(gap_minutes))
 
 
-def _chunked(events: DataFrame, gap_s: int) -> DataFrame:
+def _chunked(events: DataFrame, gap_s: int, order: str) -> DataFrame:
     gap_minutes = gap_s / 60
-    return sessions_from_cells(session_cells(events), gap_minutes)
+    return sessions_from_cells(session_cells(events, order), gap_minutes)
