@@ -171,6 +171,8 @@ def test_main_text_of_odd_pages():
     assert html.main_text("<article><h1>T</h1>a<br>b&nbsp;c<p>d<p>e<![if x]>f</article>") == "T\n\na b c\n\nd\n\nef"
     assert len(html.main_text("<article><p>" + "word " * 100_000 + "</p></article>")) == 499_999
     assert html.main_text("<article><p>a</p></div></p></span><p>b</p>") == "a\n\nb"
+    assert html.main_text("<article><div class=ad>Buy<p>a</p><p>b</p></article>") == "Buy\n\na\n\nb"
+    assert html.main_text("<div class=comments><p>all there is</p></div><nav>menu</nav>") == "all there is"
 
 
 def test_extract_pages_carries_ids(spark):

@@ -13,7 +13,8 @@ element the threshold is a share of the highest window, and every stretch that h
 a good share of the largest is kept.
 
 Defined cases: null and empty pages have empty text; pages without markup are one
-block; unclosed elements end with their parent; character references are decoded
+block; unclosed elements end with their parent, and if an unclosed part beside the article
+swallows all of it, names no longer mark parts; character references are decoded
 once; nothing is capped; repeated rows give repeated results; an empty table gives no
 rows; extra columns are not carried.  Row by row, no shuffle.
 """
@@ -51,7 +52,8 @@ _SILENT_NAMES = frozenset("ad ads adv advert adverts advertisement advertising a
                           "comments commentlist consent cookie cookies disqus disclaimer footer gdpr header masthead menu modal "
                           "nav navbar navigation newsletter notice notification overlay pager pagination popup promo "
                           "promotion recommended related replies reply share sharing sidebar signup social sponsor "
-                          "sponsored subscribe subscription toolbar widget".split())
+                          "sponsored subscribe subscription toolbar widget copyright login search alert discussion responses "
+                          "topbar subnav paywall".split())
 _ARTICLE_NAMES = frozenset("ad ads advert advertisement comment comments promo related replies reply sponsored teaser".split())
 #: What an element closes when it opens (implied end tags).
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -70,8 +72,9 @@ def _names(attrs: dict[str, str | None]) -> set[str]:
 class _Lines(HTMLParser):
     """Lines of a page: (text, weight, in a declared article)."""
 
-    def __init__(self) -> None:
+    def __init__(self, use_names: bool = True) -> None:
         super().__init__(convert_charrefs=True)
+        self.use_names = use_names
         self.lines: list[tuple[str, int, bool]] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -90,12 +93,14 @@ class _Lines(HTMLParser):
         if tag in _SILENT or "hidden" in attrs or attrs.get("aria-hidden") == "true" or \
                 "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
             return True
+        if (attrs.get("role") or "").lower() in _SILENT_ROLES:
+            return True
         if tag == "header":
             return not self.main
+        if not self.use_names:
+            return False
         if tag in _HEADINGS or tag == "p":
             return bool(_names(attrs) & _ARTICLE_NAMES)
-        if (attrs.get("role") or "").lower() in _SILENT_ROLES:
-            return True
         return bool(_names(attrs) & (_ARTICLE_NAMES if tag == "article" else _SILENT_NAMES))
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
@@ -168,9 +173,12 @@ def stretches(weights: np.ndarray, window: int, threshold: float) -> list[tuple[
 
 
 def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    parser = _Lines()
+    """The main text; a page that class and id names leave without any is read again without them."""
+    return (_text(html, True) or _text(html, False)) if html else ""
+
+
+def _text(html: str, use_names: bool) -> str:
+    parser = _Lines(use_names)
     parser.feed(html)
     parser.close()
     parser.flush()
