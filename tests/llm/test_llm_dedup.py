@@ -220,7 +220,9 @@ def repeat_rows():
     return rows
 
 
-def test_remove_repeats_against_brute_force(spark):
+@pytest.mark.parametrize("cap", [rl.MINIMIZER_CAP, 1])
+def test_remove_repeats_against_brute_force(spark, monkeypatch, cap):
+    monkeypatch.setattr(rl, "MINIMIZER_CAP", cap)
     rows = repeat_rows()
     got = rl.remove_repeats(docs(spark, rows)).collect()
     marks = repeats_brute([((i is None, i or 0), (t or "").encode()) for i, t in rows], rl.MATCH)
@@ -235,6 +237,32 @@ def test_remove_repeats_against_brute_force(spark):
     assert rl.remove_repeats(docs(spark, [])).collect() == []
 
 
+def test_decisions_do_not_depend_on_batches():
+    rng = np.random.default_rng(0)
+    n = 400
+    cols = {"minimizer": rng.integers(0, 60, n), "segment": rng.integers(0, 2, n), "doc": rng.integers(0, 9, n),
+            "twin": np.zeros(n, np.int32), "start": rng.integers(0, 3, n), "windows": np.full(n, 5, np.int32)}
+    order = np.lexsort([cols[c] for c in ("start", "doc", "segment", "minimizer")])
+    cols = {c: v[order] for c, v in cols.items()}
+    cols["inner"] = cols["minimizer"] % 7 == 0
+    batch = rl.pa.RecordBatch.from_pydict(cols)
+    expected = []
+    seen, places = set(), set()
+    kinds = {m: len(set(cols["segment"][cols["minimizer"] == m])) for m in set(cols["minimizer"].tolist())}
+    for m, g, d, s, i in zip(*[cols[c].tolist() for c in ("minimizer", "segment", "doc", "start", "inner")], strict=True):
+        if (m, g) not in seen:
+            if kinds[m] > 1 or i:
+                expected.append((m, d, s, False))
+        elif (m, g, d, s) not in places:
+            expected.append((m, d, s, True))
+        seen.add((m, g))
+        places.add((m, g, d, s))
+    for size in (1, 3, 50, n):
+        parts = [batch.slice(i, size) for i in range(0, n, size)]
+        got = [(r["minimizer"], r["doc"], r["start"], r["repeated"]) for b in rl._decide(iter(parts)) for r in b.to_pylist()]
+        assert sorted(got) == sorted(expected)
+
+
 def test_remove_repeats_with_small_pieces(spark, monkeypatch):
     """Pieces, segments and buckets far below the production size change nothing."""
     raws = [(t or "").encode() for _, t in repeat_rows()]

@@ -21,9 +21,11 @@ whether it is the first of its kind.
    earliest position is the first of its kind, the others are marked.
 4. The marks return to their documents, which cut the covered bytes.
 
-Buckets are bounded by the bytes of text per bucket, not by groups of copies: a
-passage in a third of all documents adds one narrow row per occurrence and is
-collapsed to one segment before any text moves.
+A passage in a third of all documents adds one narrow row per occurrence, which
+is streamed in sorted order and never gathered, and is collapsed to one segment before any
+text moves.  Index buckets are bounded: a minimizer in more than ``MINIMIZER_CAP``
+different segments goes another exact way, by 128-bit hashes of its windows,
+whose copies are combined before the shuffle.
 
 Defined cases: null is empty text; documents shorter than ``MATCH`` keep all bytes; identical
 rows (same doc_id and text) count as one document and get equal results; other rows
@@ -46,11 +48,12 @@ from .common import stored, table
 
 #: Bytes of a match and of a minimizer.
 MATCH, SEED = 100, 32
-#: Text bytes whose segments meet in one bucket (mean), windows of a segment at most, and bytes
-#: hashed at once.
-BUCKET_BYTES, SEGMENT_WINDOWS, PIECE_BYTES = 1 << 20, 512, 1 << 18
+#: Windows of a segment at most, and bytes hashed at once.
+SEGMENT_WINDOWS, PIECE_BYTES = 512, 1 << 18
 #: Segment bytes of one index (mean).
 INDEX_BYTES = 1 << 20
+#: Different segments of a minimizer beyond which it takes the way by windows.
+MINIMIZER_CAP = 16_384
 _LAST = np.iinfo(np.int64).max
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -274,30 +277,49 @@ def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             ["minimizer", "segment", "doc", "twin", "start", "windows", "inner"])
 
 
-def _decide(group: pa.Table) -> pa.Table:
-    """Of a bucket of segments: those that repeat as a whole, and the first ones that need their bytes compared."""
-    cols = {c: group.column(c).to_numpy() for c in group.column_names if c != "bucket"}
-    order = np.lexsort([cols[c] for c in ("start", "twin", "doc", "segment", "minimizer")])
-    cols = {c: v[order] for c, v in cols.items()}
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments that repeat as a whole, and the first ones that need their bytes compared.
 
-    def changes(*names: str) -> np.ndarray:
-        out = np.zeros(len(order), bool)
-        out[:1] = True
-        for c in names:
-            out[1:] |= cols[c][1:] != cols[c][:-1]
-        return out
-
-    by_minimizer, by_segment = changes("minimizer"), changes("minimizer", "segment")
-    # the same place twice comes from identical rows: one document
-    first = by_segment.copy()
-    same_place = ~changes("minimizer", "segment", "doc", "twin", "start")
-    group_of = np.cumsum(by_minimizer) - 1
-    kinds = np.bincount(group_of, by_segment)
-    compare = first & ((kinds[group_of] > 1) | cols["inner"])
-    repeated = ~first & ~same_place
-    out = np.flatnonzero(compare | repeated)
-    return pa.table({"minimizer": cols["minimizer"][out], "doc": cols["doc"][out], "twin": cols["twin"][out],
-                     "start": cols["start"][out], "windows": cols["windows"][out], "repeated": repeated[out]})
+    Streams rows sorted by minimizer, segment and place.  The first segment of a minimizer is
+    held back until another one shows up, so memory does not depend on any group.
+    """
+    last: dict | None = None
+    held: pa.RecordBatch | None = None
+    names = ["minimizer", "doc", "twin", "start", "windows"]
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in b.schema.names}
+
+        def changes(c: str) -> np.ndarray:
+            v = cols[c]  # noqa: B023
+            out = np.ones(len(v), bool)
+            out[1:] = v[1:] != v[:-1]
+            out[0] = last is None or v[0] != last[c]  # noqa: B023
+            return out
+
+        by_minimizer = changes("minimizer")
+        by_segment = by_minimizer | changes("segment")
+        # the same place twice comes from identical rows: one document
+        new_place = by_segment | changes("doc") | changes("twin") | changes("start")
+        firsts = np.flatnonzero(by_segment)
+        lead = by_minimizer[firsts]
+        followed = np.append(~lead[1:], False)[:len(firsts)]
+        compare = np.zeros(b.num_rows, bool)
+        compare[firsts] = ~lead | followed | cols["inner"][firsts]
+        parts = []
+        if held is not None and len(firsts):
+            if not lead[0]:
+                parts.append((held, np.array([0]), np.array([False])))
+            held = None
+        if len(firsts) and lead[-1] and not compare[firsts[-1]]:
+            held = b.slice(int(firsts[-1]), 1)
+        out = np.flatnonzero(compare | (new_place & ~by_segment))
+        parts.append((b, out, ~compare[out]))
+        for rows, at, repeated in parts:
+            taken = rows.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*[taken.column(c) for c in names], pa.array(repeated)], [*names, "repeated"])
+        last = {c: cols[c][-1] for c in cols}
 
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +360,19 @@ def _index(group: pa.Table) -> pa.Table:
                      "start": cols["start"][which] + at - begin[which], "windows": windows})
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every window of the segments: a 128-bit hash of its bytes and its place."""
+    for b in batches:
+        starts = b.column("start").to_pylist()
+        for i, data in enumerate(b.column("data").to_pylist()):
+            n = len(data) - MATCH + 1
+            hashes = [xxhash.xxh3_128_digest(data[j:j + MATCH]) for j in range(n)]
+            at = pa.array(np.full(n, i))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes, pa.binary()), b.column("doc").take(at), b.column("twin").take(at), pa.array(starts[i] + np.arange(n))],
+                ["hash", "doc", "twin", "start"])
+
+
 def removed_spans(start: np.ndarray, windows: np.ndarray, match: int = MATCH) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs [from, to) covered by marked windows."""
     order = np.argsort(start, kind="stable")
@@ -387,17 +422,30 @@ def _places(rows: DataFrame, *columns: str) -> DataFrame:
 
 def mark_repeats(texts: DataFrame) -> DataFrame:
     """``doc, twin, text`` -> doc, twin, start, windows: runs of windows that start earlier elsewhere."""
-    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bucket = F.pmod(F.xxhash64("minimizer"), F.lit(max(1, -(-n_bytes // BUCKET_BYTES))))
     segments = texts.mapInArrow(_segment_batches, SEGMENT_SCHEMA)
-    decided = stored(segments.groupBy(bucket.alias("bucket")).applyInArrow(_decide, DECIDED_SCHEMA), "segments")
+    in_order = segments.repartition("minimizer").sortWithinPartitions("minimizer", "segment", "doc", "twin", "start")
+    decided = stored(in_order.mapInArrow(_decide, DECIDED_SCHEMA), "segments")
     compare = decided.filter("NOT repeated")
+    crowded = compare.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MINIMIZER_CAP).select("minimizer")
     index_bytes = compare.agg(F.sum(F.col("windows") + (MATCH - 1))).first()[0] or 0
     index_bucket = F.pmod(F.xxhash64("minimizer"), F.lit(max(1, -(-index_bytes // INDEX_BYTES))))
-    cut = texts.join(_places(compare, "start", "windows", "minimizer"), ["doc", "twin"]).mapInArrow(
+    usual = _cut(texts, compare.join(crowded, "minimizer", "left_anti"))
+    marks = decided.filter("repeated").select("doc", "twin", "start", "windows").unionAll(
+        usual.groupBy(index_bucket.alias("bucket")).applyInArrow(_index, _MARKS))
+    if crowded.isEmpty():
+        return marks
+    # a minimizer in very many different segments would be one bucket: its windows are dealt by their bytes
+    windows = _cut(texts, compare.join(crowded, "minimizer")).mapInArrow(_windows, "hash binary, doc long, twin int, start long")
+    windows = stored(windows, "windows")
+    first = windows.groupBy("hash").agg(F.min(F.struct("doc", "twin", "start")).alias("first"))
+    later = windows.join(first, "hash").filter(F.struct("doc", "twin", "start") != F.col("first"))
+    return marks.unionAll(later.select("doc", "twin", "start", F.lit(1).alias("windows")))
+
+
+def _cut(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The listed segments with their bytes."""
+    return texts.join(_places(places, "start", "windows", "minimizer"), ["doc", "twin"]).mapInArrow(
         _cut_segments, "minimizer long, doc long, twin int, start long, data binary")
-    indexed = cut.groupBy(index_bucket.alias("bucket")).applyInArrow(_index, _MARKS)
-    return decided.filter("repeated").select("doc", "twin", "start", "windows").unionAll(indexed)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
