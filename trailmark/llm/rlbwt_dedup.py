@@ -426,28 +426,27 @@ def mark_repeats(texts: DataFrame) -> DataFrame:
     in_order = segments.repartition("minimizer").sortWithinPartitions("minimizer", "segment", "doc", "twin", "start")
     decided = stored(in_order.mapInArrow(_decide, DECIDED_SCHEMA), "segments")
     compare = decided.filter("NOT repeated")
-    crowded = compare.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MINIMIZER_CAP).select("minimizer")
+    crowded = stored(compare.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > MINIMIZER_CAP).select("minimizer"), "crowded")
     index_bytes = compare.agg(F.sum(F.col("windows") + (MATCH - 1))).first()[0] or 0
     index_bucket = F.pmod(F.xxhash64("minimizer"), F.lit(max(1, -(-index_bytes // INDEX_BYTES))))
-    usual = _cut(texts, compare.join(crowded, "minimizer", "left_anti"))
+    # the listed segments with their bytes; the texts are joined once for both ways
+    cut = stored(texts.join(_places(compare, "start", "windows", "minimizer"), ["doc", "twin"]).mapInArrow(
+        _cut_segments, "minimizer long, doc long, twin int, start long, data binary"), "cut")
+    some_crowded = not crowded.isEmpty()
+    usual = cut.join(crowded, "minimizer", "left_anti") if some_crowded else cut
     marks = decided.filter("repeated").select("doc", "twin", "start", "windows").unionAll(
         usual.groupBy(index_bucket.alias("bucket")).applyInArrow(_index, _MARKS))
-    if crowded.isEmpty():
+    if not some_crowded:
         return marks
     # a minimizer in very many different segments would be one bucket: its windows are dealt by their bytes
-    windows = _cut(texts, compare.join(crowded, "minimizer")).mapInArrow(_windows, "hash binary, doc long, twin int, start long")
+    windows = cut.join(crowded, "minimizer").mapInArrow(_windows, "hash binary, doc long, twin int, start long")
     windows = stored(windows, "windows")
     first = windows.groupBy("hash").agg(F.min(F.struct("doc", "twin", "start")).alias("first"))
     later = windows.join(first, "hash").filter(F.struct("doc", "twin", "start") != F.col("first"))
     return marks.unionAll(later.select("doc", "twin", "start", F.lit(1).alias("windows")))
 
 
-def _cut(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """The listed segments with their bytes."""
-    return texts.join(_places(places, "start", "windows", "minimizer"), ["doc", "twin"]).mapInArrow(
-        _cut_segments, "minimizer long, doc long, twin int, start long, data binary")
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("doc_id", F.lit(_LAST)).cast("long").alias("doc"),
