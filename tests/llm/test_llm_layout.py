@@ -242,6 +242,44 @@ def test_projection_keeps_rates_above_zero(spark):
     assert rate[0] == 0.0 and rate[1] > 1 and abs(totals[0] / sum(totals) - 0.97) < 1e-3
 
 
+def fitted(spark, p, targets, tokens=100):
+    rows = stored(spark.createDataFrame([(tokens, x) for x in p], "__mix_tokens long, __mix_p array<double>"), "p")
+    steps, totals = mixing.fit_steps(rows, targets, sorted(targets))
+    rate = np.ones(len(p))
+    for change in steps:
+        rate = np.maximum(0, rate - np.array(p) @ np.array(change))
+    return rate, np.array(totals) / (tokens * len(p)), steps
+
+
+def test_targets_out_of_reach_get_the_least_squares(spark):
+    p = np.random.default_rng(0).dirichlet((1, 20, 3), 2_000).tolist()
+    goal = np.array([0.8, 0.12, 0.08])
+    with pytest.warns(UserWarning, match="out of reach"):
+        rate, reached, steps = fitted(spark, p, {"high": 0.8, "low": 0.12, "toxic": 0.08})
+    assert np.allclose((rate @ np.array(p)) / len(p), reached, atol=1e-6)
+    # duality: no rates have a squared misfit that is smaller by more than twice the gap
+    misfit = reached - goal
+    gap = reached @ misfit - min(0.0, (np.array(p) @ misfit).min()) * 3**0.5 * np.linalg.norm(goal)
+    assert misfit @ misfit > 0.1 and 0 <= gap <= 0.02 * (misfit @ misfit)
+    brute, misfits = np.ones(len(p)), []
+    for change in steps:
+        misfits.append(np.linalg.norm(brute @ np.array(p) / len(p) - goal))
+        brute = np.maximum(0, brute - np.array(p) @ np.array(change))
+    assert misfits == sorted(misfits, reverse=True)  # every step lowers the misfit
+
+
+def test_targets_barely_in_reach_are_met(spark):
+    p = np.random.default_rng(1).dirichlet((1, 1, 1), 2_000).tolist()
+    rate, reached, _ = fitted(spark, p, {"high": 0.96, "low": 0.02, "toxic": 0.02})
+    assert np.allclose(reached, [0.96, 0.02, 0.02], atol=1e-4) and (rate >= 0).all()
+
+
+def test_a_fit_that_hits_the_step_limit_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError, match="no fit after 1 steps"):
+        fitted(spark, np.random.default_rng(0).dirichlet((1, 20, 3), 200).tolist(), {"high": 0.8, "low": 0.12, "toxic": 0.08})
+
+
 def test_mixing_without_labels_and_rows(spark):
     d, labels, _ = labelled_docs(spark, 20)
     got = mixing.fitted_rates(d, labels.limit(0), {"a": 1.0, "b": 1.0}).collect()

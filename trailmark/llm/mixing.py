@@ -8,9 +8,13 @@
 3. Projected gradient least squares finds a rate for every document, not below zero, so
    that the expected tokens of each domain (tokens x posterior x rate, summed) match the target
    weights.  In the metric weighted by tokens the gradient of a rate is its posteriors times one
-   number per domain, so an iteration is one small aggregate: the domains' totals, and the
-   curvature over the rates that are above zero, which scales the step.  The step
-   is part of the next plan; rates are written every ``STORE_EVERY`` steps.
+   number per domain.  An iteration is one small aggregate that tries projected steps of several
+   sizes: the step of one over the Lipschitz constant, which always lowers the squared misfit,
+   larger ones, and those scaled by the curvature over the rates above zero.  The one with the
+   least misfit is taken.  The fit ends when the targets are met, or when the projected gradient
+   is small beside the misfit: then they cannot be met, the rates are the least squares and
+   a warning names the totals.  A fit that does neither in ``MAX_STEPS`` steps raises.
+   Steps are part of the next plan; rates are written every ``STORE_EVERY`` steps.
 4. A document is taken ``floor(rate)`` times, and once more if a hash of its id falls below
    the rest, which keeps the expected totals.
 
@@ -24,6 +28,7 @@ other value; an empty table gives no rows; extra columns are carried by
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +44,12 @@ TRAIN_ROWS = 20_000
 VOCABULARY = 1_024
 MIN_CHI2 = 16.0
 SLOTS = 16_384
-#: Steps of the calibration and of the fit, steps between stored rates, and misfit to stop at.
+#: Steps of the calibration and of the fit, steps between stored rates, misfit to stop at, and
+#: projected gradient to stop at as a share of the misfit.
 CALIBRATION_STEPS = 2_000
-MAX_STEPS, STORE_EVERY, TOLERANCE = 48, 8, 1e-5
+MAX_STEPS, STORE_EVERY, TOLERANCE, STATIONARY = 256, 8, 1e-5, 1e-4
+#: Sizes tried, in steps of one over the Lipschitz constant and of the curvature above zero.
+GRADIENT_SIZES, CURVATURE_SIZES = [4.0**k for k in range(10)], [1.0, 0.5, 0.25]
 _SMOOTH = 0.5
 _GRID = 1 << 40
 
@@ -163,11 +171,11 @@ def with_posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return raised.withColumn("__mix_p", F.transform("__mix_e", lambda e: e / total)).drop("__mix_e")
 
 
-def _step(rate: Column, change: list[float]) -> Column:
+def _step(rate: Column, change: list) -> Column:
     """One projected gradient step of a rate."""
     total = F.lit(0.0)
     for k, c in enumerate(change):
-        total = total + F.col("__mix_p")[k] * F.lit(c)
+        total = total + F.col("__mix_p")[k] * (c if isinstance(c, Column) else F.lit(c))
     return F.greatest(F.lit(0.0), rate - total)
 
 
@@ -176,32 +184,61 @@ def fit_steps(rows: DataFrame, targets: dict[str, float], domains: list[str]) ->
     rows = rows.select("__mix_tokens", "__mix_p")
     n = len(domains)
 
-    def measure(df: DataFrame, rate: Column) -> tuple[np.ndarray, np.ndarray]:
+    def measure(df: DataFrame, rate: Column, changes: list[list[float]]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+        """After each change: the totals, the curvature over the rates above zero, and the squared way of the rates."""
+        held = F.array(*[F.array(*[F.lit(c) for c in change]) for change in changes])
+        tried = df.select("*", rate.alias("__mix_r")).select("*", F.posexplode(held).alias("__mix_nth", "__mix_change"))
+        moved = tried.withColumn("__mix_next", _step(F.col("__mix_r"), [F.col("__mix_change")[k] for k in range(n)]))
         p = [F.col("__mix_p")[k] for k in range(n)]
-        moving = F.when(rate > 0, F.col("__mix_tokens")).otherwise(0)
-        sums = [F.sum(F.col("__mix_tokens") * p[k] * rate) for k in range(n)]
-        sums += [F.sum(moving * p[k] * p[j]) for k in range(n) for j in range(n)]
-        got = np.array([float(x or 0.0) for x in df.agg(*sums).first()])
-        return got[:n], got[n:].reshape(n, n)
-
-    now, curvature = measure(rows, F.lit(1.0))
+        above = F.when(F.col("__mix_next") > 0, F.col("__mix_tokens")).otherwise(0)
+        sums = [F.sum(F.col("__mix_tokens") * p[k] * F.col("__mix_next")) for k in range(n)]
+        sums += [F.sum(above * p[k] * p[j]) for k in range(n) for j in range(n)]
+        sums.append(F.sum(F.col("__mix_tokens") * (F.col("__mix_r") - F.col("__mix_next")) ** 2))
+        found = {r[0]: np.array([float(x or 0.0) for x in r[1:]]) for r in moved.groupBy("__mix_nth").agg(*sums).collect()}
+        got = [found.get(i, np.zeros(n + n * n + 1)) for i in range(len(changes))]
+        return [(x[:n], x[n:-1].reshape(n, n), float(x[-1])) for x in got]
+
+    now, curvature, _ = measure(rows, F.lit(1.0), [[0.0] * n])[0]
     everything, wanted = now.sum(), sum(targets.values())
     goal = np.array([everything * targets[d] / wanted for d in domains])
     reachable = now > 0
+
+    def misfit_of(totals: np.ndarray) -> np.ndarray:
+        return np.where(reachable, totals - goal, 0.0)
+
+    lipschitz = float(np.linalg.eigvalsh(curvature)[-1])  # all rates are above zero here
     steps: list[list[float]] = []
     rate = F.lit(1.0)
-    while len(steps) < MAX_STEPS and (abs(now - goal)[reachable] > TOLERANCE * everything).any():
-        misfit = np.where(reachable, now - goal, 0.0)
-        change = np.linalg.lstsq(curvature, misfit, rcond=1e-9)[0]
-        steps.append([float(c) for c in change])
+    while (abs(misfit := misfit_of(now)) > TOLERANCE * everything).any():
+        changes = [misfit / lipschitz * s for s in GRADIENT_SIZES]
+        changes += [np.linalg.lstsq(curvature, misfit, rcond=1e-9)[0] * s for s in CURVATURE_SIZES]
+        changes = [[float(c) for c in change] for change in changes]
+        tried = measure(rows, rate, changes)
+        size = float((misfit**2).sum())
+        # the first change is the projected gradient over the Lipschitz constant
+        gradient = lipschitz * math.sqrt(tried[0][2])
+        if gradient <= STATIONARY * math.sqrt(everything * size):
+            break
+        after = [float((misfit_of(totals) ** 2).sum()) for totals, _, _ in tried]
+        best = int(np.argmin(after))
+        if len(steps) == MAX_STEPS or after[best] >= size:
+            raise RuntimeError(f"no fit after {len(steps)} steps: {_shares(now, domains)} of the tokens, "
+                               f"wanted {_shares(goal, domains)}, projected gradient {gradient / math.sqrt(everything * size):.2g}")
+        steps.append(changes[best])
         rate = _step(rate, steps[-1])
         if len(steps) % STORE_EVERY == 0:
             rows = stored(rows.select("__mix_tokens", "__mix_p", rate.alias("__mix_rate")), "rates")
             rate = F.col("__mix_rate")
-        now, curvature = measure(rows, rate)
+        now, curvature, _ = tried[best]
+    if (abs(now - goal) > TOLERANCE * everything).any():
+        warnings.warn(f"targets out of reach: {_shares(now, domains)} of the tokens, wanted {_shares(goal, domains)}", stacklevel=2)
     return steps, now.tolist()
 
 
+def _shares(totals: np.ndarray, domains: list[str]) -> str:
+    return ", ".join(f"{d} {float(x):.6g}" for d, x in zip(domains, totals, strict=True))
+
+
 def rate_after(steps: list[list[float]]) -> Column:
     """The rate of a row after all steps, from its posteriors."""
     if not steps:
