@@ -175,6 +175,20 @@ def test_main_text_of_odd_pages():
     assert html.main_text("<div class=comments><p>all there is</p></div><nav>menu</nav>") == "all there is"
 
 
+PROSE = "A sentence of the body that goes on for a while, as prose does. " * 4
+
+
+def test_a_minority_of_declared_text_does_not_hide_the_body():
+    body = [f"{PROSE}{i}" for i in range(12)]
+    teasers = "".join(f"<article class=card><h3>Teaser {i}</h3><p>A line about it.</p></article>" for i in range(3))
+    page = f'<div class="content">{"".join(f"<p>{x}</p>" for x in body)}</div><nav>menu</nav>{teasers}'
+    got = html.main_text(page).split("\n\n")
+    assert got[:12] == body
+    # a declared article with most of the text still sets the boundaries
+    page = f'<div>Words of the site before it</div><article><h1>T</h1>{"".join(f"<p>{x}</p>" for x in body)}</article><div>{PROSE}</div>'
+    assert html.main_text(page).split("\n\n") == ["T", *body]
+
+
 def test_extract_pages_carries_ids(spark):
     rows = [(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (None, None, None, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -7,10 +7,11 @@ summed over windows of ``WINDOW`` lines.  The text surges where a window's sum f
 above the threshold and dives where it falls back; the lines between both points are
 kept, short ones included, while weightless parts between them are left out.
 
-A page that declares its article (``article``, ``main`` or that role) has all weight in it, so
-the threshold is zero there and the points are its first and last line.  Without such an
-element the threshold is a share of the highest window, and every stretch that holds
-a good share of the largest is kept.
+The threshold is a share of the highest window, and every stretch that holds a good share of
+the largest is kept.  A declared article (``article``, ``main`` or that role) is a hint of the
+boundaries: where it holds over half of the weight between the points, the points move to its
+first and last line, and lines outside it are left out.  Otherwise (teasers beside an undeclared
+body) the tags count for nothing.
 
 Defined cases: null and empty pages have empty text; pages without markup are one
 block; unclosed elements end with their parent, and if an unclosed part beside the article
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-#: Lines of a window; without a declared article, the threshold as a share of the highest
-#: window and the share of the largest stretch that another needs.
+#: Lines of a window, the threshold as a share of the highest window, the share of the largest
+#: stretch that another needs, and of the weight found that a declared article must exceed.
 WINDOW = 3
 THRESHOLD_SHARE = 0.08
 STRETCH_SHARE = 0.25
+DECLARED_SHARE = 0.5
 
 # Elements by role in a page, and names that mark parts beside the article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -183,18 +185,18 @@ def _text(html: str, use_names: bool) -> str:
     parser.close()
     parser.flush()
     lines = parser.lines
-    declared = any(w and main for _, w, main in lines)
-    # blocks of links only weigh nothing, except inside a declared article
-    weights = np.array([(len(t) if main else 0) if declared else w for t, w, main in lines], float)
-    if not len(weights) or not weights.any():
+    weights = np.array([w for _, w, _ in lines], float)
+    if not weights.any():
         return ""
-    if declared:
+    sums = np.convolve(weights, np.ones(WINDOW), "full")
+    found = stretches(weights, WINDOW, THRESHOLD_SHARE * sums.max())
+    totals = [weights[a:b].sum() for a, b in found]
+    found = [r for r, t in zip(found, totals, strict=True) if t >= STRETCH_SHARE * max(totals)]
+    held = np.array([len(t) if main else 0 for t, _, main in lines], float)
+    inside = sum(weights[a:b][held[a:b] > 0].sum() for a, b in found)
+    if inside > DECLARED_SHARE * sum(weights[a:b].sum() for a, b in found):
+        weights = held  # links weigh in a declared article
         found = stretches(weights, len(weights), 0.0)
-    else:
-        sums = np.convolve(weights, np.ones(WINDOW), "full")
-        found = stretches(weights, WINDOW, THRESHOLD_SHARE * sums.max())
-        totals = [weights[a:b].sum() for a, b in found]
-        found = [r for r, t in zip(found, totals, strict=True) if t >= STRETCH_SHARE * max(totals)]
     kept: list[str] = []
     last = 0
     for a, b in found:
