@@ -189,6 +189,15 @@ def test_a_minority_of_declared_text_does_not_hide_the_body():
     assert html.main_text(page).split("\n\n") == ["T", *body]
 
 
+def test_short_lines_and_a_late_paragraph_are_kept_whatever_the_longest_run():
+    lines = [PROSE * 12 + str(i) for i in range(5)] + [f"Line {i} of sixty characters, as in dialogue or in a list item." for i in range(10)]
+    lines += ["A paragraph that is wholly a link to somewhere else", PROSE * 6 + "end", "Said one.", "Said two.", "Said three.", "The end."]
+    around = '<div class=menu>{0}</div>'.format("".join(f"<a href=/{i}>link {i}</a>" for i in range(9)))
+    marked = [f"<p><a href=x>{x}</a></p>" if "wholly a link" in x else f"<p>{x}</p>" for x in lines]
+    for body in ("".join(marked), "".join(marked[:8]) + "<div class=ad><p>Buy this now</p></div>" + "".join(marked[8:])):
+        assert html.main_text(f"{around}<div id=text>{body}</div><footer>All rights</footer>") == "\n\n".join(lines).replace("  ", " ")
+
+
 def test_extract_pages_carries_ids(spark):
     rows = [(1, "u", "<p>a</p>", "x"), (1, "u", "<p>a</p>", "x"), (None, None, None, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

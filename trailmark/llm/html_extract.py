@@ -4,11 +4,13 @@ Markup is stripped into lines: one per block element, inline elements and line b
 being white space inside it.  A line's weight is its text without link text; lines of
 parts that are not the article (by element, role, class or id) weigh nothing.  Weights are
 summed over windows of ``WINDOW`` lines.  The text surges where a window's sum first rises
-above the threshold and dives where it falls back; the lines between both points are
-kept, short ones included, while weightless parts between them are left out.
+above the threshold and dives where it falls to nothing; the lines between both points are
+kept, short ones included.
 
-The threshold is a share of the highest window, and every stretch that holds a good share of
-the largest is kept.  A declared article (``article``, ``main`` or that role) is a hint of the
+The text surges at the first window over ``THRESHOLD`` characters, on any page.  It dives at the
+first window without weight after the last such window.  Everything between is kept, lines of
+links too, except the parts beside the article.  A page without such a window has its points at its
+first and last line with weight.  A declared article (``article``, ``main`` or that role) is a hint of the
 boundaries: where it holds over half of the weight between the points, the points move to its
 first and last line, and lines outside it are left out.  Otherwise (teasers beside an undeclared
 body) the tags count for nothing.
@@ -33,11 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-#: Lines of a window, the threshold as a share of the highest window, the share of the largest
-#: stretch that another needs, and of the weight found that a declared article must exceed.
+#: Lines of a window, characters without links that make one surge, and the share of the weight
+#: found that a declared article must exceed.
 WINDOW = 3
-THRESHOLD_SHARE = 0.08
-STRETCH_SHARE = 0.25
+THRESHOLD = 86
 DECLARED_SHARE = 0.5
 
 # Elements by role in a page, and names that mark parts beside the article.
@@ -159,19 +160,16 @@ class _Lines(HTMLParser):
         return self.parse_bogus_comment(i, report)
 
 
-def stretches(weights: np.ndarray, window: int, threshold: float) -> list[tuple[int, int]]:
-    """Line ranges between the points where window sums surge above the threshold and dive below it."""
+def points(weights: np.ndarray, window: int, threshold: float) -> tuple[int, int]:
+    """The line range from the first window above the threshold to where, after the last one, a window weighs nothing."""
     sums = np.convolve(weights, np.ones(window), "full")  # sums[i]: the window that ends at line i
-    high = np.concatenate([[False], sums > threshold, [False]])
-    surge = np.flatnonzero(~high[:-1] & high[1:])
-    dive = np.flatnonzero(high[:-1] & ~high[1:])
-    out = []
-    for a, b in zip(surge, dive, strict=True):
-        # windows a..b-1 are high: they cover lines a-window+1 .. b-1, from the first with weight to the last
-        inside = np.flatnonzero(weights[max(0, a - window + 1):b]) + max(0, a - window + 1)
-        if len(inside):
-            out.append((int(inside[0]), int(inside[-1]) + 1))
-    return out
+    high = np.flatnonzero(sums > threshold)
+    if not len(high):
+        high = np.flatnonzero(sums)
+    none = np.flatnonzero(sums[high[-1]:] == 0)
+    surge, dive = max(0, high[0] - window + 1), high[-1] + none[0] if len(none) else len(weights)
+    inside = np.flatnonzero(weights[surge:dive]) + surge
+    return int(inside[0]), int(inside[-1]) + 1
 
 
 def main_text(html: str | None) -> str:
@@ -188,21 +186,11 @@ def _text(html: str, use_names: bool) -> str:
     weights = np.array([w for _, w, _ in lines], float)
     if not weights.any():
         return ""
-    sums = np.convolve(weights, np.ones(WINDOW), "full")
-    found = stretches(weights, WINDOW, THRESHOLD_SHARE * sums.max())
-    totals = [weights[a:b].sum() for a, b in found]
-    found = [r for r, t in zip(found, totals, strict=True) if t >= STRETCH_SHARE * max(totals)]
-    held = np.array([len(t) if main else 0 for t, _, main in lines], float)
-    inside = sum(weights[a:b][held[a:b] > 0].sum() for a, b in found)
-    if inside > DECLARED_SHARE * sum(weights[a:b].sum() for a, b in found):
-        weights = held  # links weigh in a declared article
-        found = stretches(weights, len(weights), 0.0)
-    kept: list[str] = []
-    last = 0
-    for a, b in found:
-        kept += [lines[i][0] for i in range(max(a, last), b) if weights[i]]
-        last = max(last, b)
-    return "\n\n".join(kept)
+    first, end = points(weights, WINDOW, THRESHOLD)
+    declared = np.array([main and text != "" for text, _, main in lines])
+    if weights[first:end][declared[first:end]].sum() > DECLARED_SHARE * weights[first:end].sum():
+        return "\n\n".join(text for (text, _, _), held in zip(lines, declared, strict=True) if held)
+    return "\n\n".join(text for text, _, _ in lines[first:end] if text)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
