@@ -171,6 +171,22 @@ def test_ids_equal_those_of_the_json_vocabulary():
         assert encode(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_have_the_ids_of_the_json_tokenizer_as_it_is(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n  y", "<|endoftext", "<|endoftext|> " * 3_000, " plain  text ", ""]
+    got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"], r["doc_tokens"]) for r in packing.cut(docs(spark, list(enumerate(texts)))).collect()}
+    expected = {}
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        for s in range(0, len(ids), packing.WINDOW):
+            p = ids[s:s + packing.WINDOW]
+            expected[i, s] = (len(p), zlib.crc32(p.tobytes()), len(ids))
+    assert got == expected
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_every_rest_once(seed):
     rng = np.random.default_rng(seed)
