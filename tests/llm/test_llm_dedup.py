@@ -53,6 +53,20 @@ def test_exact_dedup_does_not_depend_on_the_history(spark, historical):
     assert sorted(map(repr, map(tuple, got))) == sorted(repr(r[:3]) for r in exact_brute(EXACT_ROWS))
 
 
+@pytest.mark.parametrize("historical", ["true", "false", "doc_id % 100 = 0"])
+def test_exact_dedup_buckets_hold_few_keys_of_either_side(spark, monkeypatch, historical):
+    monkeypatch.setattr(exact, "BUCKET_KEYS", 50)
+    sized, keyed = [], exact._keyed
+    monkeypatch.setattr(exact, "_keyed", lambda groups, n: sized.append((groups, n)) or keyed(groups, n))
+    rows = [(i, f"text {i % 1_000}") for i in range(2_000)]
+    got = exact.exact_dedup(docs(spark, rows), F.expr(historical)).select("doc_id", "keep_id", "group_size").collect()
+    assert sorted(map(tuple, got)) == [(i, i % 1_000, 2) for i in range(2_000)]
+    assert len(sized) == 2
+    for groups, n in sized:  # index and arrivals
+        largest = keyed(groups, n).groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
+        assert n == 20 and largest <= 2 * 50
+
+
 def test_exact_dedup_of_an_empty_table(spark):
     assert exact.exact_dedup(docs(spark, []), exact.earlier_half(F.col("doc_id"))).collect() == []
 

@@ -197,7 +197,9 @@ def exact_dedup(docs: DataFrame, historical: Column) -> DataFrame:
     """
     rows = stored(digest_rows(docs, historical), "digests")
     old, new = _groups(rows.filter("historical")), _groups(rows.filter("NOT historical"))
-    n_buckets = max(1, -(-rows.filter("historical").count() // BUCKET_KEYS))
+    # arrivals meet in the index's buckets, so the larger of both sides sizes them
+    n = max(old.count(), new.count())
+    n_buckets = max(1, -(-n // BUCKET_KEYS))
     index = build_index(old, n_buckets)
     resolved = index.groupBy("bucket").cogroup(_keyed(new, n_buckets).groupBy("bucket")).applyInPandas(_resolve, RESOLVED_SCHEMA)
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id"))
