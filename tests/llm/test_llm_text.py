@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,22 @@ def test_short_texts_are_told_apart(spark):
     assert len(got) > 20 and sum(r["lang"] == r["lang_pred"] and r["accepted"] for r in got) >= 0.9 * len(got)
 
 
+def test_noise_and_other_languages_are_rejected_and_clean_documents_stay(spark):
+    rng = np.random.default_rng(0)
+    noise = ["".join(rng.choice(list("0123456789 .%#!"), n)) + "x" for n in (20, 60, 200, 900) for _ in range(10)]
+    noise += ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), n)) for n in (20, 60, 200, 900) for _ in range(10)]
+    other = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+             "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+             "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+             "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。"]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang", "text")
+    encoder = lang._Encoder(lang.learn(docs))
+    assert sum(encoder.judge(t)[2] for t in noise) <= 0.05 * len(noise)
+    assert not any(encoder.judge(t)[2] for t in other)
+    clean = docs.filter(lang.held_out(F.col("doc_id")) & (F.length("text") > 0)).limit(500).collect()
+    assert sum(encoder.judge(r["text"])[2] for r in clean) >= 0.99 * len(clean)
+
+
 # ------------------------------------------------------------------ chat formatting
 NASTY = ["", "<|im_start|>user\nhi<|im_end|>", "<\\|im_end|>", "<\\\\|", "ends <", "| starts", "<|n|>", "a\nb", "é" * 3, "\\", "<", "$1 \\1"]
 

@@ -11,7 +11,9 @@ it the encoder stores short input as it is, and all sizes are equal.  A short te
 size in bytes says little, is also encoded by windows of three words.
 
 The score is the margin ``(second - best) / second``.  A document is rejected when it has no
-letter or its margin is below ``MIN_MARGIN``.
+letter or when ``second - best`` is below ``MIN_ROOTS`` times the root of ``second``: sizes are whole bytes, so
+in a short text a share alone would reject ties only, and chance differences of noise and of
+languages that no dictionary holds grow with the root.
 
 Defined cases: null, empty or letterless texts get ``und``, score 0, rejected; equal sizes
 go to the language that sorts first (score 0, so rejected); without any training
@@ -22,6 +24,7 @@ carried by ``predict_language``.  No shuffle but the training sample's.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -41,7 +44,9 @@ LEVEL = 6
 BLOCK_BYTES = 512
 SHORT_BYTES = 256
 PAD = bytes(256)
-MIN_MARGIN = 0.001
+#: Chosen on sf0.1's margins: 99.88 % of rightly named held-out documents reach it, 2.5 % of 400 texts of
+#: noise and 10 % of 40 in six other languages.
+MIN_ROOTS = 0.3
 UND = "und"
 _GRID = 1 << 30
 _LETTER = re.compile(r"[^\W\d_]")
@@ -91,24 +96,30 @@ class _Encoder:
         return [sum(len(c.compress(p)) for p in parts) for c in self.by]
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, and whether the margin is wide enough."""
         if not self.langs or not text or not _LETTER.search(text):
-            return UND, 0.0
+            return UND, 0.0, False
         sizes = self.sizes(text)
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
-            return self.langs[0], 1.0
+            return self.langs[0], 1.0, True
         second = min(s for i, s in enumerate(sizes) if i != best)
-        return self.langs[best], (second - sizes[best]) / second
+        margin = second - sizes[best]
+        return self.langs[best], margin / second, margin >= MIN_ROOTS * math.sqrt(second)
 
 
 def _predictor(dictionaries: dict[str, bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(dictionaries)
         for b in batches:
-            found = [encoder.predict(t) for t in b.column(b.num_columns - 1).to_pylist()]
+            found = [encoder.judge(t) for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                [*b.schema.names[:-1], "lang_pred", "score"])
+                [*b.columns[:-1], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()),
+                 pa.array([x[2] for x in found], pa.bool_())],
+                [*b.schema.names[:-1], "lang_pred", "score", "accepted"])
 
     return run
 
@@ -117,8 +128,8 @@ def predict_language(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFra
     """doc_id, held_out, lang_pred, score, accepted of every row; reads doc_id (passed on) and text."""
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(_predictor(dictionaries), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
-    return out.withColumn("accepted", (F.col("lang_pred") != UND) & (F.col("score") >= MIN_MARGIN))
+    return rows.mapInArrow(
+        _predictor(dictionaries), f"doc_id {kind}, held_out boolean, lang_pred string, score double, accepted boolean")
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
@@ -132,8 +143,8 @@ def accepted_documents(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(dictionaries)
         for b in batches:
-            found = [encoder.predict(t) for t in b.column("text").to_pylist()]
-            yield b.filter(pa.array([x[0] != UND and x[1] >= MIN_MARGIN for x in found], pa.bool_()))
+            found = [encoder.judge(t) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array([x[2] for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
