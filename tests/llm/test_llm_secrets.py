@@ -1,0 +1,117 @@
+"""Operator 13 against the standard library's regex engine."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trailmark.llm import secret_scan as secret
+
+ALL = secret.BASE_RULES + secret.MORE_RULES
+# the contract's own patterns, with the standard library's engine
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+CONTRACT = (("assign", ASSIGN, lambda m: len(m[2]) >= 8), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
+            ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 32))
+
+
+def base_brute(text):
+    text = text or ""
+    found = [(m.start(), k, m.end(), kind) for k, (kind, p, good) in enumerate(CONTRACT) for m in p.finditer(text) if good(m)]
+    return [f"{kind}:{s}:{e}" for s, _, e, kind in sorted(found)]
+
+
+def all_brute(text):
+    text = text or ""
+    found = set()
+    for k, r in enumerate(ALL):
+        for m in re.finditer(f"(?P<head>{r.head})(?P<value>{r.value})", text):
+            if len(m["value"]) >= r.least:
+                found.add((m.start(), k, m.end(), r.kind))
+    return [f"{kind}:{s}:{e}" for s, _, e, kind in sorted(found)]
+
+
+def listed(found, rules=ALL):
+    return [f"{rules[r].kind}:{s}:{e}" for s, e, r in found]
+
+
+CASES = [
+    None, "", "x", "password=short", "password=longenough1", "PassWord : \"abcdefgh12\"", "api_key=abcdefgh apikey:'12345678", "token:secret:abcdefghijk",
+    "token==abcdefgh", "token:=abcdefgh", "token=:abcdefgh", "secret = = abcdefgh12", "passwd\"  =   \"AAAAAAAA", "password password=xxxxxxxx1", "tokentoken=12345678",
+    "AKIA" + "A" * 12, "AKIA" + "A" * 11, "AKIAAKIA" + "Q" * 9, "xAKIA1234567890ABCDz", "a" * 31, "a" * 32, "0123456789abcdef" * 3 + "G" + "f" * 40,
+    "token=" + "0123456789abcdef" * 4, "token=AKIA" + "B" * 16, "é" * 50 + "token=éabcdefgh" + "token=abcdefgh", "\U0001f511password:\U0001f511" + "c" * 40,
+    "ghp_" + "a1" * 18, "AIza" + "x" * 35, "xoxb-1234567890-abc", "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMe", "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----",
+    "\x00token=abcdefgh\x00", "token=abcdefgh\ntoken=abcdefgh", "token\t=abcdefgh", "toKen=abcdefghij", "paſſword=abcdefghij",
+]
+
+
+def test_cases_equal_the_contract_patterns():
+    for text, found in zip(CASES, secret.scan_texts(CASES, ALL), strict=True):
+        names = listed(found)
+        assert [n for n in names if n.split(":")[0] in ("assign", "access", "hex")] == base_brute(text), text
+        assert names == all_brute(text), text
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_texts_equal_brute_force(seed):
+    draw = random.Random(seed)
+    parts = ["password", "PASSWD", "secret", "token", "api_key", "apikey", "AKIA", "=", ":", " ", "  ", '"', "'", "a", "f", "0", "9", "Z", "-", ".", "/", "\n", "é", "ghp_",
+             "eyJ", "0123456789abcdef", "ABCDEFGH", "abcdefgh", "-----BEGIN ", "PRIVATE KEY-----", "xoxb-", "AIza", "x" * 36, ","]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(1500)]
+    for text, found in zip(texts, secret.scan_texts(texts, ALL), strict=True):
+        assert listed(found) == all_brute(text), text
+        assert [n for n in listed(found) if n.split(":")[0] in ("assign", "access", "hex")] == base_brute(text), text
+
+
+def test_automata_are_minimal_and_accept_what_the_regexes_match():
+    for pattern in ("a|b(c|d)*e", "x{2,4}y?", "(ab)+", "[^a-y]z", "a{3,}"):
+        a = secret.compile_rules([pattern], backward=False, anywhere=False)
+        rows = a.step.reshape(-1, a.classes)
+        # minimal: every two states differ in acceptance after some word (refined pair by pair)
+        differ = a.accepts[:, None] != a.accepts[None, :]
+        for _ in range(len(rows)):
+            differ |= differ[rows[:, None, :], rows[None, :, :]].any(axis=2)
+        assert (differ | np.eye(len(rows), dtype=bool)).all()
+        draw = random.Random(7)
+        for _ in range(2000):
+            word = "".join(draw.choice("abcdexyz") for _ in range(draw.randint(0, 6)))
+            state = 0
+            for byte in word.encode():
+                state = int(a.step[state * a.classes + a.byte_class[byte]])
+            assert bool(a.accepts[state]) == bool(re.fullmatch(pattern, word)), (pattern, word)
+
+
+def test_limits_are_errors():
+    with pytest.raises(ValueError, match="0xFF"):
+        secret.Scanner((secret.Rule("all", "", r"[^a]+"),))
+    with pytest.raises(ValueError, match="not supported"):
+        secret.Scanner((secret.Rule("anchor", "", r"^a"),))
+
+
+def test_very_long_text_without_a_reset_byte_is_read_whole():
+    text = "token=" + "ab" * 300_000 + " " + "AKIA" + "X" * 500_000
+    assert listed(secret.scan_texts([text, "token=abcdefgh"], ALL)[0]) == all_brute(text)
+
+
+def test_rows_with_nulls_repeats_and_clashing_columns(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(CASES)] + [(None, "token=abcdefgh", "x", 1), (3, None, None, None), (3, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, kind int")
+    got = secret.find_secrets(docs.repartition(3)).collect()
+    assert sorted((str(r["doc_id"]), [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"]]) for r in got) == \
+        sorted((str(i), all_brute(t)) for i, t, _, _ in rows)
+    assert secret.find_secrets(docs.limit(0)).collect() == []
+
+
+def test_query_digests_are_those_of_the_contract(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    got = secret.op13_secret_scan(spark, "/root/testdata/sf0.01")
+    assert got.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    rows = got.collect()
+    assert len(rows) == len(docs) and got.agg(F.sum("n_assign")).first()[0] > 0
+    for r in rows:
+        base = base_brute(docs[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(b.startswith(k) for b in base) for k in ("assign:", "access:", "hex:")]
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in ("assign", "access", "hex")] == base

@@ -13,6 +13,7 @@ from .language_id import op3_language_id
 from .mixing import op1_mixing
 from .packing import op10_packing
 from .rlbwt_dedup import op8_rlbwt_dedup
+from .secret_scan import OP13_SQL, op13_secret_scan
 from .sharding import op2_sharding
 from .simhash import op5_simhash
 from .topk import OP4_SQL, op4_topk
@@ -36,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rlbwt_dedup": op8_rlbwt_dedup,
         "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
+        "op13_secret_scan": op13_secret_scan,
         "pipeline": pipeline,
     }
 
@@ -45,4 +47,5 @@ def oracles() -> dict[str, str]:
         "op4_topk": OP4_SQL,
         "op6_exact_dedup": OP6_SQL,
         "op7_chat_formatting": OP7_SQL,
+        "op13_secret_scan": OP13_SQL,
     }
