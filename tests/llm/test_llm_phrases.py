@@ -1,0 +1,110 @@
+"""Operator 12 against a brute-force count of all phrases."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from trailmark.llm import phrase_mining as ph
+
+SCHEMA = "doc_id long, lang string, text string"
+
+
+def pieces_of(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", p) for p in re.split(r"[.,;:!?\x0A-\x0D]", lower)]
+
+
+def brute_counts(rows, longest=4):
+    counts, totals = Counter(), Counter()
+    for _, lang, text in rows:
+        for words in pieces_of(text):
+            totals[lang or "und" if lang is None else lang] += len(words)
+            for n in range(1, longest + 1):
+                for i in range(len(words) - n + 1):
+                    counts[("und" if lang is None else lang, tuple(words[i:i + n]))] += 1
+    return counts, totals
+
+
+def brute(rows, threshold, most):
+    counts, totals = brute_counts(rows)
+    candidates = {k: a for k, a in counts.items() if len(k[1]) > 1 and a >= threshold}
+    out = []
+    for lang in {k[0] for k in candidates}:
+        found = []
+        for (g, w), a in candidates.items():
+            if g != lang:
+                continue
+            cuts = []
+            for k in range(1, len(w)):
+                left, right = counts[(g, w[:k])], counts[(g, w[k:])]
+                cuts.append((2_000_000 * a // (left + right), k, left, right))
+            score, _, left, right = min(cuts)
+            longer = [b for (h, v), b in candidates.items() if h == g and len(v) > len(w) and any(
+                v[i:i + len(w)] == w for i in range(len(v) - len(w) + 1))]
+            if not any(100 * b >= 80 * a for b in longer):
+                found.append((-score, -a, " ".join(w).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(found)[:most], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def random_rows(seed, n=400):
+    draw = random.Random(seed)
+    words = ["New", "york", "city", "the", "of", "Ähre", "\x01x", "a\x85b", "q", "é e", "state", "\U0001f600"]
+    seps = [" ", "  ", "\t", ". ", ",", "\n", "\r\n", " ;", "\x0b", "!?", " "] + [" "] * 12
+    rows = []
+    for i in range(n):
+        text = "".join(draw.choices(words, [6, 6, 4, 8, 8, 2, 1, 1, 3, 1, 3, 1])[0] + draw.choice(seps) for _ in range(draw.randint(0, 40)))
+        rows.append((draw.choice([i, i, None, 7]), draw.choice(["en", "en", "de", None, "und"]), text))
+    return [*rows, (1, None, None), (2, "en", ""), (2, "en", "new york city new york city"), (2, "en", "new york city new york city"), (3, None, "... !")]
+
+
+@pytest.mark.parametrize(("seed", "shards", "bits"), [(1, 3, 12), (2, 1, 20), (3, 4, 4)])
+def test_equals_brute_force(spark, seed, shards, bits):
+    rows = random_rows(seed)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = ph.mine_phrases(docs, 5, 40, shards=shards, bits=bits).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 5, 40)
+
+
+def test_counts_are_whole_whenever_phrases_become_active(spark):
+    """All of one phrase's words reach the threshold late, so it is active in the second cycle."""
+    rows = [(i, "en", "aa bb cc dd") for i in range(30)] + [(i, "en", "zz") for i in range(200)]
+    counts = ph.count_phrases(spark.createDataFrame(rows, SCHEMA), 30, shards=5, bits=16).collect()
+    assert {(r["phrase"], r["a"]) for r in counts if r["words"] > 1} == {
+        (" ".join(w), 30) for n in (2, 3, 4) for w in zip(*[["aa", "bb", "cc", "dd"][k:] for k in range(n)])}
+
+
+def test_small_buffers_change_nothing(spark, monkeypatch):
+    rows = random_rows(5, 200)
+    texts = [(lang or "und", text) for _, lang, text in rows] + [("en", "new york " * 5000)]
+
+    def counted():
+        since = np.zeros(1 << 10, np.uint8)
+        scan = ph.Scan(since, 10, 0, 3, 4)
+        total = Counter()
+        batches = [b for lang, text in texts for b in scan.add(lang, text)] + list(scan.finish())
+        for b in batches:
+            for r in b.to_pylist():
+                total[(r["lang"], r["phrase"], r["words"])] += r["a"]
+        return total
+
+    whole = counted()
+    expect, totals = brute_counts([(0, lang, text) for lang, text in texts])
+    assert whole == {(g, " ".join(w), len(w)): a for (g, w), a in expect.items()} | {(g, "", 0): n for g, n in totals.items() if n}
+    monkeypatch.setattr(ph, "BUFFER_TOKENS", 50)
+    monkeypatch.setattr(ph, "MOST_WORDS", 9)
+    monkeypatch.setattr(ph, "CHUNK_BYTES", 40)
+    assert counted() == whole
+
+
+def test_odd_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert ph.mine_phrases(empty).collect() == []
+    clashing = spark.createDataFrame([(1, "en", "a b", "x", 1, 2, 3)] * 30, SCHEMA + ", phrase string, rank int, shard int, a int")
+    got = ph.mine_phrases(clashing).collect()
+    assert [tuple(r) for r in got] == [("en", 1, "a b", 30, 30, 30, 60, 1_000_000)]
+    assert got[0].asDict().keys() == {"lang", "rank", "phrase", "a", "l", "r", "n", "score"}

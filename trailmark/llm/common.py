@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+#: Where the tables of ``stored`` lie.
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table that survives a lost executor; the schema is passed
@@ -25,8 +31,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    out = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove a table of ``stored`` that nothing will read again."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(df))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def text_key() -> Column:

@@ -12,6 +12,7 @@ from .html_extract import op9_html_extraction
 from .language_id import op3_language_id
 from .mixing import op1_mixing
 from .packing import op10_packing
+from .phrase_mining import OP12_SQL, op12_phrase_mining
 from .rlbwt_dedup import op8_rlbwt_dedup
 from .secret_scan import OP13_SQL, op13_secret_scan
 from .sharding import op2_sharding
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rlbwt_dedup": op8_rlbwt_dedup,
         "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
+        "op12_phrase_mining": op12_phrase_mining,
         "op13_secret_scan": op13_secret_scan,
         "pipeline": pipeline,
     }
@@ -47,5 +49,6 @@ def oracles() -> dict[str, str]:
         "op4_topk": OP4_SQL,
         "op6_exact_dedup": OP6_SQL,
         "op7_chat_formatting": OP7_SQL,
+        "op12_phrase_mining": OP12_SQL,
         "op13_secret_scan": OP13_SQL,
     }
