@@ -125,14 +125,14 @@ def test_topk_of_an_empty_table(spark):
 # ------------------------------------------------------------------ packing
 def check_packed(rows, texts):
     """Every id in exactly one piece; sequences gapless and within the window."""
-    encode = packing.encoder().encode_ordinary
+    encoding = packing.encoder()
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
         by_seq[r["sequence_id"]].append(r)
     expected = Counter()
     for i, t in texts:
-        ids = np.array([*encode(t or ""), 1], "<u4")
+        ids = np.array([*packing.ids_of(encoding, t or ""), 1], "<u4")
         for s in range(0, len(ids), packing.WINDOW):
             p = ids[s:s + packing.WINDOW]
             expected[i, s, len(p), zlib.crc32(p.tobytes()), len(ids)] += 1
@@ -187,6 +187,22 @@ def test_pieces_have_the_ids_of_the_json_tokenizer_as_it_is(spark):
     assert got == expected
 
 
+def test_very_long_white_space_has_the_ids_of_the_json_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoding, rng = packing.encoder(), np.random.default_rng(3)
+    blanks = list(" \t\n\r\x0b\x0c\x85\xa0\u2003\u3000")
+    mixed = "".join(rng.choice(blanks, 2_000_000))
+    long = packing.LONG_BLANKS
+    texts = [" " * 2_000_000, "\n" * 2_000_000, mixed, "a" + " " * 1_500_000 + "b", "a\n" + "\n" * 1_200_000 + " b's", "x <|endoftext|>" + mixed[:9_000] + "'ll"]
+    texts += [f"a{b * n}{end}" for b in (" ", "\n", " \n") for n in (long // 2, long - 1, long, long + 1) for end in ("", "b", "'s", "!", "\x1c", "<|endoftext|>")]
+    texts += ["\x1c" * 6_000, "x" * 1_500_000, (" " * long + "w") * 3 + "\n" * long]
+    for text in texts:
+        assert packing.ids_of(encoding, text) == t.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_every_rest_once(seed):
     rng = np.random.default_rng(seed)
@@ -321,7 +337,9 @@ def test_pipeline_stages(spark):
     extra = spark.createDataFrame([(10_000, None, "en", "s", 0), (10_001, "12 34 !", "en", "s", 0), (10_002, "", None, None, None)], source.schema)
     first = source.orderBy("doc_id").first()
     copies = spark.createDataFrame([(20_000, first["text"] + "\n", "en", "s", 0), (first["doc_id"], first["text"], "en", "s", 0)], source.schema)
-    documents = source.unionByName(extra).unionByName(copies)
+    blank = " ".join(r["text"] for r in source.filter("lang = 'en'").orderBy("doc_id").limit(9).collect())
+    blanks = spark.createDataFrame([(20_002, blank[:4_000] + " " * 1_100_000 + "\n" * 1_100_000 + blank[4_000:], "en", "s", 0)], source.schema)
+    documents = source.unionByName(extra).unionByName(copies).unionByName(blanks)
     before = documents
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -331,6 +349,7 @@ def test_pipeline_stages(spark):
             assert after.columns == source.columns
         before = after
     ids = {n: [r["doc_id"] for r in df.collect()] for n, df in kept.items()}
+    assert 20_002 in ids["near_dedup"]
     assert not {10_000, 10_001, 10_002} & set(ids["language_id"]) and len(ids["language_id"]) >= 0.99 * (source.count() + 2)
     texts = ["".join(r["text"].split()) for r in kept["exact_dedup"].collect()]
     assert len(texts) == len(set(texts)) and 20_000 in ids["exact_dedup"] and first["doc_id"] not in ids["exact_dedup"]
@@ -349,5 +368,5 @@ def test_pipeline_on_an_empty_table(spark):
 
 def test_every_operator_is_registered():
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(registry.oracles()) <= set(names)

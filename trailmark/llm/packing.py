@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -56,16 +57,40 @@ def encoder(vocabulary: str = VOCABULARY, added: str = ADDED):
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+#: A run of white space longer than this is split as the pattern splits it, without the pattern: its engine fails on
+#: runs of about a million.  The class is the pattern's ``\\s`` (Unicode White_Space).
+LONG_BLANKS = 4096
+_LONG_RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_BLANKS},}}")
+
+
+def ids_of(encoding, text: str) -> list[int]:
+    """Ids of the whole text.
+
+    The pattern takes a run of white space as one piece, but leaves its last character to what follows.  So a text
+    is cut behind the text before a long run and before that last character; no match crosses either place.
+    Text ends before an added token too.
+    """
+    encode, added = partial(encoding.encode, allowed_special="all"), tuple(encoding.special_tokens_set)
+    out: list[int] = []
+    at = 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) or text.startswith(added, run.end()) else run.end() - 1
+        out += encode(text[at:run.start()])
+        out += encoding._encode_single_piece(text[run.start():end])
+        at = end
+    return out + encode(text[at:])
+
+
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def _piecer(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = partial(encoder(vocabulary).encode, allowed_special="all")
+        encoding = encoder(vocabulary)
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.array([*encode(text or ""), CLOSING_ID], "<u4")
+                ids = np.array([*ids_of(encoding, text or ""), CLOSING_ID], "<u4")
                 for start in range(0, len(ids), WINDOW):
                     piece = ids[start:start + WINDOW]
                     for c, v in zip(cols, (doc, start, len(piece), zlib.crc32(piece), len(ids)), strict=True):
