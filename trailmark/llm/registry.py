@@ -10,6 +10,7 @@ from .chat_format import OP7_SQL, op7_chat_formatting
 from .exact_dedup import OP6_SQL, op6_exact_dedup
 from .html_extract import op9_html_extraction
 from .language_id import op3_language_id
+from .lexical_search import OP11_SQL, op11_lexical_search
 from .mixing import op1_mixing
 from .packing import op10_packing
 from .phrase_mining import OP12_SQL, op12_phrase_mining
@@ -38,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rlbwt_dedup": op8_rlbwt_dedup,
         "op9_html_extraction": op9_html_extraction,
         "op10_packing": op10_packing,
+        "op11_lexical_search": op11_lexical_search,
         "op12_phrase_mining": op12_phrase_mining,
         "op13_secret_scan": op13_secret_scan,
         "pipeline": pipeline,
@@ -49,6 +51,7 @@ def oracles() -> dict[str, str]:
         "op4_topk": OP4_SQL,
         "op6_exact_dedup": OP6_SQL,
         "op7_chat_formatting": OP7_SQL,
+        "op11_lexical_search": OP11_SQL,
         "op12_phrase_mining": OP12_SQL,
         "op13_secret_scan": OP13_SQL,
     }
