@@ -96,7 +96,6 @@ def test_small_buffers_change_nothing(spark, monkeypatch):
     expect, totals = brute_counts([(0, lang, text) for lang, text in texts])
     assert whole == {(g, " ".join(w), len(w)): a for (g, w), a in expect.items()} | {(g, "", 0): n for g, n in totals.items() if n}
     monkeypatch.setattr(ph, "BUFFER_TOKENS", 50)
-    monkeypatch.setattr(ph, "MOST_WORDS", 9)
     monkeypatch.setattr(ph, "CHUNK_BYTES", 40)
     assert counted() == whole
 
@@ -108,3 +107,10 @@ def test_odd_tables(spark):
     got = ph.mine_phrases(clashing).collect()
     assert [tuple(r) for r in got] == [("en", 1, "a b", 30, 30, 30, 60, 1_000_000)]
     assert got[0].asDict().keys() == {"lang", "rank", "phrase", "a", "l", "r", "n", "score"}
+
+
+def test_phrases_that_share_a_key_are_told_apart():
+    key, check = np.array([5, 5, 7, 5, 5], np.uint64), np.array([1, 2, 1, 1, 2], np.uint64)
+    first, counts = ph.groups(key, check)
+    assert sorted(zip(key[first].tolist(), check[first].tolist(), counts.tolist(), strict=True)) == [(5, 1, 2), (5, 2, 2), (7, 1, 1)]
+    assert ph.groups(key[:0], check[:0])[1].tolist() == []

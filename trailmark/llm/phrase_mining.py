@@ -31,7 +31,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +42,8 @@ from .common import dropped, stored, table
 LONGEST, THRESHOLD, SHARDS = 4, 30, 3
 #: Hash cells of the array of steps (bytes), and the largest bitmap piece that reaches the driver.
 CELL_BITS, PIECE_BITS = 24, 16
-#: Tokens that a task counts at once, and words it numbers before it starts anew.
-BUFFER_TOKENS, MOST_WORDS = 1 << 20, 1 << 20
+#: Tokens that a task counts at once.
+BUFFER_TOKENS = 1 << 20
 #: Bytes of a text that are split into words at once.
 CHUNK_BYTES = 1 << 20
 NEVER = 255
@@ -54,6 +53,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # Bytes that end a piece, and those between words.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _BREAK = 0xFF  # never in UTF-8
+_BREAK_WORD = bytes([_BREAK])
+_BREAK_HASH = np.uint64(xxhash.xxh3_64_intdigest(_BREAK_WORD))
 
 
 def _translation() -> bytes:
@@ -84,33 +85,8 @@ def words_of(raw: bytes) -> Iterator[list[bytes]]:
         at = to
 
 
-class Numbering:
-    """Numbers of (language, word); 0 is the break."""
-
-    def __init__(self) -> None:
-        self.words: list[bytes] = [b""]
-        self.langs: list[str] = [""]
-        self.hashes: list[int] = [0]
-        self.of: dict[str, _Words] = {}
-
-    def words_in(self, lang: str) -> _Words:
-        if lang not in self.of:
-            self.of[lang] = _Words(self, lang)
-        return self.of[lang]
-
-
-class _Words(dict):
-    def __init__(self, owner: Numbering, lang: str):
-        super().__init__({b"\xff": 0})
-        self.owner, self.lang, self.seed = owner, lang, xxhash.xxh3_64_intdigest(lang.encode())
-
-    def __missing__(self, word: bytes) -> int:
-        number = len(self.owner.words)
-        self.owner.words.append(word)
-        self.owner.langs.append(self.lang)
-        self.owner.hashes.append(xxhash.xxh3_64_intdigest(word, self.seed))
-        self[word] = number
-        return number
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode(), 1)
 
 
 def cells_of(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -126,104 +102,100 @@ def chained(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ one scan
 class Scan:
-    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent."""
+    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent.
+
+    Words are known by two 64-bit hashes (the second only has to agree inside a process), and a phrase by
+    the chains of both; its text is put together once per buffer.
+    """
 
     def __init__(self, since: np.ndarray, bits: int, step: int, shards: int, longest: int):
         self.since, self.bits, self.step, self.shards, self.longest = since, bits, step, shards, longest
-        self.fresh()
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def fresh(self) -> None:
-        self.numbers = Numbering()
+        self.tokens: list[bytes] = []
+        self.langs: list[tuple[str, int]] = []  # runs of tokens
 
     def add(self, lang: str, text: str | None) -> Iterator[pa.RecordBatch]:
         if not text:
             return
-        known = self.numbers.words_in(lang)
         for words in words_of(text.encode()):
-            self.parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-            self.size += len(words)
-            if self.size >= BUFFER_TOKENS:
+            self._put(lang, words)
+            if len(self.tokens) >= BUFFER_TOKENS:
                 # phrases that begin before the last few words; those begin the next buffer
                 yield from self.count(keep=self.longest - 1)
-        self.parts.append(np.zeros(1, np.int64))
-        self.size += 1
-        if len(self.numbers.words) > MOST_WORDS:
-            yield from self.finish()
+        self._put(lang, [_BREAK_WORD])
+
+    def _put(self, lang: str, words: list[bytes]) -> None:
+        self.tokens += words
+        self.langs.append((lang, len(words)))
 
     def finish(self) -> Iterator[pa.RecordBatch]:
-        self.parts.append(np.zeros(self.longest, np.int64))
+        self._put("", [_BREAK_WORD] * self.longest)
         yield from self.count(keep=0)
-        self.fresh()
 
     def count(self, keep: int) -> Iterator[pa.RecordBatch]:
-        ids = np.concatenate(self.parts)
-        starts = len(ids) - max(keep, self.longest - 1)
-        self.parts, self.size = ([ids[starts:]], len(ids) - starts) if keep else ([], 0)
+        tokens, n = self.tokens, len(self.tokens)
+        names = list(dict.fromkeys(lang for lang, _ in self.langs))
+        number = {lang: i for i, lang in enumerate(names)}
+        lang = np.repeat([number[x] for x, _ in self.langs], [k for _, k in self.langs])
+        starts = n - max(keep, self.longest - 1)
         if starts <= 0:
             return
-        there = ids > 0
-        hashes = np.array(self.numbers.hashes, np.uint64)[ids]
-        chain = hashes
+        self.tokens = tokens[starts:] if keep else []
+        self.langs = [(names[x], 1) for x in lang[starts:].tolist()] if keep else []
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, n)
+        checks = np.fromiter(map(hash, tokens), np.int64, n).view(np.uint64)
+        there = (words != _BREAK_HASH) | (checks != np.uint64(hash(_BREAK_WORD) & (1 << 64) - 1))
+        seed = np.array([lang_seed(x) for x in names], np.uint64)[lang]
+        words, checks = words ^ seed, checks ^ seed
+        self.buffer = tokens, lang, names
         if self.step < self.shards:  # words are active from the start
-            numbers = ids[:starts][there[:starts]]
-            counts = np.bincount(numbers, minlength=len(self.numbers.words))
-            seen = np.flatnonzero(counts)
-            yield self._batch([seen], counts[seen], np.zeros(len(seen), np.int64))
-            yield from self._totals(counts)
+            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, None)
+            total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
+            some = np.flatnonzero(total)
+            yield _record([names[x] for x in some.tolist()], [b""] * len(some), 0, np.zeros(len(some), np.int64), total[some])
         # ready[i]: the step from which the phrase that begins at i is frequent
+        chain, check, whole = words, checks, there
         ready = np.where(there, self.since[cells_of(chain, self.bits)], NEVER)
-        for n in range(2, self.longest + 1):
+        for k in range(2, self.longest + 1):
             opened = np.maximum(ready[:-1], ready[1:])
-            chain = chained(chain[:-1], hashes[n - 1:])
+            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
             due = np.flatnonzero((opened[:starts] <= self.step) & (opened[:starts] > self.step - self.shards))
             if len(due):
-                yield self._counted(ids, due, n, opened)
-            if n < self.longest:
-                valid = there[:len(chain)].copy()
-                for k in range(1, n):
-                    valid &= there[k:k + len(chain)]
-                ready = np.where(valid, self.since[cells_of(chain, self.bits)], NEVER)
-
-    def _counted(self, ids: np.ndarray, due: np.ndarray, n: int, opened: np.ndarray) -> pa.RecordBatch:
-        """The phrases of ``n`` words that begin at ``due``, with their counts."""
-        key = ids[due]
-        for k in range(1, n):
-            if k > 1:
-                key = np.unique(key, return_inverse=True)[1]
-            key = key * (1 << 32) + ids[due + k]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+                yield self._counted(due, chain, check, k, opened)
+            if k < self.longest:
+                ready = np.where(whole, self.since[cells_of(chain, self.bits)], NEVER)
+
+    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray | None) -> pa.RecordBatch:
+        """The phrases of ``k`` words that begin at ``due``, with their counts."""
+        first, counts = groups(chain[due], check[due])
         at = due[first]
-        return self._batch([ids[at + k] for k in range(n)], counts, opened[at].astype(np.int64))
-
-    def _batch(self, numbers: list[np.ndarray], counts: np.ndarray, opened: np.ndarray) -> pa.RecordBatch:
-        used, inverse = np.unique(np.concatenate(numbers), return_inverse=True)
-        words = pa.array([self.numbers.words[i] for i in used.tolist()], pa.binary()).cast(pa.string())
-        langs = pa.array([self.numbers.langs[i] for i in used.tolist()], pa.string())
-        m = len(numbers[0])
-        taken = [words.take(pa.array(inverse[k * m:(k + 1) * m])) for k in range(len(numbers))]
-        phrase = pc.binary_join_element_wise(*taken, " ") if len(taken) > 1 else taken[0]
-        return _record(langs.take(pa.array(inverse[:m])), phrase, len(numbers), opened, counts)
-
-    def _totals(self, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """All word occurrences per language, as a phrase of no words."""
-        total: dict[str, int] = {}
-        for lang, n in zip(self.numbers.langs, counts.tolist(), strict=True):
-            if n:
-                total[lang] = total.get(lang, 0) + n
-        langs = list(total)
-        yield _record(pa.array(langs, pa.string()), pa.array([""] * len(langs), pa.string()), 0,
-                      np.zeros(len(langs), np.int64), np.array([total[x] for x in langs], np.int64))
+        tokens, lang, names = self.buffer
+        phrases = [b" ".join(tokens[i:i + k]) for i in at.tolist()] if k > 1 else [tokens[i] for i in at.tolist()]
+        steps = np.zeros(len(at), np.int64) if opened is None else opened[at]
+        return _record([names[x] for x in lang[at].tolist()], phrases, k, steps, counts)
+
+
+def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One position and the size of every group of equal (key, check)."""
+    order = np.argsort(key, kind="stable")
+
+    def borders() -> np.ndarray:
+        return np.flatnonzero(np.append(len(order) > 0, (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])))
+
+    heads = borders()
+    if len(heads) != len(np.unique(key[order][heads])):  # two phrases share a key: order by the check too
+        order = np.lexsort((check, key))
+        heads = borders()
+    return order[heads], np.diff(np.append(heads, len(order)))
 
 
 COUNTS_SCHEMA = "lang string, phrase string, words int, opened int, a long"
 
 
-def _record(langs, phrases, words: int, opened: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _record(langs: list[str], phrases: list[bytes], words: int, opened: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     n = len(counts)
     return pa.RecordBatch.from_arrays(
-        [langs, phrases, pa.array(np.full(n, words, np.int32)), pa.array(opened.astype(np.int32)), pa.array(counts.astype(np.int64))],
+        [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.full(n, words, np.int32)),
+         pa.array(opened.astype(np.int32)), pa.array(counts.astype(np.int64))],
         ["lang", "phrase", "words", "opened", "a"])
 
 
@@ -246,10 +218,10 @@ def _phrase_cells(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
     for b in batches:
         cells = []
         for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            seed, h = xxhash.xxh3_64_intdigest(lang.encode()), None
-            for word in phrase.encode().split(b" "):
-                w = np.array([xxhash.xxh3_64_intdigest(word, seed)], np.uint64)
-                h = w if h is None else chained(h, w)
+            words = np.array([xxhash.xxh3_64_intdigest(w) for w in phrase.encode().split(b" ")], np.uint64) ^ np.uint64(lang_seed(lang))
+            h = words[:1]
+            for k in range(1, len(words)):
+                h = chained(h, words[k:k + 1])
             cells.append(int(cells_of(h, bits)[0]))
         c = np.array(cells, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(c >> PIECE_BITS), pa.array((c & ((1 << PIECE_BITS) - 1)).astype(np.int32))], ["piece", "bit"])
