@@ -248,13 +248,13 @@ def test_spread_state_sessions_equal_batch_sessions(spark, tmp_dir):
     assert part == [b for b in batch if b[1] >= since] and 0 < len(part) < len(batch)
 
 
-def test_pipeline_with_spread_session_state(spark, tmp_dir):
+def test_pipeline_with_session_cells(spark, tmp_dir):
     from trailmark.streaming import query_watermark, read_stream_sessions
 
     rows = [_minute(m, pageUrl=p) for m, p in [(1, "a"), (2, "b"), (10, "c"), (60, "d")]]
     _write_files(spark, f"{tmp_dir}/in", [rows])
     qs = run_pipeline(spark, "files", f"{tmp_dir}/out", f"{tmp_dir}/chk", session_timeout_minutes=2, trigger=NOW,
-                      sinks={"errors": "parquet_updates"}, session_state="spread", input_path=f"{tmp_dir}/in")
+                      sinks={"errors": "parquet_updates"}, session_state="cells", input_path=f"{tmp_dir}/in")
     for q in qs.values():
         _run(q)
     got = [(r.sessionStart.minute, list(r.path)) for r in

@@ -25,17 +25,20 @@ DEFAULT_OPTIONS = {
 # (unset = every new file in the next trigger), e.g. --maxFilesPerTrigger=1.
 # --trigger=availableNow processes what is there and stops; --trigger="5 seconds"
 # sets a processing-time trigger; unset = Spark's default (as the reference).
-# --sessionState=spread keeps session-path state per (user, second, page) instead
-# of per user (see trailmark.streaming.sessions).
+# --sessionState=spread keeps the open sessions as a table spread over (user, second, page) instead of
+# a state entry per user (see trailmark.streaming.open_sessions); cells writes the counts only.
 # --heatmapSink, --pathsSink, --errorsSink choose parquet, parquet_updates or console.
-# --allTime also writes the all-time snapshots of paths and heatmap.
+# --allTime also writes the all-time snapshots of paths and heatmap; --allTime=deltas keeps them as stores of deltas.
+# --report prints the busiest cells, errors by page and a preview of paths with every trigger.
+# --quarantine keeps records that cannot be read, with reasons.
+# --maxLeadMinutes=N gives no event time to rows more than N minutes ahead of their arrival.
 # --kafkaOption.NAME=VALUE goes to the Kafka source (maxOffsetsPerTrigger, minPartitions, failOnDataLoss).
 # --maxEventTime="2100-01-01" nulls event times after that instant, so one absurd
 # timestamp cannot push the watermarks past all real data.
 
 
 EXTRA_OPTIONS = {"maxFilesPerTrigger", "trigger", "sessionState", "maxEventTime", "heatmapSink", "pathsSink", "errorsSink",
-                 "allTime"}
+                 "allTime", "report", "quarantine", "maxLeadMinutes"}
 KAFKA_PREFIX = "kafkaOption."
 
 
@@ -86,7 +89,7 @@ def job_session():
 
 
 def main(argv: list[str] | None = None) -> None:
-    from .streaming.pipeline import await_all, await_any, run_pipeline
+    from .streaming.pipeline import await_all, await_any, rejected_so_far, run_pipeline
 
     opts = options(sys.argv[1:] if argv is None else argv)
     check_options(opts)
@@ -106,12 +109,18 @@ def main(argv: list[str] | None = None) -> None:
         sinks={q: opts[f"{q}Sink"] for q in ("heatmap", "paths", "errors") if f"{q}Sink" in opts},
         session_state=opts.get("sessionState", "per_user"),
         max_event_time=opts.get("maxEventTime"),
-        all_time=opts.get("allTime") == "true",
+        all_time={None: False, "false": False, "true": True}.get(opts.get("allTime"), opts.get("allTime")),
+        report=opts.get("report") == "true",
+        quarantine=opts.get("quarantine") == "true",
+        max_lead_minutes=float(opts["maxLeadMinutes"]) if opts.get("maxLeadMinutes") else None,
     )
-    if opts.get("trigger") == "availableNow":
-        await_all(queries)
-    else:
-        await_any(queries)
+    try:
+        if opts.get("trigger") == "availableNow":
+            await_all(queries)
+        else:
+            await_any(queries)
+    finally:
+        print("rows and records set aside:", rejected_so_far(queries))
 
 
 if __name__ == "__main__":

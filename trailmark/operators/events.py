@@ -10,9 +10,13 @@ from ..functions.time import event_time
 from ..schema import CLICK, DEFAULT_SESSION_GAP_MINUTES, ERROR, EVENT_COLUMNS, EVENT_TIME
 
 
-def with_event_time(df: DataFrame, max_event_time: str | None = None) -> DataFrame:
-    """Add ``eventTime`` (whole seconds) from epoch-ms ``timestamp``."""
-    return df.withColumn(EVENT_TIME, event_time("timestamp", max_event_time))
+def with_event_time(df: DataFrame, max_event_time: str | None = None, max_lead_minutes: float | None = None) -> DataFrame:
+    """Add ``eventTime`` (whole seconds) from epoch-ms ``timestamp``.
+
+    ``max_lead_minutes`` (needs ``arrivalTime``, see ``read_events(with_arrival=True)``) gives no event time to rows
+    further ahead of their arrival, so no clock that is wrong moves a watermark.
+    """
+    return df.withColumn(EVENT_TIME, event_time("timestamp", max_event_time, max_lead_minutes))
 
 
 def project_events(df: DataFrame) -> DataFrame:
@@ -20,9 +24,9 @@ def project_events(df: DataFrame) -> DataFrame:
     return df.select(*EVENT_COLUMNS, EVENT_TIME)
 
 
-def prepare_events(raw: DataFrame, max_event_time: str | None = None) -> DataFrame:
+def prepare_events(raw: DataFrame, max_event_time: str | None = None, max_lead_minutes: float | None = None) -> DataFrame:
     """P1 + P2 on raw events (batch or streaming)."""
-    return project_events(with_event_time(raw, max_event_time))
+    return project_events(with_event_time(raw, max_event_time, max_lead_minutes))
 
 
 def watermark_delay(session_timeout_minutes: int = DEFAULT_SESSION_GAP_MINUTES) -> str:

@@ -11,7 +11,8 @@ Plan (batch and streaming share step 1):
    map-side).  A user that holds a third of all rows is spread over its chunks.
 2. ``user_path_chunks`` -- sort and de-duplicate inside each fragment, and once more at
    the borders, against the last page of the user's fragment before it.  Collapsing
-   consecutive repeats composes, so this equals a global ordered scan.
+   consecutive repeats composes, so this equals a global ordered scan.  The borders come from a
+   scan in two levels (ranges of chunks, then one row per range), so no task orders a user's pages.
 3. ``assemble_user_paths`` -- the pieces of a user as one array (a wrapper: only the
    collapsed result of each user is held in one task).
 
@@ -30,6 +31,8 @@ from ..functions.arrays import render_path
 from ..schema import MISSING_USER, PREVIEW_USERS
 
 DEFAULT_CHUNK_MS = 60_000
+#: Chunks of a range: what one group of the ordered scan holds at most (a day of minutes).
+RANGE_CHUNKS = 1_440
 
 
 # Step 1: distinct (timestamp, page) pairs per (user, chunk), after the defaults
@@ -44,23 +47,45 @@ GROUP BY 1, 2
 # Step 2: inside a fragment timestamps are all NULL or all set (chunk is NULL iff
 # the timestamp is), so a plain struct sort gives (timestamp, page) order; events
 # without time go last.  Repeats are collapsed in each fragment, and a fragment loses its
-# first page where the fragment before it ended on the same.  `get` returns NULL for index -1.
+# first page where the fragment before it ended on the same.
+#
+# Which fragments lose it is found on thin rows (first and last page) by a scan in two levels:
+# inside ranges of chunks, and over one row per range (the page it ends on) per user.  The
+# pages themselves are in no window; the fragments to shorten go back to them by a join on the
+# key they are spread by.  `get` returns NULL for index -1; pages are never NULL here.
 _CHUNKS_SQL = """
 WITH sorted AS (
   SELECT userId, chunk, transform(sort_array(cells), c -> c.pageUrl) AS pages FROM {fragments}),
 frags AS (
-  SELECT userId, chunk IS NULL AS no_time, chunk,
+  SELECT userId, chunk IS NULL AS no_time, coalesce(chunk, 0) AS chunk,
     filter(pages, (p, i) -> i = 0 OR NOT p <=> get(pages, i - 1)) AS pages
   FROM sorted),
-bordered AS (
-  SELECT *, lag(element_at(pages, -1)) OVER (PARTITION BY userId ORDER BY no_time, chunk) AS before FROM frags)
-SELECT userId, no_time, chunk, CASE WHEN pages[0] = before THEN slice(pages, 2, size(pages)) ELSE pages END AS pages
-FROM bordered
+ends AS (
+  SELECT userId, no_time, chunk, floor(chunk / {range_chunks}) AS part, pages[0] AS first_page, element_at(pages, -1) AS last_page
+  FROM frags),
+inside AS (
+  SELECT userId, no_time, part, chunk, first_page,
+    lag(last_page) OVER (PARTITION BY userId, no_time, part ORDER BY chunk) AS before
+  FROM ends),
+parts AS (SELECT userId, no_time, part, max_by(last_page, chunk) AS last_page FROM ends GROUP BY userId, no_time, part),
+entered AS (
+  SELECT userId, no_time, part, lag(last_page) OVER (PARTITION BY userId ORDER BY no_time, part) AS before FROM parts),
+shorter AS (
+  SELECT /*+ SHUFFLE_HASH(e) */ i.userId, i.no_time, i.chunk FROM inside i JOIN entered e USING (userId, no_time, part)
+  WHERE i.first_page = coalesce(i.before, e.before))
+SELECT /*+ SHUFFLE_HASH(s) */ f.userId, f.no_time, CASE WHEN NOT f.no_time THEN f.chunk END AS chunk,
+  CASE WHEN s.chunk IS NULL THEN f.pages ELSE slice(f.pages, 2, size(f.pages)) END AS pages
+FROM frags f LEFT JOIN shorter s ON f.userId = s.userId AND f.no_time = s.no_time AND f.chunk = s.chunk
 """
 
+# Step 3 in two levels as well: pieces are sorted inside their range, then one array per range.
 _ASSEMBLE_SQL = """
-SELECT userId, flatten(transform(sort_array(collect_list(struct(no_time, chunk, pages))), f -> f.pages)) AS path
-FROM {chunks} GROUP BY userId
+SELECT userId, flatten(transform(sort_array(collect_list(struct(no_time, part, pages))), f -> f.pages)) AS path
+FROM (
+  SELECT userId, no_time, floor(chunk / {range_chunks}) AS part,
+    flatten(transform(sort_array(collect_list(struct(chunk, pages))), f -> f.pages)) AS pages
+  FROM {chunks} GROUP BY 1, 2, 3)
+GROUP BY userId
 """
 
 
@@ -70,22 +95,22 @@ def user_path_fragments(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) ->
     return events.sparkSession.sql(_FRAGMENTS_SQL, events=cols, chunk_ms=int(chunk_ms))
 
 
-def user_path_chunks(fragments: DataFrame) -> DataFrame:
+def user_path_chunks(fragments: DataFrame, range_chunks: int = RANGE_CHUNKS) -> DataFrame:
     """Step 2: ``userId, no_time, chunk, pages`` -- a path in pieces, one row per (user, chunk).
 
-    The pieces of a user in order (timed chunks first) are its path.  The window that
-    compares a piece with the last page before it holds one row per chunk of a user,
-    never its events.
+    The pieces of a user in order (timed chunks first) are its path.  No window holds pages: the
+    one inside a range holds two pages a chunk, the one per user one row per range.
     """
-    return fragments.sparkSession.sql(_CHUNKS_SQL, fragments=fragments)
+    return fragments.sparkSession.sql(_CHUNKS_SQL, fragments=fragments, range_chunks=int(range_chunks))
 
 
-def assemble_user_paths(fragments: DataFrame) -> DataFrame:
+def assemble_user_paths(fragments: DataFrame, range_chunks: int = RANGE_CHUNKS) -> DataFrame:
     """Step 3: ``userId, path array<string>``: one row, and so one task, per user.
 
     For users whose whole path fits a row; ``user_path_chunks`` has no such limit.
     """
-    return fragments.sparkSession.sql(_ASSEMBLE_SQL, chunks=user_path_chunks(fragments))
+    chunks = user_path_chunks(fragments, range_chunks)
+    return fragments.sparkSession.sql(_ASSEMBLE_SQL, chunks=chunks, range_chunks=int(range_chunks))
 
 
 def user_paths(events: DataFrame, chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:

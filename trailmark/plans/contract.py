@@ -28,7 +28,19 @@ from ..operators.user_paths import preview_user_paths_of, user_paths
 from ..session import ensure_utc, scratch_dir
 from ..sources.files import read_events_files, write_events_json
 from ..sources.kafka import decode_events, encode_events
-from ..sources.tables import ARRIVAL_BATCHES, arrivals, events_table, stream_web_events, web_events, web_events_from_table
+from ..sources.quarantine import check_records, count_reasons, good_events, read_records, start_quarantine
+from ..sources.tables import (
+    ARRIVAL_BATCHES,
+    arrivals,
+    damaged_records,
+    events_table,
+    hot_web_events,
+    stream_web_events,
+    web_events,
+    web_events_from_table,
+)
+from ..streaming.deltas import HEATMAP, PATHS, DeltaStore, Mergeable, start_delta_store
+from ..streaming.open_sessions import read_session_batches, start_open_sessions
 from ..streaming.sessions import checkpoint_watermark, query_watermark, read_stream_sessions, start_session_cells
 from ..streaming.sinks import start_parquet_sink, start_update_parquet_sink
 from ..streaming.snapshots import (
@@ -112,6 +124,16 @@ def q_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_paths(_events(spark, sf_dir)).select("userId", path_text().alias("path_text"))
 
 
+def q_user_paths_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 where one user holds a third of the rows."""
+    return user_paths(prepare_events(hot_web_events(spark, sf_dir))).select("userId", path_text().alias("path_text"))
+
+
+def q_session_paths_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 where one user holds a third of the rows."""
+    return _session_shape(session_paths(prepare_events(hot_web_events(spark, sf_dir)), 30))
+
+
 def q_user_paths_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview_user_paths_of(_events(spark, sf_dir), 5)
 
@@ -128,6 +150,15 @@ def q_kafka_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_events(encode_events(web_events(spark, sf_dir)))
 
 
+def q_quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of records of which some are damaged."""
+    return good_events(check_records(damaged_records(spark, sf_dir)))
+
+
+def q_quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_reasons(check_records(damaged_records(spark, sf_dir)))
+
+
 # --------------------------------------------------------------------------- streaming
 def _stream_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     return prepare_events(stream_web_events(spark, sf_dir)), scratch_dir(spark, "stream")
@@ -225,10 +256,12 @@ def q_stream_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fragment_paths(spark, f"{base}/out").select("userId", path_text().alias("path_text"))
 
 
-def _run_batches(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str], object]) -> str:
+def _run_batches(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str], object],
+                 after: Callable[[str, int], object] | None = None) -> str:
     """Late and repeated arrivals: the query is restarted on its checkpoint for each batch of new files.
 
-    ``start`` gets the stream and the base folder and returns the started query.
+    ``start`` gets the stream and the base folder and returns the started query; ``after`` gets the base folder
+    and the batch once the query has read it.
     """
     ensure_utc(spark)
     base = scratch_dir(spark, "stream")
@@ -236,9 +269,59 @@ def _run_batches(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, s
     for batch in range(ARRIVAL_BATCHES):
         write_events_json(web_events_from_table(arrivals(raw, batch)), f"{base}/input", mode="append")
         _run(start(prepare_events(read_events_files(spark, f"{base}/input", streaming=True)), base))
+        if after is not None:
+            after(base, batch)
     return base
 
 
+def _after_each_batch(spark: SparkSession, sf_dir: str, kind: Mergeable) -> DataFrame:
+    """The merged deltas after each of the four arrival batches (column ``after_batch``)."""
+    store: list[DeltaStore] = []  # one reader, which opens a segment once
+
+    def keep(base: str, batch: int) -> None:
+        if not store:
+            store.append(DeltaStore(spark, f"{base}/store", kind, fanout=2))
+        store[0].read().write.parquet(f"{base}/results/after_batch={batch}")
+
+    base = _run_batches(spark, sf_dir, lambda events, base: start_delta_store(
+        events, f"{base}/store", f"{base}/chk", kind, trigger=AVAILABLE_NOW, fanout=2), keep)
+    return spark.read.parquet(f"{base}/results")
+
+
+def q_delta_heatmap_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/K6 from the store of deltas, after every batch."""
+    return _after_each_batch(spark, sf_dir, HEATMAP)
+
+
+def q_delta_paths_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6/K5 from the store of deltas, after every batch."""
+    return _after_each_batch(spark, sf_dir, PATHS).select("after_batch", "userId", path_text().alias("path_text"))
+
+
+def q_stream_session_window_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``session_window`` over four batches with late rows, some of which merge open sessions."""
+    base = _run_batches(spark, sf_dir, lambda events, base: start_parquet_sink(
+        session_paths(with_event_watermark(events, STREAM_TIMEOUT_MINUTES), STREAM_TIMEOUT_MINUTES, strategy="session_window"),
+        f"{base}/out", f"{base}/chk", trigger=AVAILABLE_NOW))
+    return _session_shape(spark.read.schema(PATHS_SINK_SCHEMA).parquet(f"{base}/out"))
+
+
+def q_stream_open_sessions_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same results without a state entry per user."""
+    base = _run_batches(spark, sf_dir, lambda events, base: start_open_sessions(
+        events, f"{base}/out", f"{base}/chk", STREAM_TIMEOUT_MINUTES, trigger=AVAILABLE_NOW))
+    return _session_shape(read_session_batches(spark, f"{base}/out", f"{base}/chk"))
+
+
+def q_quarantine_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second sink: bad records of a stream of lines, with their reasons."""
+    base = scratch_dir(spark, "stream")
+    damaged_records(spark, sf_dir).write.text(f"{base}/input")
+    _run(start_quarantine(read_records(spark, f"{base}/input"), f"{base}/out", f"{base}/chk", trigger=AVAILABLE_NOW))
+    rows = spark.read.schema("record string, reasons array<string>").parquet(f"{base}/out")
+    return rows.select("record", F.array_join("reasons", "; ").alias("reasons"))
+
+
 def q_stream_session_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spread-state sessions over four batches with late rows, restarted between them."""
     base = _run_batches(spark, sf_dir, lambda events, base: start_session_cells(
@@ -264,6 +347,8 @@ def queries() -> dict[str, QueryFn]:
         "heatmap_top10": q_heatmap_top10,
         "error_totals": q_error_totals,
         "user_paths": q_user_paths,
+        "user_paths_hot": q_user_paths_hot,
+        "session_paths_hot": q_session_paths_hot,
         "user_paths_preview": q_user_paths_preview,
         "jsonl_source": q_jsonl_source,
         "kafka_codec": q_kafka_codec,
@@ -276,6 +361,13 @@ def queries() -> dict[str, QueryFn]:
         "stream_session_cells": q_stream_session_cells,
         "stream_session_late": q_stream_session_late,
         "stream_errors_late": q_stream_errors_late,
+        "stream_session_window_late": q_stream_session_window_late,
+        "stream_open_sessions_late": q_stream_open_sessions_late,
+        "delta_heatmap_late": q_delta_heatmap_late,
+        "delta_paths_late": q_delta_paths_late,
+        "quarantine_good": q_quarantine_good,
+        "quarantine_bad": q_quarantine_bad,
+        "quarantine_counts": q_quarantine_counts,
     }
 
 

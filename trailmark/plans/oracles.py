@@ -129,6 +129,69 @@ FROM per
 """
 
 
+def _open_sessions_late() -> str:
+    """Four batches: rows that are late under the watermark of the batches before go, the rest joins the open
+    rows; sessions that end at or before the new watermark come out, the others stay open."""
+    sql = _arrived("true") + """,
+marks AS (SELECT b AS batch, (SELECT max(top) FROM tops WHERE tops.batch < b) - INTERVAL 30 MINUTE AS before,
+    (SELECT max(top) FROM tops WHERE tops.batch <= b) - INTERVAL 30 MINUTE AS mark FROM (SELECT unnest([0, 1, 2, 3]) AS b))"""
+    for b in range(4):
+        opened = f"UNION ALL SELECT userId, eventTime, pageUrl FROM t{b - 1} WHERE NOT final" if b else ""
+        sql += f""",
+p{b} AS (SELECT userId, eventTime, pageUrl FROM av JOIN marks USING (batch)
+         WHERE batch = {b} AND (before IS NULL OR eventTime + INTERVAL 30 MINUTE > before) {opened}),
+n{b} AS (SELECT *, CASE WHEN eventTime - lag(eventTime) OVER (PARTITION BY userId ORDER BY eventTime)
+         <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS nb FROM p{b}),
+i{b} AS (SELECT *, sum(nb) OVER (PARTITION BY userId ORDER BY eventTime ROWS UNBOUNDED PRECEDING) AS sid FROM n{b}),
+t{b} AS (SELECT *, coalesce(max(eventTime) OVER (PARTITION BY userId, sid) + INTERVAL 30 MINUTE
+         <= (SELECT mark FROM marks WHERE batch = {b}), false) AS final FROM i{b})"""
+    rows = " UNION ALL ".join(f"SELECT {b} AS batch, userId, sid, eventTime, pageUrl FROM t{b} WHERE final" for b in range(4))
+    return sql + f""",
+s AS (SELECT userId, min(eventTime) AS sessionStart, max(eventTime) + INTERVAL 30 MINUTE AS sessionEnd,
+        list(pageUrl ORDER BY eventTime, pageUrl NULLS FIRST) AS path FROM ({rows}) GROUP BY batch, userId, sid)
+SELECT userId, sessionStart, sessionEnd, {_path_text('path')} AS path_text FROM s
+"""
+
+
+def _after_each_batch(result: str) -> str:
+    """All rows that have arrived after each of the four batches, late or not."""
+    return _arrived("true") + """,
+fb AS (SELECT batch, coalesce(nullif(userId, ''), '?') AS userId, "timestamp", coalesce(eventType, '') AS eventType,
+  coalesce(pageUrl, '') AS pageUrl, coalesce(nullif(element, ''), 'body') AS element, coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM ev),
+fa AS (SELECT after_batch, fb.* FROM fb JOIN (SELECT unnest([0, 1, 2, 3]) AS after_batch) ON batch <= after_batch)""" + result
+
+
+_DELTA_HEATMAP = """
+SELECT after_batch, pageUrl, element, cast(trunc(x / 50) AS int) * 50 AS xBucket, cast(trunc(y / 50) AS int) * 50 AS yBucket,
+  count(*) AS "count"
+FROM fa WHERE eventType = 'click' GROUP BY ALL
+"""
+_DELTA_PATHS = """,
+o AS (SELECT *, lag(pageUrl) OVER (PARTITION BY after_batch, userId ORDER BY "timestamp", pageUrl) AS pv FROM fa WHERE pageUrl <> ''),
+p AS (SELECT after_batch, userId, list(pageUrl ORDER BY "timestamp", pageUrl) AS path
+      FROM o WHERE pv IS NULL OR pv <> pageUrl GROUP BY ALL)
+SELECT after_batch, userId, """
+
+# a third of the rows belong to one user
+HOT = WEB.replace("SELECT CASE WHEN k IS NULL OR k <> 98 THEN 'u' || user_id END AS userId",
+                  "SELECT CASE WHEN event_id % 3 = 0 THEN 'u_hot' WHEN k IS NULL OR k <> 98 THEN 'u' || user_id END AS userId")
+
+# planted damage: a record cut off, one that is no object, one with bad fields
+_DAMAGE = WEB.replace("props AS meta\n  FROM raw)", "props AS meta, event_id, user_id, CASE WHEN event_id % 41 = 1 THEN 'cut'"
+                      " WHEN event_id % 43 = 2 THEN 'none' WHEN event_id % 47 = 3 THEN 'fields' END AS damage\n  FROM raw)")
+_BAD = _DAMAGE + """,
+bad AS (SELECT CASE damage WHEN 'cut' THEN '{"userId":"u' || user_id || '","timestamp":' WHEN 'none' THEN '"event ' || event_id || '"'
+    ELSE '{"userId":"u' || user_id || '","timestamp":"t' || event_id || '","eventType":"view","x":"wide"}' END AS record,
+  CASE WHEN damage = 'fields' THEN 'timestamp: not a bigint; x: not a int' ELSE 'not a JSON object' END AS reasons FROM web WHERE damage IS NOT NULL)
+"""
+_GOOD = _DAMAGE + """
+SELECT CASE WHEN damage IS NULL THEN userId ELSE 'u' || user_id END AS userId, CASE WHEN damage IS NULL THEN "timestamp" END AS "timestamp",
+  CASE WHEN damage IS NULL THEN eventType ELSE 'view' END AS eventType, """ + ", ".join(
+    f"CASE WHEN damage IS NULL THEN {c} END AS {c}" for c in ("pageUrl", "referrer", "element", "x", "y", "screenWidth", "screenHeight", "meta")) + """
+FROM web WHERE damage IS NULL OR damage = 'fields'
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "event_time": _event_time(),
@@ -158,6 +221,15 @@ def oracles() -> dict[str, str]:
         "stream_errors_update": _errors_5m(),
         "stream_session_late": _session_late(),
         "stream_errors_late": _errors_late(),
+        "stream_session_window_late": _open_sessions_late(),
+        "stream_open_sessions_late": _open_sessions_late(),
+        "delta_heatmap_late": _after_each_batch(_DELTA_HEATMAP),
+        "delta_paths_late": _after_each_batch(_DELTA_PATHS + f"{_path_text('path')} AS path_text FROM p"),
+        "user_paths_hot": HOT + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
+        "session_paths_hot": _session_paths(30).replace(WEB, HOT),
+        "quarantine_good": _GOOD,
+        "quarantine_bad": _BAD + "SELECT record, reasons FROM bad",
+        "quarantine_counts": _BAD + "SELECT unnest(string_split(reasons, '; ')) AS reason, count(*) AS records FROM bad GROUP BY 1",
         "snapshot_paths": WEB + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
         "snapshot_heatmap": WEB + _HEATMAP_TOTAL,
         # Bounded-state paths: only minutes closed by the watermark, which moves with

@@ -44,3 +44,6 @@ EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
 EVENT_TIME = "eventTime"
 
 HEATMAP_KEYS = ["pageUrl", "element", "xBucket", "yBucket"]
+
+#: When a record reached its source: the broker's time, or the time its file was written.
+ARRIVAL_TIME = "arrivalTime"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .files import read_events_files
-from .kafka import read_events_kafka
+from .kafka import read_events_kafka, read_events_kafka_raw
+from .quarantine import read_records
 
 SOURCES = ("files", "kafka")
 _READERS = {"files": read_events_files, "kafka": read_events_kafka}
@@ -20,14 +21,29 @@ _OPTIONS = {
 }
 
 
-def read_events(spark: SparkSession, source: str = "files", streaming: bool = True, **opts) -> DataFrame:
+_RECORD_READERS = {"files": read_records, "kafka": read_events_kafka_raw}
+
+
+def read_events(spark: SparkSession, source: str = "files", streaming: bool = True, with_arrival: bool = False, **opts) -> DataFrame:
     """``files`` (``input_path``, ``max_files_per_trigger``) or ``kafka`` (``brokers``, ``topic``,
     ``starting_offsets``, ``options`` of the connector); another source or an option of neither is an
-    error.  Options of the other source are ignored, so a job can pass both sets."""
+    error.  Options of the other source are ignored, so a job can pass both sets.  ``with_arrival`` adds
+    ``arrivalTime`` (the broker's time, or the time the file was written)."""
+    arguments = _arguments(source, opts) | ({"with_arrival": True} if with_arrival else {})
+    return _READERS[source](spark, streaming=streaming, **arguments)
+
+
+def read_event_records(spark: SparkSession, source: str = "files", streaming: bool = True, **opts) -> DataFrame:
+    """The source's records as they are (column ``value``), for ``sources.quarantine``; options as ``read_events``."""
+    arguments = _arguments(source, opts)
+    return _RECORD_READERS[source](spark, streaming=streaming, **arguments)
+
+
+def _arguments(source: str, opts: dict) -> dict:
     if source not in SOURCES:
         raise ValueError(f"unknown source {source!r} (expected one of: {', '.join(SOURCES)})")
     unknown = set(opts) - {o for names in _OPTIONS.values() for o in names}
     if unknown:
         raise ValueError(f"unknown source options: {', '.join(sorted(unknown))}")
     given = {arg: opts[o] for o, arg in _OPTIONS[source].items() if opts.get(o) is not None}
-    return _READERS[source](spark, streaming=streaming, **{**_DEFAULTS[source], **given})
+    return {**_DEFAULTS[source], **given}

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_COLUMNS, EVENT_SCHEMA
+from ..schema import ARRIVAL_TIME, EVENT_COLUMNS, EVENT_SCHEMA
 
 
 def read_events_kafka_raw(
@@ -39,12 +39,15 @@ def read_events_kafka_raw(
     return reader.load()
 
 
-def decode_events(df: DataFrame, value_col: str = "value") -> DataFrame:
+def decode_events(df: DataFrame, value_col: str = "value", with_arrival: bool = False) -> DataFrame:
     """S3 + S4: ``CAST(value AS STRING)`` -> ``from_json`` (explicit schema) -> 11 columns.
 
-    A value that is not a JSON object gives an all-NULL row.
+    A value that is not a JSON object gives an all-NULL row.  ``with_arrival`` adds ``arrivalTime``, the
+    broker's ``timestamp``.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA)
+    if with_arrival:
+        return df.select(parsed.alias("data"), F.col("timestamp").cast("timestamp").alias(ARRIVAL_TIME)).select("data.*", ARRIVAL_TIME)
     return df.select(parsed.alias("data")).select("data.*")
 
 
@@ -55,9 +58,10 @@ def read_events_kafka(
     starting_offsets: str = "earliest",
     streaming: bool = True,
     options: dict[str, str] | None = None,
+    with_arrival: bool = False,
 ) -> DataFrame:
     """S2 -> S4: the event stream of a topic."""
-    return decode_events(read_events_kafka_raw(spark, brokers, topic, starting_offsets, streaming, options))
+    return decode_events(read_events_kafka_raw(spark, brokers, topic, starting_offsets, streaming, options), with_arrival=with_arrival)
 
 
 def encode_events(events: DataFrame, key_col: str | None = "userId") -> DataFrame:

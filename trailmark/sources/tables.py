@@ -11,6 +11,8 @@ columns a query does not use and pushes filters into the Parquet scan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from ..schema import EVENT_COLUMNS
 from ..session import ensure_utc
 
@@ -97,10 +99,40 @@ _MAPPING = [
 ]
 
 
-def web_events_from_table(raw: DataFrame) -> DataFrame:
-    """``event_id, ts, user_id, event_type, value, props`` -> the 11 event fields."""
+def web_events_from_table(raw: DataFrame, *extra: str) -> DataFrame:
+    """``event_id, ts, user_id, event_type, value, props`` -> the 11 event fields (and ``extra`` expressions)."""
     with_k = raw.selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
-    return with_k.selectExpr(*_MAPPING)
+    return with_k.selectExpr(*_MAPPING, *extra)
+
+
+# A third of the rows belong to this user in the tests of a hot key.
+HOT_USER, HOT_SHARE = "u_hot", 3
+
+
+def hot_web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web events of which every third (by event_id) is of one user."""
+    ensure_utc(spark)
+    rows = web_events_from_table(events_table(spark, sf_dir), f"event_id % {HOT_SHARE} = 0 AS hot")
+    user = F.when(F.col("hot"), F.lit(HOT_USER)).otherwise(F.col("userId"))
+    return rows.withColumn("userId", user).select(*EVENT_COLUMNS)
+
+
+# Planted damage by event_id (modulus, remainder): a record cut off, one that is no object, one with bad fields.
+CUT_OFF, NO_OBJECT, BAD_FIELDS = (41, 1), (43, 2), (47, 3)
+
+
+def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as JSON records (column ``value``), some of them damaged."""
+    ensure_utc(spark)
+    rows = web_events_from_table(events_table(spark, sf_dir), "event_id", "user_id")
+    record = F.to_json(F.struct(*EVENT_COLUMNS))
+    ident = F.col("event_id").cast("string")
+    value = (
+        F.when(F.expr(_is(CUT_OFF)), F.concat(F.lit('{"userId":"u'), F.col("user_id").cast("string"), F.lit('","timestamp":')))
+        .when(F.expr(_is(NO_OBJECT)), F.concat(F.lit('"event '), ident, F.lit('"')))
+        .when(F.expr(_is(BAD_FIELDS)), F.concat(F.lit('{"userId":"u'), F.col("user_id").cast("string"), F.lit('","timestamp":"t'), ident, F.lit('","eventType":"view","x":"wide"}')))
+        .otherwise(record))
+    return rows.select(value.alias("value"))
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:

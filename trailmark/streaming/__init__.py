@@ -1,6 +1,8 @@
 """Structured Streaming: sinks, snapshots and the three-query job."""
 
-from .pipeline import await_all, await_any, build_queries, run_pipeline
+from .deltas import ERRORS, HEATMAP, PATHS, DeltaStore, report, start_delta_store, start_report
+from .open_sessions import read_session_batches, session_log, start_open_sessions
+from .pipeline import await_all, await_any, build_queries, rejected_so_far, run_pipeline
 from .sessions import (
     checkpoint_watermark,
     query_watermark,
@@ -19,6 +21,10 @@ from .snapshots import (
 )
 
 __all__ = [
+    "ERRORS",
+    "HEATMAP",
+    "PATHS",
+    "DeltaStore",
     "await_all",
     "await_any",
     "build_queries",
@@ -27,11 +33,18 @@ __all__ = [
     "query_watermark",
     "read_fragment_paths",
     "read_latest_snapshot",
+    "read_session_batches",
     "read_stream_sessions",
+    "rejected_so_far",
+    "report",
     "run_pipeline",
+    "session_log",
     "start_console_sink",
+    "start_delta_store",
     "start_heatmap_snapshots",
+    "start_open_sessions",
     "start_parquet_sink",
+    "start_report",
     "start_path_fragments",
     "start_path_snapshots",
     "start_session_cells",

@@ -109,7 +109,8 @@ def start_path_fragments(
 
 def read_fragment_paths(spark: SparkSession, out: str) -> DataFrame:
     """``userId, path`` assembled (as a batch job) from the fragments written so far."""
-    return assemble_user_paths(spark.read.schema(FRAGMENT_SCHEMA).parquet(out))
+    minute = F.expr("unix_seconds(chunk) div 60").alias("chunk")
+    return assemble_user_paths(spark.read.schema(FRAGMENT_SCHEMA).parquet(out).select("userId", minute, "cells"))
 
 
 def latest_snapshot_id(spark: SparkSession, out: str) -> int | None:
