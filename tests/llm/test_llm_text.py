@@ -221,3 +221,57 @@ def test_extract_pages_carries_ids(spark):
     got = sorted(map(repr, (tuple(r) for r in html.extract_pages(pages).collect())))
     assert got == sorted(map(repr, [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]))
     assert html.extract_pages(pages.limit(0)).collect() == []
+
+
+# ------------------------------------------------------------------ HTML: windows decide, in linear time
+def plain_text(lines):
+    """Second implementation of weights, windows and points, line by line."""
+    chars = [w for _, w, _ in lines]
+    declared = [bool(main and text) for text, _, main in lines]
+    inside = sum(c for c, d in zip(chars, declared, strict=True) if d)
+    weight = [c * 8 if d else c / 8 for c, d in zip(chars, declared, strict=True)] if inside * 2 > sum(chars) else chars
+    if not any(weight):
+        return ""
+    at = lambda i: weight[i] if 0 <= i < len(weight) else 0
+    window = [at(i) + at(i - 1) + at(i - 2) for i in range(len(weight) + 2)]  # by its last line
+    high = [i for i, s in enumerate(window) if s > 86] or [i for i, s in enumerate(window) if s]
+    surge = max(0, high[0] - 2)
+    dive = next((i for i in range(high[-1], len(window)) if window[i] == 0), len(weight))
+    inside = [i for i in range(surge, min(dive, len(weight))) if weight[i]]
+    return "\n\n".join(text for text, _, _ in lines[inside[0]:inside[-1] + 1] if text)
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_the_windows_decide_every_given_page(spark, sf):
+    pages = [r["html"] for r in spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet").select("html").collect()]
+    differ = 0
+    for page in pages:
+        differ += html.main_text(page) != (plain_text(html.lines_of(page)) or plain_text(html.lines_of(page, False)))
+    assert differ == 0
+
+
+def test_random_lines_equal_the_plain_windows():
+    draw = np.random.default_rng(5)
+    for _ in range(400):
+        n = int(draw.integers(1, 30))
+        lines = [("x" * int(k), int(k) if draw.random() < 0.9 else 0, bool(draw.random() < 0.4)) for k in draw.choice([0, 0, 3, 20, 60, 200], n)]
+        weights = html.line_weights(lines)
+        if weights.any():
+            first, end = html.points(weights, html.WINDOW, html.THRESHOLD)
+            assert "\n\n".join(t for t, _, _ in lines[first:end] if t) == plain_text(lines)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000 + "</section>" * 100_000 + "text " * 30,
+    "<header>" + "<b>x" * 250_000 + "</header><p>" + "text " * 30,
+    "<div>" + "<i>" * 300_000 + "</b>" * 250_000 + "text " * 30,
+    "<b><div>" * 100_000 + "</b>" * 200_000 + "text " * 30,
+    "<ul>" + "<li><a href=x>y</a>" * 100_000 + "</ul><p>" + "text " * 30,
+    "<p>" * 300_000 + "</p>" * 250_000 + "text " * 30,
+])
+def test_two_megabytes_of_broken_elements_take_seconds(page):
+    import time
+
+    began = time.thread_time()
+    assert "text text" in html.main_text(page)
+    assert time.thread_time() - began < 20

@@ -10,16 +10,17 @@ kept, short ones included.
 The text surges at the first window over ``THRESHOLD`` characters, on any page.  It dives at the
 first window without weight after the last such window.  Everything between is kept, lines of
 links too, except the parts beside the article.  A page without such a window has its points at its
-first and last line with weight.  A declared article (``article``, ``main`` or that role) is a hint of the
-boundaries: where it holds over half of the weight between the points, the points move to its
-first and last line, and lines outside it are left out.  Otherwise (teasers beside an undeclared
-body) the tags count for nothing.
+first and last line with weight.  A declared article (``article``, ``main`` or that role) only
+changes weights: where it holds over half of the page's, its lines weigh ``DECLARED_WEIGHT`` times and the
+others that much less, so that its short lines surge and a line beside it does not.  Otherwise
+(teasers beside an undeclared body) the tags count for nothing.  The points come from the windows on every page.
 
 Defined cases: null and empty pages have empty text; pages without markup are one
 block; unclosed elements end with their parent, and if an unclosed part beside the article
 swallows all of it, names no longer mark parts; character references are decoded
 once; nothing is capped; repeated rows give repeated results; an empty table gives no
-rows; extra columns are not carried.  Row by row, no shuffle.
+rows; extra columns are not carried.  A page takes time in proportion to its length, however deep
+or broken its elements.  Row by row, no shuffle.
 """
 
 from __future__ import annotations
@@ -35,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-#: Lines of a window, characters without links that make one surge, and the share of the weight
-#: found that a declared article must exceed.
+#: Lines of a window, characters without links that make one surge, the share of a page's weight that a
+#: declared article must exceed, and how much more its lines then weigh.
 WINDOW = 3
 THRESHOLD = 86
-DECLARED_SHARE = 0.5
+DECLARED_SHARE, DECLARED_WEIGHT = 0.5, 8
 
 # Elements by role in a page, and names that mark parts beside the article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,7 +83,10 @@ class _Lines(HTMLParser):
         self.parts: list[str] = []
         self.linked = 0
         self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, declared article, link
-        self.silent = self.main = self.links = self.headers = 0
+        # where each tag and the blocks lie in the stack, so that no tag searches it
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.silent = self.main = self.links = self.headers = self.headings = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -126,31 +130,36 @@ class _Lines(HTMLParser):
         link = tag == "a"
         self.silent, self.main, self.links = self.silent + silent, self.main + main, self.links + link
         self.headers += tag == "header"
+        self.headings += tag in _HEADINGS
         if silent:
             self.lines.append(("", 0, self.main > 0))  # a weightless line where the part stood
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in _BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, silent, main, link))
 
     handle_startendtag = handle_starttag
 
     def _close(self) -> None:
         tag, silent, main, link = self.open.pop()
+        self.places[tag].pop()
+        if tag in _BLOCKS:
+            self.blocks.pop()
         self.silent, self.main, self.links = self.silent - silent, self.main - main, self.links - link
         self.headers -= tag == "header"
+        self.headings -= tag in _HEADINGS
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCKS or tag in _SILENT:
             self.flush()
-        for back in range(len(self.open) - 1, -1, -1):
-            if self.open[back][0] == tag:
-                while len(self.open) > back:
-                    self._close()
-                break
-            if tag not in _BLOCKS and self.open[back][0] in _BLOCKS:
-                break  # a stray inline end tag closes no block
+        places = self.places.get(tag)
+        # a stray end tag closes nothing, and one of an inline element closes no block
+        if places and (tag in _BLOCKS or not self.blocks or places[-1] > self.blocks[-1]):
+            for _ in range(len(self.open) - places[-1]):
+                self._close()
 
     def handle_data(self, data: str) -> None:
-        in_heading = self.headers and any(t[0] in _HEADINGS for t in self.open)
-        if self.silent or (self.headers and not in_heading):
+        if self.silent or (self.headers and not self.headings):
             return
         self.parts.append(data)
         if self.links:
@@ -177,19 +186,31 @@ def main_text(html: str | None) -> str:
     return (_text(html, True) or _text(html, False)) if html else ""
 
 
-def _text(html: str, use_names: bool) -> str:
+def line_weights(lines: list[tuple[str, int, bool]]) -> np.ndarray:
+    """Characters without links per line.  Where a declared article holds over half of them, its lines weigh
+    ``DECLARED_WEIGHT`` times and the others that much less."""
+    weights = np.array([w for _, w, _ in lines], float)
+    declared = np.array([main and text != "" for text, _, main in lines], bool)
+    if weights[declared].sum() > DECLARED_SHARE * weights.sum():
+        weights = np.where(declared, weights * DECLARED_WEIGHT, weights / DECLARED_WEIGHT)
+    return weights
+
+
+def lines_of(html: str, use_names: bool = True) -> list[tuple[str, int, bool]]:
+    """(text, characters without links, in a declared article) of every line of a page."""
     parser = _Lines(use_names)
     parser.feed(html)
     parser.close()
     parser.flush()
-    lines = parser.lines
-    weights = np.array([w for _, w, _ in lines], float)
+    return parser.lines
+
+
+def _text(html: str, use_names: bool) -> str:
+    lines = lines_of(html, use_names)
+    weights = line_weights(lines)
     if not weights.any():
         return ""
     first, end = points(weights, WINDOW, THRESHOLD)
-    declared = np.array([main and text != "" for text, _, main in lines])
-    if weights[first:end][declared[first:end]].sum() > DECLARED_SHARE * weights[first:end].sum():
-        return "\n\n".join(text for (text, _, _), held in zip(lines, declared, strict=True) if held)
     return "\n\n".join(text for text, _, _ in lines[first:end] if text)
 
 
