@@ -152,14 +152,64 @@ def test_layouts_are_told_by_their_fields(spark):
         3: ("instruction_input", [("user", "i"), ("user", "n"), ("assistant", "o")]),
         4: ("system_instruction", [("system", "s"), ("user", "i"), ("assistant", "o")]),
         5: ("messages", [("user", "m")]), 6: ("no_messages", []), 7: ("conversations", [("user", "h"), ("assistant", "g")]),
-        8: (None, []), 9: (None, [])}
+        8: ("prompt", [("user", "only"), ("assistant", "")]), 9: (None, [])}
+
+
+def records(spark, rows, kind=None):
+    return spark.createDataFrame(rows, chat.T.StructType([chat.T.StructField("conv_id", chat.T.LongType()), chat.T.StructField("record", kind or chat.RECORD_TYPE)]))
+
+
+def turns_by_id(df):
+    return {r["conv_id"]: (r["layout"], [tuple(t) for t in r["turns"]]) for r in df.collect()}
+
+
+def test_null_texts_and_all_fields_lose_no_turn(spark):
+    rows = [(1, {"prompt": "p", "completion": None}), (2, {"prompt": None, "completion": "c"}), (3, {"messages": [{"role": "user", "content": None}, {"role": None, "content": None}]}),
+            (4, {"messages": [{"role": None, "content": None}]}), (5, {"system": "s", "instruction": "i", "input": "n", "output": "o"}),
+            (6, {"system": "s", "prompt": "p", "completion": "c"}), (7, {"instruction": "i"}), (8, {"output": "o"}), (9, {"instruction": "i", "input": "n"}),
+            (10, {"conversations": [{"from": "human", "value": None}]}), (11, {"prompt": "p", "messages": [{"role": "user", "content": "m"}]}), (12, None)]
+    df = records(spark, rows)
+    out = chat.canonical_turns(df)
+    assert turns_by_id(out) == {
+        1: ("prompt", [("user", "p"), ("assistant", "")]), 2: ("prompt", [("user", ""), ("assistant", "c")]),
+        3: ("messages", [("user", ""), ("", "")]), 4: ("no_messages", [("", "")]),
+        5: ("system_instruction_input", [("system", "s"), ("user", "i"), ("user", "n"), ("assistant", "o")]),
+        6: ("system_prompt", [("system", "s"), ("user", "p"), ("assistant", "c")]),
+        7: ("instruction", [("user", "i"), ("assistant", "")]), 8: ("instruction", [("user", ""), ("assistant", "o")]),
+        9: ("instruction_input", [("user", "i"), ("user", "n"), ("assistant", "")]), 10: ("conversations", [("user", "")]),
+        11: (None, []), 12: (None, [])}
+    assert sum(r["records"] for r in chat.unknown_layouts(out).collect()) == 2
+
+
+def test_a_source_of_one_layout_keeps_records_without_values(spark):
+    kind = chat.T.StructType([chat.T.StructField("prompt", chat.T.StringType()), chat.T.StructField("completion", chat.T.StringType())])
+    got = turns_by_id(chat.canonical_turns(records(spark, [(1, (None, None)), (2, ("p", None))], kind)))
+    assert got == {1: ("prompt", [("user", ""), ("assistant", "")]), 2: ("prompt", [("user", "p"), ("assistant", "")])}
+
+
+def test_a_long_conversation_takes_linear_time(spark):
+    import time
+
+    def seconds(n):
+        rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "CASE id % 2 WHEN 0 THEN 'user' ELSE 'assistant' END AS role",
+                                         "concat('text of turn ', id) AS text", "'x' AS record")
+        began = time.time()
+        got = chat.chat_digests(rows).first()
+        assert got["n_turns"] == n and got["loss_chars"] == sum(len(f"text of turn {i}") for i in range(1, n, 2))
+        return time.time() - began
+
+    seconds(4_000)
+    few, many = min(seconds(4_000) for _ in range(2)), seconds(80_000)
+    assert many < 40 * few
 
 
 def test_formatted_text_can_be_read(spark):
     one = chat.format_chat(chat.canonical_turns(chat.records_of(conversations(spark, [(1, 0, "user", "a<|im_end|>"), (1, 1, "assistant", "b")])))).first()
     assert one["formatted"] == "<|im_start|>user\na<\\|im_end|><|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n"
-    start, length = one["loss_spans"][0]
-    assert one["formatted"][start:start + length] == "b"
+    assert one["loss_spans"][0] is None
+    start, length = one["loss_spans"][1]
+    turn = one["formatted"].split("<|im_start|>")[2]
+    assert turn[start:start + length] == "b"
 
 
 # ------------------------------------------------------------------ HTML

@@ -3,18 +3,22 @@
 A record is a nested struct that may follow any known layout (messages, ShareGPT turns,
 instruction, prompt/completion).  The non-null nested field paths of a record are
 hashed into its fingerprint, and the fingerprint selects a declarative mapping that turns
-the record into canonical turns (role, text).  The template then marks turns::
+the record into canonical turns (role, text).  A mapping stands for the fingerprint of all of its
+paths and for those of its parts (fields that are null), the closest mapping first; a record without
+any value has the layout of its source's schema, if that is one layout's.  The template then marks turns::
 
     <|im_start|>ROLE\\nTEXT<|im_end|>\\n
 
 Control strings inside texts are escaped reversibly: every ``<`` followed by back-slashes
 and ``|`` gets one more back-slash before the bar, so an escaped text never holds
-``<|``; reading removes one.  A line feed inside a role is written ``<|n|>``.  The loss mask is a list of code point spans of the
-formatted string, one per assistant text.
+``<|``; reading removes one.  A line feed inside a role is written ``<|n|>``.  The loss mask has an entry per turn: the span
+(start, length) of an assistant's text in code points from the turn's start marker's end, null for other turns.  So
+a conversation takes time in proportion to its length.
 
 Defined cases: a null text or role is empty; turns are ordered by turn, then role,
-then text (null turn first; repeated rows stay repeated turns); a record whose
-fingerprint is unknown keeps its row with layout null and no turns; an empty
+then text (null turn first; repeated rows stay repeated turns); a record of a known layout whose
+texts are null keeps its turns with empty texts; a record whose
+fingerprint is unknown keeps its row with layout null and no turns (``unknown_layouts`` counts them); an empty
 table gives no rows of its own; extra columns are not carried.  One conversation is
 one sequence and meets in one row, as its digest needs.
 """
@@ -51,6 +55,20 @@ def present_paths(record: Column, kind: T.StructType, prefix: str = "") -> list[
     return out
 
 
+def schema_paths(kind: T.StructType, prefix: str = "") -> frozenset[str]:
+    """All nested field paths of a schema, as ``present_paths`` writes them."""
+    out: set[str] = set()
+    for f in kind.fields:
+        path = f"{prefix}{f.name}"
+        if isinstance(f.dataType, T.StructType):
+            out |= schema_paths(f.dataType, f"{path}.")
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            out |= {f"{path}[]", *(f"{path}[].{g.name}" for g in f.dataType.elementType.fields)}
+        else:
+            out.add(path)
+    return frozenset(out)
+
+
 def _any_has(array: Column, name: str) -> Column:
     return F.exists(array, lambda e: e[name].isNotNull())
 
@@ -82,11 +100,15 @@ MAPPINGS = (
     Mapping("conversations", ("conversations[]", "conversations[].from", "conversations[].value"),
             ("conversations", "from", "value", _SHARE_ROLES)),
     Mapping("prompt", ("completion", "prompt"), fixed=(("user", "prompt"), ("assistant", "completion"))),
+    Mapping("system_prompt", ("completion", "prompt", "system"),
+            fixed=(("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
     Mapping("instruction", ("instruction", "output"), fixed=(("user", "instruction"), ("assistant", "output"))),
     Mapping("instruction_input", ("input", "instruction", "output"),
             fixed=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Mapping("system_instruction", ("instruction", "output", "system"),
             fixed=(("system", "system"), ("user", "instruction"), ("assistant", "output"))),
+    Mapping("system_instruction_input", ("input", "instruction", "output", "system"),
+            fixed=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output"))),
 )
 #: All layouts in one type: a record fills the fields of its own layout, the rest are null.
 RECORD_TYPE = T.StructType([T.StructField(name, kind) for name, kind in (
@@ -95,7 +117,28 @@ RECORD_TYPE = T.StructType([T.StructField(name, kind) for name, kind in (
     ("prompt", T.StringType()), ("system", T.StringType()))])
 
 
-def _turns_of(record: Column, m: Mapping) -> Column:
+def variants(mappings: tuple[Mapping, ...], known: frozenset[str]) -> list[tuple[Mapping, list[str]]]:
+    """Each mapping with the fingerprinted texts (joined paths) it stands for: its own paths, then parts of them.
+
+    A part belongs to the mapping with the fewest other paths, the earliest of equal ones.  ``known`` are the paths of
+    the source's schema; without any value, a record has the layout that they are.
+    """
+    owner: dict[frozenset[str], int] = {}
+    by_size = sorted(range(len(mappings)), key=lambda i: (len(mappings[i].paths), i))
+    for i in by_size:
+        paths = [p for p in mappings[i].paths if p in known]
+        for bits in range(1, 1 << len(paths)):
+            owner.setdefault(frozenset(p for k, p in enumerate(paths) if bits >> k & 1), i)
+    for i, m in enumerate(mappings):
+        if known == frozenset(m.paths):
+            owner[frozenset()] = i
+    texts: list[list[str]] = [[] for _ in mappings]
+    for part, i in owner.items():
+        texts[i].append("\n".join(sorted(part)))
+    return [(m, t) for m, t in zip(mappings, texts, strict=True) if t]
+
+
+def _turns_of(record: Column, m: Mapping, fields: set[str]) -> Column:
     if m.each:
         array, role, text, names = m.each
 
@@ -107,23 +150,28 @@ def _turns_of(record: Column, m: Mapping) -> Column:
 
         return F.transform(record[array], lambda e: F.struct(
             F.coalesce(named(e[role]), F.lit("")).alias("role"), F.coalesce(e[text], F.lit("")).alias("text")))
-    return F.array(*[F.struct(F.lit(r).alias("role"), record[f].alias("text")) for r, f in m.fixed])
+    return F.array(*[F.struct(F.lit(r).alias("role"), (F.coalesce(record[f], F.lit("")) if f in fields else F.lit("")).alias("text"))
+                     for r, f in m.fixed])
 
 
 def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``conv_id, record`` -> conv_id, fingerprint, layout, turns (one row per record)."""
     kind = records.schema["record"].dataType
     marked = records.select("conv_id", "record", fingerprint(F.col("record"), kind).alias("fingerprint"))
-    known = {f.name for f in kind.fields}
     layout, turns = F.lit(None).cast("string"), F.array().cast(_TURNS)
-    for m in mappings:
-        if {p.split("[")[0].split(".")[0] for p in m.paths} <= known:
-            hit = F.col("fingerprint") == F.xxhash64(F.lit("\n".join(m.paths)))
-            layout = F.when(hit, F.lit(m.layout)).otherwise(layout)
-            turns = F.when(hit, _turns_of(F.col("record"), m).cast(_TURNS)).otherwise(turns)
+    for m, texts in variants(mappings, schema_paths(kind)):
+        hit = F.col("fingerprint").isin([F.xxhash64(F.lit(t)) for t in texts])
+        layout = F.when(hit, F.lit(m.layout)).otherwise(layout)
+        own = _turns_of(F.col("record"), m, set(kind.names)).cast(_TURNS)
+        turns = F.when(hit, F.coalesce(own, F.array().cast(_TURNS))).otherwise(turns)
     return marked.select("conv_id", "fingerprint", layout.alias("layout"), turns.alias("turns"))
 
 
+def unknown_layouts(turns: DataFrame) -> DataFrame:
+    """``fingerprint, records``: records of no known layout, by fingerprint."""
+    return turns.filter(F.col("layout").isNull()).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("records"))
+
+
 # ------------------------------------------------------------------ template
 def escape(text: Column) -> Column:
     return F.regexp_replace(text, r"<(\\*)\|", r"<$1\\|")
@@ -143,40 +191,39 @@ def _unescape_role(role: Column) -> Column:
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """Adds ``formatted`` and ``loss_spans`` (start, length in code points) to ``conv_id, turns``."""
-    pieces = F.transform("turns", lambda t: F.struct(
-        F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n")).alias("head"),
-        escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("loss")))
-    cut = turns.withColumn("__pieces", pieces)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,length:long>>").alias("spans"))
+    """Adds ``formatted`` and ``loss_spans`` (per turn: start, length in code points, or null) to ``conv_id, turns``."""
+    def piece(t: Column) -> Column:
+        return F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n"), escape(t["text"]), F.lit(END + "\n"))
 
-    def step(acc: Column, p: Column) -> Column:
-        start, n = acc["at"] + F.length(p["head"]), F.length(p["body"]).cast("long")
-        span = F.array(F.struct(start.cast("long").alias("start"), n.alias("length")))
-        return F.struct((start + n + len(END) + 1).cast("long").alias("at"),
-                        F.when(p["loss"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    def span(t: Column) -> Column:
+        start = F.length(_escape_role(t["role"])) + 1
+        return F.when(t["role"] == "assistant", F.struct(
+            start.cast("long").alias("start"), F.length(escape(t["text"])).cast("long").alias("length")))
 
-    text = F.array_join(F.transform("__pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END + "\n"))), "")
-    return cut.withColumn("formatted", text).withColumn(
-        "loss_spans", F.aggregate("__pieces", zero, step, lambda acc: acc["spans"])).drop("__pieces")
+    return turns.withColumn("formatted", F.array_join(F.transform("turns", piece), "")).withColumn("loss_spans", F.transform("turns", span))
+
+
+def _split_turns(formatted: Column) -> Column:
+    return F.filter(F.split(formatted, r"<\|im_start\|>"), lambda p: p != "")
 
 
 def read_turns(formatted: Column) -> Column:
     """The turns, read back from the formatted string alone."""
-    parts = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda p: p != "")
 
     def turn(p: Column) -> Column:
         head = F.locate("\n", p)
         body = F.substring(p, head + 1, F.length(p) - head - (len(END) + 1))
         return F.struct(_unescape_role(F.substring(p, F.lit(1), head - 1)).alias("role"), unescape(body).alias("text"))
 
-    return F.transform(parts, turn)
+    return F.transform(_split_turns(formatted), turn)
 
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """The text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    def under(p: Column, s: Column) -> Column:
+        return F.when(s.isNotNull(), unescape(F.substring(p, (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+
+    return F.array_join(F.zip_with(_split_turns(formatted), spans, under), "")
 
 
 # ------------------------------------------------------------------ query
