@@ -71,34 +71,60 @@ def test_keep_rows_takes_one_of_each(spark):
 
 # ------------------------------------------------------------------ top-k
 def topk_brute(rows, k=5):
-    best = {}
+    held = []
     for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
+        if v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        q = [int(np.floor(256 * float(np.float32(x)))) for x in v]
-        best[i] = min(best.get(i, q), q)
+        held.append((i, [int(np.floor(256 * float(np.float32(x)))) for x in v]))
     out = []
-    for i in best:
-        if i % 50 == 0:
-            scores = sorted(((-sum(a * b for a, b in zip(best[i], best[j], strict=True)), j) for j in best
-                             if j != i and len(best[j]) == len(best[i])))[:k]
-            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scores)]
-    return sorted(out)
+    for n, (i, q) in enumerate(held):
+        if i is not None and i % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, p, strict=True)), j is None, j or 0) for m, (j, p) in enumerate(held)
+                            if m != n and len(p) == len(q))[:k]
+            out += [(i, r + 1, None if none else j, -s) for r, (s, none, j) in enumerate(scores)]
+    return sorted(out, key=str)
 
 
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int, score long")
 
 
-@pytest.mark.parametrize("sizes", [(topk.BLOCK_VECTORS, topk.CHUNK_QUERIES), (150, 3)])
-def test_topk_against_brute_force(spark, sizes):
+@pytest.mark.parametrize("block", [topk.BLOCK_VECTORS, 150, 20])
+def test_topk_against_brute_force(spark, block):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(0, 0.3, 8).astype(np.float32).tolist()) for i in range(700)]
     rows += [(700, None), (701, [0.1, None] + [0.0] * 6), (702, [float("nan")] * 8), (703, [float("inf")] * 8), (704, []), (750, []),
              (705, [0.5] * 3), (800, [0.5] * 3), (50, rows[50][1]), (None, [0.1] * 8), (706, rows[0][1]), (707, rows[0][1]),
              (850, [0.0] * 8), (900, [1e6] * 8)]
-    got = topk.search_top_k(vectors(spark, rows), F.col("vec_id") % topk.QUERY_EVERY == 0, *sizes).collect()
-    assert sorted(map(tuple, got)) == topk_brute(rows)
+    rows += [(100, rows[3][1]), (150, rows[150][1]), (3, rows[3][1]), (None, rows[50][1])]  # ids that repeat, and none
+    got = topk.search_top_k(vectors(spark, rows).repartition(3), F.col("vec_id") % topk.QUERY_EVERY == 0, block).collect()
+    assert sorted(map(tuple, got), key=str) == topk_brute(rows)
+
+
+def test_topk_equals_its_sql_where_ids_repeat(spark, tmp_path):
+    import duckdb
+
+    rng = np.random.default_rng(4)
+    rows = [(int(i), rng.normal(0, 0.3, 6).astype(np.float32).tolist()) for i in rng.integers(0, 200, 500)] + [(None, [0.5] * 6), (50, None)]
+    vectors(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    got = sorted(map(tuple, topk.op4_topk(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(con.sql(topk.OP4_SQL).fetchall(), key=str) and len(got) > 25
+
+
+def test_the_index_is_shuffled_once_whatever_the_number_of_queries(spark):
+    rng = np.random.default_rng(6)
+    table = vectors(spark, [(i, rng.normal(0, 0.3, 16).astype(np.float32).tolist()) for i in range(600)])
+
+    def index_rows(every):
+        rows = stored(topk.quantised(table), "q")
+        index = topk.build_index(rows, 4)
+        plan = topk.search_top_k(table, F.col("vec_id") % every == 0, 150)._jdf.queryExecution().optimizedPlan().toString()
+        return index.count(), sum(index.select(F.sum(F.length("q") + F.length("impact_order"))).first()), plan.count("Generate explode")
+
+    # the queries alone are multiplied (one Generate), the index is one row per block
+    assert index_rows(50) == index_rows(2) == (4, 600 * 16 * (4 + 2), 1)
 
 
 def test_topk_bounds_hold_while_pruning():
@@ -106,7 +132,7 @@ def test_topk_bounds_hold_while_pruning():
     center = rng.normal(0, 1, (12, 24))
     v = np.floor(256 * (center[rng.integers(0, 12, 3_000)] + rng.normal(0, 0.2, (3_000, 24)))).astype(np.int64)
     ids = np.arange(3_000)
-    block = topk.BlockIndex(ids, v, np.argsort(v, axis=0, kind="stable").T.astype(np.int32))
+    block = topk.BlockIndex(ids, ids, v, np.argsort(v, axis=0, kind="stable").T.astype(np.int32))
     pruned = 0
     for i in range(0, 3_000, 50):
         allowed = ids != i
