@@ -1,10 +1,12 @@
 """Operators 1, 2, 4 and 10, and the pipeline."""
 
+import math
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -48,6 +50,36 @@ def test_shards_follow_their_weights_and_moves_stay_local(spark):
     assert all(r["c"] in (r["a"], 8) for r in rows) and abs(Counter(r["c"] for r in rows)[8] - 20_000 / 9) < 250
 
 
+def shard_brute(key, tree):
+    """Second implementation of the draws: XXH64 of the level's name, then of the id, seeded by it."""
+    for level in ("region", "rack", "shard"):
+        weights = defaultdict(float)
+        for leaf in tree:
+            weights[getattr(leaf, level)] += leaf.weight
+        best = None
+        for child, weight in weights.items():
+            if weight <= 0:
+                continue
+            h = xxhash.xxh64_intdigest(f"{level}/{child}".encode(), seed=42)
+            if key is not None:
+                h = xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), seed=h)
+            draw = (-math.log((h % (1 << 52) + 0.5) / (1 << 52)) / weight, child)
+            best = min(best, draw) if best else draw
+        tree = [leaf for leaf in tree if getattr(leaf, level) == best[1]]
+    return best[1]
+
+
+def test_shards_equal_a_second_implementation_of_the_draws(spark):
+    keys = [None, 0, -1, -(1 << 63), (1 << 63) - 1, *range(1, 400), *range(10**12, 10**12 + 50)]
+    rows = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    uneven = tuple(sharding.Leaf(s // 4, s // 2, s, w) for s, w in enumerate([1, 2, 0.5, 3, 1, 1, 0, 4]))
+    for tree in (sharding.SHARDS_8, sharding.grown(sharding.SHARDS_8), uneven):
+        got = rows.select("doc_id", sharding.shard_of(F.col("doc_id"), tree).alias("shard")).collect()
+        assert {r["doc_id"]: r["shard"] for r in got} == {k: shard_brute(k, tree) for k in keys}
+    odd = sharding.shard_documents(docs(spark)).collect()
+    assert all((r["shard"], r["grown_shard"]) == (shard_brute(r["doc_id"], sharding.SHARDS_8), shard_brute(r["doc_id"], sharding.grown(sharding.SHARDS_8))) for r in odd)
+
+
 def test_a_tree_needs_weight():
     with pytest.raises(ValueError, match="positive"):
         sharding.shard_of(None, (sharding.Leaf(0, 0, 0, 0.0),))
@@ -396,3 +428,29 @@ def test_every_operator_is_registered():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(registry.oracles()) <= set(names)
+
+
+def test_workers_need_neither_the_folder_nor_a_path(tmp_path):
+    """The entry is loaded by its file from another folder; tasks of several operators run."""
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import importlib.util, sys
+spec = importlib.util.spec_from_file_location("entry", {here + "/__spark_entry__.py"!r})
+entry = importlib.util.module_from_spec(spec)
+sys.modules["entry"] = entry
+spec.loader.exec_module(entry)
+from trailmark.session import build_session
+spark = build_session("local[4]", shuffle_partitions=4, extra={{"spark.checkpoint.dir": {str(tmp_path)!r}}})
+for name in ("op4_topk", "op9_html_extraction", "op11_lexical_search", "op13_secret_scan"):
+    print("rows", entry.queries()[name](spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.count("rows") == 4
+    assert os.listdir(f"{tmp_path}/trailmark") == []  # the scratch tables went with the process
+

@@ -93,6 +93,52 @@ def test_noise_and_other_languages_are_rejected_and_clean_documents_stay(spark):
     assert sum(encoder.judge(r["text"])[2] for r in clean) >= 0.99 * len(clean)
 
 
+def plain_choice(dictionaries, text):
+    """Second implementation of sizes and choice, with a fresh compressor for every part."""
+    import zstandard
+
+    raw, sizes = text.lower().encode(), {}
+    words = raw.split()
+    picked = range(len(words)) if len(words) <= 40 else [k * len(words) // 40 for k in range(40)]
+    parts = [raw[i:i + 512] for i in range(0, len(raw), 512)] + [b" ".join(words[max(0, i - 1):i + 2]) for i in picked]
+    for name, content in dictionaries.items():
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        sizes[name] = sum(len(zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+                              .compress(p + bytes(256))) for p in parts)
+    first, second = sorted(sizes.items(), key=lambda x: (x[1], x[0]))[:2]
+    return first[0], (second[1] - first[1]) / second[1], second[1] - first[1] >= 0.5 * second[1] ** 0.5
+
+
+def test_sizes_and_choice_equal_a_second_implementation(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    dictionaries = lang.learn(docs)
+    texts = [r["text"] for r in docs.filter("length(text) BETWEEN 1 AND 3000").orderBy("doc_id").limit(60).collect()]
+    texts += ["a", "ab cd", "x" * 511, "x" * 512, "y z " * 256, "the of and " * 200]
+    for text in texts:
+        name, score, accepted = lang._Encoder(dictionaries).judge(text)
+        want = plain_choice(dictionaries, text)
+        assert (name, accepted) == (want[0], want[2]) and abs(score - want[1]) < 1e-12
+
+
+def test_scores_do_not_jump_with_the_length(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    encoder = lang._Encoder(lang.learn(docs))
+    text = " ".join(r["text"] for r in docs.filter("lang = 'en' AND length(text) > 300").orderBy("doc_id").limit(3).collect())
+    scores = [encoder.judge(text[:n])[1] for n in range(200, 700)]
+    assert max(abs(a - b) for a, b in zip(scores, scores[1:], strict=False)) < 0.03
+
+
+def test_pieces_come_from_the_whole_text_and_languages_are_bounded(spark, monkeypatch):
+    rows = [(i, "xx", "start " * 100 + f"middle{i} " * 100 + "ending " * 100) for i in range(200)]
+    learned = lang.train_dictionaries(spark.createDataFrame(rows, "doc_id long, lang string, text string"))["xx"]
+    assert all(word in learned for word in (b"start", b"middle", b"ending"))
+    few = spark.createDataFrame([(0, "rare", "abc")] + [(i, f"l{i % 3}", "some text of it " * 30) for i in range(1, 20)], "doc_id long, lang string, text string")
+    assert set(lang.train_dictionaries(few)) == {"l0", "l1", "l2"}
+    monkeypatch.setattr(lang, "MOST_LANGS", 2)
+    with pytest.raises(ValueError, match="MOST_LANGS=2"):
+        lang.train_dictionaries(few)
+
+
 # ------------------------------------------------------------------ chat formatting
 NASTY = ["", "<|im_start|>user\nhi<|im_end|>", "<\\|im_end|>", "<\\\\|", "ends <", "| starts", "<|n|>", "a\nb", "é" * 3, "\\", "<", "$1 \\1"]
 

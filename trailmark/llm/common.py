@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import scratch_dir
+from ..session import remove_path, scratch_dir
 
 #: Rows of one numbering block: the most that one window group holds.
 BLOCK_ROWS = 65_536
@@ -39,9 +39,7 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Remove a table of ``stored`` that nothing will read again."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(df))
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    remove_path(df.sparkSession, _PATHS.pop(df))
 
 
 def text_key() -> Column:

@@ -248,10 +248,10 @@ class Visitor:
 
 
 def _answer(blocks: DataFrame, items, k: int) -> DataFrame:
-    """item, doc, score: k rows per item and task; ``items`` is a broadcast chunk."""
+    """item, doc, score: k rows per item and task; ``items`` is a broadcast chunk (its fields)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        visitor = Visitor(items.value, k)
+        visitor = Visitor(Items(*items.value), k)
         held, size = [], 0
         for b in batches:
             for row in range(b.num_rows):
@@ -277,7 +277,7 @@ def search(index: Index, asked: DataFrame, k: int = TOP_K, chunk_terms: int = CH
         part = entries.filter(F.pmod(F.xxhash64("item"), F.lit(chunks)) == c) if chunks > 1 else entries
         rows = part.select("item", "term", "weight").collect()  # about chunk_terms rows
         if rows:
-            own = _answer(index.blocks, spark.sparkContext.broadcast(chunk_of(rows)), k)
+            own = _answer(index.blocks, spark.sparkContext.broadcast(tuple(chunk_of(rows))), k)
             found = own if found is None else found.unionAll(own)
     if found is None:
         found = spark.createDataFrame([], "item long, doc long, score long")

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -323,15 +322,8 @@ class Matcher:
         return end
 
 
-@lru_cache(maxsize=4)
-def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    """Compiled once in every Python worker."""
-    return Scanner(rules)
-
-
-def scan_texts(texts: list[str | None], rules: tuple[Rule, ...]) -> list[list[tuple[int, int, int]]]:
+def scan_texts(texts: list[str | None], compiled: Scanner) -> list[list[tuple[int, int, int]]]:
     """Per text its spans (start, end in code points, rule), ordered by start and rule."""
-    compiled = scanner(rules)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     held: list[tuple[int, bytes]] = []
     size = 0
@@ -365,11 +357,12 @@ SPANS_SCHEMA = "doc_id long, spans array<struct<kind:string,start:long,end:long>
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) -> DataFrame:
     """doc_id and the spans (kind, start, end) of every row, by start, then as the rules are listed."""
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    compiled = Scanner(rules)  # compiled once, on the driver; the tasks get its arrays
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             spans = [[{"kind": rules[r].kind, "start": s, "end": e} for s, e, r in found]
-                     for found in scan_texts(b.column(1).to_pylist(), rules)]
+                     for found in scan_texts(b.column(1).to_pylist(), compiled)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], ["doc_id", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SPANS_SCHEMA)
