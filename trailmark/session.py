@@ -8,6 +8,7 @@ gets a temporary folder; on a cluster that is an error.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -81,6 +82,38 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or local).rstrip("/")
 
 
+#: The scratch folder of this driver process for each checkpoint root.
+_RUNS: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder below the checkpoint root (never reused)."""
-    return f"{checkpoint_root(spark)}/trailmark/{label}-{uuid.uuid4().hex}"
+    """A fresh, unique folder below the checkpoint root (never reused).
+
+    All folders of a driver process lie in one, which ``remove_scratch`` deletes; it is deleted at the end of the
+    process if its session is still there.
+    """
+    root = checkpoint_root(spark)
+    if root not in _RUNS:
+        _RUNS[root] = f"{root}/trailmark/run-{uuid.uuid4().hex}"
+        if len(_RUNS) == 1:
+            atexit.register(_remove_at_exit)
+    return f"{_RUNS[root]}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the cluster's file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(there, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this process's scratch tables.  Call it once the results that read them have been written."""
+    run = _RUNS.pop(checkpoint_root(spark), None)
+    if run is not None:
+        remove_path(spark, run)
+
+
+def _remove_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        remove_scratch(spark)
