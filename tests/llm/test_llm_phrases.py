@@ -73,8 +73,8 @@ def test_equals_brute_force(spark, seed, shards, bits):
 def test_counts_are_whole_whenever_phrases_become_active(spark):
     """All of one phrase's words reach the threshold late, so it is active in the second cycle."""
     rows = [(i, "en", "aa bb cc dd") for i in range(30)] + [(i, "en", "zz") for i in range(200)]
-    counts = ph.count_phrases(spark.createDataFrame(rows, SCHEMA), 30, shards=5, bits=16).collect()
-    assert {(r["phrase"], r["a"]) for r in counts if r["words"] > 1} == {
+    counts = ph.count_phrases(spark.createDataFrame(rows, SCHEMA), 30, shards=5, bits=16).candidates.collect()
+    assert {(r["phrase"], r["a"]) for r in counts} == {
         (" ".join(w), 30) for n in (2, 3, 4) for w in zip(*[["aa", "bb", "cc", "dd"][k:] for k in range(n)])}
 
 
@@ -83,19 +83,27 @@ def test_small_buffers_change_nothing(spark, monkeypatch):
     texts = [(lang or "und", text) for _, lang, text in rows] + [("en", "new york " * 5000)]
 
     def counted():
-        since = np.zeros(1 << 10, np.uint8)
-        scan = ph.Scan(since, 10, 0, 3, 4)
-        total = Counter()
-        batches = [b for lang, text in texts for b in scan.add(lang, text)] + list(scan.finish())
-        for b in batches:
-            for r in b.to_pylist():
-                total[(r["lang"], r["phrase"], r["words"])] += r["a"]
-        return total
+        total, spelled, totals = Counter(), {}, Counter()
+        scan, spelling = ph.Scan(np.zeros(1 << 10, np.uint8), 10, 0, 3, 4), ph.Spelling(np.ones(1 << 10, bool), 10, 4)
+        for buffer in (scan, spelling):
+            batches = [b for lang, text in texts for b in buffer.add(lang, text)] + list(buffer.finish())
+            for r in (r for b in batches for r in b.to_pylist()):
+                key = r["key"], r["check"], r["words"]
+                if buffer is scan:
+                    total[key] += r["a"]
+                elif r["words"]:
+                    assert spelled.setdefault(key, (r["lang"], r["phrase"])) == (r["lang"], r["phrase"])
+                else:
+                    totals[r["lang"]] += r["a"]
+        assert {k for k in total if k[2] > 1} == set(spelled)
+        return {(*spelled[k], k[2]): a for k, a in total.items() if k[2] > 1}, totals, sorted(a for k, a in total.items() if k[2] == 1)
 
     whole = counted()
     expect, totals = brute_counts([(0, lang, text) for lang, text in texts])
-    assert whole == {(g, " ".join(w), len(w)): a for (g, w), a in expect.items()} | {(g, "", 0): n for g, n in totals.items() if n}
+    assert whole[0] == {(g, " ".join(w), len(w)): a for (g, w), a in expect.items() if len(w) > 1}
+    assert whole[1] == {g: n for g, n in totals.items() if n} and whole[2] == sorted(a for (_, w), a in expect.items() if len(w) == 1)
     monkeypatch.setattr(ph, "BUFFER_TOKENS", 50)
+    monkeypatch.setattr(ph, "MOST_SEEN", 9)
     monkeypatch.setattr(ph, "CHUNK_BYTES", 40)
     assert counted() == whole
 

@@ -12,11 +12,13 @@ phrase became active, so a scan knows which phrases to count in its shard, and t
 counted the others there before, without a table of phrases.  Cells only ever gain a step, so two
 phrases that share one are at worst counted early: no count is lost or doubled.
 
-Counts are combined inside the tasks and by Spark's partial aggregation, added to the counts so
-far, and written once a step; phrases that completed their cycle below the threshold leave
-that table.  No task holds a language, a phrase or a document's neighbours as a group.
+Phrases are counted under 128-bit hashes chained from their words' (seeded by the language), so that the many
+that stay rare are never spelled out.  Counts are combined inside the tasks and by Spark's partial aggregation,
+added to the counts so far, and written once a step; phrases that completed their cycle below the
+threshold leave that table.  No task holds a language, a phrase or a document's neighbours as a
+group.  A last pass spells the candidates, once per task.
 
-Every complete candidate is cut in all places; its parts' counts come by joins (a part of a
+Every candidate is cut in all places; its parts' counts come by joins (a part of a
 frequent phrase is frequent).  Scores are exact decimals.
 
 Defined cases: a null text is empty, a null lang is ``und`` (joined with rows of that name); repeated
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,8 @@ from .common import dropped, stored, table
 LONGEST, THRESHOLD, SHARDS = 4, 30, 3
 #: Hash cells of the array of steps (bytes), and the largest bitmap piece that reaches the driver.
 CELL_BITS, PIECE_BITS = 24, 16
-#: Tokens that a task counts at once.
-BUFFER_TOKENS = 1 << 20
+#: Tokens that a task counts at once, and candidates that it remembers having spelled.
+BUFFER_TOKENS, MOST_SEEN = 1 << 20, 1 << 20
 #: Bytes of a text that are split into words at once.
 CHUNK_BYTES = 1 << 20
 NEVER = 255
@@ -54,7 +57,7 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _BREAK = 0xFF  # never in UTF-8
 _BREAK_WORD = bytes([_BREAK])
-_BREAK_HASH = np.uint64(xxhash.xxh3_64_intdigest(_BREAK_WORD))
+_BREAK_HASH = np.frombuffer(xxhash.xxh3_128_digest(_BREAK_WORD), np.uint64)
 
 
 def _translation() -> bytes:
@@ -101,102 +104,153 @@ def chained(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ one scan
-class Scan:
-    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent.
+def hashed(words: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes of every word."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
 
-    Words are known by two 64-bit hashes (the second only has to agree inside a process), and a phrase by
-    the chains of both; its text is put together once per buffer.
-    """
 
-    def __init__(self, since: np.ndarray, bits: int, step: int, shards: int, longest: int):
-        self.since, self.bits, self.step, self.shards, self.longest = since, bits, step, shards, longest
-        self.tokens: list[bytes] = []
+def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One position and the size of every group of equal (key, check)."""
+    order = np.argsort(key, kind="stable")
+
+    def borders() -> np.ndarray:
+        return np.flatnonzero(np.append(len(order) > 0, (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])))
+
+    heads = borders()
+    if (key[order][heads][1:] == key[order][heads][:-1]).any():  # phrases that share a key: order by the check too
+        order = np.lexsort((check, key))
+        heads = borders()
+    return order[heads], np.diff(np.append(heads, len(order)))
+
+
+class Buffer:
+    """Tokens of many texts, some at a time; phrases never cross a break."""
+
+    keep_tokens = False
+
+    def __init__(self, longest: int):
+        self.longest = longest
+        self.hashes: list[np.ndarray] = []
         self.langs: list[tuple[str, int]] = []  # runs of tokens
+        self.tokens: list[bytes] = []
+        self.size = 0
 
     def add(self, lang: str, text: str | None) -> Iterator[pa.RecordBatch]:
         if not text:
             return
         for words in words_of(text.encode()):
             self._put(lang, words)
-            if len(self.tokens) >= BUFFER_TOKENS:
+            if self.size >= BUFFER_TOKENS:
                 # phrases that begin before the last few words; those begin the next buffer
-                yield from self.count(keep=self.longest - 1)
+                yield from self._count(self.longest - 1)
         self._put(lang, [_BREAK_WORD])
 
-    def _put(self, lang: str, words: list[bytes]) -> None:
-        self.tokens += words
-        self.langs.append((lang, len(words)))
-
     def finish(self) -> Iterator[pa.RecordBatch]:
         self._put("", [_BREAK_WORD] * self.longest)
-        yield from self.count(keep=0)
+        yield from self._count(0)
+
+    def _put(self, lang: str, words: list[bytes]) -> None:
+        self.hashes.append(hashed(words))
+        self.langs.append((lang, len(words)))
+        self.size += len(words)
+        if self.keep_tokens:
+            self.tokens += words
 
-    def count(self, keep: int) -> Iterator[pa.RecordBatch]:
-        tokens, n = self.tokens, len(self.tokens)
+    def _count(self, keep: int) -> Iterator[pa.RecordBatch]:
+        pairs = np.concatenate(self.hashes)
         names = list(dict.fromkeys(lang for lang, _ in self.langs))
         number = {lang: i for i, lang in enumerate(names)}
         lang = np.repeat([number[x] for x, _ in self.langs], [k for _, k in self.langs])
-        starts = n - max(keep, self.longest - 1)
+        starts = len(pairs) - max(keep, self.longest - 1)
         if starts <= 0:
             return
-        self.tokens = tokens[starts:] if keep else []
+        tokens = self.tokens
+        self.hashes, self.size = ([pairs[starts:]], len(pairs) - starts) if keep else ([], 0)
         self.langs = [(names[x], 1) for x in lang[starts:].tolist()] if keep else []
-        words = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, n)
-        checks = np.fromiter(map(hash, tokens), np.int64, n).view(np.uint64)
-        there = (words != _BREAK_HASH) | (checks != np.uint64(hash(_BREAK_WORD) & (1 << 64) - 1))
+        self.tokens = tokens[starts:] if keep else []
+        there = (pairs != _BREAK_HASH).any(axis=1)
         seed = np.array([lang_seed(x) for x in names], np.uint64)[lang]
-        words, checks = words ^ seed, checks ^ seed
-        self.buffer = tokens, lang, names
+        yield from self.phrases(starts, there, pairs[:, 0] ^ seed, pairs[:, 1] ^ seed, lang, names, tokens)
+
+    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
+        raise NotImplementedError
+
+
+class Scan(Buffer):
+    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent."""
+
+    def __init__(self, since: np.ndarray, bits: int, step: int, shards: int, longest: int):
+        super().__init__(longest)
+        self.since, self.bits, self.step, self.shards = since, bits, step, shards
+
+    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
         if self.step < self.shards:  # words are active from the start
-            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, None)
-            total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
-            some = np.flatnonzero(total)
-            yield _record([names[x] for x in some.tolist()], [b""] * len(some), 0, np.zeros(len(some), np.int64), total[some])
+            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, np.zeros(starts, np.uint8))
         # ready[i]: the step from which the phrase that begins at i is frequent
         chain, check, whole = words, checks, there
         ready = np.where(there, self.since[cells_of(chain, self.bits)], NEVER)
         for k in range(2, self.longest + 1):
             opened = np.maximum(ready[:-1], ready[1:])
-            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
             due = np.flatnonzero((opened[:starts] <= self.step) & (opened[:starts] > self.step - self.shards))
+            if k == self.longest and not len(due):
+                return
+            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
             if len(due):
                 yield self._counted(due, chain, check, k, opened)
             if k < self.longest:
                 ready = np.where(whole, self.since[cells_of(chain, self.bits)], NEVER)
 
-    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray | None) -> pa.RecordBatch:
+    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray) -> pa.RecordBatch:
         """The phrases of ``k`` words that begin at ``due``, with their counts."""
         first, counts = groups(chain[due], check[due])
         at = due[first]
-        tokens, lang, names = self.buffer
-        phrases = [b" ".join(tokens[i:i + k]) for i in at.tolist()] if k > 1 else [tokens[i] for i in at.tolist()]
-        steps = np.zeros(len(at), np.int64) if opened is None else opened[at]
-        return _record([names[x] for x in lang[at].tolist()], phrases, k, steps, counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chain[at].view(np.int64)), pa.array(check[at].view(np.int64)), pa.array(np.full(len(at), k, np.int32)),
+             pa.array(opened[at].astype(np.int32)), pa.array(counts.astype(np.int64))], [*_KEY, "opened", "a"])
 
 
-def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One position and the size of every group of equal (key, check)."""
-    order = np.argsort(key, kind="stable")
+class Spelling(Buffer):
+    """The texts of the phrases of two words or more whose cell is in ``wanted``, once per task; and all words per language."""
 
-    def borders() -> np.ndarray:
-        return np.flatnonzero(np.append(len(order) > 0, (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])))
+    keep_tokens = True
 
-    heads = borders()
-    if len(heads) != len(np.unique(key[order][heads])):  # two phrases share a key: order by the check too
-        order = np.lexsort((check, key))
-        heads = borders()
-    return order[heads], np.diff(np.append(heads, len(order)))
+    def __init__(self, wanted: np.ndarray, bits: int, longest: int):
+        super().__init__(longest)
+        self.wanted, self.bits = wanted, bits
+        self.seen: set[int] = set()
+
+    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
+        total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
+        some = np.flatnonzero(total)
+        yield _spelled(np.zeros(len(some), np.uint64), np.zeros(len(some), np.uint64), 0, [names[x] for x in some.tolist()], [b""] * len(some), total[some])
+        chain, check, whole = words, checks, there
+        for k in range(2, self.longest + 1):
+            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
+            hit = np.flatnonzero(whole[:starts] & self.wanted[cells_of(chain[:starts], self.bits)])
+            at = hit[groups(chain[hit], check[hit])[0]]
+            fresh = at[[key not in self.seen for key in chain[at].tolist()]] if len(self.seen) else at
+            if len(self.seen) < MOST_SEEN:
+                self.seen.update(chain[fresh].tolist())
+            phrases = [b" ".join(tokens[i:i + k]) for i in fresh.tolist()]
+            yield _spelled(chain[fresh], check[fresh], k, [names[x] for x in lang[fresh].tolist()], phrases, np.zeros(len(fresh), np.int64))
 
 
-COUNTS_SCHEMA = "lang string, phrase string, words int, opened int, a long"
+_KEY = ["key", "check", "words"]
+COUNTS_SCHEMA = "key long, check long, words int, opened int, a long"
+SPELLED_SCHEMA = "key long, check long, words int, lang string, phrase string, a long"
 
 
-def _record(langs: list[str], phrases: list[bytes], words: int, opened: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(counts)
+def _spelled(key: np.ndarray, check: np.ndarray, k: int, langs: list[str], phrases: list[bytes], a: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.full(n, words, np.int32)),
-         pa.array(opened.astype(np.int32)), pa.array(counts.astype(np.int64))],
-        ["lang", "phrase", "words", "opened", "a"])
+        [pa.array(key.view(np.int64)), pa.array(check.view(np.int64)), pa.array(np.full(len(key), k, np.int32)), pa.array(langs, pa.string()),
+         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(a.astype(np.int64))], [*_KEY, "lang", "phrase", "a"])
+
+
+def _fill(buffer: Buffer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            yield from buffer.add(lang, text)
+    yield from buffer.finish()
 
 
 def scan_shard(shard: DataFrame, packed, bits: int, step: int, shards: int, longest: int) -> DataFrame:
@@ -204,26 +258,25 @@ def scan_shard(shard: DataFrame, packed, bits: int, step: int, shards: int, long
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         since = np.frombuffer(zlib.decompress(packed.value), np.uint8)
-        scan = Scan(since, bits, step, shards, longest)
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                yield from scan.add(lang, text)
-        yield from scan.finish()
+        yield from _fill(Scan(since, bits, step, shards, longest), batches)
 
     return shard.select("lang", "text").mapInArrow(run, COUNTS_SCHEMA)
 
 
+def spell(corpus: DataFrame, packed, bits: int, longest: int) -> DataFrame:
+    """Texts of the candidates, and rows of no words with the word occurrences of each language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(np.frombuffer(zlib.decompress(packed.value), np.uint8)).astype(bool)
+        yield from _fill(Spelling(wanted, bits, longest), batches)
+
+    return corpus.select("lang", "text").mapInArrow(run, SPELLED_SCHEMA)
+
+
 # ------------------------------------------------------------------ newly frequent cells
 def _phrase_cells(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        cells = []
-        for lang, phrase in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            words = np.array([xxhash.xxh3_64_intdigest(w) for w in phrase.encode().split(b" ")], np.uint64) ^ np.uint64(lang_seed(lang))
-            h = words[:1]
-            for k in range(1, len(words)):
-                h = chained(h, words[k:k + 1])
-            cells.append(int(cells_of(h, bits)[0]))
-        c = np.array(cells, np.int64)
+        c = cells_of(b.column(0).to_numpy().view(np.uint64), bits)
         yield pa.RecordBatch.from_arrays([pa.array(c >> PIECE_BITS), pa.array((c & ((1 << PIECE_BITS) - 1)).astype(np.int32))], ["piece", "bit"])
 
 
@@ -233,10 +286,9 @@ def _bitmap(group: pa.Table) -> pa.Table:
     return pa.table({"piece": group.column("piece").slice(0, 1), "bits": pa.array([np.packbits(held).tobytes()], pa.binary())})
 
 
-def frequent_cells(counts: DataFrame, threshold: int, longest: int, bits: int) -> np.ndarray:
-    """Whether each cell has a frequent phrase that a longer one may contain; at most 2^bits bits reach the driver."""
-    frequent = counts.filter((F.col("a") >= threshold) & F.col("words").between(1, longest - 1)).select("lang", "phrase")
-    cells = frequent.mapInArrow(lambda batches: _phrase_cells(batches, bits), "piece long, bit int").distinct()
+def cells_with(phrases: DataFrame, bits: int) -> np.ndarray:
+    """Whether each cell has one of the phrases (column key); at most 2^bits bits reach the driver."""
+    cells = phrases.select("key").mapInArrow(lambda batches: _phrase_cells(batches, bits), "piece long, bit int").distinct()
     out = np.zeros(1 << bits, bool)
     for r in cells.groupBy("piece").applyInArrow(_bitmap, "piece long, bits binary").collect():
         at = r["piece"] << PIECE_BITS
@@ -246,12 +298,18 @@ def frequent_cells(counts: DataFrame, threshold: int, longest: int, bits: int) -
 
 
 # ------------------------------------------------------------------ operator
-def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS,
-                  bits: int = CELL_BITS) -> DataFrame:
-    """lang, phrase, words, a: every phrase of up to ``longest`` words that occurs ``threshold`` times or more.
+class Phrases(NamedTuple):
+    """``counts``: key, check, words, a of every frequent phrase; ``candidates``: the longer ones with lang and phrase;
+    ``totals``: lang, n (all word occurrences)."""
 
-    A row of no words and an empty phrase gives the word occurrences of each language.
-    """
+    counts: DataFrame
+    candidates: DataFrame
+    totals: DataFrame
+
+
+def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS,
+                  bits: int = CELL_BITS) -> Phrases:
+    """Every phrase of up to ``longest`` words that occurs ``threshold`` times or more in a language."""
     spark = docs.sparkSession
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
     corpus = stored(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text", dealt).filter("text != ''"), "shards", "shard")
@@ -265,31 +323,61 @@ def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
         packed = spark.sparkContext.broadcast(zlib.compress(since.tobytes(), 1))
         found = scan_shard(corpus.filter(F.col("shard") == step % shards), packed, bits, step, shards, longest)
         rows = found if counts is None else counts.unionAll(found)
-        total = rows.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.min("opened").alias("opened"), F.sum("a").alias("a"))
+        total = rows.groupBy(*_KEY).agg(F.min("opened").alias("opened"), F.sum("a").alias("a"))
         complete = F.col("opened") + (shards - 1) <= step
-        before, counts = counts, stored(total.filter(~complete | (F.col("a") >= threshold) | (F.col("words") == 0)), f"counts-{step}")
+        before, counts = counts, stored(total.filter(~complete | (F.col("a") >= threshold)), f"counts-{step}")
         if before is not None:
             dropped(before)
         packed.unpersist()
         step += 1
-        since[frequent_cells(counts, threshold, longest, bits) & (since == NEVER)] = step
+        inner = counts.filter((F.col("a") >= threshold) & (F.col("words") < longest))
+        since[cells_with(inner, bits) & (since == NEVER)] = step
+    counts = counts.filter(F.col("a") >= threshold).select(*_KEY, "a")
+    longer = counts.filter("words > 1")
+    packed = spark.sparkContext.broadcast(zlib.compress(np.packbits(cells_with(longer, bits)).tobytes(), 1))
+    spelled = stored(spell(corpus, packed, bits, longest), "spelled")
     dropped(corpus)
-    return counts.filter((F.col("a") >= threshold) | (F.col("words") == 0)).select("lang", "phrase", "words", "a")
+    texts = spelled.filter("words > 0").groupBy(*_KEY).agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
+    totals = spelled.filter("words = 0").groupBy("lang").agg(F.sum("a").alias("n"))
+    return Phrases(counts, longer.join(texts, _KEY).select("lang", "phrase", "words", "a"), totals)
+
+
+CUTS_SCHEMA = ("lang string, phrase string, words int, a long, k int, left_key long, left_check long, left_words int, "
+               "right_key long, right_check long, right_words int")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every candidate cut after its first k words, with the keys of both parts."""
+    for b in batches:
+        rows: list[tuple] = []
+        for lang, phrase, n, a in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "words", "a")), strict=True):
+            words = hashed(phrase.encode().split(b" ")) ^ np.uint64(lang_seed(lang))
+            for k in range(1, n):
+                parts = []
+                for part in (words[:k], words[k:]):
+                    key = part[0]
+                    for w in part[1:]:
+                        key = chained(key, w)
+                    parts += [*key.view(np.int64).tolist(), len(part)]
+                rows.append((lang, phrase, n, a, k, *parts))
+        names = [x.split()[0] for x in CUTS_SCHEMA.split(", ")]
+        kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[x.split()[1]] for x in CUTS_SCHEMA.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+
+
+def _side(counts: DataFrame, side: str, name: str) -> DataFrame:
+    return counts.select(*[F.col(c).alias(f"{side}_{c}") for c in _KEY], F.col("a").alias(name))
 
 
 def _part(first: Column, n: Column) -> Column:
     return F.array_join(F.slice(F.split("phrase", " "), first, n), " ")
 
 
-def score_phrases(counts: DataFrame) -> DataFrame:
+def score_phrases(phrases: Phrases) -> DataFrame:
     """lang, phrase, words, a, l, r, score of every candidate at its lowest-scoring cut (ties: the earliest)."""
-    frequent = counts.filter("words > 0")
-    cuts = frequent.filter("words > 1").select(
-        "lang", "phrase", "words", "a", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-    cuts = cuts.select("*", _part(F.lit(1), F.col("k")).alias("left"), _part(F.col("k") + 1, F.col("words") - F.col("k")).alias("right"))
-    parts = frequent.select("lang", "phrase", "a")
-    joined = cuts.join(parts.select("lang", F.col("phrase").alias("left"), F.col("a").alias("l")), ["lang", "left"]).join(
-        parts.select("lang", F.col("phrase").alias("right"), F.col("a").alias("r")), ["lang", "right"])
+    joined = phrases.candidates.mapInArrow(_cut, CUTS_SCHEMA)
+    for side, name in (("left", "l"), ("right", "r")):
+        joined = joined.join(_side(phrases.counts, side, name), [f"{side}_{c}" for c in _KEY])
     scored = joined.withColumn("score", F.expr(
         f"cast((cast({SCALE} AS decimal(10,0)) * cast(a AS decimal(20,0))) div (cast(l AS decimal(20,0)) + cast(r AS decimal(20,0))) AS long)"))
     best = scored.groupBy("lang", "phrase").agg(
@@ -311,12 +399,11 @@ def without_covered(candidates: DataFrame, percent: int = DROP_PERCENT) -> DataF
 
 def mine_phrases(docs: DataFrame, threshold: int = THRESHOLD, most: int = PER_LANG, **counting) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``most`` best phrases of every language."""
-    counts = count_phrases(docs, threshold, **counting)
-    kept = without_covered(stored(score_phrases(counts), "candidates"))
+    phrases = count_phrases(docs, threshold, **counting)
+    kept = without_covered(stored(score_phrases(phrases), "candidates"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most)
-    totals = counts.filter("words = 0").select("lang", F.col("a").alias("n"))
-    return ranked.join(totals, "lang").select(
+    return ranked.join(phrases.totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
