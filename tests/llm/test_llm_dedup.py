@@ -1,6 +1,7 @@
 """Operators 5, 6 and 8 against brute force on small tables."""
 
 import hashlib
+from collections import Counter
 import re
 
 import numpy as np
@@ -251,6 +252,34 @@ def test_remove_repeats_against_brute_force(spark, monkeypatch, cap):
     assert rl.remove_repeats(docs(spark, [])).collect() == []
 
 
+def test_later_segments_of_a_batch():
+    rng = np.random.default_rng(8)
+    segment, places = rng.integers(0, 6, (300, 2)).astype(np.uint64), [rng.integers(0, 5, 300) for _ in range(3)]
+    later = rl.later_here(segment, places)
+    groups: dict = {}
+    for i, key in enumerate(map(tuple, segment.tolist())):
+        groups.setdefault(key, []).append((tuple(int(p[i]) for p in places), i))
+    for members in groups.values():
+        first = min(members)[0]
+        assert sum(not later[i] for _, i in members) == 1 and all(p == first for p, i in members if not later[i])
+    assert rl.later_here(segment[:0], [p[:0] for p in places]).tolist() == []
+
+
+def test_a_hot_passage_meets_by_minimizer_once_per_batch():
+    """Of a thousand copies in a batch only the first goes to its minimizer; the others are dealt by document."""
+    passage = b"".join(b"%d some shared words " % i for i in range(40))
+    texts = [f"doc {i} ".encode() + passage for i in range(1000)]
+    batch = rl.pa.RecordBatch.from_pydict({"text": [t.decode() for t in texts], "doc": np.arange(1000), "twin": np.zeros(1000, np.int32)})
+    rows = next(rl._segment_batches(iter([batch])))
+    repeated = rows.column("repeated").to_numpy(zero_copy_only=False)
+    per_deal = Counter(rows.column("deal").to_pylist())
+    minimizers = Counter(rows.column("minimizer").to_pylist())
+    assert repeated.mean() > 0.8 and max(minimizers.values()) >= 1000
+    inside = Counter(m for m, r in zip(rows.column("minimizer").to_pylist(), repeated, strict=True) if not r)
+    # only the two segments at the passage's border differ from copy to copy
+    assert sum(n > 1 for n in inside.values()) <= 4 and max(per_deal.values()) <= max(inside.values())
+
+
 def test_decisions_do_not_depend_on_batches():
     rng = np.random.default_rng(0)
     n = 400
@@ -259,6 +288,7 @@ def test_decisions_do_not_depend_on_batches():
     order = np.lexsort([cols[c] for c in ("start", "doc", "segment", "minimizer")])
     cols = {c: v[order] for c, v in cols.items()}
     cols["inner"] = cols["minimizer"] % 7 == 0
+    cols |= {"segment2": np.zeros(n, np.int64), "repeated": np.zeros(n, bool)}
     batch = rl.pa.RecordBatch.from_pydict(cols)
     expected = []
     seen, places = set(), set()
@@ -271,8 +301,12 @@ def test_decisions_do_not_depend_on_batches():
             expected.append((m, d, s, True))
         seen.add((m, g))
         places.add((m, g, d, s))
-    for size in (1, 3, 50, n):
-        parts = [batch.slice(i, size) for i in range(0, n, size)]
+    # rows that are known to repeat come last: each place once
+    known = rl.pa.RecordBatch.from_pydict({c: np.array([v[k] for k in (5, 5, 9)]) for c, v in cols.items() if c != "repeated"} | {"repeated": np.ones(3, bool)})
+    expected += [(cols["minimizer"][k], cols["doc"][k], cols["start"][k], True) for k in (5, 9)]
+    batch = rl.pa.Table.from_batches([batch, known.select(batch.schema.names)]).combine_chunks().to_batches()[0]
+    for size in (1, 3, 50, n + 3):
+        parts = [batch.slice(i, size) for i in range(0, n + 3, size)]
         got = [(r["minimizer"], r["doc"], r["start"], r["repeated"]) for b in rl._decide(iter(parts)) for r in b.to_pylist()]
         assert sorted(got) == sorted(expected)
 

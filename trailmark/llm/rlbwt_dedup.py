@@ -7,11 +7,12 @@ whether it is the first of its kind.
 1. Partitioning.  A window belongs to its minimizer: the smallest hash among its substrings
    of ``SEED`` bytes.  Equal windows have equal minimizers, so all windows of one
    minimizer can be decided together, and those of a minimizer that occurs once are
-   first.  Neighbouring windows of one minimizer form a segment; only (minimizer, hash of the
+   first.  Neighbouring windows of one minimizer form a segment; only (minimizer, 128-bit hash of the
    segment, document, start, windows) is shuffled, no text.
 2. A segment that occurs again as a whole is decided at once: all but its first occurrence
-   repeat.  What is left are minimizers with several different segments, and
-   segments that may repeat in themselves.
+   repeat.  Inside a task this is done before the shuffle: only the first of its occurrences there goes to its
+   minimizer, the others travel spread by document.  What is left are minimizers with several
+   different segments, and segments that may repeat in themselves.
 3. The bytes of those first occurrences meet in buckets.  Each bucket builds the
    run-compressed Burrows-Wheeler transform of its segments, with text positions
    sampled at the ends of runs and, at every run head, the length it shares with its
@@ -21,9 +22,9 @@ whether it is the first of its kind.
    earliest position is the first of its kind, the others are marked.
 4. The marks return to their documents, which cut the covered bytes.
 
-A passage in a third of all documents adds one narrow row per occurrence, which
-is streamed in sorted order and never gathered, and is collapsed to one segment before any
-text moves.  Index buckets are bounded: a minimizer in more than ``MINIMIZER_CAP``
+A passage in a third of all documents adds one narrow row per occurrence, which is spread by document, and
+one per task and batch that meet by minimizer, are streamed in sorted order and never gathered; it is
+collapsed to one segment before any text moves.  Index buckets are bounded: a minimizer in more than ``MINIMIZER_CAP``
 different segments goes another exact way, by 128-bit hashes of its windows,
 whose copies are combined before the shuffle.
 
@@ -91,13 +92,13 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments_of(raws: list[bytes], match: int = MATCH, seed: int = SEED) -> tuple[np.ndarray, ...]:
-    """Segments of many texts: (minimizer, segment hash, text index, start, windows, may repeat in itself).
+    """Segments of many texts: (minimizer, segment's two hashes, text index, start, windows, may repeat in itself).
 
     A window that recurs inside its segment makes the text periodic around the bytes that all
     windows of a short segment share, so a seed from there occurs again to its right.
     """
     found: list[tuple[np.ndarray, ...]] = []
-    hashes: list[int] = []
+    hashes: list[bytes] = []
     inner: list[bool] = []
     held: list[bytes] = []
     places: list[tuple[int, int, int]] = []  # text, offset of the piece, windows
@@ -121,7 +122,7 @@ def segments_of(raws: list[bytes], match: int = MATCH, seed: int = SEED) -> tupl
         heads = np.flatnonzero(run % SEGMENT_WINDOWS == 0)
         windows = np.diff(np.append(heads, len(m)))
         at = begin[piece[heads]] + inside[heads]
-        digest = xxhash.xxh3_64_intdigest
+        digest = xxhash.xxh3_128_digest
         spans = list(zip(at.tolist(), windows.tolist(), strict=True))
         hashes.extend([digest(flat[a:a + w + match - 1]) for a, w in spans])
         inner.extend([w > match - seed + 1 or w > 1 and flat.find(flat[a + w - 1:a + w - 1 + seed], a + w, a + w + match - 1) >= 0
@@ -143,9 +144,9 @@ def segments_of(raws: list[bytes], match: int = MATCH, seed: int = SEED) -> tupl
     flush()
     if not found:
         none = np.empty(0, np.int64)
-        return none.view(np.uint64), none.view(np.uint64), none, none, none, none.astype(bool)
+        return none.view(np.uint64), none.view(np.uint64).reshape(0, 2), none, none, none, none.astype(bool)
     m, text, start, windows = (np.concatenate(x) for x in zip(*found, strict=True))
-    return m, np.array(hashes, np.uint64), text, start, windows, np.array(inner, bool)
+    return m, np.frombuffer(b"".join(hashes), np.uint64).reshape(-1, 2), text, start, windows, np.array(inner, bool)
 
 
 # ------------------------------------------------------------------ run-length index
@@ -262,25 +263,43 @@ def later_windows(segments: list[bytes], match: int = MATCH) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ tasks
-SEGMENT_SCHEMA = "minimizer long, segment long, doc long, twin int, start long, windows int, inner boolean"
+SEGMENT_SCHEMA = ("deal long, minimizer long, segment long, segment2 long, doc long, twin int, start long, windows int, "
+                  "inner boolean, repeated boolean")
+#: Segments of one kind lie together and by place; those that repeat for sure come last.
+SEGMENT_ORDER = ["repeated", "minimizer", "segment", "segment2", "doc", "twin", "start"]
 DECIDED_SCHEMA = "minimizer long, doc long, twin int, start long, windows int, repeated boolean"
 _MARKS = "doc long, twin int, start long, windows int"
 
 
+def later_here(segment: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+    """Which segments (two hashes each) of a batch have an equal one at an earlier place in it."""
+    order = np.argsort(segment[:, 0], kind="stable")
+    again = np.zeros(len(segment) + 1, bool)
+    again[1:-1] = segment[order[1:], 0] == segment[order[:-1], 0]
+    some = order[again[:-1] | again[1:]]  # those whose first hash occurs again
+    some = some[np.lexsort([*(p[some] for p in reversed(places)), segment[some, 1], segment[some, 0]])]
+    later = np.zeros(len(segment), bool)
+    later[some[1:]] = (segment[some[1:]] == segment[some[:-1]]).all(axis=1)
+    return later
+
+
 def _segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         m, h, text, start, windows, inner = segments_of([(t or "").encode() for t in b.column("text").to_pylist()])
-        at = pa.array(text)
+        doc, twin = (b.column(c).to_numpy()[text] for c in ("doc", "twin"))
+        later = later_here(h, [doc, twin, start])
+        # a later one only needs to reach its document: it is dealt by place
+        deal = np.where(later, (doc ^ start * 31) * np.int64(-7046029254386353131), m.view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(m.view(np.int64)), pa.array(h.view(np.int64)), b.column("doc").take(at), b.column("twin").take(at),
-             pa.array(start), pa.array(windows.astype(np.int32)), pa.array(inner)],
-            ["minimizer", "segment", "doc", "twin", "start", "windows", "inner"])
+            [pa.array(deal), pa.array(m.view(np.int64)), *[pa.array(h[:, i].copy().view(np.int64)) for i in (0, 1)], pa.array(doc), pa.array(twin),
+             pa.array(start), pa.array(windows.astype(np.int32)), pa.array(inner), pa.array(later)],
+            [x.split()[0] for x in SEGMENT_SCHEMA.split(", ")])
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments that repeat as a whole, and the first ones that need their bytes compared.
 
-    Streams rows sorted by minimizer, segment and place.  The first segment of a minimizer is
+    Streams rows in ``SEGMENT_ORDER``.  The first segment of a minimizer is
     held back until another one shows up, so memory does not depend on any group.
     """
     last: dict | None = None
@@ -298,11 +317,12 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[0] = last is None or v[0] != last[c]  # noqa: B023
             return out
 
-        by_minimizer = changes("minimizer")
-        by_segment = by_minimizer | changes("segment")
+        known = cols["repeated"]
+        by_minimizer = changes("repeated") | changes("minimizer")
+        by_segment = by_minimizer | changes("segment") | changes("segment2")
         # the same place twice comes from identical rows: one document
         new_place = by_segment | changes("doc") | changes("twin") | changes("start")
-        firsts = np.flatnonzero(by_segment)
+        firsts = np.flatnonzero(by_segment & ~known)
         lead = by_minimizer[firsts]
         followed = np.append(~lead[1:], False)[:len(firsts)]
         compare = np.zeros(b.num_rows, bool)
@@ -314,7 +334,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = None
         if len(firsts) and lead[-1] and not compare[firsts[-1]]:
             held = b.slice(int(firsts[-1]), 1)
-        out = np.flatnonzero(compare | (new_place & ~by_segment))
+        out = np.flatnonzero(compare | (new_place & (known | ~by_segment)))
         parts.append((b, out, ~compare[out]))
         for rows, at, repeated in parts:
             taken = rows.take(pa.array(at))
@@ -423,7 +443,7 @@ def _places(rows: DataFrame, *columns: str) -> DataFrame:
 def mark_repeats(texts: DataFrame) -> DataFrame:
     """``doc, twin, text`` -> doc, twin, start, windows: runs of windows that start earlier elsewhere."""
     segments = texts.mapInArrow(_segment_batches, SEGMENT_SCHEMA)
-    in_order = segments.repartition("minimizer").sortWithinPartitions("minimizer", "segment", "doc", "twin", "start")
+    in_order = segments.repartition("deal").sortWithinPartitions(*SEGMENT_ORDER)
     decided = stored(in_order.mapInArrow(_decide, DECIDED_SCHEMA), "segments")
     compare = decided.filter("NOT repeated")
     crowded = stored(compare.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).filter(
