@@ -44,8 +44,10 @@ from pyspark.sql.window import Window
 from .common import stored, table
 
 TOP_K = 10
-#: Documents of an index block (mean), and blocks and index bytes that a task visits together.
-BLOCK_DOCS, VISIT_BLOCKS, VISIT_BYTES = 16_384, 256, 32 << 20
+#: Postings that a task passes on at once; documents of an index block (mean), and blocks and index bytes that a
+#: task visits together.
+OUT_ROWS = 1 << 17
+BLOCK_DOCS, VISIT_BLOCKS, VISIT_BYTES = 4_096, 256, 16 << 20
 #: Terms of the items that one pass over the index answers (mean).
 CHUNK_TERMS = 1 << 18
 #: Share of the length in the normaliser (percent), and the scales of weights and impacts.
@@ -78,9 +80,9 @@ POSTINGS_SCHEMA = "term string, row long, doc_id long, tf long, length long"
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document and term, and one of the empty term for every document with terms."""
     for b in batches:
-        terms, tfs, lengths, sizes = [], [], [], []
-        for text in b.column("text").to_pylist():
-            words = terms_of(text)
+        terms, tfs, lengths, sizes, begin = [], [], [], [], 0
+        for i, text in enumerate(b.column("text")):
+            words = terms_of(text.as_py())
             counts = Counter(words)
             if words:
                 counts[b""] = 0
@@ -88,11 +90,13 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tfs.extend(counts.values())
             sizes.append(len(counts))
             lengths.append(len(words))
-        at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.binary()).cast(pa.string()), b.column("row").take(at), b.column("doc_id").take(at),
-             pa.array(tfs, pa.int64()), pa.array(lengths, pa.int64()).take(at)],
-            ["term", "row", "doc_id", "tf", "length"])
+            if len(terms) >= OUT_ROWS or i + 1 == b.num_rows:
+                at = pa.array(np.repeat(np.arange(begin, i + 1), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms, pa.binary()).cast(pa.string()), b.column("row").take(at), b.column("doc_id").take(at),
+                     pa.array(tfs, pa.int64()), pa.array(np.repeat(lengths, sizes).astype(np.int64))],
+                    ["term", "row", "doc_id", "tf", "length"])
+                terms, tfs, lengths, sizes, begin = [], [], [], [], i + 1
 
 
 def item_terms(items: DataFrame, item_id: str = "item_id") -> DataFrame:
