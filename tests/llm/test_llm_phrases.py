@@ -83,31 +83,44 @@ def test_small_buffers_change_nothing(spark, monkeypatch):
     texts = [(lang or "und", text) for _, lang, text in rows] + [("en", "new york " * 5000)]
 
     def counted():
-        total, spelled, totals = Counter(), {}, Counter()
-        scan, spelling = ph.Scan(np.zeros(1 << 10, np.uint8), 10, 0, 3, 4), ph.Spelling(np.ones(1 << 10, bool), 10, 4)
-        for buffer in (scan, spelling):
-            batches = [b for lang, text in texts for b in buffer.add(lang, text)] + list(buffer.finish())
-            for r in (r for b in batches for r in b.to_pylist()):
-                key = r["key"], r["check"], r["words"]
-                if buffer is scan:
-                    total[key] += r["a"]
-                elif r["words"]:
-                    assert spelled.setdefault(key, (r["lang"], r["phrase"])) == (r["lang"], r["phrase"])
-                else:
-                    totals[r["lang"]] += r["a"]
-        assert {k for k in total if k[2] > 1} == set(spelled)
-        return {(*spelled[k], k[2]): a for k, a in total.items() if k[2] > 1}, totals, sorted(a for k, a in total.items() if k[2] == 1)
+        total, spelled, row_of = Counter(), {}, {}
+        scan = ph.Scan(np.zeros(1 << 10, np.uint8), 10, 0, 3, 4)
+        batches = [b for i, (lang, text) in enumerate(texts) for b in scan.add(lang, i, text)] + list(scan.finish())
+        for r in (r for b in batches for r in b.to_pylist()):
+            total[r["key"], r["check"], r["words"]] += r["a"]
+            row_of[r["key"], r["check"], r["words"]] = r["row"]
+        wanted: dict = {}
+        for (key, check, words), a in total.items():
+            if words > 1:
+                wanted.setdefault(row_of[key, check, words], []).append({"key": key, "check": check, "words": words, "a": a})
+        for i, listed in wanted.items():
+            for lang, phrase, words, a in ph.spelled_in(*texts[i], listed):
+                assert (lang, phrase, words) not in spelled
+                spelled[lang, phrase, words] = a
+        return spelled, sorted(a for k, a in total.items() if k[2] == 1), sorted(a for k, a in total.items() if k[2] == 0)
 
     whole = counted()
     expect, totals = brute_counts([(0, lang, text) for lang, text in texts])
     assert whole[0] == {(g, " ".join(w), len(w)): a for (g, w), a in expect.items() if len(w) > 1}
-    assert whole[1] == {g: n for g, n in totals.items() if n} and whole[2] == sorted(a for (_, w), a in expect.items() if len(w) == 1)
+    assert whole[1] == sorted(a for (_, w), a in expect.items() if len(w) == 1) and whole[2] == sorted(n for n in totals.values() if n)
     monkeypatch.setattr(ph, "BUFFER_TOKENS", 50)
-    monkeypatch.setattr(ph, "MOST_SEEN", 9)
     monkeypatch.setattr(ph, "CHUNK_BYTES", 40)
     assert counted() == whole
 
 
+def test_tokens_and_hashes_go_together():
+    draw = np.random.default_rng(2)
+    seen = {}
+    for _ in range(300):
+        raw = "".join(draw.choice(list("aAbB \t\n.,!é\x01\x85"), 60)).encode()
+        tokens, (starts, pairs) = ph.tokens_of(raw), ph.hashed(raw)
+        assert len(tokens) == len(starts) == len(pairs)
+        for token, start, pair in zip(tokens, starts.tolist(), pairs.tolist(), strict=True):
+            assert (pair == [0, 0]) == (token == b"\xff")
+            assert seen.setdefault(token, pair) == pair and raw[start:start + len(token)].translate(ph._TO) == token
+    assert len({tuple(p) for p in seen.values()}) == len(seen)
+
+
 def test_odd_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ph.mine_phrases(empty).collect() == []

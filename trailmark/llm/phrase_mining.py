@@ -16,7 +16,8 @@ Phrases are counted under 128-bit hashes chained from their words' (seeded by th
 that stay rare are never spelled out.  Counts are combined inside the tasks and by Spark's partial aggregation,
 added to the counts so far, and written once a step; phrases that completed their cycle below the
 threshold leave that table.  No task holds a language, a phrase or a document's neighbours as a
-group.  A last pass spells the candidates, once per task.
+group.  A count keeps the number of a text that holds its phrase; in the end each candidate is spelled
+from that text.
 
 Every candidate is cut in all places; its parts' counts come by joins (a part of a
 frequent phrase is frequent).  Scores are exact decimals.
@@ -45,10 +46,8 @@ from .common import dropped, stored, table
 LONGEST, THRESHOLD, SHARDS = 4, 30, 3
 #: Hash cells of the array of steps (bytes), and the largest bitmap piece that reaches the driver.
 CELL_BITS, PIECE_BITS = 24, 16
-#: Tokens that a task counts at once, and candidates that it remembers having spelled.
-BUFFER_TOKENS, MOST_SEEN = 1 << 20, 1 << 20
-#: Bytes of a text that are split into words at once.
-CHUNK_BYTES = 1 << 20
+#: Tokens that a task counts at once, and bytes that it splits into words at once.
+BUFFER_TOKENS, CHUNK_BYTES = 1 << 20, 1 << 19
 NEVER = 255
 PER_LANG, DROP_PERCENT, SCALE = 2000, 80, 2_000_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -56,8 +55,7 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # Bytes that end a piece, and those between words.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _BREAK = 0xFF  # never in UTF-8
-_BREAK_WORD = bytes([_BREAK])
-_BREAK_HASH = np.frombuffer(xxhash.xxh3_128_digest(_BREAK_WORD), np.uint64)
+_BREAK_BYTE = b"."
 
 
 def _translation() -> bytes:
@@ -75,19 +73,61 @@ _TO = _translation()
 
 
 # ------------------------------------------------------------------ words
-def words_of(raw: bytes) -> Iterator[list[bytes]]:
-    """Lower-cased words of a text in order, with a break between pieces, some at a time."""
+def pieces_of(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about ``CHUNK_BYTES``, cut between words."""
     at, last = 0, len(raw)
     while at < last:
         to = at + CHUNK_BYTES
         if to < last:  # a word stays whole
             ends = [i for i in (raw.find(b" ", to), raw.find(b"\n", to)) if i >= 0]
             to = min(ends) if ends else last
-        # no other byte than a blank splits: line ends have become breaks
-        yield raw[at:to].translate(_TO).replace(b"\xff", b" \xff ").split()
+        yield raw[at:to]
         at = to
 
 
+def tokens_of(raw: bytes) -> list[bytes]:
+    """Lower-cased words in order, with a break between pieces (no other byte than a blank splits: line ends are breaks)."""
+    return raw.translate(_TO).replace(b"\xff", b" \xff ").split()
+
+
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if len(_POWERS.get(base, ())) < n:
+        steps = np.full(max(n, CHUNK_BYTES + 4096), base, np.uint64)
+        steps[0] = 1
+        _POWERS[base] = np.cumprod(steps)
+    return _POWERS[base][:n]
+
+
+def hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and two 64-bit hashes (0, 0 for a break) of every token of ``tokens_of(raw)``.
+
+    A hash is the polynomial of the word's bytes: a difference of running sums, shifted to the word's start.
+    """
+    a = np.frombuffer(raw.translate(_TO), np.uint8)
+    inside = np.zeros(len(a) + 2, bool)
+    inside[1:-1] = (a != 32) & (a != _BREAK)
+    starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
+    ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
+    pairs = np.empty((len(starts), 2), np.uint64)
+    for i, base in enumerate(_MULTIPLIERS):
+        total = np.zeros(len(a) + 1, np.uint64)
+        np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(base, len(a)), out=total[1:])
+        h = (total[ends] - total[starts]) * _powers(pow(base, -1, 1 << 64), len(a))[starts]
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        pairs[:, i] = h ^ (h >> np.uint64(29))
+    breaks = np.flatnonzero(a == _BREAK)
+    if not len(breaks):
+        return starts, pairs
+    every = np.concatenate([starts, breaks])
+    order = np.argsort(every, kind="stable")
+    return every[order], np.concatenate([pairs, np.zeros((len(breaks), 2), np.uint64)])[order]
+
+
 def lang_seed(lang: str) -> int:
     return xxhash.xxh3_64_intdigest(lang.encode(), 1)
 
@@ -104,11 +144,6 @@ def chained(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ one scan
-def hashed(words: list[bytes]) -> np.ndarray:
-    """Two 64-bit hashes of every word."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
-
-
 def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One position and the size of every group of equal (key, check)."""
     order = np.argsort(key, kind="stable")
@@ -123,69 +158,72 @@ def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[heads], np.diff(np.append(heads, len(order)))
 
 
-class Buffer:
-    """Tokens of many texts, some at a time; phrases never cross a break."""
+class Scan:
+    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent.
 
-    keep_tokens = False
+    Tokens of many texts are counted together; phrases never cross a break, and each text ends with one.
+    """
 
-    def __init__(self, longest: int):
-        self.longest = longest
+    def __init__(self, since: np.ndarray, bits: int, step: int, shards: int, longest: int):
+        self.since, self.bits, self.step, self.shards, self.longest = since, bits, step, shards, longest
+        self.raws: list[bytes] = []  # not yet hashed, with (lang, row) of each
+        self.owners: list[tuple[str, int]] = []
+        self.raw_size = 0
         self.hashes: list[np.ndarray] = []
-        self.langs: list[tuple[str, int]] = []  # runs of tokens
-        self.tokens: list[bytes] = []
+        self.runs: list[tuple[str, int, int]] = []  # lang, row, tokens
         self.size = 0
 
-    def add(self, lang: str, text: str | None) -> Iterator[pa.RecordBatch]:
+    def add(self, lang: str, row: int, text: str | None) -> Iterator[pa.RecordBatch]:
         if not text:
             return
-        for words in words_of(text.encode()):
-            self._put(lang, words)
+        for piece in pieces_of(text.encode()):
+            yield from self._put(lang, row, piece + b" ")
+        yield from self._put(lang, row, _BREAK_BYTE)
+
+    def _put(self, lang: str, row: int, raw: bytes) -> Iterator[pa.RecordBatch]:
+        self.raws.append(raw)
+        self.owners.append((lang, row))
+        self.raw_size += len(raw)
+        if self.raw_size >= CHUNK_BYTES:
+            self._hash()
             if self.size >= BUFFER_TOKENS:
                 # phrases that begin before the last few words; those begin the next buffer
                 yield from self._count(self.longest - 1)
-        self._put(lang, [_BREAK_WORD])
+
+    def _hash(self) -> None:
+        starts, pairs = hashed(b"".join(self.raws))
+        ends = np.searchsorted(starts, np.cumsum([len(r) for r in self.raws]))
+        sizes = np.diff(ends, prepend=0).tolist()
+        self.hashes.append(pairs)
+        self.runs += [(lang, row, n) for (lang, row), n in zip(self.owners, sizes, strict=True) if n]
+        self.size += len(pairs)
+        self.raws, self.owners, self.raw_size = [], [], 0
 
     def finish(self) -> Iterator[pa.RecordBatch]:
-        self._put("", [_BREAK_WORD] * self.longest)
+        self.raws += [_BREAK_BYTE] * self.longest
+        self.owners += [("", 0)] * self.longest
+        self._hash()
         yield from self._count(0)
 
-    def _put(self, lang: str, words: list[bytes]) -> None:
-        self.hashes.append(hashed(words))
-        self.langs.append((lang, len(words)))
-        self.size += len(words)
-        if self.keep_tokens:
-            self.tokens += words
-
     def _count(self, keep: int) -> Iterator[pa.RecordBatch]:
         pairs = np.concatenate(self.hashes)
-        names = list(dict.fromkeys(lang for lang, _ in self.langs))
-        number = {lang: i for i, lang in enumerate(names)}
-        lang = np.repeat([number[x] for x, _ in self.langs], [k for _, k in self.langs])
         starts = len(pairs) - max(keep, self.longest - 1)
         if starts <= 0:
             return
-        tokens = self.tokens
+        names = list(dict.fromkeys(lang for lang, _, _ in self.runs))
+        number = {lang: i for i, lang in enumerate(names)}
+        sizes = [n for *_, n in self.runs]
+        lang, row = np.repeat([number[x] for x, _, _ in self.runs], sizes), np.repeat(np.array([r for _, r, _ in self.runs], np.int64), sizes)
         self.hashes, self.size = ([pairs[starts:]], len(pairs) - starts) if keep else ([], 0)
-        self.langs = [(names[x], 1) for x in lang[starts:].tolist()] if keep else []
-        self.tokens = tokens[starts:] if keep else []
-        there = (pairs != _BREAK_HASH).any(axis=1)
-        seed = np.array([lang_seed(x) for x in names], np.uint64)[lang]
-        yield from self.phrases(starts, there, pairs[:, 0] ^ seed, pairs[:, 1] ^ seed, lang, names, tokens)
-
-    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
-        raise NotImplementedError
-
-
-class Scan(Buffer):
-    """Counts of one step in one task: ``since[cell]`` is the step from which its phrases are frequent."""
-
-    def __init__(self, since: np.ndarray, bits: int, step: int, shards: int, longest: int):
-        super().__init__(longest)
-        self.since, self.bits, self.step, self.shards = since, bits, step, shards
-
-    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
+        self.runs = [(names[x], r, 1) for x, r in zip(lang[starts:].tolist(), row[starts:].tolist(), strict=True)] if keep else []
+        there = pairs.any(axis=1)
+        seeds = np.array([lang_seed(x) for x in names], np.uint64)
+        words, checks = (pairs[:, i] ^ seeds[lang] for i in (0, 1))
         if self.step < self.shards:  # words are active from the start
-            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, np.zeros(starts, np.uint8))
+            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, np.zeros(starts, np.uint8), row)
+            total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
+            some, none = np.flatnonzero(total), np.zeros(len(names), np.int64)
+            yield _record(seeds[some].view(np.int64), none[some], 0, none[some], total[some], none[some])
         # ready[i]: the step from which the phrase that begins at i is frequent
         chain, check, whole = words, checks, there
         ready = np.where(there, self.since[cells_of(chain, self.bits)], NEVER)
@@ -196,81 +234,79 @@ class Scan(Buffer):
                 return
             chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
             if len(due):
-                yield self._counted(due, chain, check, k, opened)
+                yield self._counted(due, chain, check, k, opened, row)
             if k < self.longest:
                 ready = np.where(whole, self.since[cells_of(chain, self.bits)], NEVER)
 
-    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray) -> pa.RecordBatch:
-        """The phrases of ``k`` words that begin at ``due``, with their counts."""
+    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+        """The phrases of ``k`` words that begin at ``due``, with their counts and a text that holds them."""
         first, counts = groups(chain[due], check[due])
         at = due[first]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(chain[at].view(np.int64)), pa.array(check[at].view(np.int64)), pa.array(np.full(len(at), k, np.int32)),
-             pa.array(opened[at].astype(np.int32)), pa.array(counts.astype(np.int64))], [*_KEY, "opened", "a"])
-
-
-class Spelling(Buffer):
-    """The texts of the phrases of two words or more whose cell is in ``wanted``, once per task; and all words per language."""
-
-    keep_tokens = True
-
-    def __init__(self, wanted: np.ndarray, bits: int, longest: int):
-        super().__init__(longest)
-        self.wanted, self.bits = wanted, bits
-        self.seen: set[int] = set()
-
-    def phrases(self, starts, there, words, checks, lang, names, tokens) -> Iterator[pa.RecordBatch]:
-        total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
-        some = np.flatnonzero(total)
-        yield _spelled(np.zeros(len(some), np.uint64), np.zeros(len(some), np.uint64), 0, [names[x] for x in some.tolist()], [b""] * len(some), total[some])
-        chain, check, whole = words, checks, there
-        for k in range(2, self.longest + 1):
-            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
-            hit = np.flatnonzero(whole[:starts] & self.wanted[cells_of(chain[:starts], self.bits)])
-            at = hit[groups(chain[hit], check[hit])[0]]
-            fresh = at[[key not in self.seen for key in chain[at].tolist()]] if len(self.seen) else at
-            if len(self.seen) < MOST_SEEN:
-                self.seen.update(chain[fresh].tolist())
-            phrases = [b" ".join(tokens[i:i + k]) for i in fresh.tolist()]
-            yield _spelled(chain[fresh], check[fresh], k, [names[x] for x in lang[fresh].tolist()], phrases, np.zeros(len(fresh), np.int64))
+        return _record(chain[at].view(np.int64), check[at].view(np.int64), k, opened[at].astype(np.int64), counts, row[at])
 
 
 _KEY = ["key", "check", "words"]
-COUNTS_SCHEMA = "key long, check long, words int, opened int, a long"
-SPELLED_SCHEMA = "key long, check long, words int, lang string, phrase string, a long"
+COUNTS_SCHEMA = "key long, check long, words int, opened int, a long, row long"
 
 
-def _spelled(key: np.ndarray, check: np.ndarray, k: int, langs: list[str], phrases: list[bytes], a: np.ndarray) -> pa.RecordBatch:
+def _record(key: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray, a: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(check.view(np.int64)), pa.array(np.full(len(key), k, np.int32)), pa.array(langs, pa.string()),
-         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(a.astype(np.int64))], [*_KEY, "lang", "phrase", "a"])
-
-
-def _fill(buffer: Buffer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            yield from buffer.add(lang, text)
-    yield from buffer.finish()
+        [pa.array(key), pa.array(check), pa.array(np.full(len(key), k, np.int32)), pa.array(opened.astype(np.int32)),
+         pa.array(a.astype(np.int64)), pa.array(row)], [*_KEY, "opened", "a", "row"])
 
 
 def scan_shard(shard: DataFrame, packed, bits: int, step: int, shards: int, longest: int) -> DataFrame:
     """Counts of the phrases that are due in this shard at this step; ``packed`` is a broadcast of the array of steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        since = np.frombuffer(zlib.decompress(packed.value), np.uint8)
-        yield from _fill(Scan(since, bits, step, shards, longest), batches)
-
-    return shard.select("lang", "text").mapInArrow(run, COUNTS_SCHEMA)
+        scan = Scan(np.frombuffer(zlib.decompress(packed.value), np.uint8), bits, step, shards, longest)
+        for b in batches:
+            for lang, row, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                yield from scan.add(lang, row, text)
+        yield from scan.finish()
+
+    return shard.select("lang", "row", "text").mapInArrow(run, COUNTS_SCHEMA)
+
+
+def spelled_in(lang: str, text: str, wanted: list[dict]) -> list[tuple[str, str, int, int]]:
+    """(lang, phrase, words, a) of the listed phrases of a text."""
+    raw = text.encode()
+    tokens, (_, pairs) = tokens_of(raw), hashed(raw)
+    there, seed = pairs.any(axis=1), np.uint64(lang_seed(lang))
+    words, checks = pairs[:, 0] ^ seed, pairs[:, 1] ^ seed
+    out = []
+    chain, check, whole = words, checks, there
+    for k in range(2, max(w["words"] for w in wanted) + 1):
+        chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
+        left = {(w["key"], w["check"]): w["a"] for w in wanted if w["words"] == k}
+        keys = np.array([key for key, _ in left], np.int64).view(np.uint64)
+        for i in np.flatnonzero(whole & np.isin(chain, keys)).tolist():
+            a = left.pop((int(chain[i].view(np.int64)), int(check[i].view(np.int64))), None)
+            if a is not None:
+                out.append((lang, b" ".join(tokens[i:i + k]).decode(), k, a))
+    return out
 
 
-def spell(corpus: DataFrame, packed, bits: int, longest: int) -> DataFrame:
-    """Texts of the candidates, and rows of no words with the word occurrences of each language."""
+def spell(corpus: DataFrame, candidates: DataFrame) -> DataFrame:
+    """lang, phrase, words, a: every candidate (key, check, words, a, row) is read once, from the text it names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(np.frombuffer(zlib.decompress(packed.value), np.uint8)).astype(bool)
-        yield from _fill(Spelling(wanted, bits, longest), batches)
+        for b in batches:
+            rows = [x for lang, text, wanted in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "wanted")), strict=True)
+                    for x in spelled_in(lang, text, wanted)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))],
+                ["lang", "phrase", "words", "a"])
+
+    # a list is at most as long as its text
+    wanted = candidates.groupBy("row").agg(F.collect_list(F.struct("key", "check", "words", "a")).alias("wanted"))
+    return corpus.join(wanted, "row").select("lang", "text", "wanted").mapInArrow(run, "lang string, phrase string, words int, a long")
 
-    return corpus.select("lang", "text").mapInArrow(run, SPELLED_SCHEMA)
+
+def _lang_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        seeds = np.array([lang_seed(x) for x in b.column(0).to_pylist()], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seeds)], ["lang", "key"])
 
 
 # ------------------------------------------------------------------ newly frequent cells
@@ -312,7 +348,8 @@ def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     """Every phrase of up to ``longest`` words that occurs ``threshold`` times or more in a language."""
     spark = docs.sparkSession
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard")
-    corpus = stored(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text", dealt).filter("text != ''"), "shards", "shard")
+    corpus = stored(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.monotonically_increasing_id().alias("row"), "text", dealt)
+                    .filter("text != ''"), "shards", "shard")
     since = np.full(1 << bits, NEVER, np.uint8)
     counts: DataFrame | None = None
     step = 0
@@ -323,23 +360,21 @@ def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
         packed = spark.sparkContext.broadcast(zlib.compress(since.tobytes(), 1))
         found = scan_shard(corpus.filter(F.col("shard") == step % shards), packed, bits, step, shards, longest)
         rows = found if counts is None else counts.unionAll(found)
-        total = rows.groupBy(*_KEY).agg(F.min("opened").alias("opened"), F.sum("a").alias("a"))
+        total = rows.groupBy(*_KEY).agg(F.min("opened").alias("opened"), F.sum("a").alias("a"), F.min("row").alias("row"))
         complete = F.col("opened") + (shards - 1) <= step
-        before, counts = counts, stored(total.filter(~complete | (F.col("a") >= threshold)), f"counts-{step}")
+        before, counts = counts, stored(total.filter(~complete | (F.col("a") >= threshold) | (F.col("words") == 0)), f"counts-{step}")
         if before is not None:
             dropped(before)
         packed.unpersist()
         step += 1
-        inner = counts.filter((F.col("a") >= threshold) & (F.col("words") < longest))
+        inner = counts.filter((F.col("a") >= threshold) & F.col("words").between(1, longest - 1))
         since[cells_with(inner, bits) & (since == NEVER)] = step
-    counts = counts.filter(F.col("a") >= threshold).select(*_KEY, "a")
-    longer = counts.filter("words > 1")
-    packed = spark.sparkContext.broadcast(zlib.compress(np.packbits(cells_with(longer, bits)).tobytes(), 1))
-    spelled = stored(spell(corpus, packed, bits, longest), "spelled")
+    frequent = counts.filter((F.col("a") >= threshold) & (F.col("words") > 0))
+    candidates = stored(spell(corpus, frequent.filter("words > 1")), "spelled")
+    langs = corpus.select("lang").distinct().mapInArrow(_lang_keys, "lang string, key long")
+    totals = stored(langs.join(counts.filter("words = 0").select("key", F.col("a").alias("n")), "key").select("lang", "n"), "totals")
     dropped(corpus)
-    texts = spelled.filter("words > 0").groupBy(*_KEY).agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-    totals = spelled.filter("words = 0").groupBy("lang").agg(F.sum("a").alias("n"))
-    return Phrases(counts, longer.join(texts, _KEY).select("lang", "phrase", "words", "a"), totals)
+    return Phrases(frequent.select(*_KEY, "a"), candidates, totals)
 
 
 CUTS_SCHEMA = ("lang string, phrase string, words int, a long, k int, left_key long, left_check long, left_words int, "
@@ -351,7 +386,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows: list[tuple] = []
         for lang, phrase, n, a in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "words", "a")), strict=True):
-            words = hashed(phrase.encode().split(b" ")) ^ np.uint64(lang_seed(lang))
+            words = hashed(phrase.encode())[1] ^ np.uint64(lang_seed(lang))
             for k in range(1, n):
                 parts = []
                 for part in (words[:k], words[k:]):
