@@ -48,6 +48,8 @@ TOP_K = 10
 #: task visits together.
 OUT_ROWS = 1 << 17
 BLOCK_DOCS, VISIT_BLOCKS, VISIT_BYTES = 4_096, 256, 16 << 20
+#: Strata (two numbers each) that are broadcast; more are joined by a shuffle.
+BROADCAST_STRATA = 100_000
 #: Terms of the items that one pass over the index answers (mean).
 CHUNK_TERMS = 1 << 18
 #: Share of the length in the normaliser (percent), and the scales of weights and impacts.
@@ -160,10 +162,13 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, block_docs: int = BLOCK_
     stratified = postings.filter(~per_doc).withColumn("m", m)
     weights = stratified.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", weight(documents, F.col("df")).alias("weight"))
     # blocks of a stratum: as many as its documents need, dealt by the document's number
-    strata = postings.filter(per_doc).withColumn("m", m).groupBy("m").agg(F.count(F.lit(1)).alias("docs"))
+    strata = stored(postings.filter(per_doc).withColumn("m", m).groupBy("m").agg(F.count(F.lit(1)).alias("docs")), "strata")
+    if strata.count() <= BROADCAST_STRATA:
+        strata = F.broadcast(strata)
     dealt = stratified.join(strata, "m").withColumn(
         "block", F.pmod(F.xxhash64("row"), F.ceil(F.col("docs") / block_docs)).cast("int"))
-    blocks = dealt.groupBy("m", "block").applyInArrow(_pack, INDEX_SCHEMA)
+    # dealt by block, not by stratum: one length may be that of a third of all documents
+    blocks = dealt.repartition("m", "block").groupBy("m", "block").applyInArrow(_pack, INDEX_SCHEMA)
     return Index(stored(blocks, "index"), stored(weights, "weights"))
 
 
