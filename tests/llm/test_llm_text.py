@@ -325,7 +325,7 @@ def plain_text(lines):
     chars = [w for _, w, _ in lines]
     declared = [bool(main and text) for text, _, main in lines]
     inside = sum(c for c, d in zip(chars, declared, strict=True) if d)
-    weight = [c * 8 if d else c / 8 for c, d in zip(chars, declared, strict=True)] if inside * 2 > sum(chars) else chars
+    weight = [c * 8 if d else 0 for c, d in zip(chars, declared, strict=True)] if inside * 2 > sum(chars) else chars
     if not any(weight):
         return ""
     at = lambda i: weight[i] if 0 <= i < len(weight) else 0

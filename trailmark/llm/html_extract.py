@@ -12,7 +12,7 @@ first window without weight after the last such window.  Everything between is k
 links too, except the parts beside the article.  A page without such a window has its points at its
 first and last line with weight.  A declared article (``article``, ``main`` or that role) only
 changes weights: where it holds over half of the page's, its lines weigh ``DECLARED_WEIGHT`` times and the
-others that much less, so that its short lines surge and a line beside it does not.  Otherwise
+others nothing, so that its short lines surge and a line beside it does not.  Otherwise
 (teasers beside an undeclared body) the tags count for nothing.  The points come from the windows on every page.
 
 Defined cases: null and empty pages have empty text; pages without markup are one
@@ -188,11 +188,11 @@ def main_text(html: str | None) -> str:
 
 def line_weights(lines: list[tuple[str, int, bool]]) -> np.ndarray:
     """Characters without links per line.  Where a declared article holds over half of them, its lines weigh
-    ``DECLARED_WEIGHT`` times and the others that much less."""
+    ``DECLARED_WEIGHT`` times and the others nothing."""
     weights = np.array([w for _, w, _ in lines], float)
     declared = np.array([main and text != "" for text, _, main in lines], bool)
     if weights[declared].sum() > DECLARED_SHARE * weights.sum():
-        weights = np.where(declared, weights * DECLARED_WEIGHT, weights / DECLARED_WEIGHT)
+        weights = np.where(declared, weights * DECLARED_WEIGHT, 0.0)
     return weights
 
 
