@@ -44,6 +44,8 @@ ROUNDS = (0.25, 0.12, 0.05, 0.0)
 STOP_SHARE = 1 / 16
 #: Vectors scored after a round for the k-th best score so far.
 _PROBES = 32
+_SHIFT = 48
+_UNIT = 1 << _SHIFT
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -125,7 +127,9 @@ class BlockIndex:
         least = np.minimum(*ends)
         gains = np.maximum(*ends) - least
         xs, floors = query.tolist(), least.tolist()
-        gained, seen = np.full(self.n, int(least.sum())), np.zeros(self.n, np.int64)
+        # what a vector has gained and, above it, in how many dimensions it was seen: one sum for both where it fits
+        unit = _UNIT if int(gains.sum()) < _UNIT and self.dim < 1 << 14 else 0
+        sums, apart = np.zeros(self.n, np.int64), np.zeros(0 if unit else self.n, np.int64)
         done = [(self.n, self.n) if x > 0 else (0, 0) for x in xs]
         known: int | None = None
         probes = min(self.n, max(_PROBES, k + 1))
@@ -137,12 +141,13 @@ class BlockIndex:
                 a, b = (a, a0) if xs[d] > 0 else (b0, b)
                 if b > a:
                     segment = self.order[d, a:b]
-                    gained[segment] += self.impacts[d, a:b] * xs[d] - floors[d]
-                    seen[segment] += 1
+                    np.add.at(sums, segment, self.impacts[d, a:b] * xs[d] + (unit - floors[d]))
+                    if not unit:
+                        np.add.at(apart, segment, 1)
             done = [(min(r[0], o[0]), r[1]) if x > 0 else (0, max(r[1], o[1])) for r, o, x in zip(ranges, done, xs, strict=True)]
             # a dimension that a vector was not seen in adds less than c, and no more than its gain
-            rest = np.minimum(c, gains)
-            most = gained + (int(rest.sum()) - seen * c if c else 0)
+            rest = int(np.minimum(c, gains).sum()) + int(least.sum())
+            most = (sums & (unit - 1)) - (sums >> _SHIFT) * c + rest if unit else sums - apart * c + rest
             best = np.argpartition(most, self.n - probes)[self.n - probes:]
             best = best[allowed[best]]
             if len(best) >= k:
