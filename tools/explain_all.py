@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from trailmark.plans.contract import queries  # noqa: E402
 
-STREAMING = ("stream_", "snapshot_", "jsonl_source")
+STREAMING = ("stream_", "snapshot_", "delta_", "quarantine_bad", "jsonl_source")
 
 
 def explain(df) -> str:
