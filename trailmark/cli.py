@@ -30,6 +30,7 @@ DEFAULT_OPTIONS = {
 # --heatmapSink, --pathsSink, --errorsSink choose parquet, parquet_updates or console.
 # --allTime also writes the all-time snapshots of paths and heatmap; --allTime=deltas keeps them as stores of deltas.
 # --report prints the busiest cells, errors by page and a preview of paths with every trigger.
+# --pathOrder=arrival keeps the paths of --allTime=deltas and --report in the order of the topic.
 # --quarantine keeps records that cannot be read, with reasons.
 # --maxLeadMinutes=N gives no event time to rows more than N minutes ahead of their arrival.
 # --kafkaOption.NAME=VALUE goes to the Kafka source (maxOffsetsPerTrigger, minPartitions, failOnDataLoss).
@@ -38,7 +39,7 @@ DEFAULT_OPTIONS = {
 
 
 EXTRA_OPTIONS = {"maxFilesPerTrigger", "trigger", "sessionState", "maxEventTime", "heatmapSink", "pathsSink", "errorsSink",
-                 "allTime", "report", "quarantine", "maxLeadMinutes"}
+                 "allTime", "report", "quarantine", "maxLeadMinutes", "pathOrder"}
 KAFKA_PREFIX = "kafkaOption."
 
 
@@ -113,6 +114,7 @@ def main(argv: list[str] | None = None) -> None:
         report=opts.get("report") == "true",
         quarantine=opts.get("quarantine") == "true",
         max_lead_minutes=float(opts["maxLeadMinutes"]) if opts.get("maxLeadMinutes") else None,
+        path_order=opts.get("pathOrder", "time"),
     )
     try:
         if opts.get("trigger") == "availableNow":

@@ -14,6 +14,7 @@ from .events import (
 from .heatmap import click_heatmap, click_heatmap_total, top_heatmap
 from .sessions import session_paths
 from .user_paths import (
+    arrival_fragments,
     assemble_user_paths,
     preview_user_paths,
     preview_user_paths_of,
@@ -23,6 +24,7 @@ from .user_paths import (
 )
 
 __all__ = [
+    "arrival_fragments",
     "assemble_user_paths",
     "click_heatmap",
     "click_heatmap_total",

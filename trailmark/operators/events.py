@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.defaults import DEFAULTS, or_default
 from ..functions.time import event_time
-from ..schema import CLICK, DEFAULT_SESSION_GAP_MINUTES, ERROR, EVENT_COLUMNS, EVENT_TIME
+from ..schema import ARRIVAL_OFFSET, ARRIVAL_PARTITION, CLICK, DEFAULT_SESSION_GAP_MINUTES, ERROR, EVENT_COLUMNS, EVENT_TIME
 
 
 def with_event_time(df: DataFrame, max_event_time: str | None = None, max_lead_minutes: float | None = None) -> DataFrame:
@@ -20,8 +20,9 @@ def with_event_time(df: DataFrame, max_event_time: str | None = None, max_lead_m
 
 
 def project_events(df: DataFrame) -> DataFrame:
-    """The 11 event fields plus ``eventTime``, in fixed order."""
-    return df.select(*EVENT_COLUMNS, EVENT_TIME)
+    """The 11 event fields plus ``eventTime``, in fixed order; then the source position, where it was read."""
+    position = [c for c in (ARRIVAL_PARTITION, ARRIVAL_OFFSET) if c in df.columns]
+    return df.select(*EVENT_COLUMNS, EVENT_TIME, *position)
 
 
 def prepare_events(raw: DataFrame, max_event_time: str | None = None, max_lead_minutes: float | None = None) -> DataFrame:

@@ -36,6 +36,7 @@ from ..sources.tables import (
     events_table,
     hot_web_events,
     stream_web_events,
+    topic_records,
     web_events,
     web_events_from_table,
 )
@@ -150,6 +151,12 @@ def q_kafka_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_events(encode_events(web_events(spark, sf_dir)))
 
 
+def q_user_paths_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 in the order of the topic: records with their positions through the codec."""
+    events = prepare_events(decode_events(topic_records(spark, sf_dir), with_position=True))
+    return user_paths(events, order="arrival").select("userId", path_text().alias("path_text"))
+
+
 def q_quarantine_good(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of records of which some are damaged."""
     return good_events(check_records(damaged_records(spark, sf_dir)))
@@ -348,6 +355,7 @@ def queries() -> dict[str, QueryFn]:
         "error_totals": q_error_totals,
         "user_paths": q_user_paths,
         "user_paths_hot": q_user_paths_hot,
+        "user_paths_arrival": q_user_paths_arrival,
         "session_paths_hot": q_session_paths_hot,
         "user_paths_preview": q_user_paths_preview,
         "jsonl_source": q_jsonl_source,

@@ -176,6 +176,13 @@ SELECT after_batch, userId, """
 HOT = WEB.replace("SELECT CASE WHEN k IS NULL OR k <> 98 THEN 'u' || user_id END AS userId",
                   "SELECT CASE WHEN event_id % 3 = 0 THEN 'u_hot' WHEN k IS NULL OR k <> 98 THEN 'u' || user_id END AS userId")
 
+# positions in a topic of four partitions: a permutation of event_id inside blocks of a prime
+_ARRIVAL_PATHS = WEB.replace("props AS meta\n  FROM raw)", "props AS meta, user_id % 4 AS part, event_id // 1000003 * 1000003 + event_id * 7919 % 1000003 AS pos\n"
+                             "  FROM raw)").replace("coalesce(y, 0) AS y FROM ev)", "coalesce(y, 0) AS y, part, pos FROM ev)") + """,
+o AS (SELECT *, lag(pageUrl) OVER (PARTITION BY userId ORDER BY part, pos) AS pv FROM fx WHERE pageUrl <> ''),
+p AS (SELECT userId, list(pageUrl ORDER BY part, pos) AS path FROM o WHERE pv IS NULL OR pv <> pageUrl GROUP BY userId)
+"""
+
 # planted damage: a record cut off, one that is no object, one with bad fields
 _DAMAGE = WEB.replace("props AS meta\n  FROM raw)", "props AS meta, event_id, user_id, CASE WHEN event_id % 41 = 1 THEN 'cut'"
                       " WHEN event_id % 43 = 2 THEN 'none' WHEN event_id % 47 = 3 THEN 'fields' END AS damage\n  FROM raw)")
@@ -226,6 +233,7 @@ def oracles() -> dict[str, str]:
         "delta_heatmap_late": _after_each_batch(_DELTA_HEATMAP),
         "delta_paths_late": _after_each_batch(_DELTA_PATHS + f"{_path_text('path')} AS path_text FROM p"),
         "user_paths_hot": HOT + _USER_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
+        "user_paths_arrival": _ARRIVAL_PATHS + f"SELECT userId, {_path_text('path')} AS path_text FROM p",
         "session_paths_hot": _session_paths(30).replace(WEB, HOT),
         "quarantine_good": _GOOD,
         "quarantine_bad": _BAD + "SELECT record, reasons FROM bad",

@@ -47,3 +47,6 @@ HEATMAP_KEYS = ["pageUrl", "element", "xBucket", "yBucket"]
 
 #: When a record reached its source: the broker's time, or the time its file was written.
 ARRIVAL_TIME = "arrivalTime"
+
+#: Where a record lies in its source: partition and offset of the topic.
+ARRIVAL_PARTITION, ARRIVAL_OFFSET = "arrivalPartition", "arrivalOffset"

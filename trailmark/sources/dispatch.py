@@ -24,12 +24,18 @@ _OPTIONS = {
 _RECORD_READERS = {"files": read_records, "kafka": read_events_kafka_raw}
 
 
-def read_events(spark: SparkSession, source: str = "files", streaming: bool = True, with_arrival: bool = False, **opts) -> DataFrame:
+def read_events(spark: SparkSession, source: str = "files", streaming: bool = True, with_arrival: bool = False,
+                with_position: bool = False, **opts) -> DataFrame:
     """``files`` (``input_path``, ``max_files_per_trigger``) or ``kafka`` (``brokers``, ``topic``,
     ``starting_offsets``, ``options`` of the connector); another source or an option of neither is an
     error.  Options of the other source are ignored, so a job can pass both sets.  ``with_arrival`` adds
-    ``arrivalTime`` (the broker's time, or the time the file was written)."""
+    ``arrivalTime`` (the broker's time, or the time the file was written); ``with_position`` the record's place in
+    the topic, which files do not have."""
     arguments = _arguments(source, opts) | ({"with_arrival": True} if with_arrival else {})
+    if with_position:
+        if source != "kafka":
+            raise ValueError(f"records of {source!r} have no position; only those of 'kafka' have")
+        arguments["with_position"] = True
     return _READERS[source](spark, streaming=streaming, **arguments)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import ARRIVAL_TIME, EVENT_COLUMNS, EVENT_SCHEMA
+from ..schema import ARRIVAL_OFFSET, ARRIVAL_PARTITION, ARRIVAL_TIME, EVENT_COLUMNS, EVENT_SCHEMA
 
 
 def read_events_kafka_raw(
@@ -39,16 +39,18 @@ def read_events_kafka_raw(
     return reader.load()
 
 
-def decode_events(df: DataFrame, value_col: str = "value", with_arrival: bool = False) -> DataFrame:
+def decode_events(df: DataFrame, value_col: str = "value", with_arrival: bool = False, with_position: bool = False) -> DataFrame:
     """S3 + S4: ``CAST(value AS STRING)`` -> ``from_json`` (explicit schema) -> 11 columns.
 
     A value that is not a JSON object gives an all-NULL row.  ``with_arrival`` adds ``arrivalTime``, the
-    broker's ``timestamp``.
+    broker's ``timestamp``; ``with_position`` adds ``arrivalPartition`` and ``arrivalOffset``, the record's place in
+    the topic.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA)
-    if with_arrival:
-        return df.select(parsed.alias("data"), F.col("timestamp").cast("timestamp").alias(ARRIVAL_TIME)).select("data.*", ARRIVAL_TIME)
-    return df.select(parsed.alias("data")).select("data.*")
+    extra = {ARRIVAL_TIME: F.col("timestamp").cast("timestamp")} if with_arrival else {}
+    if with_position:
+        extra |= {ARRIVAL_PARTITION: F.col("partition").cast("int"), ARRIVAL_OFFSET: F.col("offset").cast("long")}
+    return df.select(parsed.alias("data"), *[c.alias(name) for name, c in extra.items()]).select("data.*", *extra)
 
 
 def read_events_kafka(
@@ -59,9 +61,11 @@ def read_events_kafka(
     streaming: bool = True,
     options: dict[str, str] | None = None,
     with_arrival: bool = False,
+    with_position: bool = False,
 ) -> DataFrame:
     """S2 -> S4: the event stream of a topic."""
-    return decode_events(read_events_kafka_raw(spark, brokers, topic, starting_offsets, streaming, options), with_arrival=with_arrival)
+    records = read_events_kafka_raw(spark, brokers, topic, starting_offsets, streaming, options)
+    return decode_events(records, with_arrival=with_arrival, with_position=with_position)
 
 
 def encode_events(events: DataFrame, key_col: str | None = "userId") -> DataFrame:

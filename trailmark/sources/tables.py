@@ -135,6 +135,21 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(value.alias("value"))
 
 
+# Fixed values of the planted positions: partitions of the topic, and a permutation of event_id inside blocks of a prime.
+TOPIC_PARTITIONS, OFFSET_BLOCK, OFFSET_STEP = 4, 1_000_003, 7_919
+
+
+def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as records of a topic keyed by user (``value, partition, offset``), in an order unlike that of their times;
+    every seventh record is there twice."""
+    ensure_utc(spark)
+    rows = web_events_from_table(
+        events_table(spark, sf_dir), f"cast(user_id % {TOPIC_PARTITIONS} AS int) AS partition",
+        f"event_id div {OFFSET_BLOCK} * {OFFSET_BLOCK} + event_id * {OFFSET_STEP} % {OFFSET_BLOCK} AS offset",
+        "explode(sequence(0, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END)) AS copy")
+    return rows.select(F.to_json(F.struct(*EVENT_COLUMNS)).cast("binary").alias("value"), "partition", F.col("offset").cast("long"))
+
+
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Web events of ``<sf_dir>/events.parquet`` (session time zone forced to UTC)."""
     ensure_utc(spark)

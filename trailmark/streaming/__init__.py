@@ -1,6 +1,6 @@
 """Structured Streaming: sinks, snapshots and the three-query job."""
 
-from .deltas import ERRORS, HEATMAP, PATHS, DeltaStore, report, start_delta_store, start_report
+from .deltas import ARRIVAL_PATHS, ERRORS, HEATMAP, PATHS, DeltaStore, report, start_delta_store, start_report
 from .open_sessions import read_session_batches, session_log, start_open_sessions
 from .pipeline import await_all, await_any, build_queries, rejected_so_far, run_pipeline
 from .sessions import (
@@ -21,6 +21,7 @@ from .snapshots import (
 )
 
 __all__ = [
+    "ARRIVAL_PATHS",
     "ERRORS",
     "HEATMAP",
     "PATHS",

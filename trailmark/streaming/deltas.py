@@ -18,7 +18,7 @@ passed-over batches.  Segments leave the disk ``KEEP_VERSIONS`` commits after th
 so a reader may finish on the version it started with.
 
 ``Mergeable`` says how rows combine; ``HEATMAP``, ``ERRORS`` and ``PATHS`` are the three
-results.  Rows are spread by key (a hot user by its time chunks), nothing is collected
+results, ``ARRIVAL_PATHS`` the paths in the order of the topic.  Rows are spread by key (a hot user by its time chunks), nothing is collected
 but the log (one row per live segment).
 """
 
@@ -35,7 +35,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.errors import error_totals, errors_by_count
 from ..operators.heatmap import click_heatmap_total, top_heatmap
-from ..operators.user_paths import DEFAULT_CHUNK_MS, assemble_user_paths, preview_user_paths, user_path_fragments
+from ..operators.user_paths import DEFAULT_CHUNK_MS, arrival_fragments, assemble_user_paths, preview_user_paths, user_path_fragments
 from ..schema import HEATMAP_KEYS, PREVIEW_USERS, TOP_HEATMAP_CELLS
 
 FANOUT, KEEP_VERSIONS = 4, 4
@@ -58,9 +58,9 @@ def _sum_by(*keys: str) -> Callable[[DataFrame], DataFrame]:
     return lambda rows: rows.groupBy(*keys).agg(F.sum("count").alias("count"))
 
 
-def _merge_fragments(rows: DataFrame) -> DataFrame:
-    cells = F.array_distinct(F.flatten(F.collect_list("cells")))
-    return rows.groupBy("userId", "chunk").agg(cells.alias("cells"))
+def _merge_fragments(*keys: str) -> Callable[[DataFrame], DataFrame]:
+    cells = "array_distinct(flatten(collect_list(cells))) AS cells"
+    return lambda rows: rows.groupBy(*keys).agg(F.expr(cells))
 
 
 def _same(rows: DataFrame) -> DataFrame:
@@ -76,8 +76,13 @@ HEATMAP = Mergeable("heatmap", click_heatmap_total, _sum_by(*HEATMAP_KEYS), _sam
     ("pageUrl", T.StringType()), ("element", T.StringType()), ("xBucket", T.IntegerType()), ("yBucket", T.IntegerType()),
     ("count", T.LongType())))
 ERRORS = Mergeable("errors", error_totals, _sum_by("pageUrl"), _same, _schema(("pageUrl", T.StringType()), ("count", T.LongType())))
-PATHS = Mergeable("paths", lambda events: user_path_fragments(events, DEFAULT_CHUNK_MS), _merge_fragments, assemble_user_paths, _schema(
+PATHS = Mergeable("paths", lambda events: user_path_fragments(events, DEFAULT_CHUNK_MS), _merge_fragments("userId", "chunk"), assemble_user_paths, _schema(
     ("userId", T.StringType()), ("chunk", T.LongType()), ("cells", _CELLS)))
+ARRIVAL_PATHS = Mergeable("arrival_paths", arrival_fragments, _merge_fragments("userId", "lane", "chunk"), assemble_user_paths, _schema(
+    ("userId", T.StringType()), ("lane", T.IntegerType()), ("chunk", T.LongType()),
+    ("cells", T.ArrayType(_schema(("position", T.LongType()), ("pageUrl", T.StringType()))))))
+#: The paths of each order.
+PATHS_BY = {"time": PATHS, "arrival": ARRIVAL_PATHS}
 
 
 class Segment(NamedTuple):
@@ -235,31 +240,35 @@ def start_delta_store(events: DataFrame, path: str, checkpoint: str, kind: Merge
 
 
 # ------------------------------------------------------------------ the periodic report
-ALL_TIME = (HEATMAP, ERRORS, PATHS)
+def all_time(path_order: str = "time") -> tuple[Mergeable, ...]:
+    """What the report keeps."""
+    return HEATMAP, ERRORS, PATHS_BY[path_order]
 
 
-def report(spark: SparkSession, path: str, k: int = TOP_HEATMAP_CELLS, users: int = PREVIEW_USERS) -> dict[str, DataFrame]:
+def report(spark: SparkSession, path: str, k: int = TOP_HEATMAP_CELLS, users: int = PREVIEW_USERS,
+           path_order: str = "time") -> dict[str, DataFrame]:
     """O2, O3, O4 of the stores below ``path``: the ``k`` busiest cells, errors by page, the first ``users`` paths.
 
     Only the paths of the first users are assembled; their ids (``users`` of them) are broadcast.
     """
-    heat, errors, paths = (DeltaStore(spark, f"{path}/{kind.name}", kind) for kind in ALL_TIME)
+    heat, errors, paths = (DeltaStore(spark, f"{path}/{kind.name}", kind) for kind in all_time(path_order))
     fragments = paths.rows()
     first = fragments.select("userId").distinct().orderBy("userId").limit(users)
     chosen = assemble_user_paths(fragments.join(F.broadcast(first), "userId", "left_semi"))
     return {"heatmap": top_heatmap(heat.read(), k), "errors": errors_by_count(errors.read()), "paths": preview_user_paths(chosen, users)}
 
 
-def start_report(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, show: bool = True) -> StreamingQuery:
+def start_report(events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, show: bool = True,
+                 path_order: str = "time") -> StreamingQuery:
     """Keep the three all-time results as deltas below ``path`` and print the report with every trigger."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty(QUERY_ID)
-        for kind in ALL_TIME:
+        for kind in all_time(path_order):
             DeltaStore(spark, f"{path}/{kind.name}", kind).append(batch, batch_id, query)
         if show:
-            for name, rows in report(spark, path).items():
+            for name, rows in report(spark, path, path_order=path_order).items():
                 print(f"{name} after batch {batch_id}")
                 rows.show(100, truncate=False)
 

@@ -22,7 +22,7 @@ from ..operators.sessions import session_paths
 from ..schema import DEFAULT_SESSION_GAP_MINUTES
 from ..sources.dispatch import read_event_records, read_events
 from ..sources.quarantine import start_quarantine
-from .deltas import HEATMAP, PATHS, start_delta_store, start_report
+from .deltas import HEATMAP, PATHS_BY, start_delta_store, start_report
 from .open_sessions import start_open_sessions
 from .sessions import start_session_cells
 from .sinks import start_sink
@@ -69,6 +69,7 @@ def run_pipeline(
     report: bool = False,
     quarantine: bool = False,
     max_lead_minutes: float | None = None,
+    path_order: str = "time",
     **source_opts,
 ) -> dict[str, StreamingQuery]:
     """Read -> events -> start heatmap, paths and errors; returns the queries.
@@ -78,7 +79,8 @@ def run_pipeline(
     (``streaming.deltas``).  ``report`` prints the busiest cells, the errors by page and a preview of the paths
     with every trigger, from stores below ``<output_path>/all_time``.  ``quarantine`` keeps records that cannot be read, with
     reasons, in ``<output_path>/quarantine``.  ``max_lead_minutes`` gives no event time to rows that are
-    further ahead of their arrival.  The paths query counts the rows whose time gave no event time (metric
+    further ahead of their arrival.  ``path_order="arrival"`` (topics only) keeps the all-time paths of the stores of
+    deltas and of the report in the order of the topic.  The paths query counts the rows whose time gave no event time (metric
     ``event_time``; ``rejected_so_far``).
 
     ``sinks`` overrides the per-query sink (``parquet``, ``parquet_updates``,
@@ -96,6 +98,10 @@ def run_pipeline(
         raise ValueError(f"session_state must be per_user, spread or cells, got {session_state!r}")
     if all_time not in (True, False, "snapshots", "deltas"):
         raise ValueError(f"all_time must be snapshots or deltas, got {all_time!r}")
+    if path_order not in PATHS_BY:
+        raise ValueError(f"path_order must be one of {', '.join(PATHS_BY)}, got {path_order!r}")
+    if path_order == "arrival" and (all_time not in (False, "deltas") or not (all_time or report)):
+        raise ValueError("path_order='arrival' needs all_time='deltas' or the report")
     if session_timeout_minutes is None or session_timeout_minutes <= 0:
         raise ValueError(f"sessionTimeoutMinutes must be positive, got {session_timeout_minutes!r}")
     chosen = {**DEFAULT_SINKS, **(sinks or {})}
@@ -104,7 +110,8 @@ def run_pipeline(
             raise ValueError(f"unknown sink {sink!r} of {name!r}")
     if session_state != "per_user" and "paths" in (sinks or {}):
         raise ValueError(f"with session_state={session_state!r} the paths query has a sink of its own; leave its sink out")
-    raw = read_events(spark, source, streaming=True, with_arrival=max_lead_minutes is not None, **source_opts)
+    raw = read_events(spark, source, streaming=True, with_arrival=max_lead_minutes is not None,
+                      with_position=path_order == "arrival", **source_opts)
     events = prepare_events(raw, max_event_time, max_lead_minutes)
     counted = events.observe("event_time", rejected_event_times())
     started: dict[str, StreamingQuery] = {}
@@ -129,13 +136,14 @@ def run_pipeline(
                 query_name=None,
             )
         if all_time == "deltas":
-            for name, kind in (("all_paths", PATHS), ("all_heatmap", HEATMAP)):
+            for name, kind in (("all_paths", PATHS_BY[path_order]), ("all_heatmap", HEATMAP)):
                 started[name] = start_delta_store(events, f"{output_path}/{name}", f"{checkpoint_path}/{name}", kind, trigger or SNAPSHOT_TRIGGER)
         elif all_time:
             for name, start in (("all_paths", start_path_snapshots), ("all_heatmap", start_heatmap_snapshots)):
                 started[name] = start(events, f"{output_path}/{name}", f"{checkpoint_path}/{name}", trigger)
         if report:
-            started["report"] = start_report(events, f"{output_path}/all_time", f"{checkpoint_path}/report", trigger or SNAPSHOT_TRIGGER)
+            started["report"] = start_report(events, f"{output_path}/all_time", f"{checkpoint_path}/report", trigger or SNAPSHOT_TRIGGER,
+                                             path_order=path_order)
         if quarantine:
             records = read_event_records(spark, source, streaming=True, **source_opts)
             started["quarantine"] = start_quarantine(records, f"{output_path}/quarantine", f"{checkpoint_path}/quarantine", trigger=trigger)
