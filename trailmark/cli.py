@@ -27,7 +27,7 @@ DEFAULT_OPTIONS = {
 # sets a processing-time trigger; unset = Spark's default (as the reference).
 # --sessionState=spread keeps the open sessions as a table spread over (user, second, page) instead of
 # a state entry per user (see trailmark.streaming.open_sessions); cells writes the counts only.
-# --heatmapSink, --pathsSink, --errorsSink choose parquet, parquet_updates or console.
+# --heatmapSink, --pathsSink, --errorsSink choose parquet, parquet_updates, parquet_upserts (not for paths) or console.
 # --allTime also writes the all-time snapshots of paths and heatmap; --allTime=deltas keeps them as stores of deltas.
 # --report prints the busiest cells, errors by page and a preview of paths with every trigger.
 # --pathOrder=arrival keeps the paths of --allTime=deltas and --report in the order of the topic.

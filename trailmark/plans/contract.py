@@ -53,6 +53,7 @@ from ..streaming.snapshots import (
     start_path_fragments,
     start_path_snapshots,
 )
+from ..streaming.upserts import UpsertTable, start_upsert_sink
 
 STREAM_TIMEOUT_MINUTES = 30
 AVAILABLE_NOW = {"availableNow": True}
@@ -343,6 +344,16 @@ def q_stream_errors_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_window(spark.read.schema(ERRORS_SINK_SCHEMA).parquet(f"{base}/out").drop("batch_id"))
 
 
+def q_stream_errors_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3, W7 as a table with one row per key: its rows after each of the four batches."""
+    schema = T.StructType([f for f in ERRORS_SINK_SCHEMA if f.name != "batch_id"])
+    base = _run_batches(
+        spark, sf_dir, lambda events, base: start_upsert_sink(
+            error_counts(with_event_watermark(events, STREAM_TIMEOUT_MINUTES)), f"{base}/table", f"{base}/chk", trigger=AVAILABLE_NOW),
+        lambda base, batch: UpsertTable(spark, f"{base}/table", schema).read().write.parquet(f"{base}/results/after_batch={batch}"))
+    return _flat_window(spark.read.parquet(f"{base}/results"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "event_time": q_event_time,
@@ -369,6 +380,7 @@ def queries() -> dict[str, QueryFn]:
         "stream_session_cells": q_stream_session_cells,
         "stream_session_late": q_stream_session_late,
         "stream_errors_late": q_stream_errors_late,
+        "stream_errors_upsert_late": q_stream_errors_upsert_late,
         "stream_session_window_late": q_stream_session_window_late,
         "stream_open_sessions_late": q_stream_open_sessions_late,
         "delta_heatmap_late": q_delta_heatmap_late,

@@ -116,19 +116,30 @@ WHERE sessionEnd <= (SELECT max(top) FROM tops) - INTERVAL 60 MINUTE
 """
 
 
-def _errors_late() -> str:
-    # a row is late once its window ends at or before the watermark; only errors move it
-    return _arrived("eventType = 'error'") + """,
+_ERRORS_KEPT = """,
 w AS (SELECT av.*, time_bucket(INTERVAL 5 MINUTE, eventTime, TIMESTAMP '1970-01-01') AS window_start, before
       FROM av JOIN seen USING (batch)),
 kept AS (SELECT * FROM w WHERE before IS NULL OR window_start + INTERVAL 5 MINUTE > before - INTERVAL 30 MINUTE),
 per AS (SELECT batch, window_start, pageUrl, count(*) AS n FROM kept GROUP BY ALL)
+"""
+
+
+def _errors_late() -> str:
+    # a row is late once its window ends at or before the watermark; only errors move it
+    return _arrived("eventType = 'error'") + _ERRORS_KEPT + """
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, pageUrl,
   cast(sum(n) OVER (PARTITION BY window_start, pageUrl ORDER BY batch) AS BIGINT) AS "count"
 FROM per
 """
 
 
+def _errors_upsert_late() -> str:
+    return _arrived("eventType = 'error'") + _ERRORS_KEPT + """
+SELECT after_batch, window_start, window_start + INTERVAL 5 MINUTE AS window_end, pageUrl, cast(sum(n) AS BIGINT) AS "count"
+FROM per JOIN (SELECT unnest([0, 1, 2, 3]) AS after_batch) ON batch <= after_batch GROUP BY after_batch, window_start, pageUrl
+"""
+
+
 def _open_sessions_late() -> str:
     """Four batches: rows that are late under the watermark of the batches before go, the rest joins the open
     rows; sessions that end at or before the new watermark come out, the others stay open."""
@@ -228,6 +239,7 @@ def oracles() -> dict[str, str]:
         "stream_errors_update": _errors_5m(),
         "stream_session_late": _session_late(),
         "stream_errors_late": _errors_late(),
+        "stream_errors_upsert_late": _errors_upsert_late(),
         "stream_session_window_late": _open_sessions_late(),
         "stream_open_sessions_late": _open_sessions_late(),
         "delta_heatmap_late": _after_each_batch(_DELTA_HEATMAP),

@@ -19,6 +19,7 @@ from .snapshots import (
     start_path_fragments,
     start_path_snapshots,
 )
+from .upserts import UpsertTable, start_upsert_sink
 
 __all__ = [
     "ARRIVAL_PATHS",
@@ -26,6 +27,7 @@ __all__ = [
     "HEATMAP",
     "PATHS",
     "DeltaStore",
+    "UpsertTable",
     "await_all",
     "await_any",
     "build_queries",
@@ -51,5 +53,6 @@ __all__ = [
     "start_session_cells",
     "start_sink",
     "start_update_parquet_sink",
+    "start_upsert_sink",
     "write_stream_sessions",
 ]

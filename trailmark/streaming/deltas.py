@@ -24,7 +24,6 @@ but the log (one row per live segment).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -37,6 +36,7 @@ from ..operators.errors import error_totals, errors_by_count
 from ..operators.heatmap import click_heatmap_total, top_heatmap
 from ..operators.user_paths import DEFAULT_CHUNK_MS, arrival_fragments, assemble_user_paths, preview_user_paths, user_path_fragments
 from ..schema import HEATMAP_KEYS, PREVIEW_USERS, TOP_HEATMAP_CELLS
+from .folders import VersionedFolder
 
 FANOUT, KEEP_VERSIONS = 4, 4
 
@@ -104,33 +104,17 @@ class Version(NamedTuple):
 EMPTY = Version(-1, -1, None, ())
 
 
-class DeltaStore:
+class DeltaStore(VersionedFolder):
     """A result kept as segments below ``path``; one writer, any number of readers."""
 
     def __init__(self, spark: SparkSession, path: str, kind: Mergeable, fanout: int = FANOUT):
         if fanout < 2:
             raise ValueError(f"fanout must be at least 2, got {fanout}")
-        self.spark, self.path, self.kind, self.fanout = spark, path.rstrip("/"), kind, fanout
+        super().__init__(spark, path)
+        self.kind, self.fanout = kind, fanout
         self.opened: dict[str, DataFrame] = {}
 
-    # ---- files
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-
-    def _fs(self):
-        return self._path("log").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
-    def _listed(self, name: str) -> list[str]:
-        fs, top = self._fs(), self._path(name)
-        return [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
-
     # ---- versions
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
-        numbers = sorted(int(m.group(1)) for n in self._listed("log") if (m := re.fullmatch(r"version=(\d+)", n)))
-        fs = self._fs()
-        return [n for n in numbers if fs.exists(self._path(f"log/version={n}/_SUCCESS"))]
-
     def version(self, number: int | None = None) -> Version:
         """A committed version (the newest unless named)."""
         there = self.versions()

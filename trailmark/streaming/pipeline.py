@@ -42,6 +42,8 @@ OUTPUT_MODES = {
     ("errors", "console"): "update",
     ("errors", "parquet_updates"): "update",
     ("errors", "parquet"): "append",
+    ("heatmap", "parquet_upserts"): "update",
+    ("errors", "parquet_upserts"): "update",
 }
 
 
@@ -83,8 +85,8 @@ def run_pipeline(
     deltas and of the report in the order of the topic.  The paths query counts the rows whose time gave no event time (metric
     ``event_time``; ``rejected_so_far``).
 
-    ``sinks`` overrides the per-query sink (``parquet``, ``parquet_updates``,
-    ``console``); outputs go to ``<output_path>/<name>`` with checkpoints in
+    ``sinks`` overrides the per-query sink (``parquet``, ``parquet_updates``, ``parquet_upserts`` for
+    heatmap and errors: one row per key, ``streaming.upserts``; ``console``); outputs go to ``<output_path>/<name>`` with checkpoints in
     ``<checkpoint_path>/<name>``.  Callers wait with ``await_any`` or
     ``q.awaitTermination()``.
 

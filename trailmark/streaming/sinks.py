@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from .upserts import start_upsert_sink
+
 
 def _writer(df: DataFrame, output_mode: str, checkpoint: str | None, trigger: dict | None, query_name: str | None):
     w = df.writeStream.outputMode(output_mode)
@@ -80,11 +82,14 @@ def start_sink(
     trigger: dict | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Selectable sink: ``parquet`` (append), ``parquet_updates`` (update), ``console``."""
+    """Selectable sink: ``parquet`` (append), ``parquet_updates`` (update), ``parquet_upserts`` (update, one row
+    per key), ``console``."""
     if sink == "parquet":
         return start_parquet_sink(df, path, checkpoint, output_mode, trigger, query_name)
     if sink == "parquet_updates":
         return start_update_parquet_sink(df, path, checkpoint, output_mode, trigger, query_name)
+    if sink == "parquet_upserts":
+        return start_upsert_sink(df, path, checkpoint, None, trigger, query_name)
     if sink == "console":
         return start_console_sink(df, output_mode, checkpoint, trigger, query_name)
-    raise ValueError(f"unknown sink {sink!r} (expected parquet|parquet_updates|console)")
+    raise ValueError(f"unknown sink {sink!r} (expected parquet|parquet_updates|parquet_upserts|console)")
