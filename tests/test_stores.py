@@ -251,6 +251,15 @@ def test_reasons_of_records(spark):
     assert good_events(empty).collect() == bad_records(empty).collect() == count_reasons(empty).collect() == []
 
 
+def test_each_record_is_parsed_once_for_each_schema(spark, tmp_dir):
+    path = f"{tmp_dir}/records"
+    spark.createDataFrame([(r,) for r in RECORDS], "value string").write.parquet(path)
+    for result in (count_reasons, bad_records, good_events):
+        checked = check_records(spark.read.parquet(path))
+        plan = result(checked)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 2, result.__name__
+
+
 def test_a_row_a_year_ahead_moves_no_watermark(spark, tmp_dir):
     from trailmark.streaming import rejected_so_far
 

@@ -12,7 +12,8 @@ field that is given but came out NULL has a *reason*, ``<field>: not a <type>``.
 
 ``start_quarantine`` keeps bad records of a stream in Parquet beside the job's results, one row per
 record and exactly once through its checkpoint.  Everything is an expression on the row: no shuffle, no
-UDF; the counts are a partial aggregate.
+UDF; the counts are a partial aggregate.  Both parses are generated columns: a column that ``withColumn`` adds is
+written out wherever it is used, filters included, and a record would be parsed anew for every field.
 """
 
 from __future__ import annotations
@@ -37,14 +38,15 @@ def check_records(records: DataFrame, value_col: str = "value") -> DataFrame:
     A blank record counts as malformed, as ``from_json`` reads it.
     """
     text = F.col(value_col).cast("string")
-    parsed = records.withColumn("__texts", F.from_json(text, "map<string,string>")).withColumn("data", F.from_json(text, EVENT_SCHEMA))
+    parses = F.struct(F.from_json(text, "map<string,string>"), F.from_json(text, EVENT_SCHEMA))
+    parsed = records.select("*", F.inline(F.array(parses)).alias("__texts", "__data"))
     malformed = F.col("__texts").isNull()
     wrong = [
-        F.when(_given(f.name) & F.col("data")[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
+        F.when(_given(f.name) & F.col("__data")[f.name].isNull(), F.lit(f"{f.name}: not a {f.dataType.simpleString()}"))
         for f in EVENT_SCHEMA.fields
     ]
     reasons = F.when(malformed, F.array(F.lit(MALFORMED))).otherwise(F.array_compact(F.array(*wrong)))
-    return parsed.withColumn("reasons", reasons).withColumn("data", F.when(~malformed, F.col("data"))).drop("__texts")
+    return parsed.withColumn("data", F.when(~malformed, F.col("__data"))).withColumn("reasons", reasons).drop("__texts", "__data")
 
 
 def good_events(checked: DataFrame) -> DataFrame:
