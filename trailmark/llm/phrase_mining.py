@@ -90,42 +90,50 @@ def tokens_of(raw: bytes) -> list[bytes]:
     return raw.translate(_TO).replace(b"\xff", b" \xff ").split()
 
 
-_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_POWERS: dict[int, np.ndarray] = {}
+#: Bytes of the longest word that is hashed in runs of eight bytes; the digest library takes longer ones, one by one.
+LONG_WORD = 64
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_MIXERS = ((0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53), (0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    if len(_POWERS.get(base, ())) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 4096), base, np.uint64)
-        steps[0] = 1
-        _POWERS[base] = np.cumprod(steps)
-    return _POWERS[base][:n]
+def _mixed(h: np.ndarray, first: int, second: int) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(first)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(second)
+    return h ^ (h >> np.uint64(32))
 
 
 def hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and two 64-bit hashes (0, 0 for a break) of every token of ``tokens_of(raw)``.
 
-    A hash is the polynomial of the word's bytes: a difference of running sums, shifted to the word's start.
+    Eight bytes of all words are read at once, so a word of up to eight costs one step.
     """
-    a = np.frombuffer(raw.translate(_TO), np.uint8)
-    inside = np.zeros(len(a) + 2, bool)
-    inside[1:-1] = (a != 32) & (a != _BREAK)
-    starts = np.flatnonzero(inside[1:-1] & ~inside[:-2])
-    ends = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-    pairs = np.empty((len(starts), 2), np.uint64)
-    for i, base in enumerate(_MULTIPLIERS):
-        total = np.zeros(len(a) + 1, np.uint64)
-        np.cumsum((a.astype(np.uint64) + np.uint64(1)) * _powers(base, len(a)), out=total[1:])
-        h = (total[ends] - total[starts]) * _powers(pow(base, -1, 1 << 64), len(a))[starts]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        pairs[:, i] = h ^ (h >> np.uint64(29))
-    breaks = np.flatnonzero(a == _BREAK)
-    if not len(breaks):
-        return starts, pairs
-    every = np.concatenate([starts, breaks])
-    order = np.argsort(every, kind="stable")
-    return every[order], np.concatenate([pairs, np.zeros((len(breaks), 2), np.uint64)])[order]
+    text = raw.translate(_TO)
+    a = np.frombuffer(text, np.uint8)
+    breaks = a == _BREAK
+    inside = np.append((a != 32) & ~breaks, False)
+    begins = inside[:-1].copy()
+    begins[1:] &= ~inside[:-2]
+    starts = np.flatnonzero(begins | breaks)
+    words = ~breaks[starts]
+    sizes = np.zeros(len(starts), np.int64)
+    sizes[words] = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1 - starts[words]
+    eights = np.ndarray((len(a) + 1,), "<u8", text + bytes(8), strides=(1,))
+    x, n = eights[starts] & _MASKS[np.minimum(sizes, 8)], sizes.astype(np.uint64)
+    h = np.empty((2, len(starts)), np.uint64)
+    for i, (seed, *mixers) in enumerate(_MIXERS):
+        h[i] = _mixed(x ^ n * np.uint64(seed), *mixers)
+    at, more = 8, np.flatnonzero(sizes > 8)
+    while len(more) and at < LONG_WORD:
+        x = eights[starts[more] + at] & _MASKS[np.minimum(sizes[more] - at, 8)]
+        for i, (seed, *mixers) in enumerate(_MIXERS):
+            h[i, more] = _mixed(h[i, more] * np.uint64(seed) + x, *mixers)
+        at += 8
+        more = more[sizes[more] > at]
+    for i in more.tolist():
+        whole = xxhash.xxh3_128_intdigest(text[starts[i]:starts[i] + sizes[i]])
+        h[:, i] = whole >> 64, whole & 0xFFFFFFFFFFFFFFFF
+    h[:, ~words] = 0
+    return starts, h.T
 
 
 def lang_seed(lang: str) -> int:
@@ -146,15 +154,17 @@ def chained(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ one scan
 def groups(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One position and the size of every group of equal (key, check)."""
-    order = np.argsort(key, kind="stable")
 
-    def borders() -> np.ndarray:
-        return np.flatnonzero(np.append(len(order) > 0, (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])))
+    def borders(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k, c = key[order], check[order]
+        heads = np.flatnonzero(np.append(len(order) > 0, (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
+        return heads, k[heads]
 
-    heads = borders()
-    if (key[order][heads][1:] == key[order][heads][:-1]).any():  # phrases that share a key: order by the check too
+    order = np.argsort(key)
+    heads, keys = borders(order)
+    if (keys[1:] == keys[:-1]).any():  # phrases that share a key: order by the check too
         order = np.lexsort((check, key))
-        heads = borders()
+        heads, _ = borders(order)
     return order[heads], np.diff(np.append(heads, len(order)))
 
 
@@ -194,7 +204,7 @@ class Scan:
         starts, pairs = hashed(b"".join(self.raws))
         ends = np.searchsorted(starts, np.cumsum([len(r) for r in self.raws]))
         sizes = np.diff(ends, prepend=0).tolist()
-        self.hashes.append(pairs)
+        self.hashes.append(pairs.T)
         self.runs += [(lang, row, n) for (lang, row), n in zip(self.owners, sizes, strict=True) if n]
         self.size += len(pairs)
         self.raws, self.owners, self.raw_size = [], [], 0
@@ -206,43 +216,48 @@ class Scan:
         yield from self._count(0)
 
     def _count(self, keep: int) -> Iterator[pa.RecordBatch]:
-        pairs = np.concatenate(self.hashes)
-        starts = len(pairs) - max(keep, self.longest - 1)
+        pairs = np.concatenate(self.hashes, axis=1)
+        starts = pairs.shape[1] - max(keep, self.longest - 1)
         if starts <= 0:
             return
         names = list(dict.fromkeys(lang for lang, _, _ in self.runs))
         number = {lang: i for i, lang in enumerate(names)}
         sizes = [n for *_, n in self.runs]
         lang, row = np.repeat([number[x] for x, _, _ in self.runs], sizes), np.repeat(np.array([r for _, r, _ in self.runs], np.int64), sizes)
-        self.hashes, self.size = ([pairs[starts:]], len(pairs) - starts) if keep else ([], 0)
+        self.hashes, self.size = ([pairs[:, starts:].copy()], pairs.shape[1] - starts) if keep else ([], 0)
         self.runs = [(names[x], r, 1) for x, r in zip(lang[starts:].tolist(), row[starts:].tolist(), strict=True)] if keep else []
-        there = pairs.any(axis=1)
+        there = (pairs[0] | pairs[1]) != 0
         seeds = np.array([lang_seed(x) for x in names], np.uint64)
-        words, checks = (pairs[:, i] ^ seeds[lang] for i in (0, 1))
+        words, checks = pairs ^ seeds[lang]
         if self.step < self.shards:  # words are active from the start
-            yield self._counted(np.flatnonzero(there[:starts]), words, checks, 1, np.zeros(starts, np.uint8), row)
-            total = np.bincount(lang[:starts][there[:starts]], minlength=len(names))
+            every = np.flatnonzero(there[:starts])
+            yield self._counted(every, words[every], checks, 1, np.zeros(len(every), np.uint8), row)
+            total = np.bincount(lang[every], minlength=len(names))
             some, none = np.flatnonzero(total), np.zeros(len(names), np.int64)
             yield _record(seeds[some].view(np.int64), none[some], 0, none[some], total[some], none[some])
-        # ready[i]: the step from which the phrase that begins at i is frequent
-        chain, check, whole = words, checks, there
-        ready = np.where(there, self.since[cells_of(chain, self.bits)], NEVER)
+        # at: where frequent phrases begin; ready: the steps from which they are, no earlier than they are active
+        ready = np.where(there, self.since[cells_of(words, self.bits)], NEVER)
+        at = np.flatnonzero(ready <= self.step)
+        chain, ready = words[at], ready[at]
         for k in range(2, self.longest + 1):
-            opened = np.maximum(ready[:-1], ready[1:])
-            due = np.flatnonzero((opened[:starts] <= self.step) & (opened[:starts] > self.step - self.shards))
-            if k == self.longest and not len(due):
-                return
-            chain, check, whole = chained(chain[:-1], words[k - 1:]), chained(check[:-1], checks[k - 1:]), whole[:-1] & there[k - 1:]
+            both = np.flatnonzero(at[1:] == at[:-1] + 1)
+            opened = np.maximum(ready[both], ready[both + 1])
+            at, chain = at[both], chained(chain[both], words[at[both] + (k - 1)])
+            due = np.flatnonzero((opened > self.step - self.shards) & (at < starts))
             if len(due):
-                yield self._counted(due, chain, check, k, opened, row)
+                yield self._counted(at[due], chain[due], checks, k, opened[due], row)
             if k < self.longest:
-                ready = np.where(whole, self.since[cells_of(chain, self.bits)], NEVER)
-
-    def _counted(self, due: np.ndarray, chain: np.ndarray, check: np.ndarray, k: int, opened: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
-        """The phrases of ``k`` words that begin at ``due``, with their counts and a text that holds them."""
-        first, counts = groups(chain[due], check[due])
-        at = due[first]
-        return _record(chain[at].view(np.int64), check[at].view(np.int64), k, opened[at].astype(np.int64), counts, row[at])
+                ready = np.maximum(self.since[cells_of(chain, self.bits)], opened)
+                frequent = np.flatnonzero(ready <= self.step)
+                at, chain, ready = at[frequent], chain[frequent], ready[frequent]
+
+    def _counted(self, at: np.ndarray, chain: np.ndarray, checks: np.ndarray, k: int, opened: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+        """The phrases of ``k`` words that begin at ``at``, with their counts and a text that holds them."""
+        check = checks[at]
+        for i in range(1, k):
+            check = chained(check, checks[at + i])
+        first, counts = groups(chain, check)
+        return _record(chain[first].view(np.int64), check[first].view(np.int64), k, opened[first].astype(np.int64), counts, row[at[first]])
 
 
 _KEY = ["key", "check", "words"]
