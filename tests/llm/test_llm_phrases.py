@@ -135,3 +135,24 @@ def test_phrases_that_share_a_key_are_told_apart():
     first, counts = ph.groups(key, check)
     assert sorted(zip(key[first].tolist(), check[first].tolist(), counts.tolist(), strict=True)) == [(5, 1, 2), (5, 2, 2), (7, 1, 1)]
     assert ph.groups(key[:0], check[:0])[1].tolist() == []
+
+
+def test_a_shared_cell_opens_no_phrase_whose_words_are_rare():
+    bits, seed = 16, np.uint64(ph.lang_seed("en"))
+    words = ph.hashed(b"a b c")[1][:, 0] ^ seed
+    since = np.full(1 << bits, ph.NEVER, np.uint8)
+    since[ph.cells_of(words[:2], bits)] = 1  # c is not frequent, though the cells of both pairs are
+    since[ph.cells_of(ph.chained(words[:-1], words[1:]), bits)] = 1
+    scan = ph.Scan(since, bits, 3, 3, 4)
+    found = [r for b in [*scan.add("en", 0, "a b c"), *scan.finish()] for r in b.to_pylist()]
+    assert [(r["words"], r["a"]) for r in found] == [(2, 1)]
+
+
+def test_words_of_all_lengths_are_told_apart():
+    words = [bytes([c]) * n for c in b"\x00a\xc3" for n in (*range(1, 100), 5000)] + [b"b" * 8 + b"\x00" * n for n in range(9)]
+    starts, pairs = ph.hashed(b" ".join(words) + b".")
+    assert len({tuple(p) for p in pairs.tolist()}) == len(words) + 1 == len(starts) and not pairs[-1].any()
+    for word, pair in zip(words, pairs, strict=False):  # wherever a word stands, and beside whatever
+        for text in (word, b"x " + word, word + b"\ty", b"long" * 30 + b" " + word + b"," + b"z" * 9):
+            found, other = ph.hashed(text)
+            assert (other[np.searchsorted(found, text.index(word))] == pair).all()

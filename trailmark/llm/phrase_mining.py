@@ -29,7 +29,6 @@ table gives no rows; extra columns are not carried.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -274,7 +273,7 @@ def scan_shard(shard: DataFrame, packed, bits: int, step: int, shards: int, long
     """Counts of the phrases that are due in this shard at this step; ``packed`` is a broadcast of the array of steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = Scan(np.frombuffer(zlib.decompress(packed.value), np.uint8), bits, step, shards, longest)
+        scan = Scan(np.frombuffer(pa.decompress(packed.value, 1 << bits, "zstd"), np.uint8), bits, step, shards, longest)
         for b in batches:
             for lang, row, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 yield from scan.add(lang, row, text)
@@ -286,8 +285,9 @@ def scan_shard(shard: DataFrame, packed, bits: int, step: int, shards: int, long
 def spelled_in(lang: str, text: str, wanted: list[dict]) -> list[tuple[str, str, int, int]]:
     """(lang, phrase, words, a) of the listed phrases of a text."""
     raw = text.encode()
-    tokens, (_, pairs) = tokens_of(raw), hashed(raw)
-    there, seed = pairs.any(axis=1), np.uint64(lang_seed(lang))
+    lower, (starts, pairs) = raw.translate(_TO), hashed(raw)
+    starts = np.append(starts, len(raw))
+    there, seed = (pairs[:, 0] | pairs[:, 1]) != 0, np.uint64(lang_seed(lang))
     words, checks = pairs[:, 0] ^ seed, pairs[:, 1] ^ seed
     out = []
     chain, check, whole = words, checks, there
@@ -297,8 +297,8 @@ def spelled_in(lang: str, text: str, wanted: list[dict]) -> list[tuple[str, str,
         keys = np.array([key for key, _ in left], np.int64).view(np.uint64)
         for i in np.flatnonzero(whole & np.isin(chain, keys)).tolist():
             a = left.pop((int(chain[i].view(np.int64)), int(check[i].view(np.int64))), None)
-            if a is not None:
-                out.append((lang, b" ".join(tokens[i:i + k]).decode(), k, a))
+            if a is not None:  # a break behind the phrase begins where its last word ends
+                out.append((lang, b" ".join(lower[starts[i]:starts[i + k]].split()).decode(), k, a))
     return out
 
 
@@ -372,7 +372,7 @@ def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     while step < shards or ((since != NEVER) & (since > step - shards)).any():
         if step >= NEVER - 1:
             raise RuntimeError("more steps than the array of steps can hold")
-        packed = spark.sparkContext.broadcast(zlib.compress(since.tobytes(), 1))
+        packed = spark.sparkContext.broadcast(pa.compress(since.tobytes(), "zstd", asbytes=True))
         found = scan_shard(corpus.filter(F.col("shard") == step % shards), packed, bits, step, shards, longest)
         rows = found if counts is None else counts.unionAll(found)
         total = rows.groupBy(*_KEY).agg(F.min("opened").alias("opened"), F.sum("a").alias("a"), F.min("row").alias("row"))
@@ -399,20 +399,27 @@ CUTS_SCHEMA = ("lang string, phrase string, words int, a long, k int, left_key l
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every candidate cut after its first k words, with the keys of both parts."""
     for b in batches:
-        rows: list[tuple] = []
-        for lang, phrase, n, a in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "words", "a")), strict=True):
-            words = hashed(phrase.encode())[1] ^ np.uint64(lang_seed(lang))
-            for k in range(1, n):
-                parts = []
-                for part in (words[:k], words[k:]):
-                    key = part[0]
-                    for w in part[1:]:
-                        key = chained(key, w)
-                    parts += [*key.view(np.int64).tolist(), len(part)]
-                rows.append((lang, phrase, n, a, k, *parts))
+        langs, phrases = (b.column(c).to_pylist() for c in ("lang", "phrase"))
+        n = b.column("words").to_numpy().astype(np.int64)
+        seeds = {x: lang_seed(x) for x in set(langs)}
+        # all phrases in one text, a break behind each (there is none inside)
+        pairs = hashed(b"".join(p.encode() + _BREAK_BYTE for p in phrases))[1].T
+        hashes = pairs ^ np.repeat(np.array([seeds[x] for x in langs], np.uint64), n + 1)
+        begin = np.cumsum(n + 1) - (n + 1)
+        which = np.repeat(np.arange(len(n)), n - 1)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(n - 1) - (n - 1), n - 1) + 1
+        parts = []
+        for first, size in ((begin[which], k), (begin[which] + k, n[which] - k)):
+            for of in hashes:
+                key = of[first]
+                for i in range(1, int(size.max(initial=0))):
+                    longer = np.flatnonzero(size > i)
+                    key[longer] = chained(key[longer], of[first[longer] + i])
+                parts.append(pa.array(key.view(np.int64)))
+            parts.append(pa.array(size.astype(np.int32)))
+        kept = b.select(["lang", "phrase", "words", "a"]).take(pa.array(which))
         names = [x.split()[0] for x in CUTS_SCHEMA.split(", ")]
-        kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[x.split()[1]] for x in CUTS_SCHEMA.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(k.astype(np.int32)), *parts], names)
 
 
 def _side(counts: DataFrame, side: str, name: str) -> DataFrame:
